@@ -22,13 +22,13 @@ def _groups(rows: DataFrame, key: str) -> DataFrame:
 
 
 def exact_duplicate_groups(state: DataFrame) -> DataFrame:
-    """A2: fingerprint groups of at least two pending rows; ids sorted."""
+    """Fingerprint groups of at least two pending rows, with size and survivor (A4).
+
+    The members of a group are its rows (see :func:`mark_exact_duplicates`); they are never
+    gathered into one array, so a hot fingerprint cannot overflow a row or a task.
+    """
     pend = state.filter((F.col("status") == "pending") & F.col("fingerprint").isNotNull())
-    return (
-        pend.groupBy("import_id", "fingerprint")
-        .agg(F.array_sort(F.collect_list("submission_id")).alias("submission_ids"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
+    return _groups(pend, "fingerprint")
 
 
 def mark_exact_duplicates(state: DataFrame) -> DataFrame:
@@ -51,12 +51,7 @@ def mark_exact_duplicates(state: DataFrame) -> DataFrame:
 
 def near_duplicate_groups(state: DataFrame) -> DataFrame:
     """A3: product groups of at least two ``matched`` rows (review rows never cluster)."""
-    m = state.filter(F.col("status") == "matched")
-    return (
-        m.groupBy("import_id", "matched_product_id")
-        .agg(F.array_sort(F.collect_list("submission_id")).alias("submission_ids"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
+    return _groups(state.filter(F.col("status") == "matched"), "matched_product_id")
 
 
 def mark_near_duplicates(state: DataFrame) -> DataFrame:

@@ -224,3 +224,23 @@ def catalog_find(
     if size_ml is not None:
         df = df.filter(F.col("size_ml") == F.lit(size_ml))
     return df.select("product_id", "canonical_name", "producer", "category", "size_ml", "vintage_required")
+
+
+def row_candidate_pairs(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
+    """J1+J2 per pending row: ``(submission_id, product_id, at_size)``.
+
+    Signatures with tokens use the rarest-token join; a signature without tokens pairs with
+    every product of its block (an equi-join on the block key).
+    """
+    p = pending_signatures(state, aliases).filter(F.col("in_scope"))
+    cat = prepare_catalog(catalog)
+    sigs = p.select(*SIG).distinct()
+    tok = candidate_pairs(sigs, cat)
+    empty = sigs.filter(F.col("norm") == "").join(
+        cat.select("producer_key", "category", "product_id", F.col("size_ml").alias("p_size"), "vintage_required"),
+        ["producer_key", "category"],
+    )
+    pairs = tok.unionByName(empty.select(*SIG, "product_id", "p_size", "vintage_required"))
+    return p.select("submission_id", *SIG).join(pairs, SIG).select(
+        "submission_id", "product_id", (F.col("p_size") == F.col("size_ml")).alias("at_size")
+    )

@@ -152,3 +152,57 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         acceptable.alias("acceptable_decisions"),
         F.concat(F.lit("variant "), k.cast("string")).alias("notes"),
     )
+
+
+# --- tier-2 inputs derived from the tables (FIXTURES.md B4) ---------------------------------
+
+HEX = "0123456789abcdef"
+ERROR_BUCKET = 15
+
+
+def hex_bucket(fp: Column, pos: int = 1) -> Column:
+    """Value 0..15 of one hex digit of a fingerprint."""
+    return F.instr(F.lit(HEX), F.substring(fp, pos, 1)) - 1
+
+
+def decision_json(bucket: Column, candidate: Column) -> Column:
+    """Model answer text for a bucket: decision by ``b % 4``, confidence ``(b + 4) / 20``."""
+    dec = F.element_at(F.array(*[F.lit(x) for x in S.MODEL_DECISIONS]), (bucket % 4) + 1)
+    conf = ((bucket + 4) / 20.0).cast("decimal(3,2)").cast("string")
+    ids = F.when(candidate.isNotNull(), F.concat(F.lit('["'), candidate, F.lit('"]'))).otherwise(F.lit("[]"))
+    return F.concat(
+        F.lit('{"decision":"'), dec,
+        F.lit('","confidence":'), conf,
+        F.lit(',"candidate_product_ids":'), ids,
+        F.lit(',"reason":"rule bucket '), bucket.cast("string"), F.lit('"}'),
+    )
+
+
+def _block_first(catalog_df: DataFrame) -> DataFrame:
+    return catalog_df.groupBy(F.lower("producer").alias("pk"), "category").agg(F.min("product_id").alias("cand"))
+
+
+def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int = 0) -> DataFrame:
+    """Decisions table ``(fingerprint, llm_output, llm_error)`` for the fingerprints of ``rows``.
+
+    The candidate is the smallest product id of the row's producer/category block (or none);
+    bucket ``(b + shift) % 16`` of the fingerprint's first hex digit picks the answer, and the
+    last bucket is an error without output.
+    """
+    fps = rows.select("fingerprint", F.lower("producer").alias("pk"), "category").dropDuplicates(["fingerprint"])
+    j = fps.join(_block_first(catalog_df), ["pk", "category"], "left")
+    b = (hex_bucket(F.col("fingerprint")) + shift) % 16
+    err = b == ERROR_BUCKET
+    return j.select(
+        "fingerprint",
+        F.when(~err, decision_json(b, F.col("cand"))).alias("llm_output"),
+        F.when(err, F.concat(F.lit("ResolverError: no answer for bucket "), b.cast("string"))).alias("llm_error"),
+    )
+
+
+def history_rows(unmatched: DataFrame, suffix: str, digits: str) -> DataFrame:
+    """Earlier-import copies of unmatched rows whose second fingerprint digit is in ``digits``."""
+    sel = unmatched.filter(F.substring("fingerprint", 2, 1).isin(*list(digits))).dropDuplicates(["fingerprint"])
+    return sel.withColumn(
+        "submission_id", F.concat(F.lit("HIST-"), F.substring("fingerprint", 1, 16), F.lit(f"-{suffix}"))
+    )
