@@ -27,8 +27,20 @@ def _null(dtype: str) -> Column:
 _INT_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*(\.0*)?$"
 
 
-def _text_check(present: Column, is_string: Column, text: Column) -> tuple[Column, Column]:
-    trimmed = strip_unicode(text)
+def trimmed_columns(variant: bool = False) -> list[Column]:
+    """Trimmed text of the three text fields as ``_t_<field>`` columns.
+
+    Computed in their own projection so that each trim runs once per row; the checks below
+    refer to these columns from several places (clean value, error, status, fingerprint).
+    """
+    out = []
+    for f in TEXT_FIELDS:
+        text = F.try_variant_get(F.col(f), "$", "string") if variant else F.col(f)
+        out.append(strip_unicode(text).alias(f"_t_{f}"))
+    return out
+
+
+def _text_check(present: Column, is_string: Column, trimmed: Column) -> tuple[Column, Column]:
     err = (
         F.when(~present, F.lit(S.MSG_REQUIRED))
         .when(~is_string, F.lit(S.MSG_STRING_TYPE))
@@ -50,11 +62,13 @@ def _size_check(present: Column, size_value: Column) -> tuple[Column, Column]:
 
 
 def typed_checks(vintage_max: int = S.VINTAGE_MAX) -> dict[str, tuple[Column, Column]]:
-    """Checks for typed columns ``name producer category`` (string), ``vintage size_ml`` (int)."""
+    """Checks for typed columns ``name producer category`` (string), ``vintage size_ml`` (int).
+
+    Expects the :func:`trimmed_columns` next to the fields.
+    """
     out: dict[str, tuple[Column, Column]] = {}
     for f in TEXT_FIELDS:
-        c = F.col(f)
-        out[f] = _text_check(c.isNotNull(), F.lit(True), c)
+        out[f] = _text_check(F.col(f).isNotNull(), F.lit(True), F.col(f"_t_{f}"))
     v = F.col("vintage")
     v_err = _range_check(v, vintage_max)
     out["vintage"] = (F.when(v_err.isNull(), v.cast("int")), v_err)
@@ -81,8 +95,7 @@ def variant_checks(vintage_max: int = S.VINTAGE_MAX) -> dict[str, tuple[Column,
     for f in TEXT_FIELDS:
         v = F.col(f)
         is_str = F.coalesce(~F.is_variant_null(v) & (_vtype(v) == "STRING"), F.lit(False))
-        text = F.when(is_str, F.try_variant_get(v, "$", "string"))
-        out[f] = _text_check(v.isNotNull(), is_str, text)
+        out[f] = _text_check(v.isNotNull(), is_str, F.when(is_str, F.col(f"_t_{f}")))
 
     # vintage: optional; absent or JSON null -> null without error
     v = F.col("vintage")

@@ -86,9 +86,9 @@ def import_records(
 
     checks = V.variant_checks(vintage_max) if variant else V.typed_checks(vintage_max)
     raw_json = F.to_json(F.struct(*[F.col(c) for c in ("submission_id", *V.FIELDS)]))
-    candidates = records.filter(F.col("skip").isNull()).select(
-        "submission_id", "position", raw_json.alias("raw_json"), *V.validated(checks)
-    )
+    with_id = records.filter(F.col("skip").isNull())
+    trimmed = with_id.select("*", *V.trimmed_columns(variant))
+    candidates = trimmed.select("submission_id", "position", raw_json.alias("raw_json"), *V.validated(checks))
     value_cols = [c for c in candidates.columns if c not in ("submission_id",)]
     first = candidates.groupBy("submission_id").agg(
         F.min_by(F.struct(*value_cols), F.col("position")).alias("r")

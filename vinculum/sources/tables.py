@@ -74,9 +74,22 @@ def _variant_k() -> Column:
     return (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 20
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A parquet file with one row group is a single split; without this the per-row work
+    downstream (regexes, hashing) would run in one task.  Scans of many files already have
+    enough splits and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
+    li = spread(
+        read_table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
+        )
     )
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     return li.join(part, li.l_partkey == part.p_partkey, "inner").withColumn("k", _variant_k())
