@@ -27,30 +27,38 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="vinculum-bench")
     spark.sparkContext.setLogLevel("ERROR")
 
-    # warm the JVM (codegen, class loading) on a tiny query outside the timings
-    spark.range(1000).selectExpr("sum(id)").collect()
+    def run(path: str) -> tuple[float, dict[str, float], list]:
+        sc = Scenario(spark, path)
+        times: dict[str, float] = {}
+        t_all = time.time()
 
-    sc = Scenario(spark, sf_dir)
-    times: dict[str, float] = {}
-    t_all = time.time()
+        def timed(name, fn):
+            t = time.time()
+            out = fn()
+            times[name] = round(time.time() - t, 3)
+            return out
 
-    def timed(name, fn):
-        t = time.time()
-        out = fn()
-        times[name] = round(time.time() - t, 3)
-        return out
+        timed("catalog_index", lambda: (sc.catalog, sc.aliases))
+        timed("import_validate", lambda: sc.imported)
+        timed("exact_duplicates", lambda: sc.deduped)
+        timed("tier1_match", lambda: sc.tier1)
+        timed("tier2_inputs", lambda: (sc.decisions, sc.history))
+        timed("tier2_resolve", lambda: sc.tier2)
+        timed("near_duplicates", lambda: sc.final)
+        rep = timed("pipeline_report", lambda: report.pipeline_report(sc.imported.records, sc.final).collect())
+        timed("status_counts", lambda: report.status_counts(sc.final).collect())
+        timed("eval_report", lambda: E.overall(E.scored(sc.labels, E.outcomes_of_latest(sc.store))).collect())
+        return round(time.time() - t_all, 3), times, rep
 
-    timed("catalog_index", lambda: (sc.catalog, sc.aliases))
-    timed("import_validate", lambda: sc.imported)
-    timed("exact_duplicates", lambda: sc.deduped)
-    timed("tier1_match", lambda: sc.tier1)
-    timed("tier2_inputs", lambda: (sc.decisions, sc.history))
-    timed("tier2_resolve", lambda: sc.tier2)
-    timed("near_duplicates", lambda: sc.final)
-    rep = timed("pipeline_report", lambda: report.pipeline_report(sc.imported.records, sc.final).collect())
-    timed("status_counts", lambda: report.status_counts(sc.final).collect())
-    timed("eval_report", lambda: E.overall(E.scored(sc.labels, E.outcomes_of_latest(sc.store))).collect())
-    total = round(time.time() - t_all, 3)
+    # Warm-up: one pass of the same pipeline over the smallest tables, so JVM class loading,
+    # JIT and whole-stage codegen compilation (cached by generated source) are not billed to
+    # the measured pass.  A long-running cluster application pays these once; the cold time
+    # of this process is reported as well.
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001"))
+    cold = None
+    if os.path.isdir(warm_dir) and os.path.abspath(warm_dir) != os.path.abspath(sf_dir):
+        cold, _, _ = run(warm_dir)
+    total, times, rep = run(sf_dir)
 
     metrics = {r["metric"]: r["value"] for r in rep if r["section"] == "read"}
     rows = int(metrics.get("read from source", 0))
@@ -65,6 +73,7 @@ def main() -> None:
                 "rows": rows,
                 "rows_per_sec": round(rows / total, 1) if total else None,
                 "cpus": cpus,
+                "warmup_pass_sec": cold,
             }
         )
     )

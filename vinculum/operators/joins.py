@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+_CHECKED: dict[tuple[int, int], bool] = {}
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast hint if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check runs a bounded count (it stops reading after ``max_rows + 1`` rows).
+    The check runs a bounded count (it stops reading after ``max_rows + 1`` rows) once per
+    distinct plan; later calls with the same plan reuse the answer.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _CHECKED[key] else df

@@ -56,12 +56,12 @@ def parse_decision(text: Column) -> Column:
     return F.when(F.coalesce(ok, F.lit(False)), fixed)
 
 
-def table_resolver(decisions: DataFrame) -> Resolver:
-    """Resolver backed by a table ``(fingerprint, llm_output, llm_error)``."""
-    d = decisions.select("fingerprint", "llm_output", "llm_error")
+def table_resolver(decisions: DataFrame, keys: tuple[str, ...] = ("fingerprint",)) -> Resolver:
+    """Resolver backed by a table ``(*keys, llm_output, llm_error)`` (default key: fingerprint)."""
+    d = decisions.select(*keys, "llm_output", "llm_error")
 
     def run(rows: DataFrame) -> DataFrame:
-        return rows.join(d, "fingerprint", "left").withColumn(
+        return rows.join(d, list(keys), "left").withColumn(
             "llm_error",
             F.when(
                 F.col("llm_output").isNull() & F.col("llm_error").isNull(),
@@ -110,8 +110,8 @@ def resolve_unmatched(
     history: DataFrame | None,
     catalog_ids: DataFrame,
     model_id: str,
-    run_ts: _dt.datetime,
-    prompt_version: str = S.PROMPT_VERSION,
+    run_ts: _dt.datetime | Column,
+    prompt_version: str | Column = S.PROMPT_VERSION,
     null_candidate_to_review: bool = True,
 ) -> DataFrame:
     """Unmatched -> matched (possible_match) / review / no_match, with the audit columns.
@@ -120,11 +120,17 @@ def resolve_unmatched(
     reading, each documented in the README: a high-confidence answer without a (known)
     candidate goes to review (H6, H7, flag ``null_candidate_to_review``); a malformed cached
     answer is a cache miss (H8).
+
+    ``run_ts`` and ``prompt_version`` may be columns (per-row values, e.g. when replaying
+    stored answers); the cache lookup then needs ``history=None``.
     """
+    ts_col = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
+    version_col = prompt_version if isinstance(prompt_version, Column) else F.lit(prompt_version)
     is_un = F.col("status") == "unmatched"
     rest = state.filter(~is_un | is_un.isNull())
     un = state.filter(is_un)
     if history is not None:
+        assert isinstance(prompt_version, str), "a cache lookup needs one prompt version"
         cache = decision_cache(history, model_id, prompt_version)
         un = un.join(cache, "fingerprint", "left")
     else:
@@ -178,10 +184,10 @@ def resolve_unmatched(
         .withColumn("llm_confidence", F.when(~err, conf))
         .withColumn("llm_reason", F.when(err, F.col("llm_error")).otherwise(F.col("answer.reason")))
         .withColumn("llm_model", F.lit(model_id))
-        .withColumn("llm_prompt_version", F.lit(prompt_version))
+        .withColumn("llm_prompt_version", version_col)
         .withColumn("llm_output", F.when(~err, F.col("llm_output")))
         .withColumn("llm_source", F.when(err, "error").otherwise(F.col("llm_source")))
-        .withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+        .withColumn("updated_at", ts_col)
     )
     return rest.unionByName(out.select(*state.columns))
 

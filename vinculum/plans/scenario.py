@@ -22,9 +22,6 @@ IMPORT_ID = "import-0001"
 HISTORY_IMPORT_ID = "import-0000"
 RUN_TS = _dt.datetime(2026, 1, 1, 0, 0, 0)
 HISTORY_CREATED = _dt.datetime(2025, 1, 1, 0, 0, 0)
-HISTORY_OLD = _dt.datetime(2025, 1, 2, 0, 0, 0)
-HISTORY_NEW = _dt.datetime(2025, 1, 3, 0, 0, 0)
-HISTORY_V1 = _dt.datetime(2024, 12, 31, 0, 0, 0)
 
 
 class Scenario:
@@ -82,29 +79,21 @@ class Scenario:
         """An earlier import holding half of the unmatched fingerprints with two stored answers
         (older and newer), plus answers under another prompt version."""
         un = self.tier1.filter(F.col("status") == "unmatched")
-        cat_ids = self.catalog.select("product_id")
-        parts = []
-        for suffix, digits, shift, ts, version in (
-            ("a", "02468ace", 1, HISTORY_OLD, S.PROMPT_VERSION),
-            ("b", "02468ace", 2, HISTORY_NEW, S.PROMPT_VERSION),
-            ("c", "0", 3, HISTORY_V1, "v1"),
-        ):
-            rows = TB.history_rows(un, suffix, digits).withColumn("import_id", F.lit(HISTORY_IMPORT_ID)).withColumn(
-                "created_at", F.lit(HISTORY_CREATED).cast("timestamp")
-            )
-            res = resolve.resolve_unmatched(
-                rows,
-                resolve.table_resolver(TB.decisions_for(rows, self.catalog, shift)),
-                history=None,
-                catalog_ids=cat_ids,
-                model_id=self.model_id,
-                run_ts=ts,
-                prompt_version=version,
-            )
-            parts.append(res)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
+        rows = (
+            TB.history_rows(un)
+            .withColumn("import_id", F.lit(HISTORY_IMPORT_ID))
+            .withColumn("created_at", F.lit(HISTORY_CREATED).cast("timestamp"))
+        )
+        decisions = TB.decisions_for(rows, self.catalog, F.col("h_shift"), keys=("fingerprint", "submission_id"))
+        out = resolve.resolve_unmatched(
+            rows,
+            resolve.table_resolver(decisions, keys=("fingerprint", "submission_id")),
+            history=None,
+            catalog_ids=self.catalog.select("product_id"),
+            model_id=self.model_id,
+            run_ts=F.col("h_ts"),
+            prompt_version=F.col("h_version"),
+        ).drop("h_shift", "h_ts", "h_version")
         return self._mat(out, "history")
 
     @cached_property

@@ -14,8 +14,12 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     On a cluster, use the session the platform gives you; nothing here is required.
     """
     master = master or os.environ.get("VINCULUM_MASTER", "local[*]")
+    builder = SparkSession.builder
+    event_dir = os.environ.get("VINCULUM_EVENT_LOG_DIR")
+    if event_dir:  # stage and task times for offline inspection (no UI)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
     return (
-        SparkSession.builder.master(master)
+        builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -195,27 +195,56 @@ def _block_first(catalog_df: DataFrame) -> DataFrame:
     return catalog_df.groupBy(F.lower("producer").alias("pk"), "category").agg(F.min("product_id").alias("cand"))
 
 
-def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int = 0) -> DataFrame:
+def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int | Column = 0, keys: tuple[str, ...] = ("fingerprint",)) -> DataFrame:
     """Decisions table ``(fingerprint, llm_output, llm_error)`` for the fingerprints of ``rows``.
 
     The candidate is the smallest product id of the row's producer/category block (or none);
     bucket ``(b + shift) % 16`` of the fingerprint's first hex digit picks the answer, and the
     last bucket is an error without output.
     """
-    fps = rows.select("fingerprint", F.lower("producer").alias("pk"), "category").dropDuplicates(["fingerprint"])
+    extra = [k for k in keys if k != "fingerprint"]
+    shift_col = shift if isinstance(shift, Column) else F.lit(shift)
+    fps = rows.select(*keys, F.lower("producer").alias("pk"), "category", shift_col.alias("_shift")).dropDuplicates(
+        list(keys)
+    )
     j = fps.join(_block_first(catalog_df), ["pk", "category"], "left")
-    b = (hex_bucket(F.col("fingerprint")) + shift) % 16
+    b = (hex_bucket(F.col("fingerprint")) + F.col("_shift")) % 16
     err = b == ERROR_BUCKET
     return j.select(
         "fingerprint",
+        *extra,
         F.when(~err, decision_json(b, F.col("cand"))).alias("llm_output"),
         F.when(err, F.concat(F.lit("ResolverError: no answer for bucket "), b.cast("string"))).alias("llm_error"),
     )
 
 
-def history_rows(unmatched: DataFrame, suffix: str, digits: str) -> DataFrame:
-    """Earlier-import copies of unmatched rows whose second fingerprint digit is in ``digits``."""
-    sel = unmatched.filter(F.substring("fingerprint", 2, 1).isin(*list(digits))).dropDuplicates(["fingerprint"])
-    return sel.withColumn(
-        "submission_id", F.concat(F.lit("HIST-"), F.substring("fingerprint", 1, 16), F.lit(f"-{suffix}"))
-    )
+# Stored answers of an earlier import: (suffix, fingerprint second digits, bucket shift,
+# updated_at, prompt version).  The older v2 answer wins the cache; v1 answers are ignored.
+HISTORY_SETS = [
+    ("a", "02468ace", 1, "2025-01-02 00:00:00", S.PROMPT_VERSION),
+    ("b", "02468ace", 2, "2025-01-03 00:00:00", S.PROMPT_VERSION),
+    ("c", "0", 3, "2024-12-31 00:00:00", "v1"),
+]
+
+
+def history_rows(unmatched: DataFrame) -> DataFrame:
+    """Earlier-import copies of unmatched rows, one per (fingerprint, answer set) of HISTORY_SETS.
+
+    Adds ``h_shift``, ``h_ts`` and ``h_version``; the sets come from one explode, so the
+    unmatched rows are read once.
+    """
+    sets = F.array(*[
+        F.struct(F.lit(sfx).alias("sfx"), F.lit(dg).alias("digits"), F.lit(sh).alias("shift"),
+                 F.lit(ts).cast("timestamp").alias("ts"), F.lit(v).alias("version"))
+        for sfx, dg, sh, ts, v in HISTORY_SETS
+    ])
+    fps = unmatched.dropDuplicates(["fingerprint"]).withColumn("h", F.explode(sets))
+    sel = fps.filter(F.instr(F.col("h.digits"), F.substring("fingerprint", 2, 1)) > 0)
+    return sel.select(
+        "*",
+        F.col("h.shift").alias("h_shift"),
+        F.col("h.ts").alias("h_ts"),
+        F.col("h.version").alias("h_version"),
+    ).withColumn(
+        "submission_id", F.concat(F.lit("HIST-"), F.substring("fingerprint", 1, 16), F.lit("-"), F.col("h.sfx"))
+    ).drop("h")
