@@ -1,7 +1,8 @@
 """One import run over the driver tables, stage by stage.
 
-Each stage output is written once as a stage table (``sources.store.stage_table``) and read
-back, so later stages start from a file scan and never recompute the upstream.  A scenario
+The import, tier-1 and final states (and the small catalog-side tables) are written once as
+stage tables (``sources.store.stage_table``) and read back, so later stages start from a file
+scan; exact dedup and tier 2 stay lazy views over the stage before them.  A scenario
 is memoised per (session, input folder): the registered queries share its stage tables.
 """
 
@@ -63,7 +64,9 @@ class Scenario:
 
     @cached_property
     def deduped(self) -> DataFrame:
-        return self._mat(dedup.mark_exact_duplicates(self.imported.state), "deduped")
+        # lazy over the imported table: tier 1 reads it in two branches whose shuffles are
+        # identical subtrees (reused), so writing it out would cost more than it saves
+        return dedup.mark_exact_duplicates(self.imported.state)
 
     @cached_property
     def tier1(self) -> DataFrame:
@@ -106,7 +109,7 @@ class Scenario:
             model_id=self.model_id,
             run_ts=RUN_TS,
         )
-        return self._mat(dedup.propagate_to_duplicates(st), "tier2")
+        return dedup.propagate_to_duplicates(st)  # lazy; the sweep below writes the result
 
     @cached_property
     def final(self) -> DataFrame:
