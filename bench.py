@@ -38,7 +38,7 @@ def main() -> None:
             times[name] = round(time.time() - t, 3)
             return out
 
-        timed("catalog_index", lambda: (sc.catalog, sc.aliases))
+        timed("catalog_index", lambda: (sc.catalog, sc.aliases, sc.index))
         timed("import_validate", lambda: sc.imported)
         timed("exact_duplicates", lambda: sc.deduped)
         timed("tier1_match", lambda: sc.tier1)

@@ -21,6 +21,7 @@ Design (set-based, no per-row lookups):
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,44 @@ def prepare_catalog(catalog: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class CatalogIndex:
+    """Catalog-side inputs of the candidate search, built once per catalog version.
+
+    ``cat``: products with ``producer_key`` and ``p_tokens``; ``ctok``: one row per
+    (product, token); ``freq``: products per (producer_key, category, token);
+    ``at_size`` / ``any_size``: block counts for signatures without tokens.
+    """
+
+    cat: DataFrame
+    ctok: DataFrame
+    freq: DataFrame
+    at_size: DataFrame
+    any_size: DataFrame
+
+    def map(self, fn) -> "CatalogIndex":
+        return CatalogIndex(*(fn(getattr(self, f), f) for f in ("cat", "ctok", "freq", "at_size", "any_size")))
+
+
+def build_index(catalog: DataFrame) -> CatalogIndex:
+    cat = prepare_catalog(catalog)
+    ctok = _catalog_tokens(cat)
+    return CatalogIndex(
+        cat=cat,
+        ctok=ctok,
+        freq=ctok.groupBy("producer_key", "category", "token").agg(F.count(F.lit(1)).alias("df")),
+        at_size=cat.groupBy("producer_key", "category", "size_ml").agg(
+            F.count(F.lit(1)).alias("n_at_size"),
+            F.min(F.struct("product_id", "vintage_required")).alias("first_at"),
+        ),
+        any_size=cat.groupBy("producer_key", "category").agg(F.count(F.lit(1)).alias("n_any")),
+    )
+
+
+def _index(catalog: DataFrame | CatalogIndex) -> CatalogIndex:
+    return catalog if isinstance(catalog, CatalogIndex) else build_index(catalog)
+
+
 def _catalog_tokens(cat: DataFrame) -> DataFrame:
     return cat.select(
         "producer_key",
@@ -78,10 +117,9 @@ def _sig_tokens(sigs: DataFrame) -> Column:
     return tokens(F.col("norm"))
 
 
-def candidate_pairs(sigs: DataFrame, cat: DataFrame) -> DataFrame:
+def candidate_pairs(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     """J1+J2 for signatures with tokens: (SIG..., product_id, p_size, vintage_required)."""
-    ctok = _catalog_tokens(cat)
-    freq = ctok.groupBy("producer_key", "category", "token").agg(F.count(F.lit(1)).alias("df"))
+    ctok, freq = idx.ctok, idx.freq
     withtok = sigs.filter(F.col("norm") != "")
     stok = withtok.select(*SIG, F.explode(_sig_tokens(withtok)).alias("token"))
     found = stok.join(freq, ["producer_key", "category", "token"], "inner")
@@ -97,31 +135,26 @@ def candidate_pairs(sigs: DataFrame, cat: DataFrame) -> DataFrame:
     return pairs.select(*SIG, "product_id", "p_size", "vintage_required")
 
 
-def _block_counts(sigs: DataFrame, cat: DataFrame) -> DataFrame:
+def _block_counts(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     """Counts for signatures without tokens: every product of the block is a candidate."""
     empty = sigs.filter(F.col("norm") == "")
-    at_size = cat.groupBy("producer_key", "category", "size_ml").agg(
-        F.count(F.lit(1)).alias("n_at_size"),
-        F.min(F.struct("product_id", "vintage_required")).alias("first_at"),
-    )
-    anysize = cat.groupBy("producer_key", "category").agg(F.count(F.lit(1)).alias("n_any"))
     return (
-        empty.join(at_size, ["producer_key", "category", "size_ml"], "left")
-        .join(anysize, ["producer_key", "category"], "left")
+        empty.join(idx.at_size, ["producer_key", "category", "size_ml"], "left")
+        .join(idx.any_size, ["producer_key", "category"], "left")
         .select(*SIG, "n_at_size", "n_any", "first_at")
     )
 
 
-def candidate_counts(sigs: DataFrame, cat: DataFrame) -> DataFrame:
+def candidate_counts(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     """Per signature, candidates at the same size, at any size, and the first same-size one."""
-    pairs = candidate_pairs(sigs, cat)
+    pairs = candidate_pairs(sigs, idx)
     at = F.col("p_size") == F.col("size_ml")
     tok = pairs.groupBy(*SIG).agg(
         F.count_if(at).alias("n_at_size"),
         F.count(F.lit(1)).alias("n_any"),
         F.min(F.when(at, F.struct("product_id", "vintage_required"))).alias("first_at"),
     )
-    return tok.unionByName(_block_counts(sigs, cat))
+    return tok.unionByName(_block_counts(sigs, idx))
 
 
 def pending_signatures(state: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -166,14 +199,17 @@ def classify(n_at: Column, n_any: Column, first_at: Column, vintage: Column, in_
     }
 
 
-def tier1_outcomes(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Pending rows with ``n_at_size, n_any, first_at, in_scope`` (the J1-J3 verdict per row)."""
+def tier1_outcomes(state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame) -> DataFrame:
+    """Pending rows with ``n_at_size, n_any, first_at, in_scope`` (the J1-J3 verdict per row).
+
+    ``catalog`` is the catalog or a prebuilt :class:`CatalogIndex`.
+    """
     p = pending_signatures(state, aliases)
-    cat = prepare_catalog(catalog)
+    idx = _index(catalog)
     inside = p.filter(F.col("in_scope"))
     outside = p.filter(~F.col("in_scope"))
     sigs = inside.select(*SIG).distinct()
-    counts = candidate_counts(sigs, cat)
+    counts = candidate_counts(sigs, idx)
     j = inside.join(counts, SIG, "left")
     none = outside.select(
         *outside.columns,
@@ -184,7 +220,9 @@ def tier1_outcomes(state: DataFrame, catalog: DataFrame, aliases: DataFrame) ->
     return j.unionByName(none)
 
 
-def match_tier1(state: DataFrame, catalog: DataFrame, aliases: DataFrame, run_ts: _dt.datetime) -> DataFrame:
+def match_tier1(
+    state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame, run_ts: _dt.datetime
+) -> DataFrame:
     """Pending -> matched / review / no_match / unmatched; other rows pass through."""
     is_pend = F.col("status") == "pending"
     rest = state.filter(~is_pend | is_pend.isNull())
@@ -226,18 +264,18 @@ def catalog_find(
     return df.select("product_id", "canonical_name", "producer", "category", "size_ml", "vintage_required")
 
 
-def row_candidate_pairs(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
+def row_candidate_pairs(state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame) -> DataFrame:
     """J1+J2 per pending row: ``(submission_id, product_id, at_size)``.
 
     Signatures with tokens use the rarest-token join; a signature without tokens pairs with
     every product of its block (an equi-join on the block key).
     """
     p = pending_signatures(state, aliases).filter(F.col("in_scope"))
-    cat = prepare_catalog(catalog)
+    idx = _index(catalog)
     sigs = p.select(*SIG).distinct()
-    tok = candidate_pairs(sigs, cat)
+    tok = candidate_pairs(sigs, idx)
     empty = sigs.filter(F.col("norm") == "").join(
-        cat.select("producer_key", "category", "product_id", F.col("size_ml").alias("p_size"), "vintage_required"),
+        idx.cat.select("producer_key", "category", "product_id", F.col("size_ml").alias("p_size"), "vintage_required"),
         ["producer_key", "category"],
     )
     pairs = tok.unionByName(empty.select(*SIG, "product_id", "p_size", "vintage_required"))

@@ -107,12 +107,12 @@ def q_category_reject(spark, sf):
 
 def q_candidate_pairs(spark, sf):
     sc = _sc(spark, sf)
-    return match.row_candidate_pairs(sc.deduped, sc.catalog, sc.aliases)
+    return match.row_candidate_pairs(sc.deduped, sc.index, sc.aliases)
 
 
 def q_candidate_counts(spark, sf):
     sc = _sc(spark, sf)
-    o = match.tier1_outcomes(sc.deduped, sc.catalog, sc.aliases).filter(F.col("in_scope"))
+    o = match.tier1_outcomes(sc.deduped, sc.index, sc.aliases).filter(F.col("in_scope"))
     return o.select(
         "submission_id",
         F.coalesce(F.col("n_at_size"), F.lit(0)).alias("n_at_size"),

@@ -43,6 +43,11 @@ class Scenario:
     def catalog(self) -> DataFrame:
         return self._mat(TB.catalog(self.spark, self.sf_dir), "catalog")
 
+    @cached_property
+    def index(self) -> match.CatalogIndex:
+        """Tokens, exploded tokens, token frequencies and block counts of the catalog."""
+        return match.build_index(self.catalog).map(lambda df, name: self._mat(df, f"index-{name}"))
+
     @cached_property
     def aliases(self) -> DataFrame:
         return self._mat(TB.aliases(self.spark, self.sf_dir), "aliases")
@@ -62,15 +67,24 @@ class Scenario:
         imp.state = self._mat(imp.state, "imported")
         return imp
 
+    @cached_property
+    def work(self) -> DataFrame:
+        """The imported rows without the immutable raw record and input position.
+
+        Those stay in the import table (the raw layer, joinable by submission_id); the later
+        stages shuffle and rewrite only the columns they can change or need.
+        """
+        return self.imported.state.drop("raw_json", "position")
+
     @cached_property
     def deduped(self) -> DataFrame:
         # lazy over the imported table: tier 1 reads it in two branches whose shuffles are
         # identical subtrees (reused), so writing it out would cost more than it saves
-        return dedup.mark_exact_duplicates(self.imported.state)
+        return dedup.mark_exact_duplicates(self.work)
 
     @cached_property
     def tier1(self) -> DataFrame:
-        return self._mat(match.match_tier1(self.deduped, self.catalog, self.aliases, RUN_TS), "tier1")
+        return self._mat(match.match_tier1(self.deduped, self.index, self.aliases, RUN_TS), "tier1")
 
     @cached_property
     def decisions(self) -> DataFrame:
