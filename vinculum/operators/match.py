@@ -199,16 +199,22 @@ def classify(n_at: Column, n_any: Column, first_at: Column, vintage: Column, in_
     }
 
 
-def tier1_outcomes(state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame) -> DataFrame:
+def tier1_outcomes(
+    state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame, *, require_tokens: bool = False
+) -> DataFrame:
     """Pending rows with ``n_at_size, n_any, first_at, in_scope`` (the J1-J3 verdict per row).
 
-    ``catalog`` is the catalog or a prebuilt :class:`CatalogIndex`.
+    ``catalog`` is the catalog or a prebuilt :class:`CatalogIndex`.  A name without letters
+    or digits has no tokens and is a subset of every product of its block (H3, the default
+    semantics); ``require_tokens=True`` gives such names no candidates instead.
     """
     p = pending_signatures(state, aliases)
     idx = _index(catalog)
     inside = p.filter(F.col("in_scope"))
     outside = p.filter(~F.col("in_scope"))
     sigs = inside.select(*SIG).distinct()
+    if require_tokens:
+        sigs = sigs.filter(F.col("norm") != "")
     counts = candidate_counts(sigs, idx)
     j = inside.join(counts, SIG, "left")
     none = outside.select(
@@ -221,12 +227,17 @@ def tier1_outcomes(state: DataFrame, catalog: DataFrame | CatalogIndex, aliases:
 
 
 def match_tier1(
-    state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame, run_ts: _dt.datetime
+    state: DataFrame,
+    catalog: DataFrame | CatalogIndex,
+    aliases: DataFrame,
+    run_ts: _dt.datetime,
+    *,
+    require_tokens: bool = False,
 ) -> DataFrame:
     """Pending -> matched / review / no_match / unmatched; other rows pass through."""
     is_pend = F.col("status") == "pending"
     rest = state.filter(~is_pend | is_pend.isNull())
-    o = tier1_outcomes(state, catalog, aliases)
+    o = tier1_outcomes(state, catalog, aliases, require_tokens=require_tokens)
     c = classify(F.col("n_at_size"), F.col("n_any"), F.col("first_at"), F.col("vintage"), F.col("in_scope"))
     out = (
         o.withColumn("status", c["status"])

@@ -431,6 +431,12 @@ def queries() -> dict[str, str]:
         ),
         "revert_import": q("SELECT 'import-0001' AS import_id, status, count(*) AS n FROM fin GROUP BY status"),
         "drift_by_import": q(_drift_sql()),
+        "spend_estimate": q(_spend_sql()),
+        "catalog_list": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
+        "SELECT product_id, canonical_name, producer, category, size_ml, vintage_required FROM cat",
+        "exact_duplicate_summary_rerun": q(
+            "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM dd WHERE status = 'exact_duplicate'"
+        ),
         "documents_exact_duplicates": (
             "SELECT sha256(text) AS fingerprint, count(*) AS n, min(doc_id) AS survivor FROM documents "
             "WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
@@ -487,6 +493,25 @@ def _misses_sql() -> str:
     )
 
 
+def _spend_sql() -> str:
+    """Per import: submissions, rows settled without the model, model calls, estimated spend."""
+    hist = []
+    for shift, digits in ((1, "02468ace"), (2, "02468ace"), (3, "0")):
+        dl = ", ".join(f"'{d}'" for d in digits)
+        hist.append(
+            f"SELECT CASE WHEN (b + {shift}) % 16 = 15 THEN 'error' ELSE 'model' END AS llm_source "
+            f"FROM (SELECT DISTINCT fingerprint, b FROM un WHERE d2 IN ({dl}))"
+        )
+    rate = 1500 * 2.50 / 1_000_000.0
+    return (
+        "SELECT import_id, count(*) AS submissions, count(*) FILTER (WHERE llm_source IS NULL) AS deterministic, "
+        "count(*) FILTER (WHERE llm_source IN ('model', 'error')) AS model_calls, "
+        f"round(count(*) FILTER (WHERE llm_source IN ('model', 'error')) * {rate}, 4) AS est_usd FROM ("
+        "SELECT 'import-0000' AS import_id, llm_source FROM (" + " UNION ALL ".join(hist) + ") "
+        "UNION ALL SELECT 'import-0001', llm_source FROM fin) GROUP BY import_id"
+    )
+
+
 def _drift_sql() -> str:
     """History import (three answer sets) and this import: decisions and mean confidence."""
     hist_parts = []

@@ -250,6 +250,22 @@ def q_drift_by_import(spark, sf):
     return report.drift_by_import(_sc(spark, sf).store)
 
 
+def q_spend_estimate(spark, sf):
+    return report.spend_estimate(_sc(spark, sf).store)
+
+
+def q_catalog_list(spark, sf):
+    from vinculum.plans.pipeline import list_catalog
+
+    return list_catalog(_sc(spark, sf).catalog)
+
+
+def q_exact_duplicate_summary_rerun(spark, sf):
+    """Running the exact-duplicate step again on its own output demotes nothing more."""
+    once = _sc(spark, sf).deduped
+    return dedup.exact_duplicate_summary(dedup.mark_exact_duplicates(once))
+
+
 def q_documents_exact_duplicates(spark, sf):
     """Exact-duplicate grouping (A2/A4) applied to the driver's documents: whole-text sha256."""
     docs = TB.read_table(spark, sf, "documents").filter(F.col("text").isNotNull())
@@ -351,6 +367,9 @@ QUERIES: dict[str, Query] = {
     "revert_import": q_revert_import,
     "drift_by_import": q_drift_by_import,
     "documents_exact_duplicates": q_documents_exact_duplicates,
+    "spend_estimate": q_spend_estimate,
+    "catalog_list": q_catalog_list,
+    "exact_duplicate_summary_rerun": q_exact_duplicate_summary_rerun,
     "resolver_hook": q_resolver_hook,
     "json_variant_import": q_json_variant_import,
     "stream_import": q_stream_import,
