@@ -437,6 +437,7 @@ def queries() -> dict[str, str]:
         "exact_duplicate_summary_rerun": q(
             "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM dd WHERE status = 'exact_duplicate'"
         ),
+        "json_variant_import": q(_json_import_sql()),
         "documents_exact_duplicates": (
             "SELECT sha256(text) AS fingerprint, count(*) AS n, min(doc_id) AS survivor FROM documents "
             "WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
@@ -493,6 +494,25 @@ def _misses_sql() -> str:
     )
 
 
+def _json_import_sql() -> str:
+    """The JSON/VARIANT import: ids ending in 2 carry fractional vintages, in 4 a boolean name."""
+    return f"""
+    SELECT submission_id, CASE WHEN verr IS NULL THEN 'pending' ELSE 'invalid' END AS status, verr AS validation_error,
+           CASE WHEN jn IS NULL THEN t_name END AS name,
+           CASE WHEN jv IS NULL THEN vintage END AS vintage,
+           CASE WHEN e_size IS NULL THEN size_ml END AS size_ml
+    FROM (
+      SELECT *, NULLIF(concat_ws('; ', 'name: ' || jn, 'producer: ' || e_producer, 'category: ' || e_category,
+                       'vintage: ' || jv, 'size_ml: ' || e_size), '') AS verr
+      FROM (
+        SELECT *,
+          CASE WHEN right(submission_id, 1) = '4' THEN '{S.MSG_STRING_TYPE}' ELSE e_name END AS jn,
+          CASE WHEN right(submission_id, 1) = '2' AND vintage IS NOT NULL THEN '{S.MSG_INT_FRACTION}'
+               ELSE e_vintage END AS jv
+        FROM errs))
+    """
+
+
 def _spend_sql() -> str:
     """Per import: submissions, rows settled without the model, model calls, estimated spend."""
     hist = []

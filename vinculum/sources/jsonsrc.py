@@ -67,12 +67,12 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 def records_as_json(raw: DataFrame) -> DataFrame:
     """Typed raw records as JSON text, with some values re-typed the way partner files send them.
 
-    Rows are picked by a hash of the id, so the mix is the same at every scale: numeric-string
-    vintages (accepted), integral decimal sizes (accepted), fractional vintages and boolean
-    names (rejected with their own messages).  Fields are VARIANT values, so ``to_json``
-    writes each with its JSON type and leaves null (absent) fields out.
+    Rows are picked by the last character of the id, so the mix is the same at every scale:
+    ids ending in 1 get numeric-string vintages (accepted), 2 fractional vintages (rejected),
+    3 integral decimal sizes (accepted), 4 a boolean name (rejected).  Fields are VARIANT
+    values, so ``to_json`` writes each with its JSON type and leaves null (absent) fields out.
     """
-    h = F.abs(F.xxhash64("submission_id")) % 10
+    h = F.substring(F.col("submission_id"), -1, 1).cast("int")
     v = F.col("vintage")
     vintage = (
         F.when(h == 1, v.cast("string").cast("variant"))
@@ -94,13 +94,20 @@ def records_as_json(raw: DataFrame) -> DataFrame:
     return raw.select(F.to_json(rec).alias("value"))
 
 
-def write_json_lines(raw: DataFrame, spark: SparkSession, name: str, partitions: int | None = None) -> str:
-    """Write typed records as NDJSON under the shared scratch folder; returns the folder."""
+def write_json_lines(
+    raw: DataFrame, spark: SparkSession, name: str, partitions: int | None = None, ordered: bool = False
+) -> str:
+    """Write typed records as NDJSON under the shared scratch folder; returns the folder.
+
+    ``ordered`` writes the records in ``position`` order (a range-partitioned sort), so file
+    name and row order inside a file reproduce the source order for first-wins.
+    """
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    out = records_as_json(raw)
-    if partitions:
-        out = out.repartition(partitions)
-    out.write.text(path)
+    if ordered:
+        raw = raw.orderBy("position")
+    elif partitions:
+        raw = raw.repartition(partitions)
+    records_as_json(raw).write.text(path)
     return path
 
 
@@ -109,6 +116,6 @@ def json_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vinculum.plans.scenario import IMPORT_ID, RUN_TS
     from vinculum.sources import tables as TB
 
-    path = write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "json-import")
+    path = write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "json-import", ordered=True)
     imp = ingest.import_records(read_submissions(spark, path), IMPORT_ID, RUN_TS, variant=True)
     return imp.state.select("submission_id", "status", "validation_error", "name", "vintage", "size_ml")
