@@ -438,6 +438,18 @@ def queries() -> dict[str, str]:
             "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM dd WHERE status = 'exact_duplicate'"
         ),
         "json_variant_import": q(_json_import_sql()),
+        "resolver_hook": q(
+            "SELECT submission_id, "
+            "CASE WHEN vintage IS NOT NULL AND size_ml >= 1000 THEN 'no_match' ELSE 'review' END AS status, "
+            "CASE WHEN vintage IS NOT NULL AND size_ml >= 1000 THEN 'no_match' ELSE 'human_review' END AS decision, "
+            "CAST(NULL AS VARCHAR) AS matched_product_id, "
+            f"CASE WHEN vintage IS NULL THEN '{S.LLM_UNAVAILABLE}' WHEN size_ml >= 1000 THEN '{S.LLM_NO_MATCH}' "
+            f"ELSE '{S.LLM_HUMAN_REVIEW}' END AS explanation, "
+            "CASE WHEN vintage IS NULL THEN 'TimeoutError: resolver timed out' WHEN size_ml >= 1000 THEN 'large format' "
+            "ELSE 'no candidate named' END AS llm_reason, "
+            "CASE WHEN vintage IS NULL THEN NULL WHEN size_ml >= 1000 THEN 0.6 ELSE 0.9 END AS llm_confidence "
+            "FROM st1 WHERE status = 'unmatched'"
+        ),
         "documents_exact_duplicates": (
             "SELECT sha256(text) AS fingerprint, count(*) AS n, min(doc_id) AS survivor FROM documents "
             "WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1"

@@ -286,6 +286,8 @@ def q_resolver_hook(spark, sf):
     def rule(rec: dict) -> str:
         if rec["vintage"] is None:
             raise TimeoutError("resolver timed out")
+        if rec["size_ml"] >= 1000:
+            return '{"decision":"no_match","confidence":0.6,"candidate_product_ids":[],"reason":"large format"}'
         return (
             '{"decision":"possible_match","confidence":0.9,"candidate_product_ids":[],'
             '"reason":"no candidate named"}'
@@ -300,7 +302,7 @@ def q_resolver_hook(spark, sf):
         run_ts=sc_ts(),
     )
     return st.filter(F.col("llm_source").isNotNull()).select(
-        "submission_id", "status", "decision", "matched_product_id", "explanation", "llm_reason"
+        "submission_id", "status", "decision", "matched_product_id", "explanation", "llm_reason", "llm_confidence"
     )
 
 
