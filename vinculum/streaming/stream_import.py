@@ -36,7 +36,7 @@ def start_stream_import(
     source_dir: str,
     store_path: str,
     checkpoint: str,
-    catalog: DataFrame,
+    catalog: DataFrame | match.CatalogIndex,
     aliases: DataFrame,
     *,
     files_per_batch: int = 1,
@@ -85,6 +85,6 @@ def stream_import_from_tables(spark: SparkSession, sf_dir: str, files: int = 2)
     sc = scenario(spark, sf_dir)
     source = jsonsrc.write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "stream-src", partitions=files)
     base = scratch_path(spark, f"stream-{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    q = start_stream_import(spark, source, f"{base}/store", f"{base}/checkpoint", sc.catalog, sc.aliases)
+    q = start_stream_import(spark, source, f"{base}/store", f"{base}/checkpoint", sc.index, sc.aliases)
     q.awaitTermination()
     return ST.read_store(spark, f"{base}/store").groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
