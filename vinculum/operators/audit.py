@@ -61,3 +61,15 @@ def referential_audit(state: DataFrame, catalog: DataFrame) -> DataFrame:
         F.lit("duplicate_of").alias("kind"), "submission_id", "ref"
     )
     return bad_pid.unionByName(bad_dup)
+
+
+def constraint_summary(catalog: DataFrame, state: DataFrame) -> DataFrame:
+    """Counts of every audit, one row each (zero when clean): ``(check, n)``."""
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check"), "n")
+    return (
+        one(catalog_key_violations(catalog), "catalog_primary_key")
+        .unionByName(one(catalog_uniqueness(catalog), "catalog_unique_name_producer_size"))
+        .unionByName(one(catalog_domain_violations(catalog), "catalog_domains"))
+        .unionByName(one(state_domain_violations(state), "submission_domains"))
+        .unionByName(one(referential_audit(state, catalog), "references"))
+    )

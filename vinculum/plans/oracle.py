@@ -432,6 +432,28 @@ def queries() -> dict[str, str]:
         "revert_import": q("SELECT 'import-0001' AS import_id, status, count(*) AS n FROM fin GROUP BY status"),
         "drift_by_import": q(_drift_sql()),
         "spend_estimate": q(_spend_sql()),
+        "near_duplicate_summary": q(
+            "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM fin WHERE status = 'near_duplicate'"
+        ),
+        "constraint_audit": q(
+            "SELECT 'catalog_primary_key' AS \"check\", count(*) AS n FROM "
+            "(SELECT product_id FROM cat GROUP BY product_id HAVING count(*) > 1) "
+            "UNION ALL SELECT 'catalog_unique_name_producer_size', count(*) FROM "
+            "(SELECT 1 FROM cat GROUP BY canonical_name, producer, size_ml HAVING count(*) > 1) "
+            f"UNION ALL SELECT 'catalog_domains', count(*) FROM cat WHERE category NOT IN ({_CATS}) "
+            f"OR size_ml NOT IN ({_SIZE_LIST}) OR product_id IS NULL OR canonical_name IS NULL OR producer IS NULL "
+            "UNION ALL SELECT 'submission_domains', count(*) FROM fin WHERE status NOT IN ("
+            + ", ".join(f"'{x}'" for x in S.STATUSES) + ") OR (decision IS NOT NULL AND decision NOT IN ("
+            + ", ".join(f"'{x}'" for x in S.DECISIONS) + ")) OR (llm_confidence IS NOT NULL AND "
+            "(llm_confidence < 0 OR llm_confidence > 1)) "
+            "UNION ALL SELECT 'references', (SELECT count(*) FROM fin WHERE matched_product_id IS NOT NULL AND "
+            "matched_product_id NOT IN (SELECT product_id FROM cat)) + (SELECT count(*) FROM fin WHERE duplicate_of "
+            "IS NOT NULL AND duplicate_of NOT IN (SELECT submission_id FROM fin))"
+        ),
+        "request_context": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
+        "SELECT lower(producer) AS block_producer, category, product_id, "
+        "concat_ws(' | ', product_id, producer, canonical_name, category, CAST(size_ml AS VARCHAR), "
+        "CASE WHEN vintage_required THEN 'True' ELSE 'False' END) AS line FROM cat",
         "catalog_list": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
         "SELECT product_id, canonical_name, producer, category, size_ml, vintage_required FROM cat",
         "exact_duplicate_summary_rerun": q(

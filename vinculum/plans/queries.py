@@ -250,6 +250,19 @@ def q_drift_by_import(spark, sf):
     return report.drift_by_import(_sc(spark, sf).store)
 
 
+def q_near_duplicate_summary(spark, sf):
+    return dedup.near_duplicate_summary(_sc(spark, sf).final)
+
+
+def q_constraint_audit(spark, sf):
+    sc = _sc(spark, sf)
+    return audit.constraint_summary(sc.catalog, sc.final)
+
+
+def q_request_context(spark, sf):
+    return resolve.block_context(_sc(spark, sf).catalog)
+
+
 def q_spend_estimate(spark, sf):
     return report.spend_estimate(_sc(spark, sf).store)
 
@@ -370,6 +383,9 @@ QUERIES: dict[str, Query] = {
     "drift_by_import": q_drift_by_import,
     "documents_exact_duplicates": q_documents_exact_duplicates,
     "spend_estimate": q_spend_estimate,
+    "near_duplicate_summary": q_near_duplicate_summary,
+    "constraint_audit": q_constraint_audit,
+    "request_context": q_request_context,
     "catalog_list": q_catalog_list,
     "exact_duplicate_summary_rerun": q_exact_duplicate_summary_rerun,
     "resolver_hook": q_resolver_hook,
