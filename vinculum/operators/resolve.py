@@ -72,11 +72,13 @@ def table_resolver(decisions: DataFrame, keys: tuple[str, ...] = ("fingerprint",
     return run
 
 
-def function_resolver(fn: Callable[[dict], str]) -> Resolver:
+def function_resolver(fn: Callable[[dict], str], *, materialize: bool = True) -> Resolver:
     """Resolver calling ``fn(record) -> JSON text`` per row inside Arrow batches.
 
     An exception is caught per row and becomes ``llm_error = "Type: message"`` (L2, L5);
-    it never fails the import.
+    it never fails the import.  With ``materialize`` the answers are written once as a stage
+    table before anything reads them, so a model is not called again when the plan reads the
+    answers twice or a later stage is recomputed.
     """
     fields = ["submission_id", "name", "producer", "category", "vintage", "size_ml"]
 
@@ -98,7 +100,12 @@ def function_resolver(fn: Callable[[dict], str]) -> Resolver:
                         errs.append(f"{type(e).__name__}: {e}")
                 yield pdf.assign(llm_output=outs, llm_error=errs)
 
-        return rows.mapInPandas(batches, schema)
+        answered = rows.mapInPandas(batches, schema)
+        if materialize:
+            from vinculum.sources.store import stage_table
+
+            answered = stage_table(answered, "answers")
+        return answered
 
     return run
 
@@ -151,7 +158,16 @@ def resolve_unmatched(
         ).otherwise(F.col("llm_error")),
     )
     both = both.withColumn("cand", first_or_null(F.col("answer.candidate_product_ids")))
-    known = catalog_ids.select(F.col("product_id").alias("cand"), F.lit(True).alias("cand_known"))
+    # H7: keep only candidates the catalog knows.  The catalog is semi-joined to the distinct
+    # candidates first (a small side AQE can broadcast), so the full catalog is scanned once
+    # and never shuffled against the answers.
+    asked = both.select("cand").filter(F.col("cand").isNotNull()).distinct()
+    known = (
+        catalog_ids.select(F.col("product_id").alias("cand"))
+        .join(asked, "cand", "left_semi")
+        .distinct()
+        .withColumn("cand_known", F.lit(True))
+    )
     both = both.join(known, "cand", "left")
 
     err = F.col("llm_error").isNotNull()
