@@ -10,7 +10,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculum import schemas as S
 from vinculum.functions.text import normalize, tokens
 from vinculum.operators import audit, dedup, evaluate as E, match, report, resolve
 from vinculum.operators.match import catalog_find

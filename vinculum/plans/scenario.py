@@ -33,7 +33,6 @@ class Scenario:
         self.sf_dir = sf_dir
         self.model_id = model_id
         self.materialize = materialize
-        self.timings: dict[str, float] = {}
 
     def _mat(self, df: DataFrame, name: str) -> DataFrame:
         return stage_table(df, name) if self.materialize else df
