@@ -39,6 +39,35 @@ def decision_cache(history: DataFrame, model_id: str, prompt_version: str = S.PR
     )
 
 
+CACHE_KEYS = ["llm_model", "llm_prompt_version", "fingerprint"]
+
+
+def cache_entries(state: DataFrame) -> DataFrame:
+    """Cache rows ``(llm_model, llm_prompt_version, fingerprint, llm_output, updated_at)`` from
+    the answered rows of ``state``: the oldest answer per key (ties: smaller submission_id)."""
+    h = state.filter(F.col("llm_output").isNotNull() & F.col("fingerprint").isNotNull() & F.col("llm_model").isNotNull())
+    return h.groupBy(*CACHE_KEYS).agg(
+        F.min_by(F.struct("llm_output", "updated_at"), F.struct("updated_at", "submission_id")).alias("a")
+    ).select(*CACHE_KEYS, "a.llm_output", "a.updated_at")
+
+
+def new_cache_entries(state: DataFrame, cache: DataFrame | None) -> DataFrame:
+    """Entries to append to a cache table after an import.
+
+    The oldest answer always wins, so a key already in the cache never changes: the table is
+    append-only and a lookup is a plain join on unique keys.
+    """
+    fresh = cache_entries(state)
+    return fresh if cache is None else fresh.join(cache.select(*CACHE_KEYS), CACHE_KEYS, "left_anti")
+
+
+def cache_lookup(cache: DataFrame, model_id: str, prompt_version: str = S.PROMPT_VERSION) -> DataFrame:
+    """``(fingerprint, cached_output)`` from a cache table for one model and prompt version."""
+    return cache.filter((F.col("llm_model") == model_id) & (F.col("llm_prompt_version") == prompt_version)).select(
+        "fingerprint", F.col("llm_output").alias("cached_output")
+    )
+
+
 def parse_decision(text: Column) -> Column:
     """X9 + L3: parsed answer, or null when the text is not a valid decision."""
     p = F.from_json(text, S.MODEL_DECISION_SCHEMA)
@@ -120,6 +149,7 @@ def resolve_unmatched(
     run_ts: _dt.datetime | Column,
     prompt_version: str | Column = S.PROMPT_VERSION,
     null_candidate_to_review: bool = True,
+    cache: DataFrame | None = None,
 ) -> DataFrame:
     """Unmatched -> matched (possible_match) / review / no_match, with the audit columns.
 
@@ -128,18 +158,23 @@ def resolve_unmatched(
     candidate goes to review (H6, H7, flag ``null_candidate_to_review``); a malformed cached
     answer is a cache miss (H8).
 
-    ``run_ts`` and ``prompt_version`` may be columns (per-row values, e.g. when replaying
-    stored answers); the cache lookup then needs ``history=None``.
+    The cache is either ``cache`` (a cache table, see :func:`new_cache_entries`) or derived
+    from ``history`` (stored rows of earlier imports).  ``run_ts`` and ``prompt_version`` may
+    be columns (per-row values, e.g. when replaying stored answers); then no cache is used.
     """
     ts_col = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
     version_col = prompt_version if isinstance(prompt_version, Column) else F.lit(prompt_version)
     is_un = F.col("status") == "unmatched"
     rest = state.filter(~is_un | is_un.isNull())
     un = state.filter(is_un)
-    if history is not None:
+    if cache is not None or history is not None:
         assert isinstance(prompt_version, str), "a cache lookup needs one prompt version"
-        cache = decision_cache(history, model_id, prompt_version)
-        un = un.join(cache, "fingerprint", "left")
+        hits = (
+            cache_lookup(cache, model_id, prompt_version)
+            if cache is not None
+            else decision_cache(history, model_id, prompt_version)
+        )
+        un = un.join(hits, "fingerprint", "left")
     else:
         un = un.withColumn("cached_output", F.lit(None).cast("string"))
     un = un.withColumn("cached", parse_decision(F.col("cached_output")))

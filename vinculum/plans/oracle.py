@@ -432,6 +432,14 @@ def queries() -> dict[str, str]:
         "revert_import": q("SELECT 'import-0001' AS import_id, status, count(*) AS n FROM fin GROUP BY status"),
         "drift_by_import": q(_drift_sql()),
         "spend_estimate": q(_spend_sql()),
+        "cache_table": q(
+            f"SELECT '{MODEL}' AS llm_model, 'v2' AS llm_prompt_version, fingerprint, cached_output AS llm_output "
+            "FROM cache WHERE cached_output IS NOT NULL "
+            f"UNION ALL SELECT '{MODEL}', 'v2', fingerprint, llm_output FROM ans "
+            "WHERE llm_output IS NOT NULL AND d2 NOT IN ('0','2','4','6','8','a','c','e') "
+            f"UNION ALL SELECT '{MODEL}', 'v1', fingerprint, {_json('(b + 3) % 16', 'cand')} "
+            "FROM (SELECT DISTINCT fingerprint, b, cand FROM un WHERE d2 = '0') WHERE (b + 3) % 16 <> 15"
+        ),
         "near_duplicate_summary": q(
             "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM fin WHERE status = 'near_duplicate'"
         ),

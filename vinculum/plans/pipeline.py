@@ -50,13 +50,16 @@ def run_import(
     variant: bool = False,
     model_id: str = S.DEFAULT_MODEL,
     catalog_ids: DataFrame | None = None,
+    cache_path: str | None = None,
 ) -> ImportResult:
     """Run one import.  ``records`` as for :func:`ingest.import_records`.
 
     With ``store_path``, ids stored by earlier imports are skipped, their answers serve as the
-    tier-2 cache, and the final rows are written to the store.  Without ``resolver`` the
-    unmatched rows stay ``unmatched`` (tier 1 only).
+    tier-2 cache, and the final rows are written to the store.  With ``cache_path`` the cache
+    is that append-only table instead (new answers are appended after the import).  Without
+    ``resolver`` the unmatched rows stay ``unmatched`` (tier 1 only).
     """
+    cache = spark.read.parquet(cache_path) if cache_path and _path_exists(spark, cache_path) else None
     stored = ST.read_store(spark, store_path) if store_path and _path_exists(spark, store_path) else None
     history = stored.filter(F.col("import_id") != import_id) if stored is not None else None
     imp = ingest.import_records(
@@ -71,12 +74,15 @@ def run_import(
             cat = catalog.cat if isinstance(catalog, match.CatalogIndex) else catalog
             catalog_ids = cat.select("product_id")
         work = resolve.resolve_unmatched(
-            work, resolver, history=history, catalog_ids=catalog_ids, model_id=model_id, run_ts=run_ts
+            work, resolver, history=None if cache_path else history, cache=cache,
+            catalog_ids=catalog_ids, model_id=model_id, run_ts=run_ts,
         )
     work = dedup.mark_near_duplicates(dedup.propagate_to_duplicates(work))
     final = ST.stage_table(work, f"{import_id}-final")
     if store_path:
         ST.write_import(final.drop("position"), store_path)
+    if cache_path and resolver is not None:
+        resolve.new_cache_entries(final, cache).write.mode("append").parquet(cache_path)
     return ImportResult(import_id=import_id, imported=imp, final=final)
 
 

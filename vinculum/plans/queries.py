@@ -249,6 +249,13 @@ def q_drift_by_import(spark, sf):
     return report.drift_by_import(_sc(spark, sf).store)
 
 
+def q_cache_table(spark, sf):
+    """J5 as a maintained table: one row per (model, prompt version, fingerprint), oldest answer."""
+    return resolve.cache_entries(_sc(spark, sf).store).select(
+        "llm_model", "llm_prompt_version", "fingerprint", "llm_output"
+    )
+
+
 def q_near_duplicate_summary(spark, sf):
     return dedup.near_duplicate_summary(_sc(spark, sf).final)
 
@@ -383,6 +390,7 @@ QUERIES: dict[str, Query] = {
     "documents_exact_duplicates": q_documents_exact_duplicates,
     "spend_estimate": q_spend_estimate,
     "near_duplicate_summary": q_near_duplicate_summary,
+    "cache_table": q_cache_table,
     "constraint_audit": q_constraint_audit,
     "request_context": q_request_context,
     "catalog_list": q_catalog_list,
