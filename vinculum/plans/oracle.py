@@ -468,6 +468,7 @@ def queries() -> dict[str, str]:
             "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM dd WHERE status = 'exact_duplicate'"
         ),
         "json_variant_import": q(_json_import_sql()),
+        "stream_import": "WITH " + CHAIN.strip() + ",\n" + _stream_ctes() + _STREAM_SELECT,
         "resolver_hook": q(
             "SELECT submission_id, "
             "CASE WHEN vintage IS NOT NULL AND size_ml >= 1000 THEN 'no_match' ELSE 'review' END AS status, "
@@ -536,6 +537,95 @@ def _misses_sql() -> str:
     )
 
 
+_STREAM_SELECT = """
+SELECT CASE WHEN d = 1 THEN 'stream-000000' ELSE 'stream-000001' END AS import_id, status, count(*) AS n
+FROM (SELECT d, status FROM xd WHERE status <> 'pending' UNION ALL SELECT d, status FROM xt1)
+GROUP BY 1, 2
+"""
+
+
+def _stream_ctes() -> str:
+    """Two deliveries (even or missing vintage first), each one import of JSON records:
+    first-wins per id inside a delivery, ids of the first delivery skipped in the second,
+    JSON typing rules by the id's last character, dedup and tier 1 per import."""
+    return f"""
+xraw AS (SELECT *, CASE WHEN coalesce(vintage, 0) % 2 = 0 THEN 1 ELSE 2 END AS d FROM raw),
+xr AS (
+  SELECT *, row_number() OVER (PARTITION BY d, submission_id
+            ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS rn
+  FROM xraw WHERE submission_id IS NOT NULL AND submission_id <> ''
+),
+xk AS (
+  SELECT * FROM xr WHERE rn = 1 AND NOT (d = 2 AND submission_id IN (SELECT submission_id FROM xr WHERE d = 1))
+),
+xc AS (SELECT *, {trim_u('name')} AS t_name, {trim_u('producer')} AS t_producer, {trim_u('category')} AS t_category FROM xk),
+xe AS (
+  SELECT *,
+    CASE WHEN right(submission_id, 1) = '4' THEN '{S.MSG_STRING_TYPE}' WHEN name IS NULL THEN '{S.MSG_REQUIRED}'
+         WHEN length(t_name) = 0 THEN '{S.MSG_STRING_EMPTY}' END AS e_name,
+    CASE WHEN producer IS NULL THEN '{S.MSG_REQUIRED}' WHEN length(t_producer) = 0 THEN '{S.MSG_STRING_EMPTY}' END AS e_producer,
+    CASE WHEN category IS NULL THEN '{S.MSG_REQUIRED}' WHEN length(t_category) = 0 THEN '{S.MSG_STRING_EMPTY}' END AS e_category,
+    CASE WHEN right(submission_id, 1) = '2' AND vintage IS NOT NULL THEN '{S.MSG_INT_FRACTION}'
+         WHEN vintage < {S.VINTAGE_MIN} THEN '{S.msg_vintage_low()}'
+         WHEN vintage > {S.VINTAGE_MAX} THEN '{S.msg_vintage_high()}' END AS e_vintage,
+    CASE WHEN size_ml IS NULL THEN '{S.MSG_REQUIRED}' WHEN size_ml NOT IN ({_SIZE_LIST}) THEN '{S.MSG_SIZE}' END AS e_size
+  FROM xc
+),
+xv AS (
+  SELECT submission_id, d,
+    CASE WHEN e_name IS NULL THEN t_name END AS name,
+    CASE WHEN e_producer IS NULL THEN t_producer END AS producer,
+    CASE WHEN e_category IS NULL THEN t_category END AS category,
+    CASE WHEN e_vintage IS NULL THEN vintage END AS vintage,
+    CASE WHEN e_size IS NULL THEN size_ml END AS size_ml,
+    NULLIF(concat_ws('; ', 'name: ' || e_name, 'producer: ' || e_producer, 'category: ' || e_category,
+                     'vintage: ' || e_vintage, 'size_ml: ' || e_size), '') AS validation_error
+  FROM xe
+),
+xv2 AS (
+  SELECT *, CASE WHEN validation_error IS NULL THEN 'pending' ELSE 'invalid' END AS status0,
+    CASE WHEN validation_error IS NULL THEN
+      sha256(concat_ws('|', name, producer, category, coalesce(CAST(vintage AS VARCHAR), ''), CAST(size_ml AS VARCHAR)))
+    END AS fingerprint
+  FROM xv
+),
+xd0 AS (
+  SELECT *, min(submission_id) OVER (PARTITION BY d, fingerprint) AS surv,
+         count(*) OVER (PARTITION BY d, fingerprint) AS fcnt
+  FROM xv2
+),
+xd AS (
+  SELECT * EXCLUDE (surv, fcnt, status0),
+    CASE WHEN fingerprint IS NOT NULL AND fcnt > 1 AND submission_id <> surv THEN 'exact_duplicate' ELSE status0 END AS status
+  FROM xd0
+),
+xp AS (
+  SELECT x.*, lower(coalesce(al.canonical, x.producer)) AS pk, {norm('x.name')} AS norm
+  FROM xd x LEFT JOIN al ON al.alias_key = lower({trim_u('x.producer')})
+  WHERE x.status = 'pending'
+),
+xpt AS (SELECT *, {toks('norm')} AS s_tokens, category IN ({_CATS}) AS in_scope FROM xp),
+xpairs AS (
+  SELECT p.submission_id, c.product_id, c.p_size = p.size_ml AS at_size, c.vintage_required
+  FROM xpt p JOIN ctok c ON c.pk = p.pk AND c.category = p.category AND list_has_all(c.p_tokens, p.s_tokens)
+  WHERE p.in_scope
+),
+xcnt AS (
+  SELECT submission_id, count(*) FILTER (WHERE at_size) AS n_at_size, count(*) AS n_any,
+         arg_min(vintage_required, product_id) FILTER (WHERE at_size) AS first_vreq
+  FROM xpairs GROUP BY submission_id
+),
+xt1 AS (
+  SELECT p.d,
+    CASE WHEN NOT p.in_scope THEN 'no_match'
+         WHEN coalesce(c.n_at_size, 0) = 1 AND coalesce(c.first_vreq, false) AND p.vintage IS NULL THEN 'review'
+         WHEN coalesce(c.n_at_size, 0) = 1 THEN 'matched' WHEN coalesce(c.n_at_size, 0) > 1 THEN 'review'
+         WHEN coalesce(c.n_any, 0) = 1 THEN 'no_match' ELSE 'unmatched' END AS status
+  FROM xpt p LEFT JOIN xcnt c USING (submission_id)
+)
+"""
+
+
 def _json_import_sql() -> str:
     """The JSON/VARIANT import: ids ending in 2 carry fractional vintages, in 4 a boolean name."""
     return f"""

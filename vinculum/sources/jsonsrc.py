@@ -111,6 +111,11 @@ def write_json_lines(
     return path
 
 
+def append_json_lines(raw: DataFrame, path: str) -> None:
+    """Append typed records as NDJSON files to ``path`` in ``position`` order (one delivery)."""
+    records_as_json(raw.orderBy("position")).write.mode("append").text(path)
+
+
 def json_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S2 end to end: driver records -> NDJSON -> VARIANT read -> validation and id dedup."""
     from vinculum.plans.scenario import IMPORT_ID, RUN_TS

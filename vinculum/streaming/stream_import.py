@@ -1,4 +1,4 @@
-"""Incremental import of a directory of NDJSON record files with Structured Streaming.
+"""Incremental import of a folder of NDJSON record files with Structured Streaming.
 
 Each micro-batch becomes one import: its records are validated, ids already stored by an
 earlier import are skipped (J8 against history), exact duplicates are demoted and tier 1
@@ -39,14 +39,15 @@ def start_stream_import(
     catalog: DataFrame | match.CatalogIndex,
     aliases: DataFrame,
     *,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
     run_ts: _dt.datetime | None = None,
 ):
     """Start the streaming import (``availableNow``: process what is there, then stop)."""
+    reader = spark.readStream.schema(S.VARIANT_SUBMISSION_DDL)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = (
-        spark.readStream.schema(S.VARIANT_SUBMISSION_DDL)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(source_dir)
+        reader.json(source_dir)
         .withColumn("_file", F.col("_metadata.file_path"))
         .withColumn("_block", F.col("_metadata.file_block_start"))
     )
@@ -77,14 +78,23 @@ def start_stream_import(
     )
 
 
-def stream_import_from_tables(spark: SparkSession, sf_dir: str, files: int = 2) -> DataFrame:
-    """Driver records written as ``files`` NDJSON files, imported one file per micro-batch."""
+# Deliveries of the driver records: even (or missing) vintages first, odd vintages second.
+def delivery_of(vintage):
+    return F.when(F.coalesce(vintage, F.lit(0)) % 2 == 0, F.lit(1)).otherwise(F.lit(2))
+
+
+def stream_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver records delivered as two NDJSON drops into one folder, each imported by its own
+    ``availableNow`` run of the same streaming query (same checkpoint): delivery = micro-batch =
+    import.  Ids of the second delivery already stored by the first are skipped (J8)."""
     from vinculum.plans.scenario import scenario
     from vinculum.sources import tables as TB
 
     sc = scenario(spark, sf_dir)
-    source = jsonsrc.write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "stream-src", partitions=files)
+    raw = TB.raw_submissions(spark, sf_dir)
     base = scratch_path(spark, f"stream-{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
-    q = start_stream_import(spark, source, f"{base}/store", f"{base}/checkpoint", sc.index, sc.aliases)
-    q.awaitTermination()
-    return ST.read_store(spark, f"{base}/store").groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
+    source, store, ckpt = f"{base}/source", f"{base}/store", f"{base}/checkpoint"
+    for d in (1, 2):
+        jsonsrc.append_json_lines(raw.filter(delivery_of(F.col("vintage")) == d), source)
+        start_stream_import(spark, source, store, ckpt, sc.index, sc.aliases).awaitTermination()
+    return ST.read_store(spark, store).groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
