@@ -42,11 +42,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
     system temp dir; a cluster session without the setting is an error, since a
     machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        if conf:
+            return conf
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
+        path = tempfile.mkdtemp(prefix="vinculum-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
+        return path
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf

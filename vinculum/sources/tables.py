@@ -81,8 +81,12 @@ def spread(df: DataFrame) -> DataFrame:
     downstream (regexes, hashing) would run in one task.  Scans of many files already have
     enough splits and are left alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
