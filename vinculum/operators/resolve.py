@@ -320,3 +320,30 @@ def block_context(catalog: DataFrame) -> DataFrame:
     return catalog.select(
         F.lower("producer").alias("block_producer"), "category", "product_id", catalog_line(catalog).alias("line")
     )
+
+
+SYSTEM_HEAD = (
+    "Match a wine or spirits submission to the catalog lines given with it. Rules already tried: "
+    "exact name tokens, producer aliases, sizes. Answer with one of possible_match, no_match, "
+    "human_review; a different size is a different product; prefer human_review when unsure.\n\n"
+    "PRODUCER ALIASES:\n"
+)
+CATALOG_HEADER = "\n\nCATALOG (product_id | producer | canonical_name | category | size_ml | vintage_required):\n"
+
+
+def system_text(aliases: DataFrame, max_aliases: int = 10_000) -> DataFrame:
+    """L1 system text (one row): policy, alias lines sorted by alias, catalog header.
+
+    The catalog lines themselves are per block (:func:`block_context`).  The alias table is a
+    curated dictionary; its size is checked before it is folded into one value.
+    """
+    n = aliases.limit(max_aliases + 1).count()
+    if n > max_aliases:
+        raise ValueError(f"alias table has more than {max_aliases} rows; too large for one prompt")
+    lines = F.transform(
+        F.array_sort(F.collect_list(F.struct("alias", "canonical"))),
+        lambda x: F.concat(x.getField("alias"), F.lit(" -> "), x.getField("canonical")),
+    )
+    return aliases.agg(
+        F.concat(F.lit(SYSTEM_HEAD), F.array_join(lines, "\n"), F.lit(CATALOG_HEADER)).alias("system_text")
+    )

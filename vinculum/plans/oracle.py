@@ -9,6 +9,7 @@ functions to read the tier-2 answers.  Each query is ``WITH <chain> SELECT ...``
 from __future__ import annotations
 
 from vinculum import schemas as S
+from vinculum.operators import resolve as R
 
 _SIZES = "[" + ", ".join(str(s) for s in S.SIZES_ML) + "]"
 _CATS = ", ".join(f"'{c}'" for c in S.CATEGORIES)
@@ -25,6 +26,12 @@ _DECISIONS = "[" + ", ".join(f"'{d}'" for d in S.MODEL_DECISIONS) + "]"
 MODEL = S.DEFAULT_MODEL
 
 
+def _sql_str(text: str) -> str:
+    """A SQL string expression for ``text`` (newlines as chr(10), quotes doubled)."""
+    parts = ["'" + p.replace("'", "''") + "'" for p in text.split("\n")]
+    return " || chr(10) || ".join(parts)
+
+
 def trim_u(x: str) -> str:
     return _TRIM.format(x=x)
 
@@ -458,6 +465,12 @@ def queries() -> dict[str, str]:
             "matched_product_id NOT IN (SELECT product_id FROM cat)) + (SELECT count(*) FROM fin WHERE duplicate_of "
             "IS NOT NULL AND duplicate_of NOT IN (SELECT submission_id FROM fin))"
         ),
+        "request_system_text": q(
+            "SELECT " + _sql_str(R.SYSTEM_HEAD) + " || string_agg(alias || ' -> ' || canonical, chr(10) "
+            "ORDER BY alias, canonical) || " + _sql_str(R.CATALOG_HEADER) + " AS system_text FROM ("
+            f"SELECT alias, canonical FROM (VALUES {_ALIASES}) v(alias, canonical) UNION ALL "
+            "SELECT lower(replace(p_brand, '#', ' no ')), p_brand FROM (SELECT DISTINCT p_brand FROM part))"
+        ),
         "request_context": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
         "SELECT lower(producer) AS block_producer, category, product_id, "
         "concat_ws(' | ', product_id, producer, canonical_name, category, CAST(size_ml AS VARCHAR), "

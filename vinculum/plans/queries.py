@@ -265,6 +265,10 @@ def q_constraint_audit(spark, sf):
     return audit.constraint_summary(sc.catalog, sc.final)
 
 
+def q_request_system_text(spark, sf):
+    return resolve.system_text(_sc(spark, sf).aliases)
+
+
 def q_request_context(spark, sf):
     return resolve.block_context(_sc(spark, sf).catalog)
 
@@ -393,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "cache_table": q_cache_table,
     "constraint_audit": q_constraint_audit,
     "request_context": q_request_context,
+    "request_system_text": q_request_system_text,
     "catalog_list": q_catalog_list,
     "exact_duplicate_summary_rerun": q_exact_duplicate_summary_rerun,
     "resolver_hook": q_resolver_hook,
