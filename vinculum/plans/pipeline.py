@@ -106,11 +106,55 @@ def outputs(state: DataFrame, records: DataFrame | None = None) -> dict[str, Dat
     return out
 
 
-def print_report(report_df: DataFrame) -> None:
-    """Console rendering of the (small, fixed-size) pipeline report."""
+def print_report(report_df: DataFrame, state: DataFrame | None = None, preview: int = 20) -> None:
+    """Console rendering of the (small, fixed-size) pipeline report.
+
+    With ``state``, the invalid records and exact-duplicate pairs are shown too, as a preview
+    of ``preview`` rows each (the full lists are the ``outputs`` datasets).
+    """
     section = None
     for r in report_df.collect():
         if r["section"] != section:
             section = r["section"]
             print(f"\n{section}:")
         print(f"  {r['metric']:<38} {r['value']:>8}")
+    if state is not None:
+        print("\nInvalid records:")
+        for r in report.invalid_with_reasons(state).limit(preview).collect():
+            print(f"  {r['submission_id']}: {r['validation_error'] or ''}")
+        print("\nDuplicate pairs:")
+        for r in report.exact_duplicate_pairs(state).limit(preview).collect():
+            print(f"  {r['submission_id']} -> {r['duplicate_of']}")
+
+
+def print_eval_report(scored: DataFrame, preview: int = 50) -> None:
+    """R2: console rendering of the evaluation (totals, decisions, tiers, per-set accuracy, misses)."""
+    from vinculum.operators import evaluate as E
+
+    ov = E.overall(scored).first()
+
+    def pct(n: int, d: int) -> str:
+        return f"{n / d * 100:.1f}%" if d else "-"
+
+    print(f"\nEval results (n={ov['total']}):\n\nOverall:")
+    print(f"  product_id correct:     {ov['pid_correct']}/{ov['total']} = {pct(ov['pid_correct'], ov['total'])}")
+    print(f"  decision in acceptable: {ov['decision_correct']}/{ov['total']} = {pct(ov['decision_correct'], ov['total'])}")
+    print(f"  false positives:        {ov['false_positives']}")
+    print("\nEmitted decisions:")
+    for r in E.decisions_histogram(scored).collect():
+        print(f"  {r['emitted']:18} {r['n']}")
+    t = E.tiers(scored).first()
+    print("\nResolved by:")
+    print(f"  tier 1 (deterministic): {t['tier1']}")
+    conf = f"  (conf mean={t['conf_mean']:.2f}, range [{t['conf_min']:.2f}, {t['conf_max']:.2f}])" if t["conf_mean"] is not None else ""
+    print(f"  tier 2 (LLM):           {t['tier2']}{conf}")
+    print("\nAccuracy by acceptable-decision set:")
+    sets = E.by_acceptable_set(scored).collect()
+    width = max((len(r["class_key"]) for r in sets), default=0)
+    for r in sets:
+        print(f"  {r['class_key']:<{width}}  {r['correct']}/{r['n']} ({pct(r['correct'], r['n'])})")
+    misses = E.misses(scored).limit(preview).collect()
+    if misses:
+        print("\nMisses:")
+        for r in misses:
+            print(f"  {r['miss']}")
