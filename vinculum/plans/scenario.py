@@ -9,6 +9,9 @@ is memoised per (session, input folder): the registered queries share its stage
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import os
+import tempfile
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +21,7 @@ from vinculum import schemas as S
 from vinculum.operators import dedup, ingest, match, resolve
 from vinculum.sources import tables as TB
 from vinculum.sources.store import stage_table
+from vinculum.session import checkpoint_dir
 
 IMPORT_ID = "import-0001"
 HISTORY_IMPORT_ID = "import-0000"
@@ -28,14 +32,67 @@ HISTORY_CREATED = _dt.datetime(2025, 1, 1, 0, 0, 0)
 class Scenario:
     """Catalog, records, and the state after each stage of one import."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, *, model_id: str = S.DEFAULT_MODEL, materialize: bool = True):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        *,
+        model_id: str = S.DEFAULT_MODEL,
+        materialize: bool = True,
+        reuse: bool = False,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.model_id = model_id
         self.materialize = materialize
+        self.reuse = reuse
+
+    @cached_property
+    def _reuse_dir(self) -> str | None:
+        """Folder of stage tables shared by processes that run the same code on the same inputs.
+
+        The stages are deterministic (fixed run timestamp, no random values), so a table
+        written once can be read by a later process.  The key covers the package source and the
+        input files' names, sizes and modification times.
+        """
+        if not self.reuse:
+            return None
+        h = hashlib.sha256()
+        pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        for root, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(root, f), "rb") as fh:
+                        h.update(f.encode() + fh.read())
+        h.update(self.model_id.encode())
+        try:
+            for f in sorted(os.listdir(self.sf_dir)):
+                st = os.stat(os.path.join(self.sf_dir, f))
+                h.update(f"{f}:{st.st_size}:{st.st_mtime_ns}".encode())
+        except OSError:
+            return None  # not a local folder: no reuse
+        conf = self.spark.conf.get("spark.checkpoint.dir", None)
+        base = conf or (os.path.join(tempfile.gettempdir(), "vinculum-stage-cache") if self._local() else None)
+        return f"{base.rstrip('/')}/scenario-{h.hexdigest()[:20]}" if base else None
+
+    def _local(self) -> bool:
+        try:
+            return self.spark.sparkContext.master.startswith("local")
+        except Exception:  # noqa: BLE001
+            return self.spark.conf.get("spark.master", "").startswith("local")
 
     def _mat(self, df: DataFrame, name: str) -> DataFrame:
-        return stage_table(df, name) if self.materialize else df
+        if not self.materialize:
+            return df
+        shared = self._reuse_dir
+        if shared is None:
+            return stage_table(df, name)
+        path = f"{shared}/{name}"
+        if os.path.exists(os.path.join(path, "_SUCCESS")):
+            return self.spark.read.parquet(path)
+        checkpoint_dir(self.spark)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # --- inputs -------------------------------------------------------------------------
     @cached_property
@@ -138,7 +195,8 @@ _SCENARIOS: dict[tuple[int, str], Scenario] = {}
 
 
 def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
+    """The memoised scenario of the registered queries (stage tables reused across processes)."""
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _SCENARIOS:
-        _SCENARIOS[key] = Scenario(spark, sf_dir)
+        _SCENARIOS[key] = Scenario(spark, sf_dir, reuse=True)
     return _SCENARIOS[key]
