@@ -193,16 +193,9 @@ def resolve_unmatched(
         ).otherwise(F.col("llm_error")),
     )
     both = both.withColumn("cand", first_or_null(F.col("answer.candidate_product_ids")))
-    # H7: keep only candidates the catalog knows.  The catalog is semi-joined to the distinct
-    # candidates first (a small side AQE can broadcast), so the full catalog is scanned once
-    # and never shuffled against the answers.
-    asked = both.select("cand").filter(F.col("cand").isNotNull()).distinct()
-    known = (
-        catalog_ids.select(F.col("product_id").alias("cand"))
-        .join(asked, "cand", "left_semi")
-        .distinct()
-        .withColumn("cand_known", F.lit(True))
-    )
+    # H7: keep only candidates the catalog knows: one left join on the id column (a single
+    # narrow column of the catalog is shuffled; the answers are read once).
+    known = catalog_ids.select(F.col("product_id").alias("cand")).distinct().withColumn("cand_known", F.lit(True))
     both = both.join(known, "cand", "left")
 
     err = F.col("llm_error").isNotNull()
