@@ -82,8 +82,9 @@ class CatalogIndex:
         return CatalogIndex(*(fn(getattr(self, f), f) for f in ("cat", "ctok", "freq", "at_size", "any_size")))
 
 
-def build_index(catalog: DataFrame) -> CatalogIndex:
-    cat = prepare_catalog(catalog)
+def build_index(catalog: DataFrame, *, prepared: bool = False) -> CatalogIndex:
+    """The catalog index; ``prepared=True`` when ``catalog`` already is :func:`prepare_catalog` output."""
+    cat = catalog if prepared else prepare_catalog(catalog)
     ctok = _catalog_tokens(cat)
     return CatalogIndex(
         cat=cat,

@@ -102,7 +102,17 @@ class Scenario:
     @cached_property
     def index(self) -> match.CatalogIndex:
         """Tokens, exploded tokens, token frequencies and block counts of the catalog."""
-        return match.build_index(self.catalog).map(lambda df, name: self._mat(df, f"index-{name}"))
+        cat = self._mat(match.prepare_catalog(self.catalog), "index-cat")
+        idx = match.build_index(cat, prepared=True)
+        # the exploded tokens and their frequencies are written; the two per-block counts are
+        # small aggregates of the written catalog and stay lazy
+        return match.CatalogIndex(
+            cat=cat,
+            ctok=self._mat(idx.ctok, "index-ctok"),
+            freq=self._mat(idx.freq, "index-freq"),
+            at_size=idx.at_size,
+            any_size=idx.any_size,
+        )
 
     @cached_property
     def aliases(self) -> DataFrame:
