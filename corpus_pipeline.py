@@ -21,7 +21,7 @@ from vinculum.llm.queries import tokenizer_file
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier doesn't reject."""
     model = quality.learn(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return quality.scores(docs, model).filter("predicted = 1").select(docs.columns)
+    return quality.keep_good(docs, model)
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more)."""
-    return near_dedup.near_duplicates(docs).filter("kept").select(docs.columns)
+    return near_dedup.keep_one(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

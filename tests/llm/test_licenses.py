@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import random
+
+from tests.llm.samples import documents, edge_rows
+from vinculum.llm import licenses
+
+LICENSE = "MY LICENSE\n\nCopyright (c) 2001 Somebody\nYou may organize, colour and sub-license this work.\n\nNo warranty."
+
+
+def test_whole_text_in_other_spelling(spark):
+    known = licenses.registry(spark, spark.createDataFrame([("My-1", LICENSE), ("Zzz-same", LICENSE.upper()), ("Blank", "(c) only")], "license_id string, text string"))
+    assert known.count() == 1
+    docs = documents(
+        spark,
+        [
+            (1, LICENSE),
+            (2, "My licence!\n# Copyright 1999 A. N. Other\nyou may organise -- color, and sublicense THIS work\nno warranty"),
+            (3, LICENSE + "\nOr so."),
+            (4, "(c) only"),
+            (5, None),
+            (5, None),
+            (None, LICENSE),
+        ],
+    )
+    got = sorted(((r["doc_id"], r["license_id"], r["n_notices"]) for r in licenses.scan(docs, known).collect()), key=str)
+    assert got == sorted([(1, "My-1", 0), (2, "My-1", 0), (3, None, 0), (4, None, 0), (5, None, 0), (5, None, 0), (None, "My-1", 0)], key=str)
+
+
+def test_notices_in_lines(spark):
+    docs = documents(spark, [(1, "Some text.\nReleased under the MIT licence\nmore\nreleased under the mit license.\nLicensed under CC BY-NC 4.0."), (2, "under the MIT License."), (3, "Released under the MIT License.")])
+    got = {r["doc_id"]: (r["license_id"], r["notices"], r["n_notices"]) for r in licenses.scan(docs, licenses.registry(spark)).collect()}
+    assert got == {1: (None, "CC-BY-NC-4.0,MIT", 3), 2: (None, "", 0), 3: ("MIT", "MIT", 1)}
+
+
+def test_edge_rows_and_large_registry(spark, monkeypatch):
+    rows = edge_rows(random.Random(2))
+    plain = sorted(licenses.scan(documents(spark, rows), licenses.registry(spark)).collect(), key=str)
+    monkeypatch.setattr(licenses, "BROADCAST_ENTRIES", 0)
+    assert sorted(licenses.scan(documents(spark, rows), licenses.registry(spark)).collect(), key=str) == plain
+    assert len(plain) == len(rows)
+    assert licenses.scan(documents(spark, []).limit(0), licenses.registry(spark)).count() == 0
+
+
+def test_main_path_is_native(spark, capsys):
+    licenses.scan(documents(spark, [(1, "a")]), licenses.registry(spark)).explain()
+    plan = capsys.readouterr().out
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))

@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.samples import documents, edge_rows, prose
+from vinculum.llm import components, near_dedup, shingles
+from vinculum.llm.near_dedup import Params
+
+
+def shingle_set(text: str | None, k: int) -> set[tuple[str, ...]]:
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else ({tuple(words)} if words else set())
+
+
+def brute_force(rows: list[tuple[int, str | None]], p: Params) -> dict[int, int]:
+    sets = [(i, shingle_set(t, p.words)) for i, t in rows]
+    up = {i: i for i, _ in sets}
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, (i, s) in enumerate(sets):
+        for j, t in sets[:a]:
+            common = len(s & t)
+            if s and t and 100 * common >= p.percent * (len(s) + len(t) - common):
+                x, y = find(i), find(j)
+                up[max(x, y)] = min(x, y)
+    return {i: find(i) for i, _ in sets}
+
+
+def edited(rng: random.Random, text: str, edits: int) -> str:
+    words = text.split()
+    for _ in range(edits):
+        words[rng.randrange(len(words))] = prose(rng, 1, "qrstuvw")
+    return " ".join(words)
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_components_equal_brute_force(spark, words, percent):
+    rng = random.Random(words)
+    rows = []
+    for group in range(30):  # groups around the threshold, one of them large
+        base = prose(rng, 90)
+        rows += [base] + [edited(rng, base, rng.randint(0, 5)) for _ in range(60 if group == 0 else 4)]
+    rows += [prose(rng, n) for n in range(1, 20)]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    p = Params(words=words, percent=percent, block_texts=16)
+    got = near_dedup.components_of(documents(spark, rows).repartition(5), p).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_force(rows, p)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
+    assert all(r["n_shingles"] == len(shingle_set(dict(rows)[r["doc_id"]], words)) for r in got)
+
+
+def test_edge_rows(spark):
+    rows = edge_rows(random.Random(1))
+    got = near_dedup.components_of(documents(spark, rows), Params(words=3, percent=85)).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert {by[i]["component_id"] for i in (1, 2, 11, 13)} == {1}
+    assert by[9]["component_id"] == 8 and not by[9]["kept"]
+    for i in (3, 4, 5):
+        assert (by[i]["n_shingles"], by[i]["component_id"], by[i]["kept"]) == (0, i, True)
+    assert by[6]["n_shingles"] == by[7]["n_shingles"] == 1
+    assert by[8]["n_shingles"] == len(shingle_set(next(t for i, t, *_ in rows if i == 8), 3))
+    assert sorted((r["component_id"], r["kept"]) for r in got if r["doc_id"] is None) == [(None, True), (None, True)]
+
+
+def test_empty_table(spark):
+    assert near_dedup.components_of(documents(spark, []).limit(0), Params()).count() == 0
+
+
+def test_keep_one_keeps_columns(spark):
+    docs = documents(spark, [(5, "a b c d e f g"), (3, "A b c d e f g"), (9, "z y x"), (None, "z y x")])
+    out = near_dedup.keep_one(docs)
+    assert out.schema == docs.schema
+    assert sorted(out.collect(), key=str) == sorted(docs.filter("doc_id is null or doc_id <> 5").collect(), key=str)
+
+
+def test_posterior_is_the_beta_tail():
+    x = np.linspace(0.85, 1, 200_001)
+    density = x**30 * (1 - x) ** 6
+    norm = math.gamma(31) * math.gamma(7) / math.gamma(38)
+    assert near_dedup.posterior(30, 36, 0.85) == pytest.approx(np.trapezoid(density, x) / norm, rel=1e-6)
+
+
+def test_banding_and_pruning_miss_little():
+    p = Params(words=3, percent=85)
+    assert (1 - 0.85**p.rows) ** p.bands <= p.band_miss
+    for n, need in near_dedup.least_matches(p):
+        assert near_dedup.posterior(need, n, 0.85) >= p.miss > near_dedup.posterior(need - 1, n, 0.85)
+
+
+def test_signature_estimates_similarity():
+    rng = random.Random(4)
+    base = prose(rng, 400)
+    column = pa.array([base, edited(rng, base, 20)])
+    values, offsets = shingles.shingle_sets(column, 3)
+    a, b = set(values[: offsets[1]].tolist()), set(values[offsets[1] :].tolist())
+    s = shingles.signatures(values, offsets, 2000)
+    assert (s[0] == s[1]).mean() == pytest.approx(len(a & b) / len(a | b), abs=0.05)
+
+
+def test_components_of_long_chains(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, 9), (9, 8), (9, 8), (300, 300)]
+    random.Random(2).shuffle(edges)
+    found = components.components(spark.createDataFrame(edges, "a long, b long").repartition(6), "test")
+    got = {r["node"]: r["component"] for r in found.collect()}
+    assert got == {**{i: 100 for i in range(100, 161)}, 7: 7, 8: 7, 9: 7, 300: 300}
+    assert components.components(spark.createDataFrame([], "a long, b long"), "none").count() == 0
+
+
+def test_hot_group_is_linear(spark):
+    """A third of all rows in one group of copies, another third near copies of one text."""
+    rng = random.Random(8)
+    base, other = prose(rng, 80), prose(rng, 80)
+    rows = [(i, base) for i in range(400)] + [(1000 + i, edited(rng, other, 1)) for i in range(400)] + [(5000 + i, prose(rng, 40)) for i in range(400)]
+    got = near_dedup.components_of(documents(spark, rows).repartition(4), Params(words=3, percent=85))
+    sizes = got.groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1").collect()
+    assert sorted((r["component_id"], r["n"]) for r in sizes) == [(0, 400), (1000, 400)]

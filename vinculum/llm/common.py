@@ -48,3 +48,11 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         hi = max(lo + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield lo, hi
         lo = hi
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import SPACE, stage
+from vinculum.llm.common import SPACE, fresh, stage
 
 SALTS = 32
 
@@ -69,12 +69,13 @@ def members(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Colu
 
 def deduplicate(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     """The rows of `docs` that stay, with their columns."""
-    id_key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("_id")
-    keepers = stage(members(docs.select("doc_id", "text"), salts).filter("kept").select(id_key, F.col("digest").alias("_digest")).distinct(), "exact-kept")
+    id_, digest, chars, row = (fresh(docs, n) for n in ("_id", "_digest", "_chars", "_row"))
+    id_key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias(id_)
+    keepers = stage(members(docs.select("doc_id", "text"), salts).filter("kept").select(id_key, F.col("digest").alias(digest)).distinct(), "exact-kept")
     text = F.col("text").cast("string")
-    rows = docs.select("*", id_key, sha256(normalised(text)).alias("_digest"), F.coalesce(F.length(text), F.lit(0)).alias("_chars"))
+    rows = docs.select("*", id_key, sha256(normalised(text)).alias(digest), F.coalesce(F.length(text), F.lit(0)).alias(chars))
     # Rows that repeat the id of the one that stays: the longest original, one of equals.  The
     # join has already brought them together, so this needs no further shuffle.
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = rows.join(keepers, ["_id", "_digest"]).groupBy("_id", "_digest").agg(F.max_by(whole, "_chars").alias("_row"))
-    return best.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    best = rows.join(keepers, [id_, digest]).groupBy(id_, digest).agg(F.max_by(whole, chars).alias(row))
+    return best.select(*[F.col(row)[c].alias(c) for c in docs.columns])

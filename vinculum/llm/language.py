@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import slices, stage
+from vinculum.llm.common import fresh, slices, stage
 from vinculum.llm.shingles import text_buffer
 
 LANGUAGES = ("en", "fr", "de", "es")
@@ -245,8 +245,9 @@ def keep_identified(docs: DataFrame, p: Params = Params()) -> DataFrame:
     Verdicts are looked up by doc_id and a hash of text, lang and source, so rows that repeat
     a doc_id with another text keep verdicts of their own.
     """
+    name = fresh(docs, "_key")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"))
     model = learn(docs, p)
-    rows = document_rows(docs.select("doc_id", "text", "lang", "source")).withColumn("_key", F.xxhash64("doc_id", "text", "declared", "host"))
-    gone = stage(identify(rows, model, p).filter("lang = 'und'").select("_key").distinct(), "language-gone")
-    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").drop("_key")
+    rows = document_rows(docs.select("doc_id", "text", "lang", "source")).withColumn(name, F.xxhash64("doc_id", "text", "declared", "host"))
+    gone = stage(identify(rows, model, p).filter("lang = 'und'").select(name).distinct(), "language-gone")
+    return docs.withColumn(name, key).join(gone, name, "left_anti").drop(name)

@@ -21,7 +21,7 @@ chance at most `band_miss`.  There is no cap on buckets, candidates or partners.
 
 Defined results: null or word-less texts have an empty set and are linked with nothing; rows
 with a null doc_id are linked with nothing and keep a null component; rows that repeat a
-doc_id are one node; extra columns pass through `near_duplicates` untouched; an empty table
+doc_id are one node; extra columns pass through `keep_one` untouched; an empty table
 gives an empty result.
 """
 
@@ -34,11 +34,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm import shingles as S
-from vinculum.llm.common import slices, stage
+from vinculum.llm.common import fresh, slices, stage
 from vinculum.llm.components import components
 
 
@@ -248,12 +248,8 @@ def components_of(docs: DataFrame, params: Params = Params()) -> DataFrame:
     return whole.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def near_duplicates(docs: DataFrame, params: Params = Params()) -> DataFrame:
-    """`docs` with n_shingles, component_id and kept; every other column as it was.
-
-    Columns of these three names are replaced.  `kept` holds on one document of each group.
-    """
-    added = components_of(docs, params).groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id"), F.max("kept").alias("kept"))
-    added = stage(added, "near-kept")
-    rest = docs.drop("n_shingles", "component_id", "kept")
-    return rest.join(added.withColumnRenamed("doc_id", "near_doc_id"), rest["doc_id"].cast("long").eqNullSafe(F.col("near_doc_id")), "left").drop("near_doc_id")
+def keep_one(docs: DataFrame, params: Params = Params()) -> DataFrame:
+    """The rows of `docs` but those whose component has a smaller doc_id, with their columns."""
+    key = fresh(docs, "_near_id")
+    gone = stage(components_of(docs.select("doc_id", "text"), params).filter(~F.col("kept")).select(F.col("doc_id").alias(key)).distinct(), "near-gone")
+    return docs.withColumn(key, F.col("doc_id").cast("long")).join(gone, key, "left_anti").drop(key)

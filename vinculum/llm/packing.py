@@ -123,7 +123,11 @@ def _dealt(pieces: DataFrame, p: Params, first_group: int) -> DataFrame:
     groups = max(1, -(-n // p.group_pieces))
     key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row", F.lit(first_group)), F.lit(groups)) + first_group
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, row long, group long, sequence_id long, offset long, filled double"
-    return pieces.withColumn("group", key.cast("long")).groupBy("group").applyInPandas(partial(_packed, p=p), schema)
+
+    def packed(group: pd.DataFrame) -> pd.DataFrame:
+        return _packed(group, p)
+
+    return pieces.withColumn("group", key.cast("long")).groupBy("group").applyInPandas(packed, schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:

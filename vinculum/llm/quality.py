@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vinculum.llm.common import fresh
+
 
 @dataclass(frozen=True)
 class Params:
@@ -106,7 +108,7 @@ def _sampled(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(texts, pa.binary())], names=["quality", "piece"])
 
 
-def _features(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], model: Model, names: tuple[str, str] = ("difference", "share")) -> Iterator[pa.RecordBatch]:
     """Replaces the last column, the text, by the two features."""
     sizes = Sizes(model)
     for batch in batches:
@@ -114,7 +116,7 @@ def _features(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         rest = [batch.column(i) for i in range(batch.num_columns - 1)]
         yield pa.RecordBatch.from_arrays(
             [*rest, pa.array([x for x, _ in found], pa.float64()), pa.array([y for _, y in found], pa.float64())],
-            names=[*batch.schema.names[:-1], "difference", "share"],
+            names=[*batch.schema.names[:-1], *names],
         )
 
 
@@ -175,15 +177,22 @@ def probability(model: Model, features: list[Column]) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with score (0 to 1) and predicted (1 from the threshold on); columns of these names are replaced."""
-    kept = [c for c in docs.columns if c not in ("score", "predicted", "difference", "share")]
-    out = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias("_text"))
-    if model.weights:
-        schema = [f.simpleString().split(":", 1) for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema]
-        ddl = ", ".join(f"`{n}` {t}" for n, t in schema)
-        out = out.mapInArrow(partial(_features, model=model), f"{ddl}, difference double, share double")
-        out = out.withColumn("score", probability(model, [F.col("difference"), F.col("share")])).drop("difference", "share")
-    else:
-        out = out.drop("_text").withColumn("score", F.lit(model.base_rate))
-    return out.withColumn("predicted", F.when(F.col("score") >= model.params.threshold, 1).otherwise(0).cast("int"))
+def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """`docs` with its quality score (0 to 1) as one more column."""
+    if not model.weights:
+        return docs.withColumn(name, F.lit(model.base_rate))
+    difference, share = fresh(docs, "difference"), fresh(docs, "share")
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    rows = docs.select("*", F.col("text").cast("string").alias(fresh(docs, "_text")))
+    found = rows.mapInArrow(partial(_features, model=model, names=(difference, share)), f"{ddl}, `{difference}` double, `{share}` double")
+    return found.withColumn(name, probability(model, [F.col(difference), F.col(share)])).drop(difference, share)
+
+
+def predicted(model: Model, score: Column) -> Column:
+    return F.when(score >= model.params.threshold, 1).otherwise(0).cast("int")
+
+
+def keep_good(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of `docs` from the threshold on, with their columns."""
+    name = fresh(docs, "_score")
+    return with_score(docs, model, name).filter(predicted(model, F.col(name)) == 1).drop(name)

@@ -75,7 +75,8 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labels that aren't held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
-    return quality.scores(docs, model).select(F.col("doc_id").cast("long").alias("doc_id"), quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    scored = quality.with_score(docs, model)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), quality.held_out(F.col("doc_id")).alias("held_out"), "score", quality.predicted(model, F.col("score")).alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
