@@ -128,7 +128,7 @@ def test_pages(spark):
 def test_keep_identified(spark):
     rng = random.Random(4)
     base = corpus(spark, rng, 30)
-    odd = documents(spark, [r for r in edge_rows(rng) if r[0] not in (8, 9)] + [(500, "kkzz " * 60, "en", "s1"), (501, said(rng, "fr", 30), "en", "s1"), (500, said(rng, "de", 30), "de", None)])
+    odd = documents(spark, [r for r in edge_rows(rng) if r[0] not in (8, 9)] + [(500, "kkzz " * 60, "xx", "s1"), (501, said(rng, "fr", 30), "en", "s1"), (500, said(rng, "de", 30), "de", None)])
     docs = base.unionByName(odd)
     out = language.keep_identified(docs)
     assert out.schema == docs.schema

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm.common import SLICE_BYTES, slices
-from vinculum.llm.tokens import Interned, KEPT_CHUNKS, chunks, parts, texts_of, tokenizer
+from vinculum.llm.tokens import KEPT_CHUNKS, PIECE, Interned, chunks, parts, texts_of, tokenizer
 
 LEXICON_SIZE = 65_536
 #: Longest entry in bytes.
@@ -49,7 +49,6 @@ COUNTED_CHUNKS = 200_000
 LONG_WORD = 64
 
 _WORD_END = "</w>"
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\x09-\x0d\x20]+")
 
 
 # --- exact merging -----------------------------------------------------------------------
@@ -78,7 +77,7 @@ class Merger:
             if segment in self.special:
                 out.append(self.special[segment])
             elif segment.isascii():
-                for piece in _PIECE.findall(segment.lower()):
+                for piece in PIECE.findall(segment.lower()):
                     out += self._merged(piece)
             else:
                 for piece, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(segment)):

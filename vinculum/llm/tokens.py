@@ -20,8 +20,10 @@ from vinculum.llm.common import SLICE_BYTES
 from vinculum.llm.shingles import text_buffer
 
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: The tokenizer's pre-tokenization of lower-case printable ASCII.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\x09-\x0d\x20]+")
 #: Distinct chunks a worker keeps; beyond, it starts anew (results don't depend on it).
-KEPT_CHUNKS = 250_000
+KEPT_CHUNKS = 500_000
 
 
 @functools.lru_cache(maxsize=4)
@@ -67,6 +69,10 @@ class ChunkIds:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer(path)
+        self.normalise = self.tokenizer.normalizer.normalize_str
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenize = self.tokenizer.model.tokenize
+        self.marks: dict[str, list[int]] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -76,16 +82,42 @@ class ChunkIds:
         self.starts = np.empty(0, np.int64)
         self.lens = np.empty(0, np.int64)
 
+    def of(self, chunk: bytes) -> list[int]:
+        """Ids of one chunk.  Without special tokens the library's model takes the pre-tokenized
+        pieces, which for printable ASCII a pattern finds; that spares an encoding per chunk."""
+        text = chunk.decode()
+        if "<|" in text:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if text.isascii() and text.isprintable():
+            pieces = (text,) if text.isalpha() and text.islower() else PIECE.findall(text.lower())
+        else:
+            pieces = [p for p, _ in self.split(self.normalise(text))]
+        out: list[int] = []
+        for piece in pieces:
+            if piece.isalpha():
+                out += [t.id for t in self.tokenize(piece)]
+            else:  # marks and digits repeat
+                if piece not in self.marks:
+                    if len(self.marks) > 4096:
+                        self.marks.clear()
+                    self.marks[piece] = [t.id for t in self.tokenize(piece)]
+                out += self.marks[piece]
+        return out
+
     def _learn(self) -> None:
         new, self.at.new = self.at.new, []
         if not new:
             return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in new], add_special_tokens=False)]
-        lens = np.fromiter(map(len, found), np.int64, len(found))
-        end = self.used + int(lens.sum())
+        found: list[int] = []
+        ends = [0]
+        for chunk in new:
+            found += self.of(chunk)
+            ends.append(len(found))
+        lens = np.diff(np.array(ends, np.int64))
+        end = self.used + len(found)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.empty(max(end, 2 * len(self.flat)) - self.used, np.uint32)])
-        self.flat[self.used : end] = np.fromiter((i for ids in found for i in ids), np.uint32, end - self.used)
+        self.flat[self.used : end] = found
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
         self.used = end
