@@ -65,16 +65,15 @@ class Interned(dict):
 
 
 class ChunkIds:
-    """Ids of chunks by the tokenizers library, kept as flat arrays."""
+    """Ids of chunks, kept as flat arrays; a subclass says how new chunks get theirs."""
 
-    def __init__(self, path: str) -> None:
-        self.tokenizer = tokenizer(path)
-        self.normalise = self.tokenizer.normalizer.normalize_str
-        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
-        self.tokenize = self.tokenizer.model.tokenize
-        self.marks: dict[str, list[int]] = {}
+    def __init__(self) -> None:
         self.reset()
 
+    def found(self, chunks: list[bytes]) -> tuple[list[int], list[int]]:
+        """Ids of all the chunks in one list, and how many each has."""
+        raise NotImplementedError
+
     def reset(self) -> None:
         self.at = Interned()
         self.flat = np.empty(1 << 16, np.uint32)
@@ -82,38 +81,12 @@ class ChunkIds:
         self.starts = np.empty(0, np.int64)
         self.lens = np.empty(0, np.int64)
 
-    def of(self, chunk: bytes) -> list[int]:
-        """Ids of one chunk.  Without special tokens the library's model takes the pre-tokenized
-        pieces, which for printable ASCII a pattern finds; that spares an encoding per chunk."""
-        text = chunk.decode()
-        if "<|" in text:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        if text.isascii() and text.isprintable():
-            pieces = (text,) if text.isalpha() and text.islower() else PIECE.findall(text.lower())
-        else:
-            pieces = [p for p, _ in self.split(self.normalise(text))]
-        out: list[int] = []
-        for piece in pieces:
-            if piece.isalpha():
-                out += [t.id for t in self.tokenize(piece)]
-            else:  # marks and digits repeat
-                if piece not in self.marks:
-                    if len(self.marks) > 4096:
-                        self.marks.clear()
-                    self.marks[piece] = [t.id for t in self.tokenize(piece)]
-                out += self.marks[piece]
-        return out
-
     def _learn(self) -> None:
         new, self.at.new = self.at.new, []
         if not new:
             return
-        found: list[int] = []
-        ends = [0]
-        for chunk in new:
-            found += self.of(chunk)
-            ends.append(len(found))
-        lens = np.diff(np.array(ends, np.int64))
+        found, counts = self.found(new)
+        lens = np.array(counts, np.int64)
         end = self.used + len(found)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.empty(max(end, 2 * len(self.flat)) - self.used, np.uint32)])
@@ -133,9 +106,52 @@ class ChunkIds:
         return self.flat[np.repeat(self.starts[at] - ends[:-1], lens) + np.arange(ends[-1])], ends
 
 
+class LibraryIds(ChunkIds):
+    """Ids by the tokenizers library."""
+
+    def __init__(self, path: str) -> None:
+        self.tokenizer = tokenizer(path)
+        self.normalise = self.tokenizer.normalizer.normalize_str
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenize = self.tokenizer.model.tokenize
+        self.marks: dict[str, list[int]] = {}
+        super().__init__()
+
+    def found(self, chunks: list[bytes]) -> tuple[list[int], list[int]]:
+        ids: list[int] = []
+        counts = []
+        for chunk in chunks:
+            of = self.of(chunk)
+            ids += of
+            counts.append(len(of))
+        return ids, counts
+
+    def of(self, chunk: bytes) -> list[int]:
+        """Ids of one chunk.  Without special tokens the library's model takes the pre-tokenized
+        pieces, which for printable ASCII a pattern finds; that spares an encoding per chunk."""
+        text = chunk.decode()
+        if "<|" in text:
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if text.isascii() and text.isprintable():
+            pieces = (text,) if text.isalpha() and text.islower() else PIECE.findall(text.lower())
+        else:
+            pieces = [p for p, _ in self.split(self.normalise(text))]
+        out: list[int] = []
+        for piece in pieces:
+            if piece.isalpha():
+                out += [t.id for t in self.tokenize(piece)]
+            else:  # marks and digits repeat
+                if piece not in self.marks:
+                    if len(self.marks) > 4096:
+                        self.marks.clear()
+                    self.marks[piece] = [t.id for t in self.tokenize(piece)]
+                out += self.marks[piece]
+        return out
+
+
 @functools.lru_cache(maxsize=2)
-def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
+def chunk_ids(path: str) -> LibraryIds:
+    return LibraryIds(path)
 
 
 def texts_of(column: pa.Array) -> Iterator[bytes]:
