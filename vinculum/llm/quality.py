@@ -5,6 +5,9 @@ pieces of `piece_bytes` and compressed whole with either dictionary; the score i
 function of the normalised size difference (bad - good) / (bad + good) and of the logarithm of
 the compressed share good / length, which separates text that only repeats itself.
 
+The logistic function is fitted on cross-fitted features: of `folds` parts of the sample, each
+is measured with dictionaries built from the others; the final dictionaries use all parts.
+
 Only labels of rows whose crc32(doc_id as text) mod 5 is not 0 are learned from.  The fit uses
 bounded samples (`dictionary_rows` per class, `calibration_rows` in all, the rows with the
 smallest hash of their id); sizes and scores are computed over every row and whole text.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import fresh
+from vinculum.llm.common import fresh, worker
 
 
 @dataclass(frozen=True)
@@ -38,6 +41,7 @@ class Params:
     #: Pieces (first, middle, last) that one sampled text gives a dictionary.
     pieces_per_text: int = 3
     level: int = 3
+    folds: int = 3
     threshold: float = 0.3
 
 
@@ -97,17 +101,32 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[:size]
 
 
+@worker("quality")
 def _sampled(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        labels, texts = [], []
-        for quality, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        labels, folds, texts = [], [], []
+        for quality, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             pieces = _pieces((text.as_py() or "").encode(), p.piece_bytes)
             at = sorted({i * (len(pieces) - 1) // max(1, p.pieces_per_text - 1) for i in range(p.pieces_per_text)})
             texts += [pieces[i] for i in at]
             labels += [quality] * len(at)
-        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(texts, pa.binary())], names=["quality", "piece"])
+            folds += [fold] * len(at)
+        yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(folds, pa.int32()), pa.array(texts, pa.binary())], names=["quality", "fold", "piece"])
+
+
+@worker("quality")
+def _fold_features(batches: Iterator[pa.RecordBatch], models: list[Model]) -> Iterator[pa.RecordBatch]:
+    """Features of labelled texts, each under the model of its fold."""
+    sizes = [Sizes(m) for m in models]
+    for batch in batches:
+        found = [sizes[fold].features((text.as_py() or "").encode()) for fold, text in zip(batch.column(1).to_pylist(), batch.column(2))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([x for x, _ in found], pa.float64()), pa.array([y for _, y in found], pa.float64())],
+            names=["quality", "difference", "share"],
+        )
 
 
+@worker("quality")
 def _features(batches: Iterator[pa.RecordBatch], model: Model, names: tuple[str, str] = ("difference", "share")) -> Iterator[pa.RecordBatch]:
     """Replaces the last column, the text, by the two features."""
     sizes = Sizes(model)
@@ -141,29 +160,35 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
         .filter("doc_id is not null and quality in (0, 1)")
         .filter(~held_out(F.col("doc_id")))
         .withColumn("h", F.xxhash64("doc_id"))
+        .withColumn("fold", F.pmod("h", F.lit(p.folds)).cast("int"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def chosen(rows: DataFrame, n: int) -> DataFrame:  # at most n rows of two numbers
-        return rows.orderBy("h", "doc_id", "quality").limit(n).select("doc_id", "quality")
+    def chosen(rows: DataFrame, n: int) -> DataFrame:  # at most n rows of three numbers
+        return rows.orderBy("h", "doc_id", "quality").limit(n).select("doc_id", "quality", "fold")
 
-    # Two folds by hash, so that no text is both in a dictionary and in the calibration.
-    first, second = known.filter("pmod(h, 3) < 2"), known.filter("pmod(h, 3) = 2")
-    for_words = chosen(first.filter("quality = 1"), p.dictionary_rows).unionByName(chosen(first.filter("quality = 0"), p.dictionary_rows))
-    pieces = texts.join(F.broadcast(for_words), "doc_id").select("quality", "text").mapInArrow(partial(_sampled, p=p), "quality int, piece binary")
-    by: dict[int, list[bytes]] = {0: [], 1: []}
-    for row in pieces.collect():
-        by[row["quality"]].append(bytes(row["piece"]))
+    for_words = chosen(known.filter("quality = 1"), p.dictionary_rows).unionByName(chosen(known.filter("quality = 0"), p.dictionary_rows))
+    pieces = texts.join(F.broadcast(for_words), "doc_id").select("quality", "fold", "text").mapInArrow(partial(_sampled, p=p), "quality int, fold int, piece binary")
+    collected = sorted((r["quality"], r["fold"], bytes(r["piece"])) for r in pieces.collect())
     total = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     rate = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
-    if not any(by[0]) or not any(by[1]):
-        return Model(p, base_rate=rate, counts=total)
-    draft = Model(p, _dictionary(sorted(by[1]), p.dictionary_bytes), _dictionary(sorted(by[0]), p.dictionary_bytes), base_rate=rate, counts=total)
-    sample = texts.join(F.broadcast(chosen(second, p.calibration_rows)), "doc_id").select("quality", "text").mapInArrow(partial(_features, model=draft), "quality int, difference double, share double")
+    plain = Model(p, base_rate=rate, counts=total)
+
+    def built(without: int | None) -> Model | None:
+        of = {q: [x for quality, fold, x in collected if quality == q and fold != without and x] for q in (0, 1)}
+        if not of[0] or not of[1]:
+            return None
+        return Model(p, _dictionary(of[1], p.dictionary_bytes), _dictionary(of[0], p.dictionary_bytes), base_rate=rate, counts=total)
+
+    draft, parts = built(None), [built(f) for f in range(p.folds)]
+    if draft is None or None in parts:
+        return plain
+    sample = texts.join(F.broadcast(chosen(known, p.calibration_rows)), "doc_id").select("quality", "fold", "text")
+    sample = sample.mapInArrow(partial(_fold_features, models=parts), "quality int, difference double, share double")
     rows = sorted((r["quality"], r["difference"], r["share"]) for r in sample.collect())
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
-        return Model(p, base_rate=rate, counts=total)
+        return plain
     w, means, scales = _logistic(np.array([r[1:] for r in rows]), y)
     return Model(p, draft.good, draft.bad, tuple(w.tolist()), tuple(means.tolist()), tuple(scales.tolist()), rate, total)
 
