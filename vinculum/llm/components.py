@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import stage
+from vinculum.llm.common import stage, worker
 
 
+@worker("components")
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parent: dict[int, int] = {}
 

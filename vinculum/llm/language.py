@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import fresh, slices, stage
+from vinculum.llm.common import fresh, slices, stage, worker
 from vinculum.llm.shingles import text_buffer
 
 LANGUAGES = ("en", "fr", "de", "es")
@@ -87,6 +87,7 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (mixed >> np.uint32(32 - BUCKETS.bit_length() + 1)).astype(np.int64), np.searchsorted(where, offsets)
 
 
+@worker("language")
 def _counted(batches: Iterator[pa.RecordBatch], languages: Sequence[str]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(len(languages) * BUCKETS, np.int64)
     code = {l: i for i, l in enumerate(languages)}
@@ -105,11 +106,12 @@ def learn(labelled: DataFrame, p: Params = Params()) -> np.ndarray:
     """Log probabilities (language x bucket) from all rows of `labelled` (text, lang)."""
     rows = labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(partial(_counted, languages=p.languages), "cell long, n long")
     counts = np.ones((len(p.languages), BUCKETS))
-    for row in rows.groupBy("cell").agg(F.sum("n").alias("n")).collect():  # at most languages x buckets
+    for row in stage(rows.groupBy("cell").agg(F.sum("n").alias("n")), "language-cells").collect():  # at most languages x buckets
         counts[row["cell"] // BUCKETS, row["cell"] % BUCKETS] += row["n"]
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
+@worker("language")
 def _likelihoods(batches: Iterator[pa.RecordBatch], model: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Replaces the last column, the text, by its trigram count and mean log likelihoods."""
     table = np.ascontiguousarray(model.T)

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm import shingles as S
-from vinculum.llm.common import fresh, slices, stage
+from vinculum.llm.common import fresh, slices, stage, worker
 from vinculum.llm.components import components
 
 
@@ -89,6 +89,7 @@ def band_keys(signature: np.ndarray, p: Params) -> np.ndarray:
     return key
 
 
+@worker("near_dedup")
 def _signed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
@@ -160,6 +161,7 @@ def candidates(matrix: np.ndarray, signature: np.ndarray, p: Params, least: list
     return alive[shared]
 
 
+@worker("near_dedup")
 def _verified(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by (cluster, i, j, side): block i first, then block j against it."""
     least = least_matches(p)

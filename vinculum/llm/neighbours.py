@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vinculum.llm.common import stage
+from vinculum.llm.common import stage, worker
 
 
 @dataclass(frozen=True)
@@ -84,6 +84,7 @@ def _by_width(vectors: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarra
         yield rows, np.vstack([vectors[r] for r in rows])
 
 
+@worker("neighbours")
 def _hashed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     """Adds per row its bucket of each table, and the buckets it probes as a query."""
     for whole in batches:
@@ -111,6 +112,7 @@ def cosines(block: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (block * query).sum(axis=1) / (np.sqrt((block * block).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
+@worker("neighbours")
 def _reranked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by (block key, side): the block's vectors, then its queries."""
     group, ids, rows, block = None, [], [], None
@@ -170,6 +172,7 @@ def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFram
     asking = probing.join(blocks, key).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
     dealt = stored.select(columns).unionByName(asking.select(columns)).repartition(*key, "block").sortWithinPartitions(*key, "block", "side")
     found = dealt.mapInArrow(partial(_reranked, p=p), "query_id long, vec_id long, score double")
+    found = stage(found, "neighbour-found")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k per probed block
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= p.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -30,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import slices, stage
+from vinculum.llm.common import kept_by, slices, stage, worker
 from vinculum.llm.tokens import chunk_ids, text_ids
 
+kept_by("packing", chunk_ids.cache_clear)
+
 
 @dataclass(frozen=True)
 class Params:
@@ -42,6 +44,7 @@ class Params:
     repack_below: float = 0.97
 
 
+@worker("packing")
 def _cut(batches: Iterator[pa.RecordBatch], path: str, p: Params) -> Iterator[pa.RecordBatch]:
     table = chunk_ids(path)
     for batch in batches:

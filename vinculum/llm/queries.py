@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculum.llm import bpe, exact_dedup, language, licenses, near_dedup, neighbours, packing, quality, sharding, wordpiece
-from vinculum.llm.common import table
+from vinculum.llm.common import stage, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -76,7 +76,7 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.learn(docs, table(spark, sf_dir, "labels"))
     scored = quality.with_score(docs, model)
-    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), quality.held_out(F.col("doc_id")).alias("held_out"), "score", quality.predicted(model, F.col("score")).alias("predicted"))
+    return stage(scored.select(F.col("doc_id").cast("long").alias("doc_id"), quality.held_out(F.col("doc_id")).alias("held_out"), "score", quality.predicted(model, F.col("score")).alias("predicted")), "quality-scores")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
