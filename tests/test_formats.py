@@ -3,11 +3,17 @@
 
 from __future__ import annotations
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from vinculum.functions.text import first_or_null, join_errors, percent
 from vinculum.operators import report, resolve
+from vinculum import session
+from vinculum.plans import pipeline
 from vinculum.sources import store as ST
+from vinculum.sources.store import stage_table
 
 
 def test_percent_matches_python_formatting(spark):
@@ -29,19 +35,69 @@ def test_join_errors_and_first_element(spark):
 
 
 def test_request_text_formats(spark):
-    cat = spark.createDataFrame([("P1", "Name", "Prod", "Wine", 750, True)],
+    cat = spark.createDataFrame([("P1", "Name", "Prod", "Wine", 750, True), ("P2", "Other", "Prod", "Rum", 50, False)],
                                 "product_id string, canonical_name string, producer string, category string, "
                                 "size_ml int, vintage_required boolean")
-    line = resolve.block_context(cat).first().line
-    assert line == "P1 | Prod | Name | Wine | 750 | True"
+    lines = {r.product_id: r.line for r in resolve.block_context(cat).collect()}
+    assert lines == {"P1": "P1: Prod / Name (Wine, 750 ml, needs vintage)", "P2": "P2: Prod / Other (Rum, 50 ml)"}
     msg = spark.createDataFrame([("S1", "N", "P", "Rum", None, 700)],
                                 "i string, n string, p string, c string, v int, s int").select(
         resolve.user_message(*[F.col(c) for c in ("i", "n", "p", "c", "v", "s")]).alias("m")).first().m
-    assert msg == "Submission to match:\nsubmission_id: S1\nname: N\nproducer: P\ncategory: Rum\nvintage: None\nsize_ml: 700"
-    al = spark.createDataFrame([("van winkle", "Old Rip Van Winkle"), ("drc", "Domaine de la Romanee-Conti")],
-                               "alias string, canonical string")
-    text = resolve.system_text(al).first().system_text
-    assert "PRODUCER ALIASES:\ndrc -> Domaine de la Romanee-Conti\nvan winkle -> Old Rip Van Winkle\n\nCATALOG" in text
+    assert msg == "Which product is this? id=S1; name=N; producer=P; category=Rum; vintage=-; ml=700"
+    al = spark.createDataFrame([("k and b", "Kell and Byrne"), ("casa norte", "Casa del Norte")], "alias string, canonical string")
+    text = {(r.block_producer, r.line) for r in resolve.system_lines(al).collect()}
+    assert text == {(None, resolve.SYSTEM_HEAD), ("kell and byrne", "Kell and Byrne is also called k and b"),
+                    ("casa del norte", "Casa del Norte is also called casa norte")}
+
+
+def test_catalog_load_is_all_or_nothing(spark, tmp_path):
+    schema = "product_id string, canonical_name string, producer string, category string, size_ml int, vintage_required boolean"
+    path = str(tmp_path / "catalog")
+
+    def batch(*rows):
+        return spark.createDataFrame([(*r, False) for r in rows], schema)
+
+    first = batch(("P1", "A", "Prod", "Rum", 700), ("P2", "A", "Prod", "Rum", 1000))
+    ST.load_catalog(first, path)
+    for bad, rule in (
+        (first, "repeated product_id"),
+        (batch(("P9", "A", "Prod", "Rum", 700)), "repeated (canonical_name, producer, size_ml)"),
+        (batch(("P9", "B", "Prod", "Cider", 700)), "rows outside the domains"),
+    ):
+        with pytest.raises(ST.CatalogRejected) as e:
+            ST.load_catalog(bad, path)
+        assert rule in e.value.violations
+        assert spark.read.parquet(path).count() == 2
+    ST.load_catalog(batch(("P3", "B", "Prod", "Rum", 700)), path)
+    assert spark.read.parquet(path).count() == 3
+    ST.load_catalog(first, path, mode="overwrite")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_stored_ids_are_looked_up_in_the_index(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    for name, ids in (("a", range(0, 50)), ("b", range(50, 60))):
+        ST.write_ids(spark.createDataFrame([(f"S{i}", name) for i in ids], "submission_id string, import_id string"), path)
+    asked = spark.createDataFrame([("S1",), ("S1",), ("S55",), ("S99",), (None,)], "submission_id string")
+    assert sorted(r.submission_id for r in ST.stored_among(asked, path, "c").collect()) == ["S1", "S55"]
+    assert [r.submission_id for r in ST.stored_among(asked, path, "b").collect()] == ["S1"]  # a re-run doesn't see itself
+
+
+def test_printed_lists_are_complete(spark, tmp_path, capsys):
+    rows = spark.createDataFrame([("s", "m", 1234567)], "section string, metric string, value long")
+    long = spark.range(3000)
+    pipeline.print_report(rows, {"all_of_them": long}, str(tmp_path))
+    out = capsys.readouterr().out
+    assert "[s] m 1,234,567" in out and "3,000 rows" in out
+    assert spark.read.parquet(f"{tmp_path}/all_of_them").count() == 3000
+
+
+def test_scratch_tables_go_with_the_run(spark):
+    path = stage_table(spark.range(5), "gone").inputFiles()[0]
+    assert os.path.exists(path.removeprefix("file://"))
+    session.drop_scratch(spark)
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert stage_table(spark.range(5), "again").count() == 5
 
 
 def test_status_counts_in_declaration_order(spark):

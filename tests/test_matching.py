@@ -4,157 +4,213 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
+from vinculum import schemas as S
 from vinculum.operators import dedup, ingest, match, resolve
+from vinculum.sources.store import stage_table
 
-CAT_SCHEMA = "product_id string, canonical_name string, producer string, category string, size_ml int, vintage_required boolean"
-SUB_SCHEMA = "submission_id string, name string, producer string, category string, vintage int, size_ml int, position long"
-ALIASES = [("macallan", "The Macallan")]
-
-
-def _product(**kw):
-    d = dict(product_id="PROD-1", canonical_name="Chateau Margaux", producer="Chateau Margaux", category="Wine",
-             size_ml=750, vintage_required=False)
-    d.update(kw)
-    return tuple(d[k] for k in ("product_id", "canonical_name", "producer", "category", "size_ml", "vintage_required"))
-
-
-def _sub(pos=1, **kw):
-    d = dict(submission_id="SUB-1", name="Chateau Margaux", producer="Chateau Margaux", category="Wine",
-             vintage=2015, size_ml=750)
-    d.update(kw)
-    return tuple(d[k] for k in ("submission_id", "name", "producer", "category", "vintage", "size_ml")) + (pos,)
-
-
-def _tier1(spark, products, subs):
-    cat = spark.createDataFrame(products, CAT_SCHEMA)
-    al = spark.createDataFrame(ALIASES, "alias string, canonical string")
-    st = ingest.import_records(spark.createDataFrame(subs, SUB_SCHEMA), "imp", RUN_TS).state
-    st = dedup.mark_exact_duplicates(st)
-    out = match.match_tier1(st, cat, al, RUN_TS)
-    return {r.submission_id: r for r in out.collect()}, out, cat
-
-
-def test_exact_match(spark):
-    r, _, _ = _tier1(spark, [_product()], [_sub()])
-    assert (r["SUB-1"].status, r["SUB-1"].decision, r["SUB-1"].matched_product_id) == ("matched", "exact_match", "PROD-1")
-
-
-def test_case_punctuation_and_alias(spark):
-    r, _, _ = _tier1(
-        spark,
-        [_product(), _product(product_id="PROD-2", canonical_name="Macallan 18 Sherry Oak", producer="The Macallan",
-                              category="Whisky")],
-        [_sub(name="CHATEAU-MARGAUX!"), _sub(2, submission_id="SUB-2", name="macallan 18", producer=" Macallan ",
-                                            category="Whisky")],
-    )
-    assert r["SUB-1"].matched_product_id == "PROD-1"
-    assert r["SUB-2"].matched_product_id == "PROD-2"
-
-
-def test_unknown_category_no_candidate_and_name_mismatch(spark):
-    r, _, _ = _tier1(
-        spark,
-        [_product()],
-        [_sub(category="Beer"), _sub(2, submission_id="SUB-2", producer="Other"),
-         _sub(3, submission_id="SUB-3", name="Margaux Pavillon Rouge")],
-    )
-    assert (r["SUB-1"].status, r["SUB-1"].explanation) == ("no_match", "category_mismatch")
-    assert (r["SUB-2"].status, r["SUB-2"].decision) == ("unmatched", None)
-    assert r["SUB-3"].status == "unmatched"
-
-
-def test_subset_two_candidates_and_size_rules(spark):
-    prods = [
-        _product(product_id="P1", canonical_name="Margaux Grand Vin"),
-        _product(product_id="P2", canonical_name="Margaux Second Vin"),
-        _product(product_id="P3", canonical_name="Lone Cuvee", size_ml=1500),
-        _product(product_id="P4", canonical_name="Twin Cuvee", size_ml=1500),
-        _product(product_id="P5", canonical_name="Twin Cuvee", size_ml=3000),
-    ]
-    r, _, _ = _tier1(spark, prods, [
-        _sub(name="Margaux Grand"),
-        _sub(2, submission_id="SUB-2", name="Margaux"),
-        _sub(3, submission_id="SUB-3", name="Lone Cuvee"),
-        _sub(4, submission_id="SUB-4", name="Twin Cuvee"),
-        _sub(5, submission_id="SUB-5", name="!!!"),
-    ])
-    assert r["SUB-1"].matched_product_id == "P1"
-    assert (r["SUB-2"].status, r["SUB-2"].matched_product_id, r["SUB-2"].explanation) == (
-        "review", None, "multiple_candidates")
-    assert (r["SUB-3"].status, r["SUB-3"].explanation) == ("no_match", "size_ml_mismatch")
-    assert r["SUB-4"].status == "unmatched"  # same name in two other sizes
-    assert (r["SUB-5"].status, r["SUB-5"].explanation) == ("review", "multiple_candidates")  # empty tokens
+CATALOG = "product_id string, canonical_name string, producer string, category string, size_ml int, vintage_required boolean"
+RECORD = "submission_id string, name string, producer string, category string, vintage int, size_ml int, position long"
+OTHER_NAMES = [("casa norte", "Casa del Norte"), ("k&b", "Kell and Byrne")]
+
+
+def catalog(spark, *rows):
+    """Rows (id, name[, producer, category, size, needs vintage])."""
+    defaults = (None, None, "Casa del Norte", "Tequila", 700, False)
+    return spark.createDataFrame([(*r, *defaults[len(r):]) for r in rows], CATALOG)
+
+
+def records(spark, *rows):
+    """Rows (id, name[, producer, category, vintage, size])."""
+    defaults = (None, None, "Casa del Norte", "Tequila", 1999, 700)
+    return spark.createDataFrame([(*r, *defaults[len(r):], i) for i, r in enumerate(rows)], RECORD)
+
+
+def tier1(spark, cat, recs, **options):
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    state = stage_table(dedup.mark_exact_duplicates(ingest.import_records(recs, "imp", RUN_TS).state), "test")
+    return stage_table(match.match_tier1(state, cat, names, RUN_TS, **options), "test")
+
+
+def by_id(state):
+    return {r.submission_id: r for r in state.collect()}
+
+
+def test_one_product_in_any_spelling(spark):
+    cat = catalog(spark, ("A1", "Reposado Azul 12"), ("B1", "Harbour Peated", "Kell and Byrne", "Whisky", 500))
+    got = by_id(tier1(spark, cat, records(
+        spark, ("r1", "Reposado Azul 12"), ("r2", "azul, REPOSADO-12", " Casa Norte\t"), ("r3", "peated", "K&B", "Whisky", None, 500))))
+    assert {k: (r.status, r.decision, r.matched_product_id) for k, r in got.items()} == {
+        "r1": ("matched", "exact_match", "A1"), "r2": ("matched", "exact_match", "A1"), "r3": ("matched", "exact_match", "B1")}
+
+
+def test_out_of_scope_unknown_producer_and_foreign_token(spark):
+    cat = catalog(spark, ("A1", "Reposado Azul"))
+    got = by_id(tier1(spark, cat, records(
+        spark, ("r1", "Reposado Azul", "Casa del Norte", "Cider"), ("r2", "Reposado Azul", "Nobody"), ("r3", "Reposado Azul Viejo"))))
+    assert (got["r1"].status, got["r1"].decision, got["r1"].explanation) == ("no_match", "no_match", "category_mismatch")
+    assert (got["r2"].status, got["r2"].decision) == ("unmatched", None)
+    assert got["r3"].status == "unmatched"
+
+
+def test_several_candidates_and_sizes(spark):
+    cat = catalog(
+        spark, ("A1", "Cedro Blanco Uno"), ("A2", "Cedro Blanco Dos"), ("A3", "Piedra Lisa", "Casa del Norte", "Tequila", 1000),
+        ("A4", "Doble Sol", "Casa del Norte", "Tequila", 1000), ("A5", "Doble Sol", "Casa del Norte", "Tequila", 3000))
+    got = by_id(tier1(spark, cat, records(
+        spark, ("r1", "Blanco Dos"), ("r2", "Cedro"), ("r3", "Piedra Lisa"), ("r4", "Doble Sol"), ("r5", "?!"))))
+    assert got["r1"].matched_product_id == "A2"
+    assert (got["r2"].status, got["r2"].matched_product_id, got["r2"].explanation) == ("review", None, "multiple_candidates")
+    assert (got["r3"].status, got["r3"].explanation) == ("no_match", "size_ml_mismatch")
+    assert got["r4"].status == "unmatched"  # the name exists in two other sizes
+    assert (got["r5"].status, got["r5"].explanation) == ("review", "multiple_candidates")  # no tokens: the whole block
+    strict = by_id(tier1(spark, cat, records(spark, ("r5", "?!")), require_tokens=True))
+    assert strict["r5"].status == "unmatched"
 
 
 def test_vintage_required(spark):
-    prods = [_product(vintage_required=True)]
-    r, _, _ = _tier1(spark, prods, [_sub(vintage=None), _sub(2, submission_id="SUB-2", name="Chateau Margaux 2015")])
-    assert (r["SUB-1"].status, r["SUB-1"].matched_product_id, r["SUB-1"].explanation) == (
-        "review", "PROD-1", "vintage_required_missing")
-    r2, _, _ = _tier1(spark, prods, [_sub(vintage=2015)])
-    assert r2["SUB-1"].status == "matched"
-
-
-def test_exact_duplicates_propagation_and_near_duplicate_sweep(spark):
-    _, st, _ = _tier1(spark, [_product()], [
-        _sub(1, submission_id="SUB-3"),
-        _sub(2, submission_id="SUB-1"),
-        _sub(3, submission_id="SUB-2", name="chateau margaux"),
-    ])
-    st = dedup.propagate_to_duplicates(st)
-    r = {x.submission_id: x for x in st.collect()}
-    assert (r["SUB-3"].status, r["SUB-3"].duplicate_of, r["SUB-3"].matched_product_id) == (
-        "exact_duplicate", "SUB-1", "PROD-1")
-    swept = dedup.mark_near_duplicates(st)
-    r = {x.submission_id: x for x in swept.collect()}
-    assert (r["SUB-2"].status, r["SUB-2"].duplicate_of) == ("near_duplicate", "SUB-1")
-    assert r["SUB-1"].status == "matched"
-    again = {x.submission_id: x.status for x in dedup.mark_near_duplicates(swept).collect()}
-    assert again == {k: v.status for k, v in r.items()}  # idempotent
+    cat = catalog(spark, ("A1", "Gran Reserva", "Casa del Norte", "Wine", 750, True))
+    rec = ("Gran Reserva", "Casa del Norte", "Wine")
+    got = by_id(tier1(spark, cat, records(spark, ("r1", *rec, None, 750), ("r2", *rec, 1988, 750))))
+    assert (got["r1"].status, got["r1"].matched_product_id, got["r1"].explanation) == ("review", "A1", "vintage_required_missing")
+    assert (got["r2"].status, got["r2"].matched_product_id) == ("matched", "A1")
+
+
+def test_copies_propagation_sweep_and_reruns(spark):
+    cat = catalog(spark, ("A1", "Lluvia"))
+    raw = stage_table(ingest.import_records(records(spark, ("r9", "Lluvia"), ("r4", "Lluvia"), ("r6", "LLUVIA")), "imp", RUN_TS).state, "test")
+    assert [tuple(r) for r in dedup.exact_duplicate_summary(raw).collect()] == [(1, 1)]
+    once = stage_table(dedup.mark_exact_duplicates(raw), "test")
+    assert [tuple(r) for r in dedup.exact_duplicate_summary(once).collect()] == [(0, 0)]
+    assert by_id(dedup.mark_exact_duplicates(once)) == by_id(once)
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    state = stage_table(dedup.propagate_to_duplicates(match.match_tier1(once, cat, names, RUN_TS)), "test")
+    assert [tuple(r) for r in dedup.near_duplicate_summary(state).collect()] == [(1, 1)]
+    swept = stage_table(dedup.mark_near_duplicates(state), "test")
+    got = by_id(swept)
+    assert (got["r9"].status, got["r9"].duplicate_of, got["r9"].matched_product_id) == ("exact_duplicate", "r4", "A1")
+    assert (got["r6"].status, got["r6"].duplicate_of, got["r4"].status) == ("near_duplicate", "r4", "matched")
+    assert [tuple(r) for r in dedup.near_duplicate_summary(swept).collect()] == [(0, 0)]
+    assert by_id(dedup.mark_near_duplicates(swept)) == got
 
 
 def test_review_rows_never_cluster(spark):
-    _, st, _ = _tier1(spark, [_product(vintage_required=True)], [
-        _sub(vintage=None), _sub(2, submission_id="SUB-2", name="Chateau Margaux Grand", vintage=None)])
-    assert {x.status for x in dedup.mark_near_duplicates(st).collect()} == {"review", "unmatched"}
-
-
-def _decision(dec, conf, ids, reason="r"):
-    return json.dumps({"decision": dec, "confidence": conf, "candidate_product_ids": ids, "reason": reason})
-
-
-def test_tier2_rules_cache_and_errors(spark):
-    prods = [_product()]
-    subs = [_sub(i + 1, submission_id=f"U{i}", name=f"unknown wine {i}") for i in range(6)]
-    _, st, cat = _tier1(spark, prods, subs)
-    fps = {r.submission_id: r.fingerprint for r in st.collect()}
-    decisions = spark.createDataFrame([
-        (fps["U0"], _decision("possible_match", 0.85, ["PROD-1"]), None),
-        (fps["U1"], _decision("possible_match", 0.8499, ["PROD-1"]), None),
-        (fps["U2"], _decision("exact_match", 0.99, ["PROD-1"]), None),
-        (fps["U3"], _decision("no_match", 0.1, []), None),
-        (fps["U4"], None, "TimeoutError: slow"),
-        (fps["U5"], "not json", None),
-    ], "fingerprint string, llm_output string, llm_error string")
-    out = resolve.resolve_unmatched(st, resolve.table_resolver(decisions), history=None,
-                                    catalog_ids=cat.select("product_id"), model_id="m", run_ts=RUN_TS)
-    r = {x.submission_id: x for x in out.collect()}
-    assert (r["U0"].status, r["U0"].decision, r["U0"].matched_product_id) == ("matched", "possible_match", "PROD-1")
-    assert (r["U1"].status, r["U1"].explanation, r["U1"].matched_product_id) == ("review", "llm_human_review", "PROD-1")
-    assert r["U2"].decision == "possible_match"  # capped below exact_match
-    assert (r["U3"].status, r["U3"].explanation) == ("no_match", "llm_no_match")
-    assert (r["U4"].status, r["U4"].explanation, r["U4"].llm_reason) == ("review", "llm_unavailable", "TimeoutError: slow")
-    assert r["U4"].llm_output is None and r["U4"].llm_prompt_version == "v2"
-    assert r["U5"].explanation == "llm_unavailable"
-
-    # cache: the oldest stored answer of this model and prompt version wins; no resolver call
-    hist = out.withColumn("import_id", F.lit("old"))
-    never = resolve.function_resolver(lambda rec: (_ for _ in ()).throw(RuntimeError("called")))
-    again = resolve.resolve_unmatched(st, never, history=hist, catalog_ids=cat.select("product_id"),
-                                      model_id="m", run_ts=RUN_TS)
-    r2 = {x.submission_id: x for x in again.collect()}
-    assert r2["U0"].llm_source == "cache" and r2["U0"].status == "matched"
-    assert r2["U4"].llm_source == "error" and r2["U4"].llm_reason == "RuntimeError: called"
+    cat = catalog(spark, ("A1", "Gran Reserva", "Casa del Norte", "Wine", 750, True))
+    state = tier1(spark, cat, records(spark, ("r1", "Gran", "Casa del Norte", "Wine", None, 750), ("r2", "Reserva", "Casa del Norte", "Wine", None, 750)))
+    assert {r.status for r in dedup.mark_near_duplicates(state).collect()} == {"review"}
+
+
+def test_index_is_built_once(spark, tmp_path):
+    cat = catalog(spark, ("A1", "Lluvia"), ("A2", "Lluvia Fina"))
+    match.build_index(cat, str(tmp_path / "index"))
+    index = match.read_index(spark, str(tmp_path / "index"))
+    assert by_id(tier1(spark, index, records(spark, ("r1", "Fina"))))["r1"].matched_product_id == "A2"
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    out = match.match_tier1(ingest.import_records(records(spark, ("r1", "Fina")), "imp", RUN_TS).state, index, names, RUN_TS)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(p_tokens" not in plan  # the catalog's tokens are read, not exploded again
+
+
+def answer(decision, confidence, ids, reason="because"):
+    return json.dumps({"decision": decision, "confidence": confidence, "candidate_product_ids": ids, "reason": reason})
+
+
+ANSWERS = {
+    "u0": (answer("possible_match", 0.85, ["A1"]), None),
+    "u1": (answer("possible_match", 0.8499, ["A1"]), None),
+    "u2": (answer("exact_match", 0.99, ["A1"]), None),
+    "u3": (answer("no_match", 0.1, []), None),
+    "u4": (None, "TimeoutError: slow"),
+    "u5": ("not json", None),
+    "u6": (answer("possible_match", 0.9, []), None),
+    "u7": (answer("possible_match", 0.9, ["NOWHERE"]), None),
+}
+
+
+def undecided(spark, n):
+    cat = catalog(spark, ("A1", "Lluvia"))
+    return cat, tier1(spark, cat, records(spark, *[(f"u{i}", f"strange {'x' * i}", "Casa del Norte", "Tequila", 1990 if i % 2 else None) for i in range(n)]))
+
+
+def resolved(spark, cat, state, resolver, **options):
+    return resolve.resolve_unmatched(state, resolver, history=options.pop("history", None), catalog_ids=cat.select("product_id"),
+                                     model_id="m", run_ts=RUN_TS, **options)
+
+
+def test_answers_cache_and_errors(spark):
+    cat, state = undecided(spark, len(ANSWERS))
+    prints = {r.submission_id: r.fingerprint for r in state.collect()}
+    table = spark.createDataFrame([(prints[k], *v) for k, v in ANSWERS.items()], "fingerprint string, llm_output string, llm_error string")
+    out = resolved(spark, cat, state, resolve.table_resolver(table))
+    got = by_id(out)
+    view = {k: (r.status, r.decision, r.matched_product_id, r.explanation) for k, r in got.items()}
+    assert view == {
+        "u0": ("matched", "possible_match", "A1", "llm_possible_match"),
+        "u1": ("review", "human_review", "A1", "llm_human_review"),
+        "u2": ("matched", "possible_match", "A1", "llm_possible_match"),  # never above possible_match
+        "u3": ("no_match", "no_match", None, "llm_no_match"),
+        "u4": ("review", "human_review", None, "llm_unavailable"),
+        "u5": ("review", "human_review", None, "llm_unavailable"),
+        "u6": ("review", "human_review", None, "llm_human_review"),
+        "u7": ("review", "human_review", None, "llm_human_review"),
+    }
+    assert got["u4"].llm_reason == "TimeoutError: slow" and got["u4"].llm_output is None
+    assert got["u4"].llm_prompt_version == S.PROMPT_VERSION
+    unchecked = by_id(resolved(spark, cat, state, resolve.table_resolver(table), null_candidate_to_review=False))
+    assert (unchecked["u6"].status, unchecked["u6"].matched_product_id) == ("matched", None)
+    assert (unchecked["u7"].status, unchecked["u7"].matched_product_id) == ("matched", "NOWHERE")
+
+    def never(record):
+        raise RuntimeError("asked")
+
+    again = by_id(resolved(spark, cat, state, resolve.function_resolver(never), history=out.withColumn("import_id", F.lit("old"))))
+    assert (again["u0"].llm_source, again["u0"].status) == ("cache", "matched")
+    assert (again["u4"].llm_source, again["u4"].llm_reason) == ("error", "RuntimeError: asked")
+
+
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_resolver_gets_plain_values_whatever_the_batch(spark, batch):
+    """Nulls are None and integers ints, alone or beside other values in a batch."""
+    cat, state = undecided(spark, 8)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, batch)
+    try:
+        def describe(record):
+            return answer("human_review", 0.5, [], repr(sorted(record.items())))
+
+        got = by_id(resolved(spark, cat, state.coalesce(1), resolve.function_resolver(describe, concurrency=3)))
+    finally:
+        spark.conf.set(key, before)
+    for i in range(8):
+        assert got[f"u{i}"].llm_reason == repr([("category", "Tequila"), ("name", f"strange {'x' * i}".strip()), ("producer", "Casa del Norte"),
+                                                ("size_ml", 700), ("submission_id", f"u{i}"), ("vintage", 1990 if i % 2 else None)])
+
+
+def test_resolver_tries_again(spark):
+    cat, state = undecided(spark, 1)
+    calls = spark.sparkContext.accumulator(0)
+
+    def flaky(record):
+        calls.add(1)
+        raise ValueError("no")
+
+    got = by_id(resolved(spark, cat, state, resolve.function_resolver(flaky, attempts=3)))
+    assert got["u0"].llm_reason == "ValueError: no" and calls.value == 3
+
+
+def test_context_of_other_names_and_misspelt_producers(spark):
+    cat = catalog(spark, ("A1", "Cedro Blanco"), ("A2", "Cedro Negro"), ("W1", "Cedro Blanco", "Casa del Norte", "Wine"),
+                  ("B1", "Blanco", "Otra Casa"))
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    state = tier1(spark, cat, records(spark, ("r1", "Cedro Rojo", "casa norte"), ("r2", "Cedro Blnco", "Csa del Nrte"), ("r3", "zzz", "qqq")))
+    got = by_id(resolve.request_table(state, cat, names))
+    assert (got["r1"].block_producer, got["r1"].block_products, got["r1"].found_products) == ("casa del norte", 2, 0)
+    assert (got["r2"].block_products, got["r2"].found_products) == (0, 2)
+    assert (got["r3"].block_products, got["r3"].found_products) == (0, 0)  # nothing in the category shares a token
+    found = sorted((r.submission_id, r["rank"], r.product_id, r.shared) for r in resolve.request_candidates(state, cat, names).collect())
+    assert found == [("r2", 1, "A1", 2), ("r2", 2, "A2", 2)]

@@ -57,7 +57,7 @@ def _range_check(iv: Column, vmax: int) -> Column:
 def _size_check(present: Column, size_value: Column) -> tuple[Column, Column]:
     ok = size_value.isin(*S.SIZES_ML)
     err = F.when(~present, F.lit(S.MSG_REQUIRED)).when(~F.coalesce(ok, F.lit(False)), F.lit(S.MSG_SIZE))
-    clean = F.when(err.isNull(), size_value.cast("int"))
+    clean = F.when(err.isNull(), size_value.try_cast("int"))
     return clean, err
 
 
@@ -89,6 +89,10 @@ def _is_numeric(t: Column) -> Column:
     return _is_int_type(t) | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT")
 
 
+def _has_fraction(number: Column) -> Column:
+    return number % 1 != 0
+
+
 def variant_checks(vintage_max: int = S.VINTAGE_MAX) -> dict[str, tuple[Column, Column]]:
     """Checks for VARIANT columns with the same names (see module docstring)."""
     out: dict[str, tuple[Column, Column]] = {}
@@ -101,31 +105,31 @@ def variant_checks(vintage_max: int = S.VINTAGE_MAX) -> dict[str, tuple[Column,
     v = F.col("vintage")
     t = _vtype(v)
     missing = v.isNull() | F.is_variant_null(v)
+    # As doubles, so that a number of any size is judged by its range; what passes is exact.
     num = F.try_variant_get(v, "$", "double")
     text = strip_unicode(F.try_variant_get(v, "$", "string"))
     text_ok = text.rlike(_INT_TEXT)
-    text_int = F.regexp_replace(F.regexp_replace(text, "_", ""), r"\.0*$", "").try_cast("bigint")
+    text_num = F.regexp_replace(F.regexp_replace(text, "_", ""), r"\.0*$", "").try_cast("double")
     iv = (
-        F.when(_is_int_type(t), F.try_variant_get(v, "$", "bigint"))
-        .when(_is_numeric(t) & (num == F.floor(num)), num.cast("bigint"))
-        .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-        .when((t == "STRING") & text_ok, text_int)
+        F.when(_is_numeric(t) & ~_has_fraction(num), num)
+        .when(t == "BOOLEAN", F.when(F.try_variant_get(v, "$", "boolean"), F.lit(1.0)).otherwise(F.lit(0.0)))
+        .when((t == "STRING") & text_ok, text_num)
     )
     type_err = (
         F.when(missing, _null("string"))
-        .when(_is_numeric(t) & (num != F.floor(num)), F.lit(S.MSG_INT_FRACTION))
-        .when((t == "STRING") & (~text_ok | text_int.isNull()), F.lit(S.MSG_INT_PARSE))
+        .when(_is_numeric(t) & _has_fraction(num), F.lit(S.MSG_INT_FRACTION))
+        .when((t == "STRING") & ~text_ok, F.lit(S.MSG_INT_PARSE))
         .when(~(_is_numeric(t) | t.isin("BOOLEAN", "STRING")), F.lit(S.MSG_INT_TYPE))
     )
     v_err = F.when(missing, _null("string")).otherwise(F.coalesce(type_err, _range_check(iv, vintage_max)))
-    out["vintage"] = (F.when(missing | v_err.isNotNull(), _null("int")).otherwise(iv.cast("int")), v_err)
+    out["vintage"] = (F.when(missing | v_err.isNotNull(), _null("int")).otherwise(iv.try_cast("int")), v_err)
 
     # size_ml: required; a JSON number with an integral value in the allowed list
     s = F.col("size_ml")
     st = _vtype(s)
     snum = F.try_variant_get(s, "$", "double")
     size_value = F.when(
-        F.coalesce(~F.is_variant_null(s) & _is_numeric(st) & (snum == F.floor(snum)), F.lit(False)), snum.cast("bigint")
+        F.coalesce(~F.is_variant_null(s) & _is_numeric(st) & ~_has_fraction(snum), F.lit(False)), snum
     )
     out["size_ml"] = _size_check(s.isNotNull(), size_value)
     return out

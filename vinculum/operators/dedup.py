@@ -2,9 +2,11 @@
 
 Groups are found with a plain aggregate (``min(submission_id)``, ``count``) keyed by
 (import_id, fingerprint) or (import_id, matched_product_id): partial aggregation keeps a hot
-key cheap, and no group is ever collected into one task.  The verdict is joined back only to
-the rows that can change (pending / matched / exact_duplicate); every other row passes through
-without a shuffle, and rows with a null key never reach a join (no null-key skew).
+key cheap, and no group is ever collected into one task.  Only groups of two or more are joined
+back, and only to the rows that can change (pending / matched / exact_duplicate); every other
+row passes through without a shuffle.  Both sides of these joins are shuffled for the join
+(:func:`vinculum.operators.joins.reshuffled`), so adaptive execution splits a key that holds a
+third of the rows.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vinculum.operators.joins import reshuffled
+
 
 def _groups(rows: DataFrame, key: str) -> DataFrame:
     return (
@@ -40,7 +44,7 @@ def mark_exact_duplicates(state: DataFrame) -> DataFrame:
     cand = (F.col("status") == "pending") & F.col("fingerprint").isNotNull()
     pend = state.filter(cand)
     rest = state.filter(~cand | cand.isNull())
-    groups = _groups(pend, "fingerprint").select("import_id", "fingerprint", "survivor")
+    groups = reshuffled(_groups(pend, "fingerprint").select("import_id", "fingerprint", "survivor"), "fingerprint")
     j = pend.join(groups, ["import_id", "fingerprint"], "left")
     demote = F.col("survivor").isNotNull() & (F.col("submission_id") != F.col("survivor"))
     out = j.withColumn("status", F.when(demote, F.lit("exact_duplicate")).otherwise(F.col("status"))).withColumn(
@@ -66,6 +70,7 @@ def mark_near_duplicates(state: DataFrame) -> DataFrame:
     groups = _groups(m, "matched_product_id").select(
         F.col("import_id").alias("g_import_id"), F.col("matched_product_id").alias("g_pid"), "survivor"
     )
+    groups = reshuffled(groups, "g_pid")
     j = m.join(
         groups,
         (m.import_id == groups.g_import_id) & m.matched_product_id.eqNullSafe(groups.g_pid),
@@ -97,18 +102,22 @@ def propagate_to_duplicates(state: DataFrame) -> DataFrame:
     return rest.unionByName(out.select(*state.columns))
 
 
-def exact_duplicate_summary(state: DataFrame) -> DataFrame:
-    """A5: clusters and demoted rows."""
-    d = state.filter(F.col("status") == "exact_duplicate")
-    return d.agg(
-        F.count_distinct("duplicate_of").alias("clusters"),
-        F.count(F.lit(1)).alias("demoted"),
+def _step_summary(groups: DataFrame) -> DataFrame:
+    """What a demotion step does to the rows it is given: groups, and rows demoted in them."""
+    return groups.agg(
+        F.count(F.lit(1)).alias("clusters"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count(F.lit(1))).alias("demoted"),
     )
 
 
-def near_duplicate_summary(state: DataFrame) -> DataFrame:
-    d = state.filter(F.col("status") == "near_duplicate")
-    return d.agg(
-        F.count_distinct("duplicate_of").alias("clusters"),
-        F.count(F.lit(1)).alias("demoted"),
-    )
+def exact_duplicate_summary(before: DataFrame) -> DataFrame:
+    """A5: clusters and rows that :func:`mark_exact_duplicates` demotes in the state ``before`` it.
+
+    On a state that has been through the step already, both are 0 (U6).
+    """
+    return _step_summary(exact_duplicate_groups(before))
+
+
+def near_duplicate_summary(before: DataFrame) -> DataFrame:
+    """A5 for the sweep: clusters and rows that :func:`mark_near_duplicates` demotes."""
+    return _step_summary(near_duplicate_groups(before))

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
+from vinculum.functions import record as R
 from vinculum.functions import validate as V
 
 
-
 def _null(dtype: str) -> Column:
     return F.lit(None).cast(dtype)
 
@@ -28,40 +28,48 @@ class Imported:
     """Output of :func:`import_records`."""
 
     state: DataFrame  # inserted rows, STATE_COLUMNS
-    records: DataFrame  # every input record: submission_id, position, skip (null when it has an id)
+    records: DataFrame  # every input record: submission_id, skip (null when it has a usable id), raw_json where skip is set
     stored_ids: DataFrame | None  # ids already stored before this import
 
     def skipped(self) -> DataFrame:
-        """Rows that were not inserted, with the reason (missing_id, invalid_id, duplicate_id)."""
-        no_id = self.records.filter(F.col("skip").isNotNull()).select(
-            "submission_id", "position", F.col("skip").alias("reason")
-        )
-        with_id = self.records.filter(F.col("skip").isNull()).select("submission_id", "position")
-        kept = self.state.select("submission_id", "position")
-        dup = with_id.join(kept, ["submission_id", "position"], "left_anti").select(
-            "submission_id", "position", F.lit("duplicate_id").alias("reason")
+        """Records that were not inserted: (submission_id, reason, n), n records each.
+
+        Counted per id (records less the one kept), so records that are equal in every column,
+        input position included, are counted too.
+        """
+        rec = self.records.groupBy("submission_id", "skip").agg(F.count(F.lit(1)).alias("n"))
+        kept = self.state.select("submission_id", F.lit(1).alias("kept"))
+        dup = rec.filter(F.col("skip").isNull()).join(kept, "submission_id", "left").select(
+            "submission_id", F.lit("duplicate_id").alias("reason"), (F.col("n") - F.coalesce("kept", F.lit(0))).alias("n")
         )
-        return no_id.unionByName(dup)
+        no_id = rec.filter(F.col("skip").isNotNull()).select("submission_id", F.col("skip").alias("reason"), "n")
+        return no_id.unionByName(dup.filter("n > 0"))
+
+    def rejected(self) -> DataFrame:
+        """Records without a usable id, whole: (reason, raw_json)."""
+        return self.records.filter(F.col("skip").isNotNull()).select(F.col("skip").alias("reason"), "raw_json")
 
     def summary(self) -> DataFrame:
         """A6 in long form: metric, value."""
         rec = self.records.agg(
             F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col("skip") == "missing_id").alias("skipped_missing_id"),
-            F.count_if(F.col("skip") == "invalid_id").alias("skipped_invalid_id"),
+            *[F.count_if(F.col("skip") == r).alias(f"skipped_{r}") for r in S.SKIP_REASONS[:-1]],
             F.count_if(F.col("skip").isNull()).alias("with_id"),
         )
         ins = self.state.agg(F.count(F.lit(1)).alias("inserted"))
-        rows = rec.select(
-            F.stack(
-                F.lit(4),
-                F.lit("total"), F.col("total"),
-                F.lit("skipped_missing_id"), F.col("skipped_missing_id"),
-                F.lit("skipped_invalid_id"), F.col("skipped_invalid_id"),
-                F.lit("with_id"), F.col("with_id"),
-            ).alias("metric", "value")
-        )
-        return rows.unionByName(ins.select(F.lit("inserted").alias("metric"), F.col("inserted").alias("value")))
+
+        def long(df: DataFrame, items: list[tuple[str, Column]]) -> DataFrame:
+            args = [x for name, value in items for x in (F.lit(name), value)]
+            return df.select(F.stack(F.lit(len(items)), *args).alias("metric", "value"))
+
+        # what has an id but was not inserted is a repeated id: one sum over both counts
+        rows = long(rec, [*[(c, F.col(c)) for c in rec.columns], ("skipped_duplicate_id", F.col("with_id"))])
+        rows = rows.unionByName(long(ins, [("inserted", F.col("inserted")), ("skipped_duplicate_id", -F.col("inserted"))]))
+        return rows.groupBy("metric").agg(F.sum("value").alias("value"))
+
+
+#: Columns of a raw record that are not part of the record itself.
+_ABOUT = ("position", "id_invalid", "record_invalid", "raw_json", "skip")
 
 
 def import_records(
@@ -75,26 +83,44 @@ def import_records(
 ) -> Imported:
     """Validate and keep one row per new submission id.
 
-    ``raw`` has ``submission_id`` (string; null or ``""`` means missing), the five fields
-    (typed, or VARIANT when ``variant``), ``position`` (orderable) and optionally a boolean
-    ``id_invalid`` (a non-string id in JSON input).
+    ``raw`` has ``submission_id`` (string; null or ``""`` means missing), ``position``
+    (orderable), and either the five fields typed, any further columns being kept in the raw
+    record, or, with ``variant``, the record text ``raw_json`` with the flags of
+    :func:`vinculum.functions.record.with_id`.
+
+    First-wins comes before validation: the aggregate carries the record only, and rows that
+    lose are never validated.
     """
-    id_invalid = F.col("id_invalid") if "id_invalid" in raw.columns else F.lit(False)
     sid = F.col("submission_id")
-    skip = F.when(id_invalid, F.lit("invalid_id")).when(sid.isNull() | (sid == ""), F.lit("missing_id"))
-    records = raw.withColumn("skip", skip)
 
-    checks = V.variant_checks(vintage_max) if variant else V.typed_checks(vintage_max)
-    raw_json = F.to_json(F.struct(*[F.col(c) for c in ("submission_id", *V.FIELDS)]))
-    with_id = records.filter(F.col("skip").isNull())
-    trimmed = with_id.select("*", *V.trimmed_columns(variant))
-    candidates = trimmed.select("submission_id", "position", raw_json.alias("raw_json"), *V.validated(checks))
-    value_cols = [c for c in candidates.columns if c not in ("submission_id",)]
-    first = candidates.groupBy("submission_id").agg(
-        F.min_by(F.struct(*value_cols), F.col("position")).alias("r")
-    ).select("submission_id", "r.*")
+    def flag(name: str) -> Column:
+        return F.col(name) if name in raw.columns else F.lit(False)
+
+    skip = (
+        F.when(flag("record_invalid"), F.lit("invalid_record"))
+        .when(flag("id_invalid"), F.lit("invalid_id"))
+        .when(sid.isNull() | (sid == ""), F.lit("missing_id"))
+    )
+    if "raw_json" not in raw.columns:
+        whole = [F.col(f"`{c}`") for c in raw.columns if c not in _ABOUT]
+        record = lambda: F.to_json(F.struct(*whole))
+    else:
+        record = lambda: F.col("raw_json")
+    records = raw.withColumn("skip", skip)
+    carried = ["raw_json"] if variant else [c for c in raw.columns if c not in ("submission_id", "position", "id_invalid", "record_invalid")]
+    first = (
+        records.filter(F.col("skip").isNull())
+        .groupBy("submission_id")
+        .agg(F.min_by(F.struct("position", *[F.col(f"`{c}`") for c in carried]), F.col("position")).alias("r"))
+        .select("submission_id", "r.*")
+    )
     if stored_ids is not None:
         first = first.join(stored_ids.select("submission_id"), "submission_id", "left_anti")
+    if variant:
+        first = R.with_fields(first)
+    checks = V.variant_checks(vintage_max) if variant else V.typed_checks(vintage_max)
+    trimmed = first.select("*", *V.trimmed_columns(variant))
+    first = trimmed.select("submission_id", "position", record().alias("raw_json"), *V.validated(checks))
 
     ts = F.lit(run_ts).cast("timestamp")
     state = first.select(
@@ -124,4 +150,5 @@ def import_records(
         ts.alias("created_at"),
         ts.alias("updated_at"),
     )
-    return Imported(state=state, records=records.select("submission_id", "position", "skip"), stored_ids=stored_ids)
+    seen = records.select("submission_id", "skip", F.when(F.col("skip").isNotNull(), record()).alias("raw_json"))
+    return Imported(state=state, records=seen, stored_ids=stored_ids)

@@ -1,25 +1,20 @@
-"""Join helpers: broadcast only a side whose size has been checked."""
+"""Join helpers for keys that may hold a large share of the rows.
+
+No side is broadcast by hint: adaptive execution broadcasts from measured bytes.  It also splits
+a hot partition of a shuffle join, but only where *both* sides are shuffled for that join; a
+side that an aggregate has just partitioned by the same key is not.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side with at most this many rows is broadcast; beyond it the join stays a shuffle join
-# (AQE may still turn it into a broadcast at run time from measured sizes).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-_CHECKED: dict[tuple[int, int], bool] = {}
-
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+def reshuffled(aggregated: DataFrame, key: str) -> DataFrame:
+    """`aggregated` with its string column ``key`` recomputed to the same value.
 
-    The check runs a bounded count (it stops reading after ``max_rows + 1`` rows) once per
-    distinct plan; later calls with the same plan reuse the answer.
+    The planner no longer recognises the aggregate's partitioning, shuffles this (reduced) side
+    for the join, and a hot key of the other side can be split over tasks.
     """
-    key = (df.semanticHash(), max_rows)
-    if key not in _CHECKED:
-        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _CHECKED[key] else df
+    return aggregated.withColumn(key, F.concat(F.col(key), F.lit("")))

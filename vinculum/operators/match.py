@@ -23,12 +23,12 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
 from vinculum.functions.text import alias_key, normalize, producer_key, tokens
-from vinculum.operators.joins import small_side
+from vinculum.operators.joins import reshuffled
 
 SIG = ["producer_key", "category", "size_ml", "norm"]
 
@@ -41,8 +41,8 @@ def prepare_aliases(aliases: DataFrame) -> DataFrame:
 
 
 def with_producer_key(df: DataFrame, aliases: DataFrame) -> DataFrame:
-    """``producer_key = lower(alias.canonical or submitted producer)``; broadcast the checked alias table."""
-    a = small_side(prepare_aliases(aliases))
+    """``producer_key = lower(alias.canonical or submitted producer)``."""
+    a = reshuffled(prepare_aliases(aliases), "alias_key")
     j = df.join(a, alias_key(df["producer"]) == a["alias_key"], "left")
     return j.withColumn("producer_key", producer_key(F.coalesce(F.col("canonical"), F.col("producer")))).drop(
         "alias_key", "canonical"
@@ -78,18 +78,37 @@ class CatalogIndex:
     at_size: DataFrame
     any_size: DataFrame
 
-    def map(self, fn) -> "CatalogIndex":
-        return CatalogIndex(*(fn(getattr(self, f), f) for f in ("cat", "ctok", "freq", "at_size", "any_size")))
 
-
-def build_index(catalog: DataFrame, *, prepared: bool = False) -> CatalogIndex:
-    """The catalog index; ``prepared=True`` when ``catalog`` already is :func:`prepare_catalog` output."""
-    cat = catalog if prepared else prepare_catalog(catalog)
+def build_index(catalog: DataFrame, path: str | None = None) -> CatalogIndex:
+    """The catalog index.  With ``path`` it is written there and read back: build it once per
+    catalog version and hand :func:`read_index` to every import and stream."""
+    cat = prepare_catalog(catalog)
+    if path:
+        cat.write.mode("errorifexists").parquet(f"{path}/cat")
+        cat = catalog.sparkSession.read.parquet(f"{path}/cat")
+        _catalog_tokens(cat).write.mode("errorifexists").parquet(f"{path}/ctok")
+        ctok = catalog.sparkSession.read.parquet(f"{path}/ctok")
+        _frequencies(ctok).write.mode("errorifexists").parquet(f"{path}/freq")
+        return read_index(catalog.sparkSession, path)
     ctok = _catalog_tokens(cat)
+    return _with_counts(cat, ctok, _frequencies(ctok))
+
+
+def read_index(spark: SparkSession, path: str) -> CatalogIndex:
+    """An index that :func:`build_index` wrote."""
+    return _with_counts(*(spark.read.parquet(f"{path}/{name}") for name in ("cat", "ctok", "freq")))
+
+
+def _frequencies(ctok: DataFrame) -> DataFrame:
+    return ctok.groupBy("producer_key", "category", "token").agg(F.count(F.lit(1)).alias("df"))
+
+
+def _with_counts(cat: DataFrame, ctok: DataFrame, freq: DataFrame) -> CatalogIndex:
+    # the two per-block counts are small aggregates of the catalog and stay lazy
     return CatalogIndex(
         cat=cat,
         ctok=ctok,
-        freq=ctok.groupBy("producer_key", "category", "token").agg(F.count(F.lit(1)).alias("df")),
+        freq=freq,
         at_size=cat.groupBy("producer_key", "category", "size_ml").agg(
             F.count(F.lit(1)).alias("n_at_size"),
             F.min(F.struct("product_id", "vintage_required")).alias("first_at"),
@@ -123,12 +142,14 @@ def candidate_pairs(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     ctok, freq = idx.ctok, idx.freq
     withtok = sigs.filter(F.col("norm") != "")
     stok = withtok.select(*SIG, F.explode(_sig_tokens(withtok)).alias("token"))
-    found = stok.join(freq, ["producer_key", "category", "token"], "inner")
+    found = stok.join(reshuffled(freq, "token"), ["producer_key", "category", "token"], "inner")
+    # one aggregate gives the rarest token and whether the block knows all of them
     chosen = (
         found.groupBy(*SIG)
-        .agg(F.count(F.lit(1)).alias("n_found"), F.min(F.struct("df", "token")).alias("best"))
-        .filter(F.col("n_found") == F.size(tokens(F.col("norm"))))
-        .select(*SIG, F.col("best.token").alias("token"), tokens(F.col("norm")).alias("s_tokens"))
+        .agg(F.count(F.lit(1)).alias("n_found"), F.min_by("token", F.struct("df", "token")).alias("token"))
+        .withColumn("s_tokens", tokens(F.col("norm")))
+        .filter(F.col("n_found") == F.size("s_tokens"))
+        .select(*SIG, "token", "s_tokens")
     )
     pairs = chosen.join(ctok, ["producer_key", "category", "token"], "inner").filter(
         F.size(F.array_except("s_tokens", "p_tokens")) == 0
@@ -217,7 +238,7 @@ def tier1_outcomes(
     if require_tokens:
         sigs = sigs.filter(F.col("norm") != "")
     counts = candidate_counts(sigs, idx)
-    j = inside.join(counts, SIG, "left")
+    j = inside.join(reshuffled(counts, "norm"), SIG, "left")
     none = outside.select(
         *outside.columns,
         F.lit(None).cast("long").alias("n_at_size"),
@@ -277,20 +298,14 @@ def catalog_find(
 
 
 def row_candidate_pairs(state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame) -> DataFrame:
-    """J1+J2 per pending row: ``(submission_id, product_id, at_size)``.
+    """J1+J2 per pending row whose name has tokens: ``(submission_id, product_id, at_size)``.
 
-    Signatures with tokens use the rarest-token join; a signature without tokens pairs with
-    every product of its block (an equi-join on the block key).
+    A name without letters or digits stands for every product of its block; that is a count per
+    block (:func:`candidate_counts`), and its pairs are never written.
     """
-    p = pending_signatures(state, aliases).filter(F.col("in_scope"))
+    p = pending_signatures(state, aliases).filter(F.col("in_scope") & (F.col("norm") != ""))
     idx = _index(catalog)
-    sigs = p.select(*SIG).distinct()
-    tok = candidate_pairs(sigs, idx)
-    empty = sigs.filter(F.col("norm") == "").join(
-        idx.cat.select("producer_key", "category", "product_id", F.col("size_ml").alias("p_size"), "vintage_required"),
-        ["producer_key", "category"],
-    )
-    pairs = tok.unionByName(empty.select(*SIG, "product_id", "p_size", "vintage_required"))
-    return p.select("submission_id", *SIG).join(pairs, SIG).select(
+    pairs = candidate_pairs(p.select(*SIG).distinct(), idx)
+    return p.select("submission_id", *SIG).join(reshuffled(pairs, "norm"), SIG).select(
         "submission_id", "product_id", (F.col("p_size") == F.col("size_ml")).alias("at_size")
     )

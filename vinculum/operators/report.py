@@ -113,7 +113,7 @@ def pipeline_report(records: DataFrame, state: DataFrame) -> DataFrame:
     st = F.col("status")
     both = u.agg(
         F.count_if(rec).alias("total"),
-        F.count_if(rec & F.col("skip").isin("missing_id", "invalid_id")).alias("skipped_no_id"),
+        F.count_if(rec & F.col("skip").isNotNull()).alias("skipped_no_id"),
         F.count_if(rec & F.col("skip").isNull()).alias("with_id"),
         F.count_if(~rec).alias("inserted"),
         F.count_if(st == "invalid").alias("invalid"),
@@ -137,30 +137,30 @@ def pipeline_report(records: DataFrame, state: DataFrame) -> DataFrame:
     valid = c("inserted") - c("invalid")
     into = valid - c("exact_demoted")
     items: list[tuple[str, str, Column]] = [
-        ("read", "read from source", c("total")),
-        ("read", "skipped (no submission_id)", c("skipped_no_id")),
-        ("read", "skipped (duplicate submission_id)", c("with_id") - c("inserted")),
-        ("read", "inserted", c("inserted")),
-        ("validation", "invalid (failed validation)", c("invalid")),
-        ("validation", "valid", valid),
-        ("dedup", "exact duplicates demoted", c("exact_demoted")),
-        ("dedup", "exact duplicate clusters", c("exact_clusters")),
-        ("dedup", "into matching", into),
-        ("tier1", "processed", into),
-        ("tier1", "exact_match", c("t1_exact_match")),
-        ("tier1", "human_review", c("t1_human_review")),
-        ("tier1", "no_match", c("t1_no_match")),
-        ("tier1", "to tier 2 (unmatched)", c("t1_unmatched")),
-        ("tier2", "processed", c("t2_processed")),
-        ("tier2", "cache hits", c("t2_cache_hits")),
-        ("tier2", "api errors", c("t2_api_errors")),
-        ("tier2", "auto-applied (possible_match)", c("t2_auto_applied")),
-        ("tier2", "sent to review", c("t2_sent_to_review")),
-        ("tier2", "no_match", c("t2_no_match")),
-        ("near_dup", "demoted from matched", c("near_demoted")),
-        ("near_dup", "clusters", c("near_clusters")),
-        *[("final", s, c(f"final_{s}")) for s in S.STATUSES],
-        ("final", "total", c("inserted")),
+        ("input", "records read", c("total")),
+        ("input", "without a usable id", c("skipped_no_id")),
+        ("input", "repeated ids", c("with_id") - c("inserted")),
+        ("input", "kept", c("inserted")),
+        ("checks", "failed", c("invalid")),
+        ("checks", "passed", valid),
+        ("copies", "demoted", c("exact_demoted")),
+        ("copies", "groups", c("exact_clusters")),
+        ("copies", "left to match", into),
+        ("rules", "rows", into),
+        ("rules", "exact", c("t1_exact_match")),
+        ("rules", "for review", c("t1_human_review")),
+        ("rules", "rejected", c("t1_no_match")),
+        ("rules", "undecided", c("t1_unmatched")),
+        ("model", "rows", c("t2_processed")),
+        ("model", "from the cache", c("t2_cache_hits")),
+        ("model", "failed calls", c("t2_api_errors")),
+        ("model", "accepted", c("t2_auto_applied")),
+        ("model", "for review", c("t2_sent_to_review")),
+        ("model", "rejected", c("t2_no_match")),
+        ("products", "demoted", c("near_demoted")),
+        ("products", "groups", c("near_clusters")),
+        *[("status", s, c(f"final_{s}")) for s in S.STATUSES],
+        ("status", "all", c("inserted")),
     ]
     args: list[Column] = [F.lit(len(items))]
     for section, metric, value in items:
@@ -181,9 +181,10 @@ def spend_estimate(
 ) -> DataFrame:
     """Model calls per import (cache hits excluded) and the estimated spend."""
     calls = F.count_if(F.col("llm_source").isin("model", "error"))
+    price = F.lit(f"{tokens_per_call * usd_per_million_tokens / 1_000_000:.10f}").cast("decimal(20,10)")  # exact, so ties round alike
     return store.groupBy("import_id").agg(
         F.count(F.lit(1)).alias("submissions"),
         F.count_if(F.col("llm_source").isNull()).alias("deterministic"),
         calls.alias("model_calls"),
-        F.round(calls * F.lit(tokens_per_call * usd_per_million_tokens / 1_000_000.0), 4).alias("est_usd"),
+        F.round(calls.cast("decimal(18,0)") * price, 4).cast("double").alias("est_usd"),
     )

@@ -4,21 +4,24 @@ application rules (L4, L5, L6, U3), plus the request table (L1) and the summary
 A resolver is any ``DataFrame -> DataFrame`` that adds ``llm_output`` (the model's answer
 as JSON text) and ``llm_error`` (``"Type: message"`` when there is no answer) to the rows it
 is given.  Two are provided: a decisions table joined by fingerprint, and a Python function
-run batch-wise through ``mapInPandas`` (the only Python on the data path).
+run over Arrow batches (the only Python on this data path).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vinculum import schemas as S
-from vinculum.functions.text import first_or_null
+from vinculum.functions.text import first_or_null, normalize, tokens
+from vinculum.operators.joins import reshuffled
+from vinculum.operators.match import with_producer_key
 
 Resolver = Callable[[DataFrame], DataFrame]
 
@@ -101,35 +104,44 @@ def table_resolver(decisions: DataFrame, keys: tuple[str, ...] = ("fingerprint",
     return run
 
 
-def function_resolver(fn: Callable[[dict], str], *, materialize: bool = True) -> Resolver:
-    """Resolver calling ``fn(record) -> JSON text`` per row inside Arrow batches.
+#: Fields of a record as a Python resolver gets them.
+RECORD_FIELDS = ("submission_id", "name", "producer", "category", "vintage", "size_ml")
 
-    An exception is caught per row and becomes ``llm_error = "Type: message"`` (L2, L5);
-    it never fails the import.  With ``materialize`` the answers are written once as a stage
-    table before anything reads them, so a model is not called again when the plan reads the
-    answers twice or a later stage is recomputed.
+
+def function_resolver(
+    fn: Callable[[dict], str], *, materialize: bool = True, concurrency: int = 8, attempts: int = 2
+) -> Resolver:
+    """Resolver calling ``fn(record) -> JSON text`` for each row of an Arrow batch.
+
+    Records hold plain Python values whatever the batch: a null is None, an integer an int.
+    Up to ``concurrency`` calls of a task run at a time and each is tried up to ``attempts``
+    times; the last exception becomes ``llm_error = "Type: message"`` (L2, L5) and never fails
+    the import.  With ``materialize`` the answers are written once as a stage table before
+    anything reads them, so a model is not called again when the plan reads the answers twice
+    or a later stage is recomputed.
     """
-    fields = ["submission_id", "name", "producer", "category", "vintage", "size_ml"]
+
+    def ask(record: dict) -> tuple[str | None, str | None]:
+        for attempt in range(attempts):
+            try:
+                return fn(record), None
+            except Exception as e:  # noqa: BLE001 - any resolver failure routes to review
+                error = f"{type(e).__name__}: {e}"
+        return None, error
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            for batch in it:
+                answers = list(pool.map(ask, batch.select(list(RECORD_FIELDS)).to_pylist()))
+                columns = [*batch.columns, *(pa.array(x, pa.string()) for x in (list(zip(*answers)) or [[], []]))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "llm_output", "llm_error"])
 
     def run(rows: DataFrame) -> DataFrame:
         schema = T.StructType(rows.schema.fields + [
             T.StructField("llm_output", T.StringType()),
             T.StructField("llm_error", T.StringType()),
         ])
-
-        def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in it:
-                outs, errs = [], []
-                for rec in pdf[fields].to_dict("records"):
-                    try:
-                        outs.append(fn(rec))
-                        errs.append(None)
-                    except Exception as e:  # noqa: BLE001 - any resolver failure routes to review
-                        outs.append(None)
-                        errs.append(f"{type(e).__name__}: {e}")
-                yield pdf.assign(llm_output=outs, llm_error=errs)
-
-        answered = rows.mapInPandas(batches, schema)
+        answered = rows.mapInArrow(batches, schema)
         if materialize:
             from vinculum.sources.store import stage_table
 
@@ -193,10 +205,13 @@ def resolve_unmatched(
         ).otherwise(F.col("llm_error")),
     )
     both = both.withColumn("cand", first_or_null(F.col("answer.candidate_product_ids")))
-    # H7: keep only candidates the catalog knows: one left join on the id column (a single
-    # narrow column of the catalog is shuffled; the answers are read once).
+    # H7: keep only candidates the catalog knows, by the id column alone.  Answers without a
+    # candidate stay out of the join, and both its sides are shuffled for it: neither null nor a
+    # popular candidate makes a hot partition.
     known = catalog_ids.select(F.col("product_id").alias("cand")).distinct().withColumn("cand_known", F.lit(True))
-    both = both.join(known, "cand", "left")
+    named = both.filter(F.col("cand").isNotNull()).join(reshuffled(known, "cand"), "cand", "left")
+    nameless = both.filter(F.col("cand").isNull()).withColumn("cand_known", F.lit(None).cast("boolean"))
+    both = named.unionByName(nameless)
 
     err = F.col("llm_error").isNotNull()
     dec = F.col("answer.decision")
@@ -250,61 +265,97 @@ def llm_summary(state: DataFrame) -> DataFrame:
     )
 
 
-def _py_bool(c: Column) -> Column:
-    return F.when(c, F.lit("True")).otherwise(F.lit("False"))
+# --- requests (L1) --------------------------------------------------------------------------
 
 
-def _py_str(c: Column) -> Column:
-    return F.coalesce(c.cast("string"), F.lit("None"))
+def user_message(c_id: Column, name: Column, producer: Column, category: Column, vintage: Column, size: Column) -> Column:
+    """L1 user text: the six submission fields in one line, a dash for what is missing."""
 
+    def part(label: str, value: Column) -> Column:
+        return F.concat(F.lit(f"{label}="), F.coalesce(value.cast("string"), F.lit("-")))
 
-def user_message(c_id: Column, name: Column, producer: Column, category: Column, vintage: Column, size: Column) -> Column:
-    """L1 user text: the six submission fields, one per line."""
+    fields = [("id", c_id), ("name", name), ("producer", producer), ("category", category), ("vintage", vintage), ("ml", size)]
+    return F.concat(F.lit("Which product is this? "), F.array_join(F.array(*[part(k, v) for k, v in fields]), "; "))
+
+
+def catalog_line(cat: DataFrame) -> Column:
+    """One catalog line: ``product_id: producer / canonical_name (category, size ml[, needs vintage])``."""
     return F.concat(
-        F.lit("Submission to match:\nsubmission_id: "), _py_str(c_id),
-        F.lit("\nname: "), _py_str(name),
-        F.lit("\nproducer: "), _py_str(producer),
-        F.lit("\ncategory: "), _py_str(category),
-        F.lit("\nvintage: "), _py_str(vintage),
-        F.lit("\nsize_ml: "), _py_str(size),
+        F.col("product_id"), F.lit(": "), F.col("producer"), F.lit(" / "), F.col("canonical_name"),
+        F.lit(" ("), F.col("category"), F.lit(", "), F.col("size_ml").cast("string"), F.lit(" ml"),
+        F.when(F.col("vintage_required"), F.lit(", needs vintage")).otherwise(F.lit("")), F.lit(")"),
     )
 
 
-def catalog_line(cat: DataFrame) -> Column:
-    """One catalog line: ``product_id | producer | canonical_name | category | size_ml | vintage_required``."""
-    return F.concat_ws(
-        " | ",
-        F.col("product_id"),
-        F.col("producer"),
-        F.col("canonical_name"),
-        F.col("category"),
-        F.col("size_ml").cast("string"),
-        _py_bool(F.coalesce(F.col("vintage_required"), F.lit(False))),
+#: Candidates listed for a row whose producer the catalog doesn't know.
+SEARCH_TOP = 20
+
+
+def _unmatched(state: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Unmatched rows with block_producer, the alias-aware key of their catalog block."""
+    return with_producer_key(state.filter(F.col("status") == "unmatched"), aliases).withColumnRenamed(
+        "producer_key", "block_producer"
     )
 
 
-def request_table(state: DataFrame, catalog: DataFrame) -> DataFrame:
-    """L1: one request per unmatched row: its user text and the size of its candidate block.
+def _blocks(catalog: DataFrame) -> DataFrame:
+    return catalog.groupBy(F.lower("producer").alias("block_producer"), "category").agg(F.count(F.lit(1)).alias("block_products"))
 
-    The model context is restricted to the row's producer/category block (the whole catalog
-    does not fit a prompt at millions of products).  The block's catalog lines stay a table
-    (:func:`block_context`), keyed by block; they are never concatenated into one value.
+
+def request_candidates(state: DataFrame, catalog: DataFrame, aliases: DataFrame, top: int = SEARCH_TOP) -> DataFrame:
+    """L1 context of rows whose producer has no block in the catalog (unknown or misspelt).
+
+    ``(submission_id, product_id, shared, rank)``: within the category, the products that hold
+    the rarest catalog token of the row's producer and name, ranked by the number of shared
+    tokens, then by id; the best ``top`` of them.  The search runs once per distinct token set.
     """
-    un = state.filter(F.col("status") == "unmatched")
-    blocks = catalog.groupBy(F.lower("producer").alias("block_producer"), "category").agg(
-        F.count(F.lit(1)).alias("block_products")
+    known = reshuffled(_blocks(catalog), "block_producer")
+    rows = _unmatched(state, aliases).join(known, ["block_producer", "category"], "left_anti")
+    words = tokens(normalize(F.concat_ws(" ", "producer", "name")))
+    asked = rows.select("submission_id", "category", F.array_sort(words).alias("words"))
+    sets = asked.select("category", "words").distinct()
+    held = catalog.select(
+        "category", "product_id", tokens(normalize(F.concat_ws(" ", "producer", "canonical_name"))).alias("held")
+    )
+    posting = held.select("*", F.explode("held").alias("token"))
+    freq = posting.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
+    rarest = (
+        sets.select("*", F.explode("words").alias("token"))
+        .join(reshuffled(freq, "token"), ["category", "token"])
+        .groupBy("category", "words")
+        .agg(F.min_by("token", F.struct("df", "token")).alias("token"))
     )
-    req = un.select(
+    found = rarest.join(posting, ["category", "token"]).select(
+        "category", "words", "product_id", F.size(F.array_intersect("words", "held")).alias("shared")
+    )
+    order = Window.partitionBy("category", "words").orderBy(F.desc("shared"), "product_id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    return asked.join(best, ["category", "words"]).select("submission_id", "product_id", "shared", "rank")
+
+
+def request_table(state: DataFrame, catalog: DataFrame, aliases: DataFrame, top: int = SEARCH_TOP) -> DataFrame:
+    """L1: one request per unmatched row: its user text and the size of its context.
+
+    The model context is the row's producer/category block under its alias-aware producer key
+    (the whole catalog does not fit a prompt at millions of products), or, without such a block,
+    the products that :func:`request_candidates` finds.  Context lines stay tables, keyed by
+    block (:func:`block_context`) or row; they are never concatenated into one value.
+    """
+    req = _unmatched(state, aliases).select(
         "submission_id",
         "fingerprint",
-        F.lower("producer").alias("block_producer"),
+        "block_producer",
         "category",
         user_message(
             F.col("submission_id"), F.col("name"), F.col("producer"), F.col("category"), F.col("vintage"), F.col("size_ml")
         ).alias("user_text"),
     )
-    return req.join(blocks, ["block_producer", "category"], "left").withColumn(
-        "block_products", F.coalesce(F.col("block_products"), F.lit(0))
+    searched = request_candidates(state, catalog, aliases, top).groupBy("submission_id").agg(F.count(F.lit(1)).alias("found_products"))
+    return (
+        req.join(reshuffled(_blocks(catalog), "block_producer"), ["block_producer", "category"], "left")
+        .join(searched, "submission_id", "left")
+        .withColumn("block_products", F.coalesce(F.col("block_products"), F.lit(0)))
+        .withColumn("found_products", F.coalesce(F.col("found_products"), F.lit(0)))
     )
 
 
@@ -316,27 +367,19 @@ def block_context(catalog: DataFrame) -> DataFrame:
 
 
 SYSTEM_HEAD = (
-    "Match a wine or spirits submission to the catalog lines given with it. Rules already tried: "
-    "exact name tokens, producer aliases, sizes. Answer with one of possible_match, no_match, "
-    "human_review; a different size is a different product; prefer human_review when unsure.\n\n"
-    "PRODUCER ALIASES:\n"
+    "You are given one submitted wine or spirit and lines of a product catalog. Name tokens, known other names of "
+    "producers and sizes have been compared already without a clear result. Decide whether one of the lines is the "
+    "same product: possible_match, no_match or human_review. Another size is another product. When in doubt, choose "
+    "human_review."
 )
-CATALOG_HEADER = "\n\nCATALOG (product_id | producer | canonical_name | category | size_ml | vintage_required):\n"
-
 
-def system_text(aliases: DataFrame, max_aliases: int = 10_000) -> DataFrame:
-    """L1 system text (one row): policy, alias lines sorted by alias, catalog header.
 
-    The catalog lines themselves are per block (:func:`block_context`).  The alias table is a
-    curated dictionary; its size is checked before it is folded into one value.
-    """
-    n = aliases.limit(max_aliases + 1).count()
-    if n > max_aliases:
-        raise ValueError(f"alias table has more than {max_aliases} rows; too large for one prompt")
-    lines = F.transform(
-        F.array_sort(F.collect_list(F.struct("alias", "canonical"))),
-        lambda x: F.concat(x.getField("alias"), F.lit(" -> "), x.getField("canonical")),
-    )
-    return aliases.agg(
-        F.concat(F.lit(SYSTEM_HEAD), F.array_join(lines, "\n"), F.lit(CATALOG_HEADER)).alias("system_text")
+def system_lines(aliases: DataFrame) -> DataFrame:
+    """L1 system text as lines ``(block_producer, line)``: the policy, which every request gets
+    (null producer), and for a producer's requests the other names it is known by."""
+    names = aliases.select(
+        F.lower("canonical").alias("block_producer"),
+        F.concat(F.col("canonical"), F.lit(" is also called "), F.col("alias")).alias("line"),
     )
+    head = aliases.sparkSession.range(1).select(F.lit(None).cast("string").alias("block_producer"), F.lit(SYSTEM_HEAD).alias("line"))
+    return head.unionByName(names)

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from vinculum import schemas as S
 from vinculum.operators import resolve as R
+from vinculum.sources.tables import UNKNOWN_PRODUCT
 
 _SIZES = "[" + ", ".join(str(s) for s in S.SIZES_ML) + "]"
 _CATS = ", ".join(f"'{c}'" for c in S.CATEGORIES)
 _SIZE_LIST = ", ".join(str(s) for s in S.SIZES_ML)
-_TRIM = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+_TRIM = r"regexp_replace({x}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 _NORM = r"trim(regexp_replace(lower({x}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
 _TOK = "list_distinct(list_filter(string_split({x}, ' '), lambda t: t <> ''))"
 _ALIASES = ", ".join(f"('{a}', '{c}')" for a, c in S.PRODUCER_ALIASES)
@@ -44,6 +45,13 @@ def toks(x: str) -> str:
     return _TOK.format(x=x)
 
 
+#: The product an answer names: by the third hex digit an unknown one, none, or the block's first.
+_CAND = (
+    "CASE WHEN substr({fp}, 3, 1) IN ('0', '1') THEN '" + UNKNOWN_PRODUCT + "' "
+    "WHEN substr({fp}, 3, 1) <> '2' THEN {cand} END"
+)
+
+
 def _json(b: str, cand: str) -> str:
     return (
         f"""'{{"decision":"' || ({_DECISIONS})[({b}) % 4 + 1] || '","confidence":' || """
@@ -70,19 +78,23 @@ li AS (
          p.p_name || ' series ' || CAST(p.p_partkey % 40 AS VARCHAR) AS nm
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 ),
-raw AS (
-  SELECT 'SUB-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS submission_id,
+raw0 AS (
+  SELECT CASE WHEN k = 3 AND l_linenumber = 5 THEN NULL WHEN k = 3 AND l_linenumber = 4 THEN ''
+              ELSE 'SUB-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS submission_id,
          CASE WHEN k = 6 THEN upper(nm) WHEN k = 7 THEN replace(nm, ' ', '-') WHEN k = 8 THEN p_name
               WHEN k = 13 THEN '' WHEN k = 17 THEN substr(p_name, 1, 3) || ' srs'
-              WHEN k = 18 THEN '  ' || nm || '  ' WHEN k = 19 THEN '!!!' ELSE nm END AS name,
-         CASE WHEN k = 12 THEN NULL WHEN k = 9 THEN replace(lower(p_brand), '#', ' no ') ELSE p_brand END AS producer,
+              WHEN k = 18 THEN chr(160) || chr(12288) || nm || chr(8195) || ' ' WHEN k = 19 THEN '!!!' ELSE nm END AS name,
+         CASE WHEN k = 12 THEN NULL WHEN k = 9 OR (k = 17 AND l_linenumber = 3) THEN replace(lower(p_brand), '#', ' no ')
+              WHEN k = 8 AND l_linenumber = 2 THEN replace(p_brand, 'Brand#', 'Brnd ') ELSE p_brand END AS producer,
          CASE WHEN k = 11 THEN 'Beer' ELSE pcat END AS category,
-         CASE WHEN k = 15 THEN 1700 WHEN k = 16 THEN NULL ELSE year(l_shipdate) END AS vintage,
+         CASE WHEN k = 15 THEN 1700 WHEN k = 16 OR (k = 17 AND l_suppkey % 3 = 0) THEN NULL
+              ELSE year(l_shipdate) END AS vintage,
          CASE WHEN k = 14 THEN 800 WHEN k = 10 THEN ({_SIZES})[(p_size + 1) % 11 + 1]
               ELSE ({_SIZES})[p_size % 11 + 1] END AS size_ml,
-         k, p_partkey, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate
+         k, p_partkey, l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate, l_linenumber
   FROM li
 ),
+raw AS (SELECT * FROM raw0 UNION ALL SELECT * FROM raw0 WHERE k = 4 AND l_linenumber = 6),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY submission_id
             ORDER BY l_partkey, l_suppkey, l_extendedprice, l_quantity, l_shipdate) AS rn
@@ -195,7 +207,7 @@ st1 AS (
 blk AS (SELECT lower(producer) AS bpk, category AS bcat, min(product_id) AS cand FROM cat GROUP BY 1, 2),
 un AS (
   SELECT s.*, strpos('0123456789abcdef', substr(s.fingerprint, 1, 1)) - 1 AS b,
-         substr(s.fingerprint, 2, 1) AS d2, blk.cand
+         substr(s.fingerprint, 2, 1) AS d2, {_CAND.format(fp='s.fingerprint', cand='blk.cand')} AS cand
   FROM st1 s LEFT JOIN blk ON blk.bpk = lower(s.producer) AND blk.bcat = s.category
   WHERE s.status = 'unmatched'
 ),
@@ -214,7 +226,9 @@ ans AS (
 ans2 AS (
   SELECT *, json_extract_string(llm_output, '$.decision') AS a_dec,
          CAST(json_extract(llm_output, '$.confidence') AS DOUBLE) AS a_conf,
-         json_extract_string(llm_output, '$.candidate_product_ids[0]') AS a_cand,
+         json_extract_string(llm_output, '$.candidate_product_ids[0]') AS a_named,
+         CASE WHEN json_extract_string(llm_output, '$.candidate_product_ids[0]') IN (SELECT product_id FROM cat)
+              THEN json_extract_string(llm_output, '$.candidate_product_ids[0]') END AS a_cand,
          json_extract_string(llm_output, '$.reason') AS a_reason
   FROM ans
 ),
@@ -296,6 +310,34 @@ sc2 AS (
 )
 """
 
+# Tier 2 that applies a confident answer whatever product it names, and its propagation.
+UNCHECKED = f""",
+t2u AS (
+  SELECT submission_id,
+    CASE WHEN llm_source = 'error' THEN 'review' WHEN a_dec = 'no_match' THEN 'no_match'
+         WHEN a_dec = 'human_review' OR a_conf < {S.AUTO_APPLY_THRESHOLD} THEN 'review' ELSE 'matched' END AS status,
+    CASE WHEN llm_source = 'error' THEN 'human_review' WHEN a_dec = 'no_match' THEN 'no_match'
+         WHEN a_dec = 'human_review' OR a_conf < {S.AUTO_APPLY_THRESHOLD} THEN 'human_review'
+         ELSE 'possible_match' END AS decision,
+    CASE WHEN llm_source = 'error' OR a_dec = 'no_match' THEN NULL
+         WHEN a_dec = 'human_review' OR a_conf < {S.AUTO_APPLY_THRESHOLD} THEN a_cand ELSE a_named END AS matched_product_id,
+    CASE WHEN llm_source = 'error' THEN '{S.LLM_UNAVAILABLE}' WHEN a_dec = 'no_match' THEN '{S.LLM_NO_MATCH}'
+         WHEN a_dec = 'human_review' OR a_conf < {S.AUTO_APPLY_THRESHOLD} THEN '{S.LLM_HUMAN_REVIEW}'
+         ELSE '{S.LLM_POSSIBLE_MATCH}' END AS explanation
+  FROM ans2
+),
+ua AS (
+  SELECT s.submission_id, s.duplicate_of, coalesce(t.status, s.status) AS status,
+         CASE WHEN t.submission_id IS NULL THEN s.matched_product_id ELSE t.matched_product_id END AS matched_product_id
+  FROM st1 s LEFT JOIN t2u t USING (submission_id)
+),
+unchecked AS (
+  SELECT a.submission_id, a.duplicate_of,
+         CASE WHEN a.status = 'exact_duplicate' THEN sv.matched_product_id ELSE a.matched_product_id END AS matched_product_id
+  FROM ua a LEFT JOIN ua sv ON a.duplicate_of = sv.submission_id AND a.status = 'exact_duplicate'
+)
+"""
+
 
 def q(select: str) -> str:
     return "WITH " + CHAIN.strip() + "\n" + select
@@ -319,11 +361,17 @@ def queries() -> dict[str, str]:
             "SELECT CASE WHEN submission_id IS NULL OR submission_id = '' THEN 'missing_id' ELSE 'has_id' END AS outcome, "
             "count(*) AS n FROM raw GROUP BY 1"
         ),
-        "duplicate_ids_skipped": q("SELECT submission_id, reason FROM skipped"),
+        "duplicate_ids_skipped": q(
+            "SELECT submission_id, 'missing_id' AS reason, count(*) AS n FROM raw "
+            "WHERE submission_id IS NULL OR submission_id = '' GROUP BY 1 "
+            "UNION ALL SELECT submission_id, 'duplicate_id', count(*) - 1 FROM raw "
+            "WHERE submission_id <> '' GROUP BY 1 HAVING count(*) > 1"
+        ),
         "import_summary": q(
             "SELECT 'total' AS metric, count(*) AS value FROM raw UNION ALL "
             "SELECT 'skipped_missing_id', count(*) FILTER (WHERE submission_id IS NULL OR submission_id = '') FROM raw "
-            "UNION ALL SELECT 'skipped_invalid_id', 0 UNION ALL "
+            "UNION ALL SELECT 'skipped_invalid_id', 0 UNION ALL SELECT 'skipped_invalid_record', 0 UNION ALL "
+            "SELECT 'skipped_duplicate_id', count(*) - count(DISTINCT submission_id) FROM raw WHERE submission_id <> '' UNION ALL "
             "SELECT 'with_id', count(*) FILTER (WHERE submission_id IS NOT NULL AND submission_id <> '') FROM raw "
             "UNION ALL SELECT 'inserted', count(*) FROM kept"
         ),
@@ -349,7 +397,10 @@ def queries() -> dict[str, str]:
                            "WHERE status = 'pending'"),
         "producer_alias": q("SELECT submission_id, producer, pk AS producer_key FROM pend"),
         "category_reject": q("SELECT submission_id, category FROM ptok WHERE NOT in_scope"),
-        "candidate_pairs": q("SELECT submission_id, product_id, at_size FROM pairs"),
+        "candidate_pairs": q(
+            "SELECT submission_id, product_id, at_size FROM pairs SEMI JOIN (SELECT submission_id FROM ptok "
+            "WHERE len(s_tokens) > 0) USING (submission_id)"
+        ),
         "candidate_counts": q("SELECT submission_id, n_at_size, n_any FROM t1 WHERE category IN (" + _CATS + ")"),
         "match_tier1": q("SELECT submission_id, status, decision, matched_product_id, explanation FROM t1"),
         "match_tier1_counts": q(
@@ -366,13 +417,18 @@ def queries() -> dict[str, str]:
             "WHERE status = 'unmatched'"
         ),
         "request_table": q(
-            "SELECT u.submission_id, 'Submission to match:' || chr(10) || 'submission_id: ' || u.submission_id || chr(10) "
-            "|| 'name: ' || u.name || chr(10) || 'producer: ' || u.producer || chr(10) || 'category: ' || u.category "
-            "|| chr(10) || 'vintage: ' || coalesce(CAST(u.vintage AS VARCHAR), 'None') || chr(10) || 'size_ml: ' "
-            "|| CAST(u.size_ml AS VARCHAR) AS user_text, coalesce(b.n, 0) AS block_products "
-            "FROM st1 u LEFT JOIN (SELECT lower(producer) AS bp, category AS bc, count(*) AS n FROM cat GROUP BY 1, 2) b "
-            "ON b.bp = lower(u.producer) AND b.bc = u.category WHERE u.status = 'unmatched'"
+            "SELECT t.submission_id, 'Which product is this? id=' || t.submission_id || '; name=' || t.name || '; producer=' "
+            "|| t.producer || '; category=' || t.category || '; vintage=' || coalesce(CAST(t.vintage AS VARCHAR), '-') "
+            "|| '; ml=' || CAST(t.size_ml AS VARCHAR) AS user_text, coalesce(b.n, 0) AS block_products, "
+            "coalesce(s.n, 0) AS found_products FROM t1 t "
+            "LEFT JOIN (SELECT lower(producer) AS bp, category AS bc, count(*) AS n FROM cat GROUP BY 1, 2) b "
+            "ON b.bp = t.pk AND b.bc = t.category "
+            "LEFT JOIN (SELECT submission_id, count(*) AS n FROM (" + _search_sql() + ") GROUP BY 1) s "
+            "ON s.submission_id = t.submission_id WHERE t.status = 'unmatched'"
         ),
+        "request_candidates": q(_search_sql()),
+        "apply_decisions_unchecked": q("").rstrip() + UNCHECKED
+        + "SELECT submission_id, status, decision, matched_product_id, explanation FROM t2u",
         "decision_cache": q("SELECT fingerprint, cached_output FROM cache WHERE cached_output IS NOT NULL"),
         "apply_decisions": q(
             "SELECT submission_id, status, decision, matched_product_id, explanation, llm_confidence, llm_reason, "
@@ -404,12 +460,21 @@ def queries() -> dict[str, str]:
             "coalesce(matched_product_id, '') AS candidate_product_ids, "
             "coalesce(explanation, validation_error) AS explanation FROM fin"
         ),
-        "inspect_submissions": q(
-            "SELECT submission_id AS id, left(coalesce(producer, ''), 20) AS producer, left(coalesce(name, ''), 35) AS name, "
-            "category, vintage AS vint, size_ml AS ml, status, decision, matched_product_id AS matched, "
-            "CAST(round(CAST(llm_confidence AS DECIMAL(10,4)), 2) AS DOUBLE) AS conf, "
-            "left(coalesce(explanation, llm_reason, validation_error, ''), 40) AS why, "
-            f"{so} AS status_order FROM fin"
+        "inspect_submissions": q(_inspect_sql()),
+        "inspect_import": q(_inspect_sql()),
+        "output_datasets": q(
+            "SELECT 'valid_records' AS dataset, count(*) AS n FROM fin WHERE status <> 'invalid' "
+            "UNION ALL SELECT 'invalid_records', count(*) FROM fin WHERE status = 'invalid' "
+            "UNION ALL SELECT 'exact_duplicate_records', count(*) FROM fin WHERE status = 'exact_duplicate' "
+            "UNION ALL SELECT 'near_duplicate_records', count(*) FROM fin WHERE status = 'near_duplicate' "
+            "UNION ALL SELECT 'unmatched_records', count(*) FROM fin WHERE status IN ('unmatched', 'no_match', 'review')"
+        ),
+        "final_state": q(
+            "SELECT submission_id, 'import-0001' AS import_id, name, producer, category, vintage, size_ml, status, decision, "
+            "matched_product_id, explanation, llm_confidence, llm_reason, llm_model, "
+            f"CASE WHEN llm_model IS NOT NULL THEN '{S.PROMPT_VERSION}' END AS llm_prompt_version, "
+            "CASE WHEN llm_source <> 'error' THEN llm_output END AS llm_output, validation_error, duplicate_of, fingerprint, "
+            "tier1_status, llm_source, '2026-01-01 00:00:00' AS created_at, '2026-01-01 00:00:00' AS updated_at FROM fin"
         ),
         "pipeline_report": q(_report_sql()),
         "eval_overall": q(
@@ -429,22 +494,27 @@ def queries() -> dict[str, str]:
             "SELECT class_key, count(*) FILTER (WHERE correct) AS correct, count(*) AS n FROM sc2 GROUP BY class_key"
         ),
         "eval_misses": q(_misses_sql()),
-        "latest_import": q("SELECT 'import-0001' AS import_id"),
-        "referential_audit": q(
-            "SELECT 'matched_product_id' AS kind, f.submission_id, f.matched_product_id AS ref FROM fin f "
+        "eval_percentages": q(
+            "SELECT class_key, printf('%.1f%%', 100.0 * count(*) FILTER (WHERE correct) / count(*)) AS share FROM sc2 GROUP BY class_key"
+        ),
+        "latest_import": q("SELECT arg_max(import_id, created_at) AS import_id FROM (" + _store_sql() + ")"),
+        "referential_audit": q("").rstrip() + UNCHECKED + (
+            "SELECT 'matched_product_id' AS kind, f.submission_id, f.matched_product_id AS ref FROM unchecked f "
             "WHERE f.matched_product_id IS NOT NULL AND f.matched_product_id NOT IN (SELECT product_id FROM cat) "
-            "UNION ALL SELECT 'duplicate_of', f.submission_id, f.duplicate_of FROM fin f "
-            "WHERE f.duplicate_of IS NOT NULL AND f.duplicate_of NOT IN (SELECT submission_id FROM fin)"
+            "UNION ALL SELECT 'duplicate_of', f.submission_id, f.duplicate_of FROM unchecked f "
+            "WHERE f.duplicate_of IS NOT NULL AND f.duplicate_of NOT IN (SELECT submission_id FROM unchecked)"
+        ),
+        "revert_import": q(
+            "SELECT import_id, status, count(*) AS n FROM (" + _store_sql() + ") WHERE import_id <> 'import-0000' GROUP BY ALL"
         ),
-        "revert_import": q("SELECT 'import-0001' AS import_id, status, count(*) AS n FROM fin GROUP BY status"),
         "drift_by_import": q(_drift_sql()),
         "spend_estimate": q(_spend_sql()),
         "cache_table": q(
-            f"SELECT '{MODEL}' AS llm_model, 'v2' AS llm_prompt_version, fingerprint, cached_output AS llm_output "
+            f"SELECT '{MODEL}' AS llm_model, '{S.PROMPT_VERSION}' AS llm_prompt_version, fingerprint, cached_output AS llm_output "
             "FROM cache WHERE cached_output IS NOT NULL "
-            f"UNION ALL SELECT '{MODEL}', 'v2', fingerprint, llm_output FROM ans "
+            f"UNION ALL SELECT '{MODEL}', '{S.PROMPT_VERSION}', fingerprint, llm_output FROM ans "
             "WHERE llm_output IS NOT NULL AND d2 NOT IN ('0','2','4','6','8','a','c','e') "
-            f"UNION ALL SELECT '{MODEL}', 'v1', fingerprint, {_json('(b + 3) % 16', 'cand')} "
+            f"UNION ALL SELECT '{MODEL}', '{S.OLD_PROMPT_VERSION}', fingerprint, {_json('(b + 3) % 16', 'cand')} "
             "FROM (SELECT DISTINCT fingerprint, b, cand FROM un WHERE d2 = '0') WHERE (b + 3) % 16 <> 15"
         ),
         "near_duplicate_summary": q(
@@ -466,21 +536,36 @@ def queries() -> dict[str, str]:
             "IS NOT NULL AND duplicate_of NOT IN (SELECT submission_id FROM fin))"
         ),
         "request_system_text": q(
-            "SELECT " + _sql_str(R.SYSTEM_HEAD) + " || string_agg(alias || ' -> ' || canonical, chr(10) "
-            "ORDER BY alias, canonical) || " + _sql_str(R.CATALOG_HEADER) + " AS system_text FROM ("
+            "SELECT NULL AS block_producer, " + _sql_str(R.SYSTEM_HEAD) + " AS line UNION ALL "
+            "SELECT lower(canonical), canonical || ' is also called ' || alias FROM ("
             f"SELECT alias, canonical FROM (VALUES {_ALIASES}) v(alias, canonical) UNION ALL "
             "SELECT lower(replace(p_brand, '#', ' no ')), p_brand FROM (SELECT DISTINCT p_brand FROM part))"
         ),
         "request_context": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
         "SELECT lower(producer) AS block_producer, category, product_id, "
-        "concat_ws(' | ', product_id, producer, canonical_name, category, CAST(size_ml AS VARCHAR), "
-        "CASE WHEN vintage_required THEN 'True' ELSE 'False' END) AS line FROM cat",
+        "product_id || ': ' || producer || ' / ' || canonical_name || ' (' || category || ', ' || CAST(size_ml AS VARCHAR) "
+        "|| ' ml' || CASE WHEN vintage_required THEN ', needs vintage' ELSE '' END || ')' AS line FROM cat",
         "catalog_list": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
         "SELECT product_id, canonical_name, producer, category, size_ml, vintage_required FROM cat",
         "exact_duplicate_summary_rerun": q(
-            "SELECT count(DISTINCT duplicate_of) AS clusters, count(*) AS demoted FROM dd WHERE status = 'exact_duplicate'"
+            "SELECT count(*) AS clusters, coalesce(CAST(sum(n) AS BIGINT), 0) - count(*) AS demoted FROM "
+            "(SELECT count(*) AS n FROM dd WHERE status = 'pending' GROUP BY fingerprint HAVING count(*) > 1)"
         ),
         "json_variant_import": q(_json_import_sql()),
+        "json_raw_records": q(f"SELECT submission_id, {_record_sql()} AS raw_json FROM kept"),
+        "json_rejected_records": q(
+            f"SELECT 'missing_id' AS reason, {_record_sql()} AS raw_json FROM raw WHERE submission_id IS NULL OR submission_id = '' "
+            "UNION ALL SELECT 'invalid_record', '{\"submission_id\":\"' || submission_id || '\",\"name\":' FROM raw "
+            "WHERE right(submission_id, 1) = '7'"
+        ),
+        "json_import_summary": q(
+            "SELECT 'total' AS metric, count(*) + count(*) FILTER (WHERE right(submission_id, 1) = '7') AS value FROM raw UNION ALL "
+            "SELECT 'skipped_invalid_record', count(*) FROM raw WHERE right(submission_id, 1) = '7' UNION ALL "
+            "SELECT 'skipped_missing_id', count(*) FROM raw WHERE submission_id IS NULL OR submission_id = '' UNION ALL "
+            "SELECT 'skipped_invalid_id', 0 UNION ALL "
+            "SELECT 'skipped_duplicate_id', count(*) - count(DISTINCT submission_id) FROM raw WHERE submission_id <> '' UNION ALL "
+            "SELECT 'with_id', count(*) FROM raw WHERE submission_id <> '' UNION ALL SELECT 'inserted', count(*) FROM kept"
+        ),
         "stream_import": "WITH " + CHAIN.strip() + ",\n" + _stream_ctes() + _STREAM_SELECT,
         "resolver_hook": q(
             "SELECT submission_id, "
@@ -503,36 +588,98 @@ def queries() -> dict[str, str]:
 
 def _report_sql() -> str:
     rows = [
-        ("read", "read from source", "(SELECT count(*) FROM raw)"),
-        ("read", "skipped (no submission_id)", "(SELECT count(*) FROM raw WHERE submission_id IS NULL OR submission_id = '')"),
-        ("read", "skipped (duplicate submission_id)", "(SELECT count(*) FROM skipped)"),
-        ("read", "inserted", "(SELECT count(*) FROM kept)"),
-        ("validation", "invalid (failed validation)", "(SELECT count(*) FROM fin WHERE status = 'invalid')"),
-        ("validation", "valid", "(SELECT count(*) FROM fin WHERE status <> 'invalid')"),
-        ("dedup", "exact duplicates demoted", "(SELECT count(*) FROM fin WHERE status = 'exact_duplicate')"),
-        ("dedup", "exact duplicate clusters", "(SELECT count(DISTINCT duplicate_of) FROM fin WHERE status = 'exact_duplicate')"),
-        ("dedup", "into matching", "(SELECT count(*) FROM t1)"),
-        ("tier1", "processed", "(SELECT count(*) FROM t1)"),
-        ("tier1", "exact_match", "(SELECT count(*) FROM t1 WHERE status = 'matched')"),
-        ("tier1", "human_review", "(SELECT count(*) FROM t1 WHERE status = 'review')"),
-        ("tier1", "no_match", "(SELECT count(*) FROM t1 WHERE status = 'no_match')"),
-        ("tier1", "to tier 2 (unmatched)", "(SELECT count(*) FROM t1 WHERE status = 'unmatched')"),
-        ("tier2", "processed", "(SELECT count(*) FROM t2)"),
-        ("tier2", "cache hits", "(SELECT count(*) FROM t2 WHERE llm_source = 'cache')"),
-        ("tier2", "api errors", "(SELECT count(*) FROM t2 WHERE llm_source = 'error')"),
-        ("tier2", "auto-applied (possible_match)", f"(SELECT count(*) FROM t2 WHERE explanation = '{S.LLM_POSSIBLE_MATCH}')"),
-        ("tier2", "sent to review", f"(SELECT count(*) FROM t2 WHERE explanation IN ('{S.LLM_HUMAN_REVIEW}', '{S.LLM_UNAVAILABLE}'))"),
-        ("tier2", "no_match", f"(SELECT count(*) FROM t2 WHERE explanation = '{S.LLM_NO_MATCH}')"),
-        ("near_dup", "demoted from matched", "(SELECT count(*) FROM fin WHERE status = 'near_duplicate')"),
-        ("near_dup", "clusters", "(SELECT count(DISTINCT duplicate_of) FROM fin WHERE status = 'near_duplicate')"),
+        ("input", "records read", "(SELECT count(*) FROM raw)"),
+        ("input", "without a usable id", "(SELECT count(*) FROM raw WHERE submission_id IS NULL OR submission_id = '')"),
+        ("input", "repeated ids", "(SELECT count(*) FROM skipped)"),
+        ("input", "kept", "(SELECT count(*) FROM kept)"),
+        ("checks", "failed", "(SELECT count(*) FROM fin WHERE status = 'invalid')"),
+        ("checks", "passed", "(SELECT count(*) FROM fin WHERE status <> 'invalid')"),
+        ("copies", "demoted", "(SELECT count(*) FROM fin WHERE status = 'exact_duplicate')"),
+        ("copies", "groups", "(SELECT count(DISTINCT duplicate_of) FROM fin WHERE status = 'exact_duplicate')"),
+        ("copies", "left to match", "(SELECT count(*) FROM t1)"),
+        ("rules", "rows", "(SELECT count(*) FROM t1)"),
+        ("rules", "exact", "(SELECT count(*) FROM t1 WHERE status = 'matched')"),
+        ("rules", "for review", "(SELECT count(*) FROM t1 WHERE status = 'review')"),
+        ("rules", "rejected", "(SELECT count(*) FROM t1 WHERE status = 'no_match')"),
+        ("rules", "undecided", "(SELECT count(*) FROM t1 WHERE status = 'unmatched')"),
+        ("model", "rows", "(SELECT count(*) FROM t2)"),
+        ("model", "from the cache", "(SELECT count(*) FROM t2 WHERE llm_source = 'cache')"),
+        ("model", "failed calls", "(SELECT count(*) FROM t2 WHERE llm_source = 'error')"),
+        ("model", "accepted", f"(SELECT count(*) FROM t2 WHERE explanation = '{S.LLM_POSSIBLE_MATCH}')"),
+        ("model", "for review", f"(SELECT count(*) FROM t2 WHERE explanation IN ('{S.LLM_HUMAN_REVIEW}', '{S.LLM_UNAVAILABLE}'))"),
+        ("model", "rejected", f"(SELECT count(*) FROM t2 WHERE explanation = '{S.LLM_NO_MATCH}')"),
+        ("products", "demoted", "(SELECT count(*) FROM fin WHERE status = 'near_duplicate')"),
+        ("products", "groups", "(SELECT count(DISTINCT duplicate_of) FROM fin WHERE status = 'near_duplicate')"),
     ]
-    rows += [("final", s, f"(SELECT count(*) FROM fin WHERE status = '{s}')") for s in S.STATUSES]
-    rows += [("final", "total", "(SELECT count(*) FROM fin)")]
+    rows += [("status", s, f"(SELECT count(*) FROM fin WHERE status = '{s}')") for s in S.STATUSES]
+    rows += [("status", "all", "(SELECT count(*) FROM fin)")]
     return " UNION ALL ".join(
         f"SELECT '{sec}' AS section, '{m}' AS metric, CAST({v} AS BIGINT) AS value" for sec, m, v in rows
     )
 
 
+def _inspect_sql() -> str:
+    return (
+        "SELECT submission_id AS id, left(coalesce(producer, ''), 20) AS producer, left(coalesce(name, ''), 35) AS name, "
+        "category, vintage AS vint, size_ml AS ml, status, decision, matched_product_id AS matched, "
+        "CAST(round(CAST(llm_confidence AS DECIMAL(10,4)), 2) AS DOUBLE) AS conf, "
+        "left(coalesce(explanation, llm_reason, validation_error, ''), 40) AS why, "
+        f"{_status_order('status')} AS status_order FROM fin"
+    )
+
+
+def _store_sql() -> str:
+    """The stored rows of both imports: import_id, created_at, status."""
+    parts = []
+    for shift, digits in ((1, "02468ace"), (2, "02468ace"), (3, "0")):
+        dl = ", ".join(f"'{d}'" for d in digits)
+        parts.append(
+            "SELECT 'import-0000' AS import_id, TIMESTAMP '2025-01-01' AS created_at, 'answered' AS status "
+            f"FROM (SELECT DISTINCT fingerprint, b, {shift} AS s FROM un WHERE d2 IN ({dl}))"
+        )
+    return " UNION ALL ".join([*parts, "SELECT 'import-0001', TIMESTAMP '2026-01-01', status FROM fin"])
+
+
+def _search_sql() -> str:
+    """Products for rows whose producer has no block: those with the rarest known token of the
+    row's producer and name, by shared tokens, then id."""
+    words = norm("producer || ' ' || name")
+    held = norm("producer || ' ' || canonical_name")
+    return (
+        "SELECT submission_id, product_id, shared, rank FROM ("
+        "SELECT a.submission_id, h.product_id, len(list_intersect(a.words, h.held)) AS shared, "
+        "row_number() OVER (PARTITION BY a.submission_id ORDER BY len(list_intersect(a.words, h.held)) DESC, h.product_id) AS rank "
+        "FROM (SELECT w.submission_id, w.category, w.words, arg_min(f.token, (f.df, f.token)) AS token "
+        f"FROM (SELECT submission_id, category, {toks(words)} AS words, unnest({toks(words)}) AS token FROM t1 "
+        "WHERE status = 'unmatched' AND NOT EXISTS (SELECT 1 FROM cat c WHERE lower(c.producer) = t1.pk AND c.category = t1.category)) w "
+        f"JOIN (SELECT category, token, count(*) AS df FROM (SELECT category, unnest({toks(held)}) AS token FROM cat) GROUP BY 1, 2) f "
+        "ON f.category = w.category AND f.token = w.token GROUP BY w.submission_id, w.category, w.words) a "
+        f"JOIN (SELECT product_id, category, {toks(held)} AS held FROM cat) h "
+        "ON h.category = a.category AND list_contains(h.held, a.token)) "
+        f"WHERE rank <= {R.SEARCH_TOP}"
+    )
+
+
+def _record_sql() -> str:
+    """A record's JSON text, by the last character of its id (see the JSON writer)."""
+    h = "right(coalesce(submission_id, ''), 1)"
+    text = lambda c: f"'\"' || {c} || '\"'"
+    vintage = (
+        f"CASE {h} WHEN '1' THEN {text('CAST(vintage AS VARCHAR)')} WHEN '2' THEN CAST(vintage AS VARCHAR) || '.5' "
+        "WHEN '5' THEN '1.0E30' WHEN '6' THEN '\"99999999999999999999\"' ELSE CAST(vintage AS VARCHAR) END"
+    )
+    parts = [
+        f"CASE WHEN submission_id IS NOT NULL THEN '\"submission_id\":' || {text('submission_id')} END",
+        f"'\"name\":' || CASE {h} WHEN '4' THEN 'true' ELSE {text('name')} END",
+        f"CASE WHEN producer IS NOT NULL THEN '\"producer\":' || {text('producer')} END",
+        f"'\"category\":' || {text('category')}",
+        f"CASE WHEN vintage IS NOT NULL THEN '\"vintage\":' || {vintage} END",
+        f"'\"size_ml\":' || CAST(size_ml AS VARCHAR) || CASE {h} WHEN '3' THEN '.0' ELSE '' END",
+        f"CASE {h} WHEN '7' THEN '\"partner_sku\":\"SKU of ' || submission_id || '\"' END",
+    ]
+    return "'{' || concat_ws(',', " + ", ".join(parts) + ") || '}'"
+
+
 def _misses_sql() -> str:
     rep = "coalesce('''' || {c} || '''', 'None')"
     acc = "'[' || array_to_string(list_transform(acceptable_decisions, lambda x: '''' || x || ''''), ', ') || ']'"
@@ -552,7 +699,9 @@ def _misses_sql() -> str:
 
 _STREAM_SELECT = """
 SELECT CASE WHEN d = 1 THEN 'stream-000000' ELSE 'stream-000001' END AS import_id, status, count(*) AS n
-FROM (SELECT d, status FROM xd WHERE status <> 'pending' UNION ALL SELECT d, status FROM xt1)
+FROM (SELECT d, status FROM xd WHERE status <> 'pending' UNION ALL SELECT d, status FROM xt2 WHERE status <> 'matched'
+      UNION ALL SELECT d, CASE WHEN submission_id = min(submission_id) OVER (PARTITION BY d, pid) THEN 'matched'
+                               ELSE 'near_duplicate' END FROM xt2 WHERE status = 'matched')
 GROUP BY 1, 2
 """
 
@@ -560,7 +709,8 @@ GROUP BY 1, 2
 def _stream_ctes() -> str:
     """Two deliveries (even or missing vintage first), each one import of JSON records:
     first-wins per id inside a delivery, ids of the first delivery skipped in the second,
-    JSON typing rules by the id's last character, dedup and tier 1 per import."""
+    JSON typing rules by the id's last character, dedup, tier 1, tier 2 by the fingerprint rule (a
+    cached answer equals a fresh one) and the sweep per import."""
     return f"""
 xraw AS (SELECT *, CASE WHEN coalesce(vintage, 0) % 2 = 0 THEN 1 ELSE 2 END AS d FROM raw),
 xr AS (
@@ -579,6 +729,7 @@ xe AS (
     CASE WHEN producer IS NULL THEN '{S.MSG_REQUIRED}' WHEN length(t_producer) = 0 THEN '{S.MSG_STRING_EMPTY}' END AS e_producer,
     CASE WHEN category IS NULL THEN '{S.MSG_REQUIRED}' WHEN length(t_category) = 0 THEN '{S.MSG_STRING_EMPTY}' END AS e_category,
     CASE WHEN right(submission_id, 1) = '2' AND vintage IS NOT NULL THEN '{S.MSG_INT_FRACTION}'
+         WHEN right(submission_id, 1) IN ('5', '6') AND vintage IS NOT NULL THEN '{S.msg_vintage_high()}'
          WHEN vintage < {S.VINTAGE_MIN} THEN '{S.msg_vintage_low()}'
          WHEN vintage > {S.VINTAGE_MAX} THEN '{S.msg_vintage_high()}' END AS e_vintage,
     CASE WHEN size_ml IS NULL THEN '{S.MSG_REQUIRED}' WHEN size_ml NOT IN ({_SIZE_LIST}) THEN '{S.MSG_SIZE}' END AS e_size
@@ -625,16 +776,30 @@ xpairs AS (
 ),
 xcnt AS (
   SELECT submission_id, count(*) FILTER (WHERE at_size) AS n_at_size, count(*) AS n_any,
+         min(product_id) FILTER (WHERE at_size) AS first_pid,
          arg_min(vintage_required, product_id) FILTER (WHERE at_size) AS first_vreq
   FROM xpairs GROUP BY submission_id
 ),
 xt1 AS (
-  SELECT p.d,
+  SELECT p.d, p.submission_id, p.fingerprint, p.producer, p.category, c.first_pid,
     CASE WHEN NOT p.in_scope THEN 'no_match'
          WHEN coalesce(c.n_at_size, 0) = 1 AND coalesce(c.first_vreq, false) AND p.vintage IS NULL THEN 'review'
          WHEN coalesce(c.n_at_size, 0) = 1 THEN 'matched' WHEN coalesce(c.n_at_size, 0) > 1 THEN 'review'
          WHEN coalesce(c.n_any, 0) = 1 THEN 'no_match' ELSE 'unmatched' END AS status
   FROM xpt p LEFT JOIN xcnt c USING (submission_id)
+),
+xa AS (
+  SELECT x.*, strpos('0123456789abcdef', substr(x.fingerprint, 1, 1)) - 1 AS b,
+         {_CAND.format(fp='x.fingerprint', cand='blk.cand')} AS named
+  FROM xt1 x LEFT JOIN blk ON blk.bpk = lower(x.producer) AND blk.bcat = x.category
+),
+xt2 AS (
+  SELECT d, submission_id, CASE WHEN status = 'unmatched' THEN named ELSE first_pid END AS pid,
+    CASE WHEN status <> 'unmatched' THEN status WHEN b = 15 THEN 'review'
+         WHEN ({_DECISIONS})[b % 4 + 1] = 'no_match' THEN 'no_match'
+         WHEN ({_DECISIONS})[b % 4 + 1] = 'human_review' OR (b + 4) / 20.0 < {S.AUTO_APPLY_THRESHOLD}
+              OR named IS NULL OR named = '{UNKNOWN_PRODUCT}' THEN 'review' ELSE 'matched' END AS status
+  FROM xa
 )
 """
 
@@ -653,6 +818,7 @@ def _json_import_sql() -> str:
         SELECT *,
           CASE WHEN right(submission_id, 1) = '4' THEN '{S.MSG_STRING_TYPE}' ELSE e_name END AS jn,
           CASE WHEN right(submission_id, 1) = '2' AND vintage IS NOT NULL THEN '{S.MSG_INT_FRACTION}'
+               WHEN right(submission_id, 1) IN ('5', '6') AND vintage IS NOT NULL THEN '{S.msg_vintage_high()}'
                ELSE e_vintage END AS jv
         FROM errs))
     """
@@ -667,11 +833,11 @@ def _spend_sql() -> str:
             f"SELECT CASE WHEN (b + {shift}) % 16 = 15 THEN 'error' ELSE 'model' END AS llm_source "
             f"FROM (SELECT DISTINCT fingerprint, b FROM un WHERE d2 IN ({dl}))"
         )
-    rate = 1500 * 2.50 / 1_000_000.0
     return (
         "SELECT import_id, count(*) AS submissions, count(*) FILTER (WHERE llm_source IS NULL) AS deterministic, "
         "count(*) FILTER (WHERE llm_source IN ('model', 'error')) AS model_calls, "
-        f"round(count(*) FILTER (WHERE llm_source IN ('model', 'error')) * {rate}, 4) AS est_usd FROM ("
+        "CAST(round(count(*) FILTER (WHERE llm_source IN ('model', 'error')) * CAST('0.00375' AS DECIMAL(12,10)), 4) AS DOUBLE) "
+        "AS est_usd FROM ("
         "SELECT 'import-0000' AS import_id, llm_source FROM (" + " UNION ALL ".join(hist) + ") "
         "UNION ALL SELECT 'import-0001', llm_source FROM fin) GROUP BY import_id"
     )
@@ -680,7 +846,7 @@ def _spend_sql() -> str:
 def _drift_sql() -> str:
     """History import (three answer sets) and this import: decisions and mean confidence."""
     hist_parts = []
-    for shift, digits, version in ((1, "02468ace", "v2"), (2, "02468ace", "v2"), (3, "0", "v1")):
+    for shift, digits, version in ((1, "02468ace", "new"), (2, "02468ace", "new"), (3, "0", "old")):
         dl = ", ".join(f"'{d}'" for d in digits)
         b = f"(b + {shift}) % 16"
         hist_parts.append(
@@ -690,7 +856,7 @@ def _drift_sql() -> str:
     hdec = (
         f"CASE WHEN hb = 15 THEN 'human_review' WHEN ({_DECISIONS})[hb % 4 + 1] = 'no_match' THEN 'no_match' "
         f"WHEN ({_DECISIONS})[hb % 4 + 1] = 'human_review' OR CAST(CAST((hb + 4) / 20.0 AS DECIMAL(3,2)) AS DOUBLE) "
-        f"< {S.AUTO_APPLY_THRESHOLD} OR cand IS NULL THEN 'human_review' ELSE 'possible_match' END"
+        f"< {S.AUTO_APPLY_THRESHOLD} OR cand IS NULL OR cand = '{UNKNOWN_PRODUCT}' THEN 'human_review' ELSE 'possible_match' END"
     )
     hconf = "CASE WHEN hb = 15 THEN NULL ELSE CAST(CAST((hb + 4) / 20.0 AS DECIMAL(3,2)) AS DOUBLE) END"
     return (

@@ -9,13 +9,17 @@ partition (dynamic overwrite, so a re-run replaces only this import).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
+from vinculum.functions.text import percent
 from vinculum.operators import dedup, ingest, match, report, resolve
+from vinculum.operators import evaluate as E
+from vinculum.session import path_exists, scratch_path
 from vinculum.sources import store as ST
 
 
@@ -29,12 +33,12 @@ class ImportResult:
         return report.pipeline_report(self.imported.records, self.final)
 
     def outputs(self) -> dict[str, DataFrame]:
-        return outputs(self.final, self.imported.records)
+        return outputs(self.final, self.imported)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def default_cache_path(store_path: str) -> str:
+    """Folder of the tier-2 cache table that belongs to a store."""
+    return f"{store_path.rstrip('/')}-answers"
 
 
 def run_import(
@@ -54,33 +58,36 @@ def run_import(
 ) -> ImportResult:
     """Run one import.  ``records`` as for :func:`ingest.import_records`.
 
-    With ``store_path``, ids stored by earlier imports are skipped, their answers serve as the
-    tier-2 cache, and the final rows are written to the store.  With ``cache_path`` the cache
-    is that append-only table instead (new answers are appended after the import).  Without
-    ``resolver`` the unmatched rows stay ``unmatched`` (tier 1 only).
+    ``catalog`` is a :class:`match.CatalogIndex` (build it once with a path) or a catalog, which
+    is indexed for this run.  With ``store_path``, ids stored by earlier imports are skipped by
+    a look-up in the store's id index, stored answers serve as the tier-2 cache (an append-only
+    table, ``cache_path``, beside the store by default), and the final rows are written to the
+    store.  Without ``resolver`` the unmatched rows stay ``unmatched`` (tier 1 only).
     """
-    cache = spark.read.parquet(cache_path) if cache_path and _path_exists(spark, cache_path) else None
-    stored = ST.read_store(spark, store_path) if store_path and _path_exists(spark, store_path) else None
-    history = stored.filter(F.col("import_id") != import_id) if stored is not None else None
-    imp = ingest.import_records(
-        records, import_id, run_ts, variant=variant,
-        stored_ids=history.select("submission_id") if history is not None else None,
-    )
+    if not isinstance(catalog, match.CatalogIndex):
+        catalog = match.build_index(catalog, scratch_path(spark, f"index-{uuid.uuid4().hex}"))
+    if store_path and cache_path is None:
+        cache_path = default_cache_path(store_path)
+    cache = spark.read.parquet(cache_path) if cache_path and path_exists(spark, cache_path) else None
+    stored = None
+    if store_path and path_exists(spark, ST.ids_path(store_path)):
+        stored = ST.stored_among(records, ST.ids_path(store_path), import_id)
+    imp = ingest.import_records(records, import_id, run_ts, variant=variant, stored_ids=stored)
     imp.state = ST.stage_table(imp.state, f"{import_id}-imported")
+    imp.records = ST.stage_table(imp.records, f"{import_id}-records")
     work = dedup.mark_exact_duplicates(imp.state)
     work = ST.stage_table(match.match_tier1(work, catalog, aliases, run_ts), f"{import_id}-tier1")
     if resolver is not None:
         if catalog_ids is None:
-            cat = catalog.cat if isinstance(catalog, match.CatalogIndex) else catalog
-            catalog_ids = cat.select("product_id")
+            catalog_ids = catalog.cat.select("product_id")
         work = resolve.resolve_unmatched(
-            work, resolver, history=None if cache_path else history, cache=cache,
-            catalog_ids=catalog_ids, model_id=model_id, run_ts=run_ts,
+            work, resolver, history=None, cache=cache, catalog_ids=catalog_ids, model_id=model_id, run_ts=run_ts,
         )
     work = dedup.mark_near_duplicates(dedup.propagate_to_duplicates(work))
     final = ST.stage_table(work, f"{import_id}-final")
     if store_path:
         ST.write_import(final.drop("position"), store_path)
+        ST.write_ids(final, ST.ids_path(store_path))
     if cache_path and resolver is not None:
         resolve.new_cache_entries(final, cache).write.mode("append").parquet(cache_path)
     return ImportResult(import_id=import_id, imported=imp, final=final)
@@ -91,8 +98,8 @@ def list_catalog(catalog: DataFrame) -> DataFrame:
     return catalog.select(*[f.name for f in S.CATALOG_SCHEMA.fields]).orderBy("product_id")
 
 
-def outputs(state: DataFrame, records: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The six output datasets of an import."""
+def outputs(state: DataFrame, imported: ingest.Imported | None = None) -> dict[str, DataFrame]:
+    """The output datasets of an import, with ``imported`` also its report and what was skipped."""
     st = F.col("status")
     out = {
         "valid_records": state.filter(st != "invalid"),
@@ -101,60 +108,67 @@ def outputs(state: DataFrame, records: DataFrame | None = None) -> dict[str, Dat
         "near_duplicate_records": report.near_duplicate_pairs(state),
         "unmatched_records": state.filter(st.isin("unmatched", "no_match", "review")),
     }
-    if records is not None:
-        out["summary_report"] = report.pipeline_report(records, state)
+    if imported is not None:
+        out["summary_report"] = report.pipeline_report(imported.records, state)
+        out["skipped_records"] = imported.skipped()
+        out["rejected_records"] = imported.rejected()
     return out
 
 
-def print_report(report_df: DataFrame, state: DataFrame | None = None, preview: int = 20) -> None:
-    """Console rendering of the (small, fixed-size) pipeline report.
+def output_counts(state: DataFrame) -> DataFrame:
+    """Rows of each output dataset of a state: (dataset, n)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dataset"), "n") for name, df in outputs(state).items()]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return whole
 
-    With ``state``, the invalid records and exact-duplicate pairs are shown too, as a preview
-    of ``preview`` rows each (the full lists are the ``outputs`` datasets).
+
+def write_lists(lists: dict[str, DataFrame], folder: str) -> dict[str, tuple[str, int]]:
+    """Write each list whole as a dataset below ``folder``: name -> (path, rows)."""
+    out = {}
+    for name, rows in lists.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        out[name] = (path, rows.sparkSession.read.parquet(path).count())
+    return out
+
+
+def _print_lists(written: dict[str, tuple[str, int]]) -> None:
+    for name, (path, n) in written.items():
+        print(f"{n:>12,} rows  {name.replace('_', ' ')}: {path}")
+
+
+def print_report(report_df: DataFrame, lists: dict[str, DataFrame] | None = None, folder: str | None = None) -> None:
+    """The pipeline report (of fixed size) on the console.
+
+    ``lists`` are written whole below ``folder``; the console names each with its size and place.
     """
-    section = None
+    by_section: dict[str, list[str]] = {}
     for r in report_df.collect():
-        if r["section"] != section:
-            section = r["section"]
-            print(f"\n{section}:")
-        print(f"  {r['metric']:<38} {r['value']:>8}")
-    if state is not None:
-        print("\nInvalid records:")
-        for r in report.invalid_with_reasons(state).limit(preview).collect():
-            print(f"  {r['submission_id']}: {r['validation_error'] or ''}")
-        print("\nDuplicate pairs:")
-        for r in report.exact_duplicate_pairs(state).limit(preview).collect():
-            print(f"  {r['submission_id']} -> {r['duplicate_of']}")
-
-
-def print_eval_report(scored: DataFrame, preview: int = 50) -> None:
-    """R2: console rendering of the evaluation (totals, decisions, tiers, per-set accuracy, misses)."""
-    from vinculum.operators import evaluate as E
-
-    ov = E.overall(scored).first()
-
-    def pct(n: int, d: int) -> str:
-        return f"{n / d * 100:.1f}%" if d else "-"
-
-    print(f"\nEval results (n={ov['total']}):\n\nOverall:")
-    print(f"  product_id correct:     {ov['pid_correct']}/{ov['total']} = {pct(ov['pid_correct'], ov['total'])}")
-    print(f"  decision in acceptable: {ov['decision_correct']}/{ov['total']} = {pct(ov['decision_correct'], ov['total'])}")
-    print(f"  false positives:        {ov['false_positives']}")
-    print("\nEmitted decisions:")
-    for r in E.decisions_histogram(scored).collect():
-        print(f"  {r['emitted']:18} {r['n']}")
-    t = E.tiers(scored).first()
-    print("\nResolved by:")
-    print(f"  tier 1 (deterministic): {t['tier1']}")
-    conf = f"  (conf mean={t['conf_mean']:.2f}, range [{t['conf_min']:.2f}, {t['conf_max']:.2f}])" if t["conf_mean"] is not None else ""
-    print(f"  tier 2 (LLM):           {t['tier2']}{conf}")
-    print("\nAccuracy by acceptable-decision set:")
-    sets = E.by_acceptable_set(scored).collect()
-    width = max((len(r["class_key"]) for r in sets), default=0)
-    for r in sets:
-        print(f"  {r['class_key']:<{width}}  {r['correct']}/{r['n']} ({pct(r['correct'], r['n'])})")
-    misses = E.misses(scored).limit(preview).collect()
-    if misses:
-        print("\nMisses:")
-        for r in misses:
-            print(f"  {r['miss']}")
+        by_section.setdefault(r["section"], []).append(f"{r['metric']} {r['value']:,}")
+    for section, parts in by_section.items():
+        print(f"[{section}] " + " | ".join(parts))
+    if lists:
+        if folder is None:
+            raise ValueError("lists need a folder")
+        _print_lists(write_lists(lists, folder))
+
+
+def print_eval_report(scored: DataFrame, folder: str) -> None:
+    """R2: the evaluation on the console, one line per figure; all misses go to ``folder``."""
+    total = E.overall(scored).select(
+        "total", "not_found", "false_positives",
+        percent(F.col("pid_correct"), F.col("total")).alias("product"),
+        percent(F.col("decision_correct"), F.col("total")).alias("decision"),
+    ).first()
+    print(f"{total['total']} labels: product right {total['product']}, decision right {total['decision']}, "
+          f"wrong product accepted {total['false_positives']}, without a record {total['not_found']}")
+    tier = E.tiers(scored).first()
+    spread = "" if tier["conf_mean"] is None else f", confidence {tier['conf_min']} to {tier['conf_max']}, mean {tier['conf_mean']}"
+    print(f"settled by rules {tier['tier1']}, by the model {tier['tier2']}{spread}")
+    print("decisions: " + ", ".join(f"{r['emitted']} {r['n']}" for r in E.decisions_histogram(scored).collect()))
+    sets = E.by_acceptable_set(scored).withColumn("share", percent(F.col("correct"), F.col("n")))
+    for r in sets.collect():
+        print(f"accepting {r['class_key']}: {r['share']} of {r['n']}")
+    _print_lists(write_lists({"misses": E.misses(scored)}, folder))

@@ -10,10 +10,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculum.functions.text import normalize, tokens
+from vinculum.functions.text import normalize, percent, tokens
 from vinculum.operators import audit, dedup, evaluate as E, match, report, resolve
 from vinculum.operators.match import catalog_find
-from vinculum.plans.scenario import HISTORY_IMPORT_ID, scenario
+from vinculum.plans.scenario import HISTORY_IMPORT_ID, IMPORT_ID, scenario
 from vinculum.sources import store as ST
 from vinculum.sources import tables as TB
 
@@ -38,7 +38,7 @@ def q_missing_id_filter(spark, sf):
 
 
 def q_duplicate_ids_skipped(spark, sf):
-    return _sc(spark, sf).imported.skipped().select("submission_id", "reason")
+    return _sc(spark, sf).imported.skipped()
 
 
 def q_import_summary(spark, sf):
@@ -83,7 +83,7 @@ def q_exact_duplicate_pairs(spark, sf):
 
 
 def q_exact_duplicate_summary(spark, sf):
-    return dedup.exact_duplicate_summary(_sc(spark, sf).deduped)
+    return dedup.exact_duplicate_summary(_imported(spark, sf))
 
 
 def q_pending_queue(spark, sf):
@@ -143,7 +143,14 @@ def q_unmatched_queue(spark, sf):
 
 def q_request_table(spark, sf):
     sc = _sc(spark, sf)
-    return resolve.request_table(sc.tier1, sc.catalog).select("submission_id", "user_text", "block_products")
+    return resolve.request_table(sc.tier1, sc.catalog, sc.aliases).select(
+        "submission_id", "user_text", "block_products", "found_products"
+    )
+
+
+def q_request_candidates(spark, sf):
+    sc = _sc(spark, sf)
+    return resolve.request_candidates(sc.tier1, sc.catalog, sc.aliases)
 
 
 def q_decision_cache(spark, sf):
@@ -164,6 +171,13 @@ def q_apply_decisions(spark, sf):
     )
 
 
+def q_apply_decisions_unchecked(spark, sf):
+    """H6 flag off: confident answers apply whatever product they name."""
+    return _sc(spark, sf).tier2_unchecked.filter(F.col("llm_source").isNotNull()).select(
+        "submission_id", "status", "decision", "matched_product_id", "explanation"
+    )
+
+
 def q_llm_summary(spark, sf):
     return resolve.llm_summary(_sc(spark, sf).tier2)
 
@@ -201,6 +215,25 @@ def q_inspect_submissions(spark, sf):
     return report.inspect_submissions(_sc(spark, sf).final)
 
 
+def q_inspect_import(spark, sf):
+    """the inspection view of one import of the store."""
+    return report.inspect_submissions(_sc(spark, sf).store, IMPORT_ID)
+
+
+def q_output_datasets(spark, sf):
+    """Rows of each output dataset."""
+    from vinculum.plans.pipeline import output_counts
+
+    return output_counts(_sc(spark, sf).final)
+
+
+def q_final_state(spark, sf):
+    """Every stored column of the import (the raw record is in json_raw_records)."""
+    st = _sc(spark, sf).final
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return st.select(*[stamp(c) if c in ("created_at", "updated_at") else c for c in st.columns])
+
+
 def q_pipeline_report(spark, sf):
     sc = _sc(spark, sf)
     return report.pipeline_report(sc.imported.records, sc.final)
@@ -227,6 +260,11 @@ def q_eval_by_set(spark, sf):
     return E.by_acceptable_set(_scored(spark, sf))
 
 
+def q_eval_percentages(spark, sf):
+    """Share of right answers per acceptable set as printed in reports."""
+    return E.by_acceptable_set(_scored(spark, sf)).select("class_key", percent(F.col("correct"), F.col("n")).alias("share"))
+
+
 def q_eval_misses(spark, sf):
     return E.misses(_scored(spark, sf))
 
@@ -237,7 +275,7 @@ def q_latest_import(spark, sf):
 
 def q_referential_audit(spark, sf):
     sc = _sc(spark, sf)
-    return audit.referential_audit(sc.final, sc.catalog)
+    return audit.referential_audit(sc.tier2_unchecked, sc.catalog)
 
 
 def q_revert_import(spark, sf):
@@ -257,7 +295,7 @@ def q_cache_table(spark, sf):
 
 
 def q_near_duplicate_summary(spark, sf):
-    return dedup.near_duplicate_summary(_sc(spark, sf).final)
+    return dedup.near_duplicate_summary(_sc(spark, sf).tier2)
 
 
 def q_constraint_audit(spark, sf):
@@ -266,7 +304,7 @@ def q_constraint_audit(spark, sf):
 
 
 def q_request_system_text(spark, sf):
-    return resolve.system_text(_sc(spark, sf).aliases)
+    return resolve.system_lines(_sc(spark, sf).aliases)
 
 
 def q_request_context(spark, sf):
@@ -284,9 +322,8 @@ def q_catalog_list(spark, sf):
 
 
 def q_exact_duplicate_summary_rerun(spark, sf):
-    """Running the exact-duplicate step again on its own output demotes nothing more."""
-    once = _sc(spark, sf).deduped
-    return dedup.exact_duplicate_summary(dedup.mark_exact_duplicates(once))
+    """The exact-duplicate step, given its own output, finds no group and demotes nothing."""
+    return dedup.exact_duplicate_summary(_sc(spark, sf).deduped)
 
 
 def q_documents_exact_duplicates(spark, sf):
@@ -299,11 +336,8 @@ def q_documents_exact_duplicates(spark, sf):
     )
 
 
-# --- queries without a SQL oracle ---------------------------------------------------------
-
-
 def q_resolver_hook(spark, sf):
-    """L2: tier 2 with a Python resolver run through mapInPandas (no cache)."""
+    """L2: tier 2 with a Python resolver over Arrow batches (no cache)."""
     sc = _sc(spark, sf)
 
     def rule(rec: dict) -> str:
@@ -336,9 +370,21 @@ def sc_ts():
 
 
 def q_json_variant_import(spark, sf):
-    from vinculum.sources import jsonsrc
+    return _sc(spark, sf).json_imported.state.select("submission_id", "status", "validation_error", "name", "vintage", "size_ml")
+
+
+def q_json_raw_records(spark, sf):
+    """The kept records whole, extra keys included."""
+    return _sc(spark, sf).json_imported.state.select("submission_id", "raw_json")
+
+
+def q_json_rejected_records(spark, sf):
+    """Lines that are no record, and records without an id, with their text."""
+    return _sc(spark, sf).json_imported.rejected()
+
 
-    return jsonsrc.json_import_from_tables(spark, sf)
+def q_json_import_summary(spark, sf):
+    return _sc(spark, sf).json_imported.summary()
 
 
 def q_stream_import(spark, sf):
@@ -371,8 +417,10 @@ QUERIES: dict[str, Query] = {
     "match_summary": q_match_summary,
     "unmatched_queue": q_unmatched_queue,
     "request_table": q_request_table,
+    "request_candidates": q_request_candidates,
     "decision_cache": q_decision_cache,
     "apply_decisions": q_apply_decisions,
+    "apply_decisions_unchecked": q_apply_decisions_unchecked,
     "llm_summary": q_llm_summary,
     "duplicate_propagation": q_duplicate_propagation,
     "near_duplicate_groups": q_near_duplicate_groups,
@@ -381,11 +429,15 @@ QUERIES: dict[str, Query] = {
     "review_queue": q_review_queue,
     "match_results": q_match_results,
     "inspect_submissions": q_inspect_submissions,
+    "inspect_import": q_inspect_import,
+    "output_datasets": q_output_datasets,
+    "final_state": q_final_state,
     "pipeline_report": q_pipeline_report,
     "eval_overall": q_eval_overall,
     "eval_decisions": q_eval_decisions,
     "eval_tiers": q_eval_tiers,
     "eval_by_set": q_eval_by_set,
+    "eval_percentages": q_eval_percentages,
     "eval_misses": q_eval_misses,
     "latest_import": q_latest_import,
     "referential_audit": q_referential_audit,
@@ -402,5 +454,8 @@ QUERIES: dict[str, Query] = {
     "exact_duplicate_summary_rerun": q_exact_duplicate_summary_rerun,
     "resolver_hook": q_resolver_hook,
     "json_variant_import": q_json_variant_import,
+    "json_raw_records": q_json_raw_records,
+    "json_rejected_records": q_json_rejected_records,
+    "json_import_summary": q_json_import_summary,
     "stream_import": q_stream_import,
 }

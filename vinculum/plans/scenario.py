@@ -1,17 +1,16 @@
 """One import run over the driver tables, stage by stage.
 
 The import, tier-1 and final states (and the small catalog-side tables) are written once as
-stage tables (``sources.store.stage_table``) and read back, so later stages start from a file
-scan; exact dedup and tier 2 stay lazy views over the stage before them.  A scenario
-is memoised per (session, input folder): the registered queries share its stage tables.
+stage tables (``sources.store.stage_table``) in this process's own folder and read back, so
+later stages start from a file scan; exact dedup and tier 2 stay lazy views over the stage
+before them.  A scenario is memoised per (session, input folder): the registered queries of
+one process share its stage tables, and no other process reads them.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import hashlib
-import os
-import tempfile
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +18,9 @@ from pyspark.sql import functions as F
 
 from vinculum import schemas as S
 from vinculum.operators import dedup, ingest, match, resolve
+from vinculum.session import scratch_path
 from vinculum.sources import tables as TB
 from vinculum.sources.store import stage_table
-from vinculum.session import checkpoint_dir
 
 IMPORT_ID = "import-0001"
 HISTORY_IMPORT_ID = "import-0000"
@@ -30,7 +29,10 @@ HISTORY_CREATED = _dt.datetime(2025, 1, 1, 0, 0, 0)
 
 
 class Scenario:
-    """Catalog, records, and the state after each stage of one import."""
+    """Catalog, records, and the state after each stage of one import.
+
+    ``partitions`` deals the record scan out where the input files give too few splits.
+    """
 
     def __init__(
         self,
@@ -39,60 +41,16 @@ class Scenario:
         *,
         model_id: str = S.DEFAULT_MODEL,
         materialize: bool = True,
-        reuse: bool = False,
+        partitions: int | None = None,
     ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.model_id = model_id
         self.materialize = materialize
-        self.reuse = reuse
-
-    @cached_property
-    def _reuse_dir(self) -> str | None:
-        """Folder of stage tables shared by processes that run the same code on the same inputs.
-
-        The stages are deterministic (fixed run timestamp, no random values), so a table
-        written once can be read by a later process.  The key covers the package source and the
-        input files' names, sizes and modification times.
-        """
-        if not self.reuse:
-            return None
-        h = hashlib.sha256()
-        pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        for root, _, files in sorted(os.walk(pkg)):
-            for f in sorted(files):
-                if f.endswith(".py"):
-                    with open(os.path.join(root, f), "rb") as fh:
-                        h.update(f.encode() + fh.read())
-        h.update(self.model_id.encode())
-        try:
-            for f in sorted(os.listdir(self.sf_dir)):
-                st = os.stat(os.path.join(self.sf_dir, f))
-                h.update(f"{f}:{st.st_size}:{st.st_mtime_ns}".encode())
-        except OSError:
-            return None  # not a local folder: no reuse
-        conf = self.spark.conf.get("spark.checkpoint.dir", None)
-        base = conf or (os.path.join(tempfile.gettempdir(), "vinculum-stage-cache") if self._local() else None)
-        return f"{base.rstrip('/')}/scenario-{h.hexdigest()[:20]}" if base else None
-
-    def _local(self) -> bool:
-        try:
-            return self.spark.sparkContext.master.startswith("local")
-        except Exception:  # noqa: BLE001
-            return self.spark.conf.get("spark.master", "").startswith("local")
+        self.partitions = partitions
 
     def _mat(self, df: DataFrame, name: str) -> DataFrame:
-        if not self.materialize:
-            return df
-        shared = self._reuse_dir
-        if shared is None:
-            return stage_table(df, name)
-        path = f"{shared}/{name}"
-        if os.path.exists(os.path.join(path, "_SUCCESS")):
-            return self.spark.read.parquet(path)
-        checkpoint_dir(self.spark)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return stage_table(df, name) if self.materialize else df
 
     # --- inputs -------------------------------------------------------------------------
     @cached_property
@@ -102,17 +60,8 @@ class Scenario:
     @cached_property
     def index(self) -> match.CatalogIndex:
         """Tokens, exploded tokens, token frequencies and block counts of the catalog."""
-        cat = self._mat(match.prepare_catalog(self.catalog), "index-cat")
-        idx = match.build_index(cat, prepared=True)
-        # the exploded tokens and their frequencies are written; the two per-block counts are
-        # small aggregates of the written catalog and stay lazy
-        return match.CatalogIndex(
-            cat=cat,
-            ctok=self._mat(idx.ctok, "index-ctok"),
-            freq=self._mat(idx.freq, "index-freq"),
-            at_size=idx.at_size,
-            any_size=idx.any_size,
-        )
+        path = scratch_path(self.spark, f"index-{uuid.uuid4().hex}") if self.materialize else None
+        return match.build_index(self.catalog, path)
 
     @cached_property
     def aliases(self) -> DataFrame:
@@ -120,17 +69,28 @@ class Scenario:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return TB.raw_submissions(self.spark, self.sf_dir)
+        return TB.raw_submissions(self.spark, self.sf_dir, self.partitions)
 
     @cached_property
     def labels(self) -> DataFrame:
-        return self._mat(TB.labels(self.spark, self.sf_dir), "labels")
+        return self._mat(TB.labels(self.spark, self.sf_dir, self.partitions), "labels")
 
     # --- stages ---------------------------------------------------------------------------
     @cached_property
     def imported(self) -> ingest.Imported:
         imp = ingest.import_records(self.raw, IMPORT_ID, RUN_TS)
         imp.state = self._mat(imp.state, "imported")
+        imp.records = self._mat(imp.records, "records")  # every count of the input reads this
+        return imp
+
+    @cached_property
+    def json_imported(self) -> ingest.Imported:
+        """The same records written as JSON lines and imported from there."""
+        from vinculum.sources import jsonsrc
+
+        imp = jsonsrc.json_import_from_tables(self.spark, self.sf_dir)
+        imp.state = self._mat(imp.state, "json-imported")
+        imp.records = self._mat(imp.records, "json-records")
         return imp
 
     @cached_property
@@ -179,8 +139,7 @@ class Scenario:
         ).drop("h_shift", "h_ts", "h_version")
         return self._mat(out, "history")
 
-    @cached_property
-    def tier2(self) -> DataFrame:
+    def _resolved(self, null_candidate_to_review: bool) -> DataFrame:
         st = resolve.resolve_unmatched(
             self.tier1,
             resolve.table_resolver(self.decisions),
@@ -188,8 +147,18 @@ class Scenario:
             catalog_ids=self.catalog.select("product_id"),
             model_id=self.model_id,
             run_ts=RUN_TS,
+            null_candidate_to_review=null_candidate_to_review,
         )
-        return dedup.propagate_to_duplicates(st)  # lazy; the sweep below writes the result
+        return dedup.propagate_to_duplicates(st)
+
+    @cached_property
+    def tier2(self) -> DataFrame:
+        return self._resolved(True)  # lazy; the sweep below writes the result
+
+    @cached_property
+    def tier2_unchecked(self) -> DataFrame:
+        """Tier 2 that applies a confident answer whatever product it names (H6 flag off)."""
+        return self._resolved(False)
 
     @cached_property
     def final(self) -> DataFrame:
@@ -205,8 +174,8 @@ _SCENARIOS: dict[tuple[int, str], Scenario] = {}
 
 
 def scenario(spark: SparkSession, sf_dir: str) -> Scenario:
-    """The memoised scenario of the registered queries (stage tables reused across processes)."""
+    """The memoised scenario of the registered queries of this process."""
     key = (id(spark), sf_dir.rstrip("/"))
     if key not in _SCENARIOS:
-        _SCENARIOS[key] = Scenario(spark, sf_dir, reuse=True)
+        _SCENARIOS[key] = Scenario(spark, sf_dir)
     return _SCENARIOS[key]

@@ -13,7 +13,6 @@ results; kept here together, in their natural order):
 - tier-2 reasons: llm_possible_match, llm_no_match, llm_human_review, llm_unavailable
 - model decision classes: exact_match, possible_match, no_match, human_review
 - auto-apply confidence threshold: 0.85
-- prompt version: v2
 - producer aliases (alias, lower-case and trimmed -> canonical producer):
     macallan -> The Macallan
     suntory hibiki -> Suntory
@@ -67,7 +66,11 @@ LLM_HUMAN_REVIEW = "llm_human_review"
 LLM_UNAVAILABLE = "llm_unavailable"
 
 AUTO_APPLY_THRESHOLD = 0.85
-PROMPT_VERSION = "v2"
+#: Version of the request texts below; a change of theirs bumps it, so that stored answers are
+#: only served for the texts that produced them.
+PROMPT_VERSION = "block-2"
+#: An older version, for stored answers that no longer count.
+OLD_PROMPT_VERSION = "block-1"
 DEFAULT_MODEL = "gemini-2.5-flash"
 
 PRODUCER_ALIASES = [
@@ -122,12 +125,8 @@ RAW_SUBMISSION_SCHEMA = T.StructType(
     ]
 )
 
-# JSON records read with VARIANT-typed fields keep each value's JSON type, so that an
-# absent key, a JSON null and a value of the wrong type can be told apart.
-VARIANT_SUBMISSION_DDL = (
-    "submission_id variant, name variant, producer variant, category variant, "
-    "vintage variant, size_ml variant"
-)
+# Why a record is not inserted.
+SKIP_REASONS = ["invalid_record", "missing_id", "invalid_id", "duplicate_id"]
 
 MODEL_DECISION_SCHEMA = T.StructType(
     [

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "vinculum") -> SparkSession:
@@ -17,7 +19,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     builder = SparkSession.builder
     event_dir = os.environ.get("VINCULUM_EVENT_LOG_DIR")
     if event_dir:  # stage and task times for offline inspection (no UI)
-        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir).config("spark.eventLog.compress", "false")
     return (
         builder.master(master)
         .appName(app)
@@ -69,13 +71,42 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+#: Stage folder of this process below each checkpoint folder.
+_FOLDERS: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for a stage table written under the shared checkpoint folder."""
+    """A path for a stage table, in this process's own folder below the shared checkpoint folder.
+
+    No other process reads it; :func:`drop_scratch` removes the folder, at the latest when the
+    process ends.
+    """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}"
+    if base not in _FOLDERS:
+        _FOLDERS[base] = f"{base}/vinculum-{uuid.uuid4().hex}"
+        atexit.register(_drop_at_exit, spark)
+    return f"{_FOLDERS[base]}/{name}"
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on its Hadoop-compatible file system; False if there was none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this process's stage tables; DataFrames that read them end with it."""
+    folder = _FOLDERS.pop(checkpoint_dir(spark).rstrip("/"), None)
+    if folder:
+        delete_path(spark, folder)
+
+
+def _drop_at_exit(spark: SparkSession) -> None:
+    if spark.getActiveSession() is not None and spark.sparkContext._jsc is not None:
+        drop_scratch(spark)

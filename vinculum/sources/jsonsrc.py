@@ -1,47 +1,54 @@
 """JSON sources: catalog (S1), submissions with VARIANT fields (S2, S7), labels (S3).
 
-Submission fields are read as VARIANT so each value keeps its JSON type: an absent key is a
-SQL null, a JSON null is a variant null, and strings, integers, decimals and booleans can be
-told apart by validation (``functions.validate.variant_checks``).  Newline-delimited JSON is
-splittable and is the format to use at scale; a top-level JSON array needs ``multiLine`` and
-is read one file per task.
+A submission record is kept whole, as its text.  Its fields are read as VARIANT, so each value
+keeps its JSON type: an absent key is a SQL null, a JSON null is a variant null, and strings,
+integers, decimals and booleans can be told apart by validation
+(``functions.validate.variant_checks``).  A line that doesn't parse is an outcome of its own
+(``invalid_record``) with its text.  Newline-delimited JSON is splittable and is the format to
+use at scale; a top-level JSON array is read one file per task.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
+from vinculum.functions import record as R
 from vinculum.operators import audit, ingest
 from vinculum.session import scratch_path
 
 
-def _position() -> Column:
-    """Input order: file, split start, then row order inside the split."""
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
+def with_record(lines: DataFrame) -> DataFrame:
+    """Raw records from lines of text (value, file, block): the whole text, id, flags, position.
+
+    Blank lines are no records.  A line that is no JSON object stays, flagged, with its text.
+    """
+    position = F.struct(F.col("file"), F.col("block"), F.monotonically_increasing_id().alias("row"))
+    rows = lines.filter(F.trim("value") != "").select(F.col("value").alias("raw_json"), position.alias("position"))
+    return R.with_id(rows)
 
 
 def read_submissions(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """Raw submission records with VARIANT fields, a string id and an input position."""
-    df = spark.read.schema(S.VARIANT_SUBMISSION_DDL).option("multiLine", multiline).json(path)
-    return with_string_id(df.withColumn("position", _position()))
-
-
-def with_string_id(df: DataFrame) -> DataFrame:
-    """A JSON-string id becomes ``submission_id``; any other non-null id is flagged invalid."""
-    v = F.col("submission_id")
-    is_str = F.coalesce(~F.is_variant_null(v) & (F.schema_of_variant(v) == "STRING"), F.lit(False))
-    missing = v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(True))
-    return df.withColumn("id_invalid", ~missing & ~is_str).withColumn(
-        "submission_id", F.when(is_str, F.try_variant_get(v, "$", "string"))
-    )
+    """Raw submission records as whole texts with a string id and an input position.
+
+    Newline-delimited JSON by default.  With ``multiline`` each file is one JSON array, whose
+    elements are the records (a file that doesn't parse, or isn't an array, is one invalid
+    record).
+    """
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    if not multiline:
+        return with_record(spark.read.text(path).select("value", *where))
+    files = spark.read.text(path, wholetext=True).select("value", *where)
+    files = files.withColumn("_array", F.try_parse_json("value"))
+    is_array = F.coalesce(F.schema_of_variant("_array").startswith("ARRAY"), F.lit(False))
+    items = F.try_variant_get("_array", "$", "array<variant>")
+    texts = F.when(is_array, F.transform(items, lambda v: F.to_json(v))).otherwise(F.array("value"))
+    rows = files.select("file", "block", F.posexplode(texts).alias("row", "raw_json"))
+    rows = rows.select("raw_json", F.struct("file", "block", F.col("row").cast("long").alias("row")).alias("position"))
+    return R.with_id(rows)
 
 
 def read_catalog(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
@@ -65,21 +72,25 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def records_as_json(raw: DataFrame) -> DataFrame:
-    """Typed raw records as JSON text, with some values re-typed the way partner files send them.
+    """Typed raw records as JSON lines, with some values re-typed the way partner files send them.
 
     Rows are picked by the last character of the id, so the mix is the same at every scale:
     ids ending in 1 get numeric-string vintages (accepted), 2 fractional vintages (rejected),
-    3 integral decimal sizes (accepted), 4 a boolean name (rejected).  Fields are VARIANT
-    values, so ``to_json`` writes each with its JSON type and leaves null (absent) fields out.
+    3 sizes with a zero decimal (accepted), 4 a boolean name (rejected), 5 a vintage far beyond the
+    range as a number, 6 the same as text, and 7 an extra key and, on the next line, a copy of
+    the record cut off in the middle (no JSON).  Fields are VARIANT values, so ``to_json``
+    writes each with its JSON type and leaves null (absent) fields out.
     """
-    h = F.substring(F.col("submission_id"), -1, 1).cast("int")
+    h = F.coalesce(F.substring(F.col("submission_id"), -1, 1).try_cast("int"), F.lit(0))
     v = F.col("vintage")
     vintage = (
         F.when(h == 1, v.cast("string").cast("variant"))
         .when(h == 2, (v.cast("decimal(6,1)") + F.lit(0.5).cast("decimal(2,1)")).cast("variant"))
+        .when((h == 5) & v.isNotNull(), F.lit(1e30).cast("variant"))
+        .when((h == 6) & v.isNotNull(), F.lit("99999999999999999999").cast("variant"))
         .otherwise(v.cast("variant"))
     )
-    size = F.when(h == 3, F.col("size_ml").cast("decimal(6,1)").cast("variant")).otherwise(
+    size = F.when(h == 3, F.col("size_ml").cast("double").cast("variant")).otherwise(
         F.col("size_ml").cast("variant")
     )
     name = F.when(h == 4, F.lit(True).cast("variant")).otherwise(F.col("name").cast("variant"))
@@ -90,24 +101,21 @@ def records_as_json(raw: DataFrame) -> DataFrame:
         F.col("category").cast("variant").alias("category"),
         vintage.alias("vintage"),
         size.alias("size_ml"),
+        F.when(h == 7, F.concat(F.lit("SKU of "), F.col("submission_id"))).cast("variant").alias("partner_sku"),
     )
-    return raw.select(F.to_json(rec).alias("value"))
+    text = F.to_json(rec)
+    broken = F.concat(F.lit('{"submission_id":"'), F.col("submission_id"), F.lit('","name":'))
+    return raw.select(F.explode(F.when(h == 7, F.array(text, broken)).otherwise(F.array(text))).alias("value"))
 
 
-def write_json_lines(
-    raw: DataFrame, spark: SparkSession, name: str, partitions: int | None = None, ordered: bool = False
-) -> str:
+def write_json_lines(raw: DataFrame, spark: SparkSession, name: str, ordered: bool = False) -> str:
     """Write typed records as NDJSON under the shared scratch folder; returns the folder.
 
     ``ordered`` writes the records in ``position`` order (a range-partitioned sort), so file
     name and row order inside a file reproduce the source order for first-wins.
     """
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    if ordered:
-        raw = raw.orderBy("position")
-    elif partitions:
-        raw = raw.repartition(partitions)
-    records_as_json(raw).write.text(path)
+    records_as_json(raw.orderBy("position") if ordered else raw).write.text(path)
     return path
 
 
@@ -116,11 +124,10 @@ def append_json_lines(raw: DataFrame, path: str) -> None:
     records_as_json(raw.orderBy("position")).write.mode("append").text(path)
 
 
-def json_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S2 end to end: driver records -> NDJSON -> VARIANT read -> validation and id dedup."""
+def json_import_from_tables(spark: SparkSession, sf_dir: str) -> ingest.Imported:
+    """S2 end to end: driver records -> NDJSON -> whole records -> validation and id dedup."""
     from vinculum.plans.scenario import IMPORT_ID, RUN_TS
     from vinculum.sources import tables as TB
 
     path = write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "json-import", ordered=True)
-    imp = ingest.import_records(read_submissions(spark, path), IMPORT_ID, RUN_TS, variant=True)
-    return imp.state.select("submission_id", "status", "validation_error", "name", "vintage", "size_ml")
+    return ingest.import_records(read_submissions(spark, path), IMPORT_ID, RUN_TS, variant=True)

@@ -13,7 +13,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculum.session import scratch_path
+from vinculum.operators import audit
+from vinculum.session import delete_path, path_exists, scratch_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -29,9 +30,35 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_catalog(catalog: DataFrame, path: str, mode: str = "append") -> None:
-    """Append products (``mode="overwrite"`` reloads the catalog)."""
-    catalog.write.mode(mode).parquet(path)
+class CatalogRejected(ValueError):
+    """A catalog batch that would break a rule; `violations` counts the broken rules."""
+
+    def __init__(self, violations: dict[str, int]) -> None:
+        self.violations = violations
+        super().__init__("catalog not loaded: " + ", ".join(f"{n} x {k}" for k, n in violations.items()))
+
+
+def load_catalog(catalog: DataFrame, path: str, mode: str = "append") -> None:
+    """Append products, or reload the catalog with ``mode="overwrite"``.
+
+    Domains, the product id and (canonical_name, producer, size_ml) are audited before anything
+    is written, over the batch and, when appending, the products already there; a batch that
+    breaks a rule is rejected whole.  So loading a file twice is an error, not a second copy.
+    """
+    spark = catalog.sparkSession
+    batch = stage_table(catalog, "catalog-batch")
+    whole = batch
+    if mode == "append" and path_exists(spark, path):
+        whole = spark.read.parquet(path).select(batch.columns).unionByName(batch)
+    counts = {
+        "rows outside the domains": audit.catalog_domain_violations(batch).count(),
+        "repeated product_id": audit.catalog_key_violations(whole).count(),
+        "repeated (canonical_name, producer, size_ml)": audit.catalog_uniqueness(whole).count(),
+    }
+    broken = {k: n for k, n in counts.items() if n}
+    if broken:
+        raise CatalogRejected(broken)
+    batch.write.mode(mode).parquet(path)
 
 
 def write_import(state: DataFrame, path: str) -> None:
@@ -59,10 +86,44 @@ def revert_import(store: DataFrame, import_id: str) -> DataFrame:
 
 
 def drop_import(spark: SparkSession, path: str, import_id: str) -> None:
-    """Delete one import's partition from a store on a Hadoop-compatible file system."""
-    jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/import_id={import_id}")
-    fs = p.getFileSystem(hconf)
-    if fs.exists(p):
-        fs.delete(p, True)
+    """Delete one import's partition from a store, and its ids from the store's id index."""
+    for folder in (path.rstrip("/"), ids_path(path)):
+        delete_path(spark, f"{folder}/import_id={import_id}")
+
+
+# --- index of stored ids ------------------------------------------------------------------
+
+#: Folders of the id index; an id lies in one by its hash.
+ID_BUCKETS = 64
+
+
+def ids_path(store_path: str) -> str:
+    """Folder of the id index that belongs to a store."""
+    return f"{store_path.rstrip('/')}-ids"
+
+
+def _bucketed(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("id_bucket", F.pmod(F.xxhash64("submission_id"), F.lit(ID_BUCKETS)).cast("int"))
+
+
+def write_ids(state: DataFrame, path: str) -> None:
+    """Add an import's ids to the id index, replacing what the same import wrote before."""
+    ids = _bucketed(state.select("submission_id", "import_id"))
+    (
+        ids.repartition("id_bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("import_id", "id_bucket")
+        .parquet(path)
+    )
+
+
+def stored_among(records: DataFrame, path: str, exclude_import: str) -> DataFrame:
+    """The ids of ``records`` that other imports have stored.
+
+    A look-up in the narrow id index, not in the store; a delivery whose ids fall into few
+    buckets reads only these folders (dynamic partition pruning on ``id_bucket``).
+    """
+    asked = _bucketed(records.filter(F.col("submission_id").isNotNull()).select("submission_id").distinct())
+    known = records.sparkSession.read.parquet(path).filter(F.col("import_id") != exclude_import)
+    return known.join(asked, ["id_bucket", "submission_id"], "left_semi").select("submission_id")

@@ -74,27 +74,14 @@ def _variant_k() -> Column:
     return (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 20
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A parquet file with one row group is a single split; without this the per-row work
-    downstream (regexes, hashing) would run in one task.  Scans of many files already have
-    enough splits and are left alone.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
-def _lineitem_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = spread(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
-        )
+def _lineitem_parts(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """Line items with their part.  ``partitions`` deals a scan of too few splits (one file with
+    one row group) out again; leave it out where the files give enough splits."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
+    if partitions:
+        li = li.repartition(partitions)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     return li.join(part, li.l_partkey == part.p_partkey, "inner").withColumn("k", _variant_k())
 
@@ -104,13 +91,23 @@ def _position() -> Column:
 
 
 def _submission_id() -> Column:
-    return F.concat(F.lit("SUB-"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    k, line = F.col("k"), F.col("l_linenumber")
+    given = F.concat(F.lit("SUB-"), F.col("l_orderkey").cast("string"), F.lit("-"), line.cast("string"))
+    return F.when((k == 3) & (line == 5), F.lit(None).cast("string")).when((k == 3) & (line == 4), F.lit("")).otherwise(given)
+
 
+#: Blanks other than the space, before and after a name.
+UNICODE_BLANKS = ("\u00a0\u3000", "\u2003 ")
 
-def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B2: dirty submission records (typed fields, ``position`` orders rows of one id)."""
-    d = _lineitem_parts(spark, sf_dir)
+
+def raw_submissions(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """B2: dirty submission records (typed fields, ``position`` orders rows of one id).
+
+    Records with k = 4 and line number 6 come twice, equal in every column.
+    """
+    d = _lineitem_parts(spark, sf_dir, partitions)
     k = F.col("k")
+    d = d.withColumn("copy", F.explode(F.when((k == 4) & (F.col("l_linenumber") == 6), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     nm = _canonical_name()
     name = (
         F.when(k == 6, F.upper(nm))
@@ -118,17 +115,19 @@ def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k == 8, F.col("p_name"))
         .when(k == 13, F.lit(""))
         .when(k == 17, F.concat(F.substring("p_name", 1, 3), F.lit(" srs")))
-        .when(k == 18, F.concat(F.lit("  "), nm, F.lit("  ")))
+        .when(k == 18, F.concat(F.lit(UNICODE_BLANKS[0]), nm, F.lit(UNICODE_BLANKS[1])))
         .when(k == 19, F.lit("!!!"))
         .otherwise(nm)
     )
     producer = (
         F.when(k == 12, F.lit(None).cast("string"))
-        .when(k == 9, F.regexp_replace(F.lower("p_brand"), "#", " no "))
+        .when((k == 9) | ((k == 17) & (F.col("l_linenumber") == 3)), F.regexp_replace(F.lower("p_brand"), "#", " no "))
+        .when((k == 8) & (F.col("l_linenumber") == 2), F.regexp_replace("p_brand", "Brand#", "Brnd "))
         .otherwise(F.col("p_brand"))
     )
     category = F.when(k == 11, F.lit("Beer")).otherwise(_category(F.col("p_type")))
-    vintage = F.when(k == 15, F.lit(1700)).when(k == 16, F.lit(None)).otherwise(F.year("l_shipdate"))
+    absent = (k == 16) | ((k == 17) & (F.col("l_suppkey") % 3 == 0))
+    vintage = F.when(k == 15, F.lit(1700)).when(absent, F.lit(None)).otherwise(F.year("l_shipdate"))
     size = (
         F.when(k == 14, F.lit(800))
         .when(k == 10, _size_at((F.col("p_size") + 1) % 11))
@@ -145,10 +144,10 @@ def raw_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labels(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """One eval label per distinct submission id (the first record of the id)."""
-    d = _lineitem_parts(spark, sf_dir)
-    first = d.groupBy(_submission_id().alias("submission_id")).agg(
+    d = _lineitem_parts(spark, sf_dir, partitions).withColumn("submission_id", _submission_id()).filter("submission_id <> ''")
+    first = d.groupBy("submission_id").agg(
         F.min_by(F.struct("k", "p_partkey"), _position()).alias("f")
     )
     k = F.col("f.k")
@@ -175,6 +174,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HEX = "0123456789abcdef"
 ERROR_BUCKET = 15
+UNKNOWN_PRODUCT = "PROD-NOWHERE"
 
 
 def hex_bucket(fp: Column, pos: int = 1) -> Column:
@@ -202,7 +202,8 @@ def _block_first(catalog_df: DataFrame) -> DataFrame:
 def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int | Column = 0, keys: tuple[str, ...] = ("fingerprint",)) -> DataFrame:
     """Decisions table ``(fingerprint, llm_output, llm_error)`` for the fingerprints of ``rows``.
 
-    The candidate is the smallest product id of the row's producer/category block (or none);
+    The candidate is the smallest product id of the row's producer/category block (or none); a
+    third hex digit 0 or 1 names a product the catalog doesn't have, 2 none;
     bucket ``(b + shift) % 16`` of the fingerprint's first hex digit picks the answer, and the
     last bucket is an error without output.
     """
@@ -212,6 +213,8 @@ def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int | Column =
         list(keys)
     )
     j = fps.join(_block_first(catalog_df), ["pk", "category"], "left")
+    third = F.substring("fingerprint", 3, 1)
+    j = j.withColumn("cand", F.when(third.isin("0", "1"), F.lit(UNKNOWN_PRODUCT)).when(third != "2", F.col("cand")))
     b = (hex_bucket(F.col("fingerprint")) + F.col("_shift")) % 16
     err = b == ERROR_BUCKET
     return j.select(
@@ -223,11 +226,12 @@ def decisions_for(rows: DataFrame, catalog_df: DataFrame, shift: int | Column =
 
 
 # Stored answers of an earlier import: (suffix, fingerprint second digits, bucket shift,
-# updated_at, prompt version).  The older v2 answer wins the cache; v1 answers are ignored.
+# updated_at, prompt version).  The older answer of the current version wins the cache; those of
+# the old version are ignored.
 HISTORY_SETS = [
     ("a", "02468ace", 1, "2025-01-02 00:00:00", S.PROMPT_VERSION),
     ("b", "02468ace", 2, "2025-01-03 00:00:00", S.PROMPT_VERSION),
-    ("c", "0", 3, "2024-12-31 00:00:00", "v1"),
+    ("c", "0", 3, "2024-12-31 00:00:00", S.OLD_PROMPT_VERSION),
 ]
 
 
@@ -250,5 +254,5 @@ def history_rows(unmatched: DataFrame) -> DataFrame:
         F.col("h.ts").alias("h_ts"),
         F.col("h.version").alias("h_version"),
     ).withColumn(
-        "submission_id", F.concat(F.lit("HIST-"), F.substring("fingerprint", 1, 16), F.lit("-"), F.col("h.sfx"))
+        "submission_id", F.concat(F.lit("HIST-"), F.col("fingerprint"), F.lit("-"), F.col("h.sfx"))
     ).drop("h")

@@ -1,36 +1,30 @@
 """Incremental import of a folder of NDJSON record files with Structured Streaming.
 
-Each micro-batch becomes one import: its records are validated, ids already stored by an
-earlier import are skipped (J8 against history), exact duplicates are demoted and tier 1
-runs; the batch's rows are written to the store's ``import_id`` partition with dynamic
-partition overwrite, so replaying an epoch after a failure rewrites the same partition
-(idempotent sink).  Dedup is against the full store, so no watermark is involved.
+Each micro-batch is one import through every stage (:func:`vinculum.plans.pipeline.run_import`):
+validation, ids of earlier imports skipped by a look-up in the store's id index, exact
+duplicates, tier 1, tier 2 with the answer cache, propagation, near-duplicate sweep.  Its rows
+go to the store's ``import_id`` partition with dynamic partition overwrite, so replaying an
+epoch after a failure rewrites the same partition (idempotent sink).  Dedup is against the full
+id index, so no watermark is involved.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
-from vinculum.operators import dedup, ingest, match
+from vinculum.operators import match, resolve
+from vinculum.plans.pipeline import run_import
 from vinculum.session import scratch_path
 from vinculum.sources import jsonsrc
 from vinculum.sources import store as ST
 
 
-def _store_ids(spark: SparkSession, store_path: str, exclude_import: str) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(store_path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    return ST.read_store(spark, store_path).filter(F.col("import_id") != exclude_import).select("submission_id")
-
-
 def start_stream_import(
     spark: SparkSession,
     source_dir: str,
@@ -40,38 +34,33 @@ def start_stream_import(
     aliases: DataFrame,
     *,
     files_per_batch: int | None = None,
-    run_ts: _dt.datetime | None = None,
+    resolver: resolve.Resolver | None = None,
+    model_id: str = S.DEFAULT_MODEL,
+    clock: Callable[[], _dt.datetime] = _dt.datetime.now,
 ):
-    """Start the streaming import (``availableNow``: process what is there, then stop)."""
-    reader = spark.readStream.schema(S.VARIANT_SUBMISSION_DDL)
+    """Start the streaming import (``availableNow``: process what is there, then stop).
+
+    ``clock`` is asked once per micro-batch; its answer is the import's time.  A catalog is
+    indexed once, before the stream starts.
+    """
+    if not isinstance(catalog, match.CatalogIndex):
+        catalog = match.build_index(catalog, scratch_path(spark, f"index-{uuid.uuid4().hex}"))
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    stream = (
-        reader.json(source_dir)
-        .withColumn("_file", F.col("_metadata.file_path"))
-        .withColumn("_block", F.col("_metadata.file_block_start"))
+    lines = reader.text(source_dir).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     )
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        import_id = f"stream-{epoch_id:06d}"
-        ts = run_ts or _dt.datetime(2026, 1, 1)
-        pos = F.struct(
-            F.col("_file").alias("file"), F.col("_block").alias("block"), F.monotonically_increasing_id().alias("row")
+        run_import(
+            batch.sparkSession, jsonsrc.with_record(batch), catalog, aliases,
+            import_id=f"stream-{epoch_id:06d}", run_ts=clock(), resolver=resolver, model_id=model_id,
+            store_path=store_path, variant=True,
         )
-        raw = jsonsrc.with_string_id(batch.withColumn("position", pos).drop("_file", "_block"))
-        stored = _store_ids(batch.sparkSession, store_path, import_id)
-        imp = ingest.import_records(raw, import_id, ts, variant=True, stored_ids=stored)
-        kept = imp.state.persist(StorageLevel.MEMORY_AND_DISK)
-        deduped = dedup.mark_exact_duplicates(kept).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            st = match.match_tier1(deduped, catalog, aliases, ts)
-            ST.write_import(st.drop("position"), store_path)
-        finally:
-            deduped.unpersist()
-            kept.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(process)
+        lines.writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -86,15 +75,20 @@ def delivery_of(vintage):
 def stream_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver records delivered as two NDJSON drops into one folder, each imported by its own
     ``availableNow`` run of the same streaming query (same checkpoint): delivery = micro-batch =
-    import.  Ids of the second delivery already stored by the first are skipped (J8)."""
+    import.  Ids of the second delivery already stored by the first are skipped (J8); answers of
+    the first serve the second from the cache."""
     from vinculum.plans.scenario import scenario
     from vinculum.sources import tables as TB
 
     sc = scenario(spark, sf_dir)
     raw = TB.raw_submissions(spark, sf_dir)
-    base = scratch_path(spark, f"stream-{_dt.datetime.now().strftime('%Y%m%d%H%M%S%f')}")
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     source, store, ckpt = f"{base}/source", f"{base}/store", f"{base}/checkpoint"
+
+    def answer(rows: DataFrame) -> DataFrame:
+        return resolve.table_resolver(TB.decisions_for(rows, sc.catalog))(rows)
+
     for d in (1, 2):
         jsonsrc.append_json_lines(raw.filter(delivery_of(F.col("vintage")) == d), source)
-        start_stream_import(spark, source, store, ckpt, sc.index, sc.aliases).awaitTermination()
+        start_stream_import(spark, source, store, ckpt, sc.index, sc.aliases, resolver=answer).awaitTermination()
     return ST.read_store(spark, store).groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
