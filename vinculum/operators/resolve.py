@@ -22,6 +22,7 @@ from vinculum import schemas as S
 from vinculum.functions.text import first_or_null, normalize, tokens
 from vinculum.operators.joins import reshuffled
 from vinculum.operators.match import with_producer_key
+from vinculum.session import share_package
 
 Resolver = Callable[[DataFrame], DataFrame]
 
@@ -141,6 +142,7 @@ def function_resolver(
             T.StructField("llm_output", T.StringType()),
             T.StructField("llm_error", T.StringType()),
         ])
+        share_package(rows.sparkSession)
         answered = rows.mapInArrow(batches, schema)
         if materialize:
             from vinculum.sources.store import stage_table

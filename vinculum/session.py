@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -110,3 +111,24 @@ def drop_scratch(spark: SparkSession) -> None:
 def _drop_at_exit(spark: SparkSession) -> None:
     if spark.getActiveSession() is not None and spark.sparkContext._jsc is not None:
         drop_scratch(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started from.
+
+    On one machine the workers get the package's folder on their path; on a cluster the package
+    travels once per application as a zip file.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.master.startswith("local"):
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    elif sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        name = os.path.basename(os.path.dirname(os.path.abspath(__file__)))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
