@@ -6,8 +6,8 @@ Method, as Spark jobs over whole texts:
    all words), a 128-bit key of the whole set, and one 64-bit key per band of the min-hash
    signature.  Rows with equal keys are one class, represented by its smallest doc_id.
 2. *Band.* A bucket is a band key shared by at least two different classes.  Every member
-   is tied to the bucket's smallest member; connected ties form candidate clusters.  No
-   pair within a bucket is written.
+   is tied to the bucket's smallest member, its hub; connected ties form candidate clusters.
+   No pair within a bucket is written.
 3. *Verify.* Each cluster is dealt out in blocks of bounded size and every pair of blocks
    goes to a task.  For pairs that share a band the task compares the signatures batch by
    batch and drops a pair as soon as the posterior probability (uniform prior, binomial
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm import shingles as S
-from vinculum.llm.common import fresh, slices, stage, worker
+from vinculum.llm.common import fresh, over_batches, slices, stage, worker
 from vinculum.llm.components import components
 
 
@@ -209,7 +209,7 @@ def components_of(docs: DataFrame, params: Params = Params()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of `docs` (doc_id long, text string)."""
     p = params
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = stage(docs.mapInArrow(partial(_signed, p=p), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "near-signed")
+    signed = stage(over_batches(docs, partial(_signed, p=p), "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "near-signed")
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
 
     # Classes of equal sets; partial aggregation combines copies before the shuffle.
@@ -223,7 +223,10 @@ def components_of(docs: DataFrame, params: Params = Params()) -> DataFrame:
         banded.groupBy("band").agg(F.min("rep").alias("hub"), F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").select("band", "hub"),
         "near-hubs",
     )
-    ties = banded.join(hubs, "band").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    # A class has at most one hub per band.  It is tied to the smallest and so are its other
+    # hubs, which many classes share: the same components from far fewer different ties.
+    tied = banded.join(hubs, "band").groupBy("rep").agg(F.collect_set("hub").alias("hubs")).withColumn("a", F.array_min("hubs"))
+    ties = tied.select("a", F.explode(F.array_union("hubs", F.array("rep"))).alias("b")).distinct()
     clusters = components(ties, "near-clusters").withColumnRenamed("component", "cluster").withColumnRenamed("node", "rep")
 
     # Blocks: every text of a cluster of m blocks goes to the m block pairs that hold its block.
@@ -241,7 +244,7 @@ def components_of(docs: DataFrame, params: Params = Params()) -> DataFrame:
         .repartition("cluster", "i", "j")
         .sortWithinPartitions("cluster", "i", "j", "side")
     )
-    links = dealt.mapInArrow(partial(_verified, p=p), "a long, b long")
+    links = over_batches(dealt, partial(_verified, p=p), "a long, b long")
     found = components(links, "near-links").select(F.col("node").alias("rep"), "component")
 
     member = signed.select("doc_id", "n_shingles", "k1", "k2")
