@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import SLICE_BYTES, kept_by, slices, stage, worker
+from vinculum.llm.common import SLICE_BYTES, kept_by, over_batches, slices, stage, worker
 from vinculum.llm.tokens import PIECE, ChunkIds, chunks, parts, texts_of, tokenizer
 
 LEXICON_SIZE = 40_000
@@ -359,7 +359,7 @@ def frequent_chunks(docs: DataFrame, n: int) -> list[bytes]:
     The least count comes from the number of chunks per count, a small table; so no task and
     not the driver ever sorts or holds more than the n short values that are collected.
     """
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_counted, "chunk binary, n long")
+    rows = over_batches(docs.select(F.col("text").cast("string").alias("text")), _counted, "chunk binary, n long")
     counts = stage(rows.filter(F.octet_length("chunk") <= ENTRY_BYTES).groupBy("chunk").agg(F.sum("n").alias("n")).filter("n > 1"), "bpe-counts")
     # Counts from `exact` on share a cell per power of two, which bounds the table.
     exact = 4096
@@ -476,4 +476,4 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = LEXICON_SIZ
     load = _Loader(docs.sparkSession.sparkContext.broadcast(data))  # at most lexicon_size short entries
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     step = partial(_encoded, path=tokenizer_path, digest=hashlib.sha256(data).hexdigest()[:24], load=load)
-    return stage(rows.mapInArrow(step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "bpe-encoded")
+    return stage(over_batches(rows, step, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "bpe-encoded")

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from vinculum.session import scratch_path
+from vinculum.session import scratch_path, share_package
 
 #: Whitespace of the operators' word and equality rules, as a regular-expression class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -55,6 +55,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def over_batches(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """`df` through a function over Arrow batches."""
+    share_package(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 #: What Python workers keep between tasks: how to forget it, by operator.
 _KEPT: dict[str, list[Callable[[], None]]] = {}
 

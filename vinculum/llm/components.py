@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import stage, worker
+from vinculum.llm.common import over_batches, stage, worker
 
 
 @worker("components")
@@ -48,7 +48,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     Self-loops keep a node without other edges; repeated edges change nothing; an empty
     edge table gives an empty result.
     """
-    edges = stage(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).mapInArrow(_local_forest, "a long, b long").distinct(), f"{name}-forest")
+    edges = stage(over_batches(edges.select(F.col("a").cast("long"), F.col("b").cast("long")), _local_forest, "a long, b long").distinct(), f"{name}-forest")
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).withColumn("component", F.least("node", "component")), f"{name}-labels")
     while True:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import fresh, slices, stage, worker
+from vinculum.llm.common import fresh, over_batches, slices, stage, worker
 from vinculum.llm.shingles import text_buffer
 
 LANGUAGES = ("en", "fr", "de", "es")
@@ -104,7 +104,7 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: Sequence[str]) -> Ite
 
 def learn(labelled: DataFrame, p: Params = Params()) -> np.ndarray:
     """Log probabilities (language x bucket) from all rows of `labelled` (text, lang)."""
-    rows = labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")).mapInArrow(partial(_counted, languages=p.languages), "cell long, n long")
+    rows = over_batches(labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")), partial(_counted, languages=p.languages), "cell long, n long")
     counts = np.ones((len(p.languages), BUCKETS))
     for row in stage(rows.groupBy("cell").agg(F.sum("n").alias("n")), "language-cells").collect():  # at most languages x buckets
         counts[row["cell"] // BUCKETS, row["cell"] % BUCKETS] += row["n"]
@@ -195,7 +195,7 @@ def identify(rows: DataFrame, model: np.ndarray, p: Params = Params()) -> DataFr
     host = F.coalesce(F.nullif(F.lower(F.trim(F.col("host").cast("string"))), F.lit("")), F.lit("none")).alias("host")
     slim = rows.select(*keys, host, said("declared"), said("address"), F.col("text").cast("string").alias("text"))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema if f.name != "text")
-    signals = slim.mapInArrow(partial(_likelihoods, model=model), f"{ddl}, n long, means array<double>")
+    signals = over_batches(slim, partial(_likelihoods, model=model), f"{ddl}, n long, means array<double>")
     means = [F.col("means")[i] for i in range(len(langs))]
     signals = stage(signals.withColumn("text_lang", F.when(F.col("n") > 0, _best(means, langs))), "language-signals")
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vinculum.llm.common import stage, worker
+from vinculum.llm.common import over_batches, stage, worker
 
 
 @dataclass(frozen=True)
@@ -156,7 +156,7 @@ def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFram
     x = F.col("embedding")
     whole = F.col("vec_id").isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).filter(whole)
-    hashed = rows.mapInArrow(partial(_hashed, p=p), "vec_id long, embedding array<double>, own array<int>, probed array<array<int>>")
+    hashed = over_batches(rows, partial(_hashed, p=p), "vec_id long, embedding array<double>, own array<int>, probed array<array<int>>")
     hashed = stage(hashed.withColumn("width", F.size("embedding")), "neighbour-keys")
     indexed = hashed.select("width", F.posexplode("own").alias("table", "bucket"), "vec_id", "embedding")
     probing = (
@@ -171,7 +171,7 @@ def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFram
     stored = indexed.join(blocks, key).withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding"), "blocks").cast("int")).withColumn("side", F.lit(0))
     asking = probing.join(blocks, key).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(1))
     dealt = stored.select(columns).unionByName(asking.select(columns)).repartition(*key, "block").sortWithinPartitions(*key, "block", "side")
-    found = dealt.mapInArrow(partial(_reranked, p=p), "query_id long, vec_id long, score double")
+    found = over_batches(dealt, partial(_reranked, p=p), "query_id long, vec_id long, score double")
     found = stage(found, "neighbour-found")
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k per probed block

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import kept_by, slices, stage, worker
+from vinculum.llm.common import kept_by, over_batches, slices, stage, worker
 from vinculum.llm.tokens import chunk_ids, text_ids
 
 kept_by("packing", chunk_ids.cache_clear)
@@ -137,7 +137,7 @@ def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> Dat
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece."""
     p = params
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = rows.mapInArrow(partial(_cut, path=tokenizer_path, p=p), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    pieces = over_batches(rows, partial(_cut, path=tokenizer_path, p=p), "doc_id long, piece int, start long, length long, ids_crc32 long")
     pieces = stage(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
     names = pieces.columns
     first = stage(_dealt(pieces, p, 0), "pack-first")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vinculum.llm.common import fresh, worker
+from vinculum.llm.common import fresh, over_batches, worker
 
 
 @dataclass(frozen=True)
@@ -168,7 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
         return rows.orderBy("h", "doc_id", "quality").limit(n).select("doc_id", "quality", "fold")
 
     for_words = chosen(known.filter("quality = 1"), p.dictionary_rows).unionByName(chosen(known.filter("quality = 0"), p.dictionary_rows))
-    pieces = texts.join(F.broadcast(for_words), "doc_id").select("quality", "fold", "text").mapInArrow(partial(_sampled, p=p), "quality int, fold int, piece binary")
+    pieces = over_batches(texts.join(F.broadcast(for_words), "doc_id").select("quality", "fold", "text"), partial(_sampled, p=p), "quality int, fold int, piece binary")
     collected = sorted((r["quality"], r["fold"], bytes(r["piece"])) for r in pieces.collect())
     total = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     rate = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
@@ -184,7 +184,7 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     if draft is None or None in parts:
         return plain
     sample = texts.join(F.broadcast(chosen(known, p.calibration_rows)), "doc_id").select("quality", "fold", "text")
-    sample = sample.mapInArrow(partial(_fold_features, models=parts), "quality int, difference double, share double")
+    sample = over_batches(sample, partial(_fold_features, models=parts), "quality int, difference double, share double")
     rows = sorted((r["quality"], r["difference"], r["share"]) for r in sample.collect())
     y = np.array([r[0] for r in rows], float)
     if not len(y) or y.min() == y.max():
@@ -209,7 +209,7 @@ def with_score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     difference, share = fresh(docs, "difference"), fresh(docs, "share")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     rows = docs.select("*", F.col("text").cast("string").alias(fresh(docs, "_text")))
-    found = rows.mapInArrow(partial(_features, model=model, names=(difference, share)), f"{ddl}, `{difference}` double, `{share}` double")
+    found = over_batches(rows, partial(_features, model=model, names=(difference, share)), f"{ddl}, `{difference}` double, `{share}` double")
     return found.withColumn(name, probability(model, [F.col(difference), F.col(share)])).drop(difference, share)
 
 

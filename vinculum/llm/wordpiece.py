@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm.bpe import _byte_letters
-from vinculum.llm.common import SLICE_BYTES, slices, stage, worker
+from vinculum.llm.common import SLICE_BYTES, over_batches, slices, stage, worker
 from vinculum.llm.tokens import KEPT_CHUNKS, Interned, parts, texts_of
 
 LONG_WORD = 48
@@ -155,4 +155,4 @@ def token_counts(docs: DataFrame, entries: Iterable[bytes]) -> DataFrame:
     """doc_id, n_words, n_pieces: one row per row of `docs` (doc_id, text)."""
     automaton = docs.sparkSession.sparkContext.broadcast(Automaton(entries))  # bounded by the vocabulary
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(rows.mapInArrow(partial(_measured, automaton=automaton), "doc_id long, n_words long, n_pieces long"), "wordpiece-counts")
+    return stage(over_batches(rows, partial(_measured, automaton=automaton), "doc_id long, n_words long, n_pieces long"), "wordpiece-counts")
