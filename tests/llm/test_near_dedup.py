@@ -111,6 +111,23 @@ def test_signature_estimates_similarity():
     assert (s[0] == s[1]).mean() == pytest.approx(len(a & b) / len(a | b), abs=0.05)
 
 
+def test_a_task_hands_on_forests_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(components, "FOREST_NODES", 10)
+    edges = [(i, i + 1) for i in range(50)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([a]), pa.array([b])], names=["a", "b"]) for a, b in edges]
+    out = [r for b in components._local_forest(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    up = {i: i for i in range(51)}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in out:
+        up[max(find(a), find(b))] = min(find(a), find(b))
+    assert {find(i) for i in range(51)} == {0} and len(out) < 70
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 9), (9, 8), (9, 8), (300, 300)]
     random.Random(2).shuffle(edges)

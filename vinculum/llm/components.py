@@ -2,8 +2,8 @@
 
 Each round hands every node the smallest label among its neighbours and then follows the
 label one step (pointer jumping), so the number of rounds grows with the logarithm of the
-longest path.  Before the rounds each task replaces its own edges by a star forest, which
-shortens paths and keeps one edge per node and task.  Nothing is collected but the count of
+longest path.  Before the rounds each task replaces its own edges by star forests of a bounded
+number of nodes, which shortens paths and keeps one edge per node and forest.  Nothing is collected but the count of
 changed labels.  Labels and edges are staged, so both sides of every join are shuffled and
 adaptive execution can split the partition of a hot node.
 """
@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from vinculum.llm.common import over_batches, stage, worker
 
 
+#: Nodes a task holds before it hands on their forest and starts another.
+FOREST_NODES = 1_000_000
+
+
 @worker("components")
 def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parent: dict[int, int] = {}
@@ -31,15 +35,21 @@ def _local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             parent[x], x = root, parent[x]
         return root
 
+    def forest() -> Iterator[pa.RecordBatch]:
+        nodes = list(parent)
+        for lo in range(0, len(nodes), 1 << 16):
+            part = nodes[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["a", "b"])
+        parent.clear()
+
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             a, b = find(a), find(b)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-    nodes = list(parent)
-    for lo in range(0, len(nodes), 1 << 16):
-        part = nodes[lo : lo + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["a", "b"])
+        if len(parent) > FOREST_NODES:
+            yield from forest()
+    yield from forest()
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
