@@ -35,6 +35,20 @@ def test_merging_equals_the_library(text):
     assert table.ids(tokens.chunks(text.encode()))[0].tolist() == library_ids(text)
 
 
+def test_kept_chunks_change_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 40)
+    rng = random.Random(21)
+    table = tokens.LibraryIds(WORDS)
+    words = [prose(rng, 1) for _ in range(30)]
+    for _ in range(60):  # runs over the bound again and again
+        text = " ".join(rng.choices(words, k=20) + [prose(rng, 5)])
+        ids, ends = table.ids(tokens.chunks(text.encode()))
+        assert ids.tolist() == library_ids(text) and ends[-1] == len(ids)
+        assert len(table.at) <= 40 + 25
+    table.shrink()
+    assert table.ids(tokens.chunks(text.encode()))[0].tolist() == library_ids(text)
+
+
 @pytest.mark.parametrize("text", ["<|endoftext|>", "<|ENDOFTEXT|>", "a<|startoftext|>B", "İİ ΑΣ Σ", "a" * 5000, "ab" * 3000, "x'S y'll'RE 12 3!!", "\x00\x01\x7f"])
 def test_merging_corners(text):
     assert merged(text) == library_ids(text)

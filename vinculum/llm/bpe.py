@@ -465,6 +465,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, digest: str, load: _L
                 [batch.column(0).slice(lo, hi - lo), pa.array(n_tokens, pa.int64()), pa.array([h.hash.hexdigest() for h in id_hashes]), pa.array([h.hash.hexdigest() for h in text_hashes])],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+    coder.shrink()
 
 
 def encode(docs: DataFrame, tokenizer_path: str, lexicon_size: int = LEXICON_SIZE) -> DataFrame:

@@ -38,9 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vinculum.llm import shingles as S
-from vinculum.llm.common import fresh, over_batches, slices, stage, worker
+from vinculum.llm.common import fresh, kept_by, over_batches, slices, stage, worker
 from vinculum.llm.components import components
 
+kept_by("near_dedup", S.forget)
+
 
 @dataclass(frozen=True)
 class Params:
@@ -93,7 +95,7 @@ def band_keys(signature: np.ndarray, p: Params) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column(0), batch.column(1)
-        for lo, hi in slices(texts):
+        for lo, hi in slices(texts, S.CHUNK):
             values, offsets = S.shingle_sets(texts.slice(lo, hi - lo), p.words)
             n = np.diff(offsets)
             full = n > 0
@@ -185,7 +187,7 @@ def _verified(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Recor
         column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
         keys = list(zip(column["cluster"].to_pylist(), column["i"].to_pylist(), column["j"].to_pylist()))
         sides, ids, texts = column["side"].to_pylist(), column["doc_id"].to_pylist(), column["text"]
-        for lo, hi in slices(texts):
+        for lo, hi in slices(texts, S.CHUNK):
             values, offsets = S.shingle_sets(texts.slice(lo, hi - lo), p.words)
             signs = S.signatures(values, offsets, p.hashes)
             for r in range(lo, hi):

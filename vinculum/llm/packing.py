@@ -25,7 +25,6 @@ from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +60,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, p: Params) -> Iterator[pa
                 [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+    table.shrink()
 
 
 class RoomTree:
@@ -111,26 +111,44 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, in
     return placed
 
 
-def _packed(pieces: pd.DataFrame, p: Params) -> pd.DataFrame:
-    pieces = pieces.sort_values(["length", "doc_id", "piece", "row"], ascending=[False, True, True, True], kind="stable")
-    placed = best_fit_decreasing(pieces["length"].tolist(), p.length)
-    group = int(pieces["group"].iloc[0])
-    sequence, offset = np.array(placed, np.int64).T
-    full = np.bincount(sequence, weights=pieces["length"].to_numpy())
-    return pieces.assign(sequence_id=(group << 32) + sequence, offset=offset, filled=full[sequence] / p.length)
+@worker("packing")
+def _packed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by group, and in a group from long to short."""
+    chunk_ids.cache_clear()  # of the cutting tasks; not needed here
+    group, held = -1, []
+
+    def packed() -> pa.RecordBatch:
+        lengths = np.concatenate([b.column("length").to_numpy() for b in held])
+        placed = np.array(best_fit_decreasing(lengths.tolist(), p.length), np.int64)
+        sequence = placed[:, 0]
+        full = np.bincount(sequence, weights=lengths)
+        rows = pa.Table.from_batches(held).combine_chunks()
+        columns = [rows.column(name).combine_chunks() for name in rows.column_names]
+        columns += [pa.array((group << 32) + sequence), pa.array(placed[:, 1]), pa.array(full[sequence] / p.length)]
+        return pa.RecordBatch.from_arrays(columns, names=[*rows.column_names, "sequence_id", "offset", "filled"])
+
+    for batch in batches:
+        groups = batch.column("group").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if hi > lo and groups[lo] != group:
+                if held:
+                    yield packed()
+                group, held = int(groups[lo]), []
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield packed()
 
 
 def _dealt(pieces: DataFrame, p: Params, first_group: int) -> DataFrame:
     """`pieces` packed group by group, with sequence_id, offset and filled."""
-    n = pieces.count()
-    groups = max(1, -(-n // p.group_pieces))
+    groups = max(1, -(-pieces.count() // p.group_pieces))
     key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "row", F.lit(first_group)), F.lit(groups)) + first_group
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, row long, group long, sequence_id long, offset long, filled double"
-
-    def packed(group: pd.DataFrame) -> pd.DataFrame:
-        return _packed(group, p)
-
-    return pieces.withColumn("group", key.cast("long")).groupBy("group").applyInPandas(packed, schema)
+    rows = pieces.withColumn("group", key.cast("long")).repartition("group")
+    rows = rows.sortWithinPartitions("group", F.desc("length"), "doc_id", "piece", "row")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return over_batches(rows, partial(_packed, p=p), f"{ddl}, sequence_id long, offset long, filled double")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, params: Params = Params()) -> DataFrame:

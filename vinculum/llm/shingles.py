@@ -15,7 +15,8 @@ import pyarrow as pa
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C13)  # odd, 3 mod 4: invertible, and base - 1 has one factor 2
 _INVERSE = _U(pow(0x9E3779B97F4A7C13, -1, 1 << 64))
-_CHUNK = 1 << 20
+#: Text bytes hashed at once; bounds the tables of powers.
+CHUNK = 1 << 18
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _COEF = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -25,6 +26,11 @@ _IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def forget() -> None:
+    """Drops the tables of powers; they are made again when needed."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift-multiply rounds)."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -68,13 +74,13 @@ def _long_words(buf: np.ndarray) -> np.ndarray:
     out, lo, n = [], 0, len(buf)
     first = np.zeros(1, np.int64)
     while lo < n:
-        hi = min(n, lo + _CHUNK)
+        hi = min(n, lo + CHUNK)
         while hi < n:
-            gap = np.flatnonzero(~_IS_WORD[buf[hi : hi + _CHUNK]])
+            gap = np.flatnonzero(~_IS_WORD[buf[hi : hi + CHUNK]])
             if len(gap):
                 hi += int(gap[0])
                 break
-            hi = min(n, hi + _CHUNK)
+            hi = min(n, hi + CHUNK)
         out.append(_hash_words(buf[lo:hi], first)[0])
         lo = hi
     return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -95,7 +101,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in order, and the n + 1 offsets of each text's words."""
     buf, offsets = text_buffer(column)
-    if len(column) == 1 and len(buf) > 2 * _CHUNK:
+    if len(column) == 1 and len(buf) > 2 * CHUNK:
         h = _long_words(buf)
         return h, np.array([0, len(h)])
     h, starts = _hash_words(buf, offsets[:-1])

@@ -22,8 +22,11 @@ from vinculum.llm.shingles import text_buffer
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 #: The tokenizer's pre-tokenization of lower-case printable ASCII.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9\x09-\x0d\x20]+")
-#: Distinct chunks a worker keeps; beyond, it starts anew (results don't depend on it).
-KEPT_CHUNKS = 500_000
+#: Distinct chunks a worker holds at most; beyond, and when a task ends, it keeps those it has
+#: met often (results don't depend on it).
+KEPT_CHUNKS = 400_000
+#: Times a chunk was met that make it worth keeping.
+OFTEN = 3
 
 
 @functools.lru_cache(maxsize=4)
@@ -80,6 +83,22 @@ class ChunkIds:
         self.used = 0
         self.starts = np.empty(0, np.int64)
         self.lens = np.empty(0, np.int64)
+        self.met = np.empty(0, np.int64)
+
+    def shrink(self) -> None:
+        """Forget the chunks that were met less than OFTEN times since the last call, or still
+        less than makes half of KEPT_CHUNKS."""
+        least = OFTEN
+        while (keep := np.flatnonzero(self.met >= least)).size > KEPT_CHUNKS // 2:
+            least *= 2
+        chunks, lens = list(self.at), self.lens[keep]
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        flat = self.flat[np.repeat(self.starts[keep] - ends[:-1], lens) + np.arange(ends[-1])]
+        self.reset()
+        for at, i in enumerate(keep.tolist()):
+            self.at[chunks[i]] = at
+        self.flat = np.concatenate([flat, self.flat])
+        self.used, self.starts, self.lens, self.met = len(flat), ends[:-1], lens, np.zeros(len(lens), np.int64)
 
     def _learn(self) -> None:
         new, self.at.new = self.at.new, []
@@ -93,14 +112,16 @@ class ChunkIds:
         self.flat[self.used : end] = found
         self.starts = np.concatenate([self.starts, self.used + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
+        self.met = np.concatenate([self.met, np.zeros(len(lens), np.int64)])
         self.used = end
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks in order, and the n + 1 offsets of each chunk's ids."""
         if len(self.at) > KEPT_CHUNKS:
-            self.reset()
+            self.shrink()
         at = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
         self._learn()
+        self.met += np.bincount(at, minlength=len(self.met))
         lens = self.lens[at]
         ends = np.concatenate([[0], np.cumsum(lens)])
         return self.flat[np.repeat(self.starts[at] - ends[:-1], lens) + np.arange(ends[-1])], ends
