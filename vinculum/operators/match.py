@@ -222,15 +222,21 @@ def classify(n_at: Column, n_any: Column, first_at: Column, vintage: Column, in_
 
 
 def tier1_outcomes(
-    state: DataFrame, catalog: DataFrame | CatalogIndex, aliases: DataFrame, *, require_tokens: bool = False
+    state: DataFrame,
+    catalog: DataFrame | CatalogIndex,
+    aliases: DataFrame,
+    *,
+    require_tokens: bool = False,
+    pending: DataFrame | None = None,
 ) -> DataFrame:
     """Pending rows with ``n_at_size, n_any, first_at, in_scope`` (the J1-J3 verdict per row).
 
     ``catalog`` is the catalog or a prebuilt :class:`CatalogIndex`.  A name without letters
     or digits has no tokens and is a subset of every product of its block (H3, the default
-    semantics); ``require_tokens=True`` gives such names no candidates instead.
+    semantics); ``require_tokens=True`` gives such names no candidates instead.  ``pending``:
+    :func:`pending_signatures` of the state, written once, since the plan reads it three times.
     """
-    p = pending_signatures(state, aliases)
+    p = pending_signatures(state, aliases) if pending is None else pending
     idx = _index(catalog)
     inside = p.filter(F.col("in_scope"))
     outside = p.filter(~F.col("in_scope"))
@@ -255,11 +261,12 @@ def match_tier1(
     run_ts: _dt.datetime,
     *,
     require_tokens: bool = False,
+    pending: DataFrame | None = None,
 ) -> DataFrame:
     """Pending -> matched / review / no_match / unmatched; other rows pass through."""
     is_pend = F.col("status") == "pending"
     rest = state.filter(~is_pend | is_pend.isNull())
-    o = tier1_outcomes(state, catalog, aliases, require_tokens=require_tokens)
+    o = tier1_outcomes(state, catalog, aliases, require_tokens=require_tokens, pending=pending)
     c = classify(F.col("n_at_size"), F.col("n_any"), F.col("first_at"), F.col("vintage"), F.col("in_scope"))
     out = (
         o.withColumn("status", c["status"])

@@ -76,7 +76,8 @@ def run_import(
     imp.state = ST.stage_table(imp.state, f"{import_id}-imported")
     imp.records = ST.stage_table(imp.records, f"{import_id}-records")
     work = dedup.mark_exact_duplicates(imp.state)
-    work = ST.stage_table(match.match_tier1(work, catalog, aliases, run_ts), f"{import_id}-tier1")
+    pending = ST.stage_table(match.pending_signatures(work, aliases), f"{import_id}-pending")
+    work = ST.stage_table(match.match_tier1(work, catalog, aliases, run_ts, pending=pending), f"{import_id}-tier1")
     if resolver is not None:
         if catalog_ids is None:
             catalog_ids = catalog.cat.select("product_id")

@@ -110,7 +110,8 @@ class Scenario:
 
     @cached_property
     def tier1(self) -> DataFrame:
-        return self._mat(match.match_tier1(self.deduped, self.index, self.aliases, RUN_TS), "tier1")
+        pending = self._mat(match.pending_signatures(self.deduped, self.aliases), "pending")
+        return self._mat(match.match_tier1(self.deduped, self.index, self.aliases, RUN_TS, pending=pending), "tier1")
 
     @cached_property
     def decisions(self) -> DataFrame:
