@@ -62,6 +62,22 @@ def test_components_equal_brute_force(spark, words, percent):
     assert all(r["n_shingles"] == len(shingle_set(dict(rows)[r["doc_id"]], words)) for r in got)
 
 
+def test_few_long_texts_in_many_blocks(spark):
+    """Two near copies dealt over hundreds of blocks, nearly all of which hold no text."""
+    rng = random.Random(11)
+    base = prose(rng, 300)
+    rows = [(1, base), (2, edited(rng, base, 2)), (3, prose(rng, 300))]
+    p = Params(words=3, percent=85, block_shingles=2)
+    got = near_dedup.components_of(documents(spark, rows), p).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == brute_force(rows, p) == {1: 1, 2: 1, 3: 3}
+
+
+def test_candidates_of_an_empty_block():
+    p = Params(words=3, percent=85)
+    signature = np.zeros(p.hashes, np.uint32)
+    assert len(near_dedup.candidates(near_dedup._Block(p.hashes).stacked(), signature, p, near_dedup.least_matches(p))) == 0
+
+
 def test_edge_rows(spark):
     rows = edge_rows(random.Random(1))
     got = near_dedup.components_of(documents(spark, rows), Params(words=3, percent=85)).collect()

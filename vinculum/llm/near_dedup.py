@@ -120,7 +120,8 @@ def _signed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordB
 class _Block:
     """Texts of one block with their sets and signatures, and a union-find over their ids."""
 
-    def __init__(self) -> None:
+    def __init__(self, hashes: int) -> None:
+        self.hashes = hashes
         self.ids: list[int] = []
         self.sets: list[np.ndarray] = []
         self.signs: list[np.ndarray] = []
@@ -134,7 +135,7 @@ class _Block:
 
     def stacked(self) -> np.ndarray:
         if self.matrix is None or len(self.matrix) != len(self.signs):
-            self.matrix = np.vstack(self.signs) if self.signs else np.empty((0, 0), np.uint32)
+            self.matrix = np.vstack(self.signs) if self.signs else np.empty((0, self.hashes), np.uint32)
         return self.matrix
 
 
@@ -167,7 +168,7 @@ def candidates(matrix: np.ndarray, signature: np.ndarray, p: Params, least: list
 def _verified(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by (cluster, i, j, side): block i first, then block j against it."""
     least = least_matches(p)
-    group, block, parent = None, _Block(), {}
+    group, block, parent = None, _Block(p.hashes), {}
     links: list[tuple[int, int]] = []
 
     def find(x: int) -> int:
@@ -192,7 +193,7 @@ def _verified(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Recor
             signs = S.signatures(values, offsets, p.hashes)
             for r in range(lo, hi):
                 if keys[r] != group:
-                    group, block, parent = keys[r], _Block(), {}
+                    group, block, parent = keys[r], _Block(p.hashes), {}
                 row = values[offsets[r - lo] : offsets[r - lo + 1]]
                 if not len(row):
                     continue
