@@ -65,6 +65,28 @@ def test_edge_vectors_ties_and_hot_vector(spark):
     assert [i for _, i in by[1300]] == [1350]
 
 
+def test_a_repeated_id_takes_one_place(spark):
+    """One vec_id in 200 equal and 60 different rows, all nearer than the others of their block."""
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=16)
+    near = lambda noise: [float(x) for x in (base + rng.normal(size=16) * noise).astype(np.float32)]
+    rows = [(50, near(0.0))] + [(7, near(0.0))] * 200 + [(7, near(1e-4)) for _ in range(60)] + [(100 + i, near(0.1)) for i in range(30) if (100 + i) % 50]
+    p = Params(tables=1, probes=1)
+    got = neighbours.nearest(frame(spark, rows).repartition(3), F.col("vec_id") % 50 == 0, p).collect()
+    found = [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"])]
+    assert found == exact(rows, 5, 50)[50] and found[0][1] == 7
+
+
+def test_the_cut_of_a_block_counts_ids():
+    rng = np.random.default_rng(7)
+    query = rng.normal(size=8)
+    ids = [7] * 100 + list(range(10, 40))
+    block = neighbours._by_id(ids, [query + rng.normal(size=8) * (1e-6 if i == 7 else 0.3) for i in ids], 8)
+    found = neighbours.best_of_block(block, 10, query, 5)
+    assert len({i for i, _ in found}) == 5 and found[0][0] == 7 and 10 not in {i for i, _ in found}
+    assert neighbours.best_of_block(neighbours._by_id([], [], 8), 10, query, 5) == []
+
+
 def test_empty_table(spark):
     assert neighbours.nearest(frame(spark, []).limit(0), F.col("vec_id") % 50 == 0).count() == 0
 

@@ -6,8 +6,9 @@
 2. *Probe.* A query looks into the `probes` nearest signed axes of each table.
 3. *Rerank.* Buckets are dealt in blocks of about `block_rows` vectors, counted first; a
    query visits every block of the buckets it probes.  A task holds one block, streams the
-   queries past it and writes at most k rows per query and block, scored by the exact cosine
-   in double precision on the original vectors.
+   queries past it and writes the k best different vec_ids per query and block, each by its
+   best row, scored by the exact cosine in double precision on the original vectors.  Equal
+   rows of one vec_id are indexed once.
 4. The best k different neighbours of each query come from at most tables x probes x blocks
    short lists.  No candidate pair is ever written.
 
@@ -112,6 +113,32 @@ def cosines(block: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (block * query).sum(axis=1) / (np.sqrt((block * block).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
+def _by_id(ids: list[int], rows: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different ids of a block in order, where the rows of each start, and the rows in that order."""
+    if not rows:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, width))
+    order = np.argsort(np.array(ids, np.int64), kind="stable")
+    different, starts = np.unique(np.array(ids, np.int64)[order], return_index=True)
+    return different, starts, np.vstack(rows)[order]
+
+
+def best_of_block(block: tuple[np.ndarray, np.ndarray, np.ndarray], vec_id: int, vector: np.ndarray, k: int) -> list[tuple[int, float]]:
+    """The k best other ids of a block with the score of their best rows, best first."""
+    ids, starts, rows = block
+    if not len(ids):
+        return []
+    score = cosines(rows, vector)
+    score[~np.isfinite(score)] = -np.inf
+    score = np.maximum.reduceat(score, starts)  # one score per id, so the cut below counts ids
+    score[ids == vec_id] = -np.inf
+    if len(score) > k:
+        top = np.flatnonzero(score >= np.partition(score, -k)[-k])
+    else:
+        top = np.arange(len(score))
+    top = top[np.lexsort((ids[top], -score[top]))][:k]
+    return [(int(ids[i]), float(score[i])) for i in top if score[i] != -np.inf]
+
+
 @worker("neighbours")
 def _reranked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordBatch]:
     """Rows arrive sorted by (block key, side): the block's vectors, then its queries."""
@@ -128,23 +155,8 @@ def _reranked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Recor
                 rows.append(vector)
                 continue
             if block is None:
-                block = (np.array(ids, np.int64), np.vstack(rows)) if rows else (np.empty(0, np.int64), np.empty((0, len(vector))))
-            others = block[0] != vec_id
-            score = np.where(others, cosines(block[1], vector), -np.inf)
-            score[~np.isfinite(score)] = -np.inf
-            if len(score) > 8 * p.k:  # rows that share an id may take several of the places
-                cut = np.partition(score, -8 * p.k)[-8 * p.k]
-                top = np.flatnonzero(score >= cut)
-            else:
-                top = np.arange(len(score))
-            top = top[np.lexsort((block[0][top], -score[top]))]
-            seen: set[int] = set()
-            for i in top:
-                if len(seen) == p.k or score[i] == -np.inf:
-                    break
-                if (other := int(block[0][i])) not in seen:
-                    seen.add(other)
-                    found.append((vec_id, other, float(score[i])))
+                block = _by_id(ids, rows, len(vector))
+            found += [(vec_id, other, score) for other, score in best_of_block(block, vec_id, vector, p.k)]
         if found:
             a, b, c = zip(*found)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], names=["query_id", "vec_id", "score"])
@@ -155,7 +167,8 @@ def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFram
     p = params
     x = F.col("embedding")
     whole = F.col("vec_id").isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).filter(whole)
+    # Equal rows of one vec_id are one row: copies would all meet in one block.
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.cast("array<double>").alias("embedding")).filter(whole).distinct()
     hashed = over_batches(rows, partial(_hashed, p=p), "vec_id long, embedding array<double>, own array<int>, probed array<array<int>>")
     hashed = stage(hashed.withColumn("width", F.size("embedding")), "neighbour-keys")
     indexed = hashed.select("width", F.posexplode("own").alias("table", "bucket"), "vec_id", "embedding")
