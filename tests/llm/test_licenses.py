@@ -33,6 +33,27 @@ def test_notices_in_lines(spark):
     assert got == {1: (None, "CC-BY-NC-4.0,MIT", 3), 2: (None, "", 0), 3: ("MIT", "MIT", 1)}
 
 
+MIT = """The MIT License (MIT)
+
+Copyright (c) 2019 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_whole_licence_texts_by_default(spark):
+    texts = licenses.license_texts()
+    first = {name: text for name, text in reversed(texts)}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "ISC", "MIT", "MPL-2.0"} <= set(first)
+    rows = [(0, MIT), (1, MIT + "\nAnd more."), (2, "Copyright 2020 A\nAll rights reserved.\n\n" + first["BSD-3-Clause"])]
+    rows += [(10 + i, text) for i, (_, text) in enumerate(texts)]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(documents(spark, rows), licenses.registry(spark)).collect()}
+    assert got == {0: "MIT", 1: None, 2: "BSD-3-Clause", **{10 + i: name for i, (name, _) in enumerate(texts)}}
+
+
 def test_edge_rows_and_large_registry(spark, monkeypatch):
     rows = edge_rows(random.Random(2))
     plain = sorted(licenses.scan(documents(spark, rows), licenses.registry(spark)).collect(), key=str)

@@ -6,6 +6,9 @@ is hash-joined to the digests of known licences.  Whole texts are looked up, and
 their lines as a text of its own, which finds the one-line notices in which documents name
 their licence.  Known licences go through the same expression, so both sides always agree.
 
+The default registry holds two kinds of entries: the licence texts of the folder
+`licence_texts`, each with and without its customary title and with and without its appendix,
+and the one-line `NOTICES`.  A licence that is in neither, or in another wording, is not found.
 The registry is a parameter, small by nature; it is broadcast while it has at most
 `BROADCAST_ENTRIES` rows (a digest and a name each) and shuffled beyond.
 
@@ -17,6 +20,8 @@ columns are not read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +39,19 @@ NOTICES = (
     ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
 )
 
+#: Title lines that may stand before a licence text whose file has none.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License"),
+    "ISC": ("ISC License", "ISC License (ISC)", "The ISC License"),
+    "MIT": ("MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)"),
+}
+
+#: What follows a licence's terms (how to apply it) starts after or at these.
+TERMS_END = "END OF TERMS AND CONDITIONS"
+ADDENDUM = "ADDENDUM: How to use this License"
+
 #: A copyright line, from its start (after comment marks) on.
 COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©|all rights reserved)"
 
@@ -67,9 +85,26 @@ def digest(canonical: Column) -> Column:
     return F.sha2(canonical, 256)
 
 
+def license_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of every known wording; a file is named by its licence, up to `.txt` or a variant."""
+    found = []
+    for file in sorted(resources.files("vinculum.llm").joinpath("licence_texts").iterdir(), key=lambda f: f.name):
+        name = file.name.removesuffix(".txt").removesuffix(".regents")
+        whole = file.read_text(encoding="utf-8")
+        terms = [whole]
+        if TERMS_END in whole:
+            before = whole[: whole.index(TERMS_END)]
+            terms += [before, before + TERMS_END]
+        if ADDENDUM in whole:
+            terms.append(whole[: whole.index(ADDENDUM)])
+        found += [(name, text) for text in terms]
+        found += [(name, f"{title}\n\n{whole}") for title in TITLES.get(name, ())]
+    return found
+
+
 def registry(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
-    """license_digest, license_id of known licences (license_id, text); the notices by default."""
-    known = known if known is not None else spark.createDataFrame(list(NOTICES), "license_id string, text string")
+    """license_digest, license_id of known licences (license_id, text); licence texts and notices by default."""
+    known = known if known is not None else spark.createDataFrame([*license_texts(), *NOTICES], "license_id string, text string")
     rows = known.select("license_id", F.array_join(canonical_lines(F.col("text")), " ").alias("canonical")).filter("canonical <> ''")
     return rows.groupBy(digest(F.col("canonical")).alias("license_digest")).agg(F.min("license_id").alias("license_id"))
 
