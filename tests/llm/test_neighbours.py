@@ -87,6 +87,19 @@ def test_the_cut_of_a_block_counts_ids():
     assert neighbours.best_of_block(neighbours._by_id([], [], 8), 10, query, 5) == []
 
 
+def test_queries_with_few_probed_rows_are_completed(spark):
+    """Tables that find hardly a neighbour: a small one, and a rare width beside a common one."""
+    rng = np.random.default_rng(8)
+    rows = [(50 * i, [float(x) for x in rng.normal(size=64).astype(np.float32)]) for i in range(1, 9)]
+    rows += [(2000 + 50 * i, [float(x) for x in rng.normal(size=32).astype(np.float32)]) for i in range(3)]
+    got = neighbours.nearest(frame(spark, rows).repartition(3), F.col("vec_id") % 50 == 0, Params(tables=1, probes=1, block_rows=3)).collect()
+    by: dict[int, list] = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    assert by == exact(rows, 5, 50)
+    assert len(by[50]) == 5 and len(by[2000]) == 2
+
+
 def test_empty_table(spark):
     assert neighbours.nearest(frame(spark, []).limit(0), F.col("vec_id") % 50 == 0).count() == 0
 

@@ -11,14 +11,17 @@
    rows of one vec_id are indexed once.
 4. The best k different neighbours of each query come from at most tables x probes x blocks
    short lists.  No candidate pair is ever written.
+5. *Complete.* Queries for which the tables found fewer than k pass by all rows of their width,
+   dealt in blocks likewise, so they get the exact nearest; so few are in reach of a query only
+   where a width has few rows or its rows lie in few buckets.
 
 A table's parameters don't depend on the data; nothing is fitted.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component,
 and rows without vec_id, take no part; only vectors of equal length are compared; rows that
 share a vec_id are one candidate (its best row) and one query (best over its rows), and never
-neighbours of themselves; ties of score go to the smaller vec_id; a query with fewer
-candidates than k gets those the tables found; extra columns are not read; an empty table
+neighbours of themselves; ties of score go to the smaller vec_id; a query gets fewer
+than k only where fewer rows can be compared with it; extra columns are not read; an empty table
 gives an empty result.
 """
 
@@ -162,6 +165,17 @@ def _reranked(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Recor
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], names=["query_id", "vec_id", "score"])
 
 
+def _against_all(rows: DataFrame, queries: DataFrame, p: Params) -> DataFrame:
+    """The k best of every block of the rows of a query's width: query_id, vec_id, score."""
+    widths = queries.select("width").distinct()
+    blocks = stage(rows.join(widths, "width", "left_semi").groupBy("width").agg(F.ceil(F.count("*") / p.block_rows).cast("int").alias("blocks")), "neighbour-widths")
+    whole = [F.lit(-1).alias("table"), F.lit(0).alias("bucket")]
+    stored = rows.join(blocks, "width").select("width", *whole, F.pmod(F.xxhash64("vec_id", "embedding"), "blocks").cast("int").alias("block"), F.lit(0).alias("side"), "vec_id", "embedding")
+    asking = queries.join(blocks, "width").select("width", *whole, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), "vec_id", "embedding")
+    dealt = stored.unionByName(asking).repartition("width", "block").sortWithinPartitions("width", "table", "bucket", "block", "side")
+    return stage(over_batches(dealt, partial(_reranked, p=p), "query_id long, vec_id long, score double"), "neighbour-completed")
+
+
 def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row where `is_query` holds."""
     p = params
@@ -186,6 +200,11 @@ def nearest(vectors: DataFrame, is_query, params: Params = Params()) -> DataFram
     dealt = stored.select(columns).unionByName(asking.select(columns)).repartition(*key, "block").sortWithinPartitions(*key, "block", "side")
     found = over_batches(dealt, partial(_reranked, p=p), "query_id long, vec_id long, score double")
     found = stage(found, "neighbour-found")
+
+    enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).filter(F.col("n") >= p.k).select(F.col("query_id").alias("vec_id"))
+    short = stage(hashed.filter(is_query).join(enough, "vec_id", "left_anti").select("width", "vec_id", "embedding"), "neighbour-short")
+    if not short.isEmpty():
+        found = found.unionByName(_against_all(hashed.select("width", "vec_id", "embedding"), short, p))
     best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # at most k per probed block
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= p.k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
