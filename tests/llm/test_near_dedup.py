@@ -103,6 +103,15 @@ def test_keep_one_keeps_columns(spark):
     assert sorted(out.collect(), key=str) == sorted(docs.filter("doc_id is null or doc_id <> 5").collect(), key=str)
 
 
+def test_rows_that_repeat_a_doc_id_are_one_node(spark):
+    rng = random.Random(12)
+    a, b = prose(rng, 60), prose(rng, 60)
+    docs = documents(spark, [(3, b), (5, a), (5, b), (5, ""), (7, a), (8, "")])
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.components_of(docs).collect()}
+    assert got == {(3, 3, True), (5, 3, False), (7, 3, False), (8, 8, True)}
+    assert sorted(r["doc_id"] for r in near_dedup.keep_one(docs).collect()) == [3, 8]
+
+
 def test_posterior_is_the_beta_tail():
     x = np.linspace(0.85, 1, 200_001)
     density = x**30 * (1 - x) ** 6

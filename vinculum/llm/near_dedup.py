@@ -21,7 +21,8 @@ chance at most `band_miss`.  There is no cap on buckets, candidates or partners.
 
 Defined results: null or word-less texts have an empty set and are linked with nothing; rows
 with a null doc_id are linked with nothing and keep a null component; rows that repeat a
-doc_id are one node; extra columns pass through `keep_one` untouched; an empty table
+doc_id are one node: all its texts have one component, and `keep_one` keeps or drops them
+together; extra columns pass through `keep_one` untouched; an empty table
 gives an empty result.
 """
 
@@ -248,11 +249,19 @@ def components_of(docs: DataFrame, params: Params = Params()) -> DataFrame:
         .sortWithinPartitions("cluster", "i", "j", "side")
     )
     links = over_batches(dealt, partial(_verified, p=p), "a long, b long")
+    member = signed.select("doc_id", "n_shingles", "k1", "k2")
+
+    # A doc_id with rows of several classes is one node: its classes are tied to their smallest.
+    sides = [f(k).alias(f"{k}_{name}") for k in ("k1", "k2") for f, name in ((F.min, "lo"), (F.max, "hi"))]
+    twice = stage(member.filter("doc_id is not null").groupBy("doc_id").agg(*sides).filter("k1_lo <> k1_hi or k2_lo <> k2_hi").select("doc_id"), "near-twice")
+    held = stage(member.filter(linked).join(twice, "doc_id").join(classes, ["k1", "k2"]).select("doc_id", "rep").distinct(), "near-held")
+    nodes = held.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    links = links.unionByName(held.join(nodes, "doc_id").select("a", F.col("rep").alias("b")))
     found = components(links, "near-links").select(F.col("node").alias("rep"), "component")
 
-    member = signed.select("doc_id", "n_shingles", "k1", "k2")
+    shared = stage(nodes.join(found.withColumnRenamed("rep", "a"), "a", "left").select("doc_id", F.coalesce("component", "a").alias("component")), "near-shared")
     whole = member.filter(linked).join(classes, ["k1", "k2"]).join(found, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = member.filter(~linked).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = member.filter(~linked).join(shared, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return whole.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
