@@ -60,6 +60,15 @@ def test_too_few_labels_give_the_base_rate(spark, labels):
     assert len(out) == 3 and all(r["score"] == pytest.approx(model.base_rate) for r in out)
 
 
+def test_a_repeated_doc_id_counts_once(spark):
+    rows, labels = labelled(random.Random(4), 300)
+    frame = spark.createDataFrame(labels, LABELS)
+    model = quality.learn(documents(spark, rows), frame)
+    hot = next(i for i, _ in rows if zlib.crc32(str(i).encode()) % 5)
+    copies = [(hot, dict(rows)[hot] + f" {n}") for n in range(150)]
+    assert quality.learn(documents(spark, rows + copies).repartition(4), frame) == model
+
+
 def test_sizes_cover_whole_texts():
     model = quality.Model(quality.Params(), b"a b c d " * 100, b"x y z " * 100)
     text = b"q" * 9000

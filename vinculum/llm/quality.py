@@ -10,7 +10,7 @@ is measured with dictionaries built from the others; the final dictionaries use
 
 Only labels of rows whose crc32(doc_id as text) mod 5 is not 0 are learned from.  The fit uses
 bounded samples (`dictionary_rows` per class, `calibration_rows` in all, the rows with the
-smallest hash of their id); sizes and scores are computed over every row and whole text.
+smallest hash of their id, each with the smallest text of its doc_id); sizes and scores are computed over every row and whole text.
 
 Defined results: null and empty texts are scored like any other text (no pieces but an empty
 one); rows without a label are scored all the same; a null doc_id counts as held out; if the
@@ -167,8 +167,11 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     def chosen(rows: DataFrame, n: int) -> DataFrame:  # at most n rows of three numbers
         return rows.orderBy("h", "doc_id", "quality").limit(n).select("doc_id", "quality", "fold")
 
+    def one_text(rows: DataFrame) -> DataFrame:  # a doc_id that many documents share counts once
+        return texts.join(F.broadcast(rows.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
     for_words = chosen(known.filter("quality = 1"), p.dictionary_rows).unionByName(chosen(known.filter("quality = 0"), p.dictionary_rows))
-    pieces = over_batches(texts.join(F.broadcast(for_words), "doc_id").select("quality", "fold", "text"), partial(_sampled, p=p), "quality int, fold int, piece binary")
+    pieces = over_batches(one_text(for_words).join(F.broadcast(for_words), "doc_id").select("quality", "fold", "text"), partial(_sampled, p=p), "quality int, fold int, piece binary")
     collected = sorted((r["quality"], r["fold"], bytes(r["piece"])) for r in pieces.collect())
     total = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     rate = (total.get(1, 0) + 1) / (sum(total.values()) + 2)
@@ -183,7 +186,8 @@ def learn(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> Mode
     draft, parts = built(None), [built(f) for f in range(p.folds)]
     if draft is None or None in parts:
         return plain
-    sample = texts.join(F.broadcast(chosen(known, p.calibration_rows)), "doc_id").select("quality", "fold", "text")
+    for_fit = chosen(known, p.calibration_rows)
+    sample = one_text(for_fit).join(F.broadcast(for_fit), "doc_id").select("quality", "fold", "text")
     sample = over_batches(sample, partial(_fold_features, models=parts), "quality int, difference double, share double")
     rows = sorted((r["quality"], r["difference"], r["share"]) for r in sample.collect())
     y = np.array([r[0] for r in rows], float)
