@@ -100,6 +100,22 @@ def test_model_counts_every_document(spark):
     assert np.allclose(model, np.log(counts / counts.sum(axis=1, keepdims=True)))
 
 
+def test_languages_come_from_the_labels(spark):
+    """A fifth label with enough rows is a language; a rare one and junk are told."""
+    rng = random.Random(9)
+    italian = ["".join(rng.choices("zpbmvazy", k=300)) for _ in range(60)]
+    more = [(1000 + i, t, "it", "s") for i, t in enumerate(italian)] + [(2000, "zz kk", "nl", "s"), (2001, "zz", "No code", "s"), (2002, "x", None, "s")]
+    docs = corpus(spark, rng).unionByName(documents(spark, more))
+    with pytest.warns(UserWarning, match=r"2 rows of 2 labels: No code \(1\), nl \(1\)"):
+        p = language.with_labelled(docs)
+    assert p.languages == ("en", "fr", "de", "es", "it")
+    rows = spark.createDataFrame([(i, "h.x", None, None, t) for i, t in enumerate(italian)], "id long, host string, declared string, address string, text string")
+    assert {r["lang"] for r in language.identify(rows, language.learn(docs, p), p).collect()} == {"it"}
+    with pytest.warns(UserWarning):
+        kept = language.keep_identified(docs)
+    assert kept.filter("lang = 'it'").count() == 60
+
+
 def test_trigrams_stay_inside_texts():
     texts = ["abc", "", None, "a", "Éa bcd", "XYZ"]
     found, offsets = language.trigrams(pa.array(texts))

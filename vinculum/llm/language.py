@@ -14,6 +14,10 @@ Four kinds of evidence about a row are combined as log probabilities:
 `lang` is the most probable language, or `und` where its posterior is under `least`, or where
 the text is long enough to judge and less likely under every model than under a uniform one.
 
+The languages are the four of `LANGUAGES` and every other one that the labelled documents name
+in at least `least_rows` rows (`with_labelled`); labels under that count, or that are no
+language code, are told in a warning with their rows.
+
 Sizes: the trigram model and the reliability tables have a fixed number of cells and are
 collected; host counts grow with the corpus and stay tables, joined on the host.
 
@@ -24,8 +28,9 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial, reduce
 
 import numpy as np
@@ -39,6 +44,10 @@ from vinculum.llm.shingles import text_buffer
 LANGUAGES = ("en", "fr", "de", "es")
 BUCKETS = 1 << 13
 
+#: What a language label looks like, and codes that name no one language.
+LABEL = r"^[a-z]{2,3}([-_][a-z0-9]+)*$"
+NO_LANGUAGE = ("und", "mul", "mis", "zxx")
+
 #: Country suffixes whose main language is one of the four.
 SUFFIXES = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "fr": "fr", "de": "de", "at": "de", "es": "es", "mx": "es", "ar": "es", "co": "es", "cl": "es"}
 
@@ -60,6 +69,8 @@ class Params:
     least: float = 0.5
     #: From so many trigrams on a text may be told from no language at all.
     judge: int = 12
+    #: Labelled rows from which a language beyond `languages` has a model of its own.
+    least_rows: int = 50
 
 
 def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,8 +113,22 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: Sequence[str]) -> Ite
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["cell", "n"])
 
 
+def with_labelled(labelled: DataFrame, p: Params = Params()) -> Params:
+    """`p` with the further languages that `labelled` (lang) names often enough, sorted by name."""
+    label = F.col("lang").cast("string")
+    names = labelled.filter(label.isNotNull() & ~label.isin(*p.languages)).groupBy(label.alias("lang")).agg(F.count("*").alias("n"))
+    usable = F.col("lang").rlike(LABEL) & ~F.col("lang").isin(*NO_LANGUAGE) & (F.col("n") >= p.least_rows)
+    names = stage(names.withColumn("usable", usable), "language-labels")
+    more = sorted(r["lang"] for r in names.filter("usable").collect())  # at most rows / least_rows
+    left = names.filter("not usable").agg(F.count("*").alias("labels"), F.sum("n").alias("n")).first()
+    if left["labels"]:
+        some = [f"{r['lang']} ({r['n']})" for r in names.filter("not usable").orderBy(F.desc("n"), "lang").limit(20).collect()]
+        warnings.warn(f"no language model from {left['n']} rows of {left['labels']} labels: {', '.join(some)}", stacklevel=2)
+    return replace(p, languages=(*p.languages, *more))
+
+
 def learn(labelled: DataFrame, p: Params = Params()) -> np.ndarray:
-    """Log probabilities (language x bucket) from all rows of `labelled` (text, lang)."""
+    """Log probabilities (language x bucket) from the rows of `labelled` (text, lang) in `p.languages`."""
     rows = over_batches(labelled.select(F.col("lang").cast("string"), F.col("text").cast("string")), partial(_counted, languages=p.languages), "cell long, n long")
     counts = np.ones((len(p.languages), BUCKETS))
     for row in stage(rows.groupBy("cell").agg(F.sum("n").alias("n")), "language-cells").collect():  # at most languages x buckets
@@ -249,6 +274,7 @@ def keep_identified(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """
     name = fresh(docs, "_key")
     key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"))
+    p = with_labelled(docs, p)
     model = learn(docs, p)
     rows = document_rows(docs.select("doc_id", "text", "lang", "source")).withColumn(name, F.xxhash64("doc_id", "text", "declared", "host"))
     gone = stage(identify(rows, model, p).filter("lang = 'und'").select(name).distinct(), "language-gone")

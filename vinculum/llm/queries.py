@@ -27,8 +27,10 @@ def tokenizer_file(name: str) -> str:
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page: trigram text evidence, declared language, address, host prior."""
-    model = language.learn(table(spark, sf_dir, "documents").select("text", "lang"))
-    return language.identify(language.page_rows(table(spark, sf_dir, "pages")), model).withColumn("confidence", F.round("confidence", 9))
+    labelled = table(spark, sf_dir, "documents").select("text", "lang")
+    p = language.with_labelled(labelled)
+    model = language.learn(labelled, p)
+    return language.identify(language.page_rows(table(spark, sf_dir, "pages")), model, p).withColumn("confidence", F.round("confidence", 9))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
