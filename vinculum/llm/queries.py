@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculum.llm import bpe, exact_dedup, language, licenses, near_dedup, neighbours, packing, quality, sharding, wordpiece
+from vinculum.llm import bpe, byte_bpe, exact_dedup, language, licenses, merkle, near_dedup, neighbours, packing, periodic, quality, sharding, wordpiece
 from vinculum.llm.common import stage, table
 
 
@@ -81,6 +81,38 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(scored.select(F.col("doc_id").cast("long").alias("doc_id"), quality.held_out(F.col("doc_id")).alias("held_out"), "score", quality.predicted(model, F.col("score")).alias("predicted")), "quality-scores")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and the root after its tampering."""
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(even, F.regexp_replace(F.col("text").cast("string"), "\n", "")).otherwise(F.col("text").cast("string"))
+    found = merkle.manifest(docs, tampered=tampered)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, a tenth of them with a periodic tail."""
+    return periodic.run_digests(table(spark, sf_dir, "documents"), change=periodic.plant)
+
+
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level ids of every document and the digest of what they decode to."""
+    import public_tokenizers
+
+    vocabulary = byte_bpe.Vocabulary.read(tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    coded = byte_bpe.encode(docs, vocabulary)
+    return stage(
+        coded.select(
+            "doc_id",
+            F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+            F.sha2(byte_bpe.decoded(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+        ),
+        "byte-bpe-digests",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_round_trip,
         op9_wordpiece_counts,
         op10_compression_quality,
+        op11_merkle_manifest,
+        op12_periodic_runs,
+        op13_byte_level_bpe,
     )
 }
 
