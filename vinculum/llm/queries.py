@@ -101,7 +101,7 @@ def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary = byte_bpe.Vocabulary.read(tokenizer_file("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    coded = byte_bpe.encode(docs, vocabulary)
+    coded = byte_bpe.encode(docs, vocabulary, keep=["doc_id"])
     return stage(
         coded.select(
             "doc_id",
