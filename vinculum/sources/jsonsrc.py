@@ -4,8 +4,8 @@ A submission record is kept whole, as its text.  Its fields are read as VARIANT,
 keeps its JSON type: an absent key is a SQL null, a JSON null is a variant null, and strings,
 integers, decimals and booleans can be told apart by validation
 (``functions.validate.variant_checks``).  A line that doesn't parse is an outcome of its own
-(``invalid_record``) with its text.  Newline-delimited JSON is splittable and is the format to
-use at scale; a top-level JSON array is read one file per task.
+(``invalid_record``) with its text.  Newline-delimited JSON and top-level JSON arrays are both
+read in splits.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from vinculum import schemas as S
 from vinculum.functions import record as R
 from vinculum.operators import audit, ingest
 from vinculum.session import scratch_path
+from vinculum.sources import jsonarray
 
 
 def with_record(lines: DataFrame) -> DataFrame:
@@ -34,20 +35,15 @@ def with_record(lines: DataFrame) -> DataFrame:
 def read_submissions(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
     """Raw submission records as whole texts with a string id and an input position.
 
-    Newline-delimited JSON by default.  With ``multiline`` each file is one JSON array, whose
-    elements are the records (a file that doesn't parse, or isn't an array, is one invalid
-    record).
+    Newline-delimited JSON by default.  With ``multiline`` each file is one JSON array, of any
+    size, whose elements are the records; it is read in splits (:mod:`vinculum.sources.jsonarray`).
+    A broken element, and a file that isn't an array, is one invalid record.
     """
     where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
     if not multiline:
         return with_record(spark.read.text(path).select("value", *where))
-    files = spark.read.text(path, wholetext=True).select("value", *where)
-    files = files.withColumn("_array", F.try_parse_json("value"))
-    is_array = F.coalesce(F.schema_of_variant("_array").startswith("ARRAY"), F.lit(False))
-    items = F.try_variant_get("_array", "$", "array<variant>")
-    texts = F.when(is_array, F.transform(items, lambda v: F.to_json(v))).otherwise(F.array("value"))
-    rows = files.select("file", "block", F.posexplode(texts).alias("row", "raw_json"))
-    rows = rows.select("raw_json", F.struct("file", "block", F.col("row").cast("long").alias("row")).alias("position"))
+    rows = jsonarray.read_elements(spark, path)
+    rows = rows.select(F.col("text").alias("raw_json"), F.struct("file", "block", F.col("row").cast("long").alias("row")).alias("position"))
     return R.with_id(rows)
 
 
@@ -71,8 +67,8 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path).selectExpr("inline(labels)")
 
 
-def records_as_json(raw: DataFrame) -> DataFrame:
-    """Typed raw records as JSON lines, with some values re-typed the way partner files send them.
+def records_as_json(raw: DataFrame, *keep: str) -> DataFrame:
+    """Typed raw records as JSON lines (``value``, with the columns ``keep``), with some values re-typed the way partner files send them.
 
     Rows are picked by the last character of the id, so the mix is the same at every scale:
     ids ending in 1 get numeric-string vintages (accepted), 2 fractional vintages (rejected),
@@ -105,7 +101,7 @@ def records_as_json(raw: DataFrame) -> DataFrame:
     )
     text = F.to_json(rec)
     broken = F.concat(F.lit('{"submission_id":"'), F.col("submission_id"), F.lit('","name":'))
-    return raw.select(F.explode(F.when(h == 7, F.array(text, broken)).otherwise(F.array(text))).alias("value"))
+    return raw.select(*keep, F.explode(F.when(h == 7, F.array(text, broken)).otherwise(F.array(text))).alias("value"))
 
 
 def write_json_lines(raw: DataFrame, spark: SparkSession, name: str, ordered: bool = False) -> str:
@@ -119,6 +115,24 @@ def write_json_lines(raw: DataFrame, spark: SparkSession, name: str, ordered: bo
     return path
 
 
+#: Records in one array file.
+ARRAY_RECORDS = 20_000
+
+
+def write_json_arrays(raw: DataFrame, spark: SparkSession, name: str) -> str:
+    """Write typed records as files of one JSON array each, in ``position`` order by file name;
+    a record cut off in the middle gets its brace back, so that it is one broken element."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    files = max(1, -(-raw.count() // ARRAY_RECORDS))
+    ranged = raw.repartitionByRange(files, "position").withColumn("file", F.format_string("%08d", F.spark_partition_id()))
+    texts = records_as_json(ranged, "file", "position")
+    closed = F.when(F.col("value").endswith("}"), F.col("value")).otherwise(F.concat("value", F.lit("}")))
+    lists = texts.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("position", closed.alias("value")))).alias("rows"))
+    lists = lists.select("file", F.concat(F.lit("[\n  "), F.array_join(F.col("rows.value"), ",\n  "), F.lit("\n]")).alias("value"))
+    lists.write.partitionBy("file").text(path)
+    return path
+
+
 def append_json_lines(raw: DataFrame, path: str) -> None:
     """Append typed records as NDJSON files to ``path`` in ``position`` order (one delivery)."""
     records_as_json(raw.orderBy("position")).write.mode("append").text(path)
@@ -131,3 +145,12 @@ def json_import_from_tables(spark: SparkSession, sf_dir: str) -> ingest.Imported
 
     path = write_json_lines(TB.raw_submissions(spark, sf_dir), spark, "json-import", ordered=True)
     return ingest.import_records(read_submissions(spark, path), IMPORT_ID, RUN_TS, variant=True)
+
+
+def array_import_from_tables(spark: SparkSession, sf_dir: str) -> ingest.Imported:
+    """The same records from files of one JSON array each."""
+    from vinculum.plans.scenario import IMPORT_ID, RUN_TS
+    from vinculum.sources import tables as TB
+
+    path = write_json_arrays(TB.raw_submissions(spark, sf_dir), spark, "json-arrays")
+    return ingest.import_records(read_submissions(spark, path, multiline=True), IMPORT_ID, RUN_TS, variant=True)
