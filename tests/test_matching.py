@@ -213,4 +213,37 @@ def test_context_of_other_names_and_misspelt_producers(spark):
     assert (got["r2"].block_products, got["r2"].found_products) == (0, 2)
     assert (got["r3"].block_products, got["r3"].found_products) == (0, 0)  # nothing in the category shares a token
     found = sorted((r.submission_id, r["rank"], r.product_id, r.shared) for r in resolve.request_candidates(state, cat, names).collect())
-    assert found == [("r2", 1, "A1", 2), ("r2", 2, "A2", 2)]
+    assert found == [("r2", 1, "A1", 2), ("r2", 1, "A2", 2)]  # a tie
+
+
+def test_the_search_lists_every_product_with_a_rare_token(spark):
+    rows = [(f"T{i:02}", f"Cedro Rojo {i}") for i in range(30)] + [(f"F{i:03}", f"Filler {i}") for i in range(1000)] + [("Z1", "Zafiro Uno")]
+    cat = catalog(spark, *rows)
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    state = tier1(spark, cat, records(spark, ("r1", "Cedro Zafiro", "Nobody"), ("r2", "Filler Cedro", "Nobody"), ("r3", "del norte", "Nobody")))
+    found = resolve.request_candidates(state, cat, names)
+    by_row = {k: sorted((r["rank"], r.product_id) for r in found.filter(found.submission_id == k).collect()) for k in ("r1", "r2", "r3")}
+    assert by_row["r1"] == [(1, "Z1"), *[(2, f"T{i:02}") for i in range(30)]]  # the rarer token first, ties kept
+    assert by_row["r2"] == [(1, f"T{i:02}") for i in range(30)]  # the common token is no prefix
+    assert len(by_row["r3"]) == 1031  # no rare token: the rarest known ones
+
+
+def test_misspelt_producers_find_their_blocks(spark):
+    cat = catalog(spark, ("A1", "Uno", "Brand#12"), ("A2", "Dos", "Brand#12"), ("B1", "Tres", "Brand#13"), ("C1", "Uno", "Other House"), ("W1", "Uno", "Brand#12", "Wine"))
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    state = tier1(spark, cat, records(spark, ("r1", "zz", "Brnd 12"), ("r2", "zz", "brannd--13"), ("r3", "zz", "Bnd 12"), ("r4", "zz", "Ohter House"), ("r5", "zz", "xy")))
+    near = {(r.submission_id, r.block_producer, r.distance, r.block_products) for r in resolve.near_blocks(state, cat, names).collect()}
+    assert near == {("r1", "brand#12", 1, 2), ("r1", "brand#13", 2, 1), ("r2", "brand#13", 1, 1), ("r2", "brand#12", 2, 2), ("r3", "brand#12", 2, 2), ("r4", "other house", 2, 1)}
+    assert {r.submission_id: r.near_blocks for r in resolve.request_table(state, cat, names).collect()} == {"r1": 2, "r2": 2, "r3": 1, "r4": 1, "r5": 0}
+
+
+def test_deletion_variants_meet_exactly_within_the_distance(spark):
+    import random
+
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abc", k=rng.randint(0, 6))) for _ in range(40)]
+    df = spark.createDataFrame([(w,) for w in set(words)], "w string")
+    v = df.select("w", F.explode(resolve._deletions(F.col("w"), 2)).alias("v"))
+    pairs = v.join(v.withColumnRenamed("w", "x"), "v").select("w", "x", F.levenshtein("w", "x").alias("d")).filter("d <= 2").distinct()
+    every = df.crossJoin(df.withColumnRenamed("w", "x")).select("w", "x", F.levenshtein("w", "x").alias("d")).filter("d <= 2")
+    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, every.collect()))

@@ -289,8 +289,12 @@ def catalog_line(cat: DataFrame) -> Column:
     )
 
 
-#: Candidates listed for a row whose producer the catalog doesn't know.
-SEARCH_TOP = 20
+#: A token is rare where at most RARE_PRODUCTS products of its category, and at most one in
+#: RARE_ONE_IN of them, hold it.
+RARE_PRODUCTS = 500
+RARE_ONE_IN = 20
+#: Edits by which a submitted producer may differ from the catalog's.
+PRODUCER_EDITS = 2
 
 
 def _unmatched(state: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -304,44 +308,108 @@ def _blocks(catalog: DataFrame) -> DataFrame:
     return catalog.groupBy(F.lower("producer").alias("block_producer"), "category").agg(F.count(F.lit(1)).alias("block_products"))
 
 
-def request_candidates(state: DataFrame, catalog: DataFrame, aliases: DataFrame, top: int = SEARCH_TOP) -> DataFrame:
+def _without_block(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
+    """Unmatched rows whose producer key has no block in their category."""
+    known = reshuffled(_blocks(catalog), "block_producer")
+    return _unmatched(state, aliases).join(known, ["block_producer", "category"], "left_anti")
+
+
+def _weighted_tokens(held: DataFrame) -> DataFrame:
+    """(category, token, df, weight, rare): products with the token, ln(1 + products / df) in millionths."""
+    freq = held.select("category", F.explode("held").alias("token")).groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
+    sizes = held.groupBy("category").agg(F.count(F.lit(1)).alias("products"))
+    weight = F.round(F.ln(1 + F.col("products") / F.col("df")) * 1e6).cast("long")
+    rare = (F.col("df") <= RARE_PRODUCTS) & (F.col("df") * RARE_ONE_IN <= F.col("products"))
+    return freq.join(sizes, "category").select("category", "token", "df", weight.alias("weight"), rare.alias("rare"))
+
+
+def request_candidates(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
     """L1 context of rows whose producer has no block in the catalog (unknown or misspelt).
 
-    ``(submission_id, product_id, shared, rank)``: within the category, the products that hold
-    the rarest catalog token of the row's producer and name, ranked by the number of shared
-    tokens, then by id; the best ``top`` of them.  The search runs once per distinct token set.
+    ``(submission_id, product_id, shared, weight, rank)``: within the category, every product
+    that shares one of the row's rare tokens (of producer and name), with the number of all
+    shared tokens and the sum of their weights; products of equal weight share a rank, and the
+    list isn't cut.  A row without a rare token is searched by its rarest known ones.
+
+    The rare tokens are the prefix of a set-similarity join: only they are joined, a pair is
+    written for the first of them that both sides hold, and the weight of common tokens is
+    added from the two sets.  The search runs once per distinct token set.
     """
-    known = reshuffled(_blocks(catalog), "block_producer")
-    rows = _unmatched(state, aliases).join(known, ["block_producer", "category"], "left_anti")
     words = tokens(normalize(F.concat_ws(" ", "producer", "name")))
-    asked = rows.select("submission_id", "category", F.array_sort(words).alias("words"))
+    asked = _without_block(state, catalog, aliases).select("submission_id", "category", F.array_sort(words).alias("words"))
     sets = asked.select("category", "words").distinct()
     held = catalog.select(
         "category", "product_id", tokens(normalize(F.concat_ws(" ", "producer", "canonical_name"))).alias("held")
     )
-    posting = held.select("*", F.explode("held").alias("token"))
-    freq = posting.groupBy("category", "token").agg(F.count(F.lit(1)).alias("df"))
-    rarest = (
+    weighted = _weighted_tokens(held)
+    known = (
         sets.select("*", F.explode("words").alias("token"))
-        .join(reshuffled(freq, "token"), ["category", "token"])
+        .join(reshuffled(weighted, "token"), ["category", "token"])
         .groupBy("category", "words")
-        .agg(F.min_by("token", F.struct("df", "token")).alias("token"))
+        .agg(F.array_sort(F.collect_list(F.struct("token", "weight", "rare", "df"))).alias("known"))
+        .withColumn("least", F.array_min(F.transform("known", lambda x: x["df"])))
     )
-    found = rarest.join(posting, ["category", "token"]).select(
-        "category", "words", "product_id", F.size(F.array_intersect("words", "held")).alias("shared")
+    prefix = F.transform(F.filter("known", lambda x: x["rare"] | (x["df"] == F.col("least"))), lambda x: x["token"])
+    probes = known.withColumn("prefix", prefix).select("category", "words", "known", "prefix", F.explode("prefix").alias("token"))
+    posting = held.select("*", F.explode("held").alias("token"))
+    first = F.array_intersect("prefix", "held")[0] == F.col("token")
+    both = F.filter("known", lambda x: F.array_contains(F.col("held"), x["token"]))
+    found = probes.join(posting, ["category", "token"]).filter(first).select(
+        "category",
+        "words",
+        "product_id",
+        F.size(F.array_intersect("words", "held")).alias("shared"),
+        F.aggregate(both, F.lit(0).cast("long"), lambda total, x: total + x["weight"]).alias("weight"),
+    )
+    ranked = found.withColumn("rank", F.rank().over(Window.partitionBy("category", "words").orderBy(F.desc("weight"))))
+    return asked.join(ranked, ["category", "words"]).select("submission_id", "product_id", "shared", "weight", "rank")
+
+
+def _deletions(key: Column, edits: int) -> Column:
+    """The strings that ``edits`` deletions or fewer make of a string, itself included."""
+
+    def shorter(text: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.length(text)), lambda i: i > 0)
+        return F.transform(places, lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))))
+
+    found = F.array(key)
+    last = found
+    for _ in range(edits):
+        last = F.array_distinct(F.flatten(F.transform(last, shorter)))
+        found = F.concat(found, last)
+    return F.array_distinct(found)
+
+
+def near_blocks(state: DataFrame, catalog: DataFrame, aliases: DataFrame, edits: int = PRODUCER_EDITS) -> DataFrame:
+    """Catalog blocks of a producer that a row without a block may have misspelt.
+
+    ``(submission_id, category, block_producer, distance, block_products)``: the blocks of the
+    row's category whose producer differs from the submitted one by at most ``edits`` edits
+    (exact Levenshtein distance of the normalised names).  Two names within ``edits`` edits
+    share a string that each becomes by as many deletions, so candidates come from an equi-join
+    on these, once per distinct producer.
+    """
+    rows = _without_block(state, catalog, aliases).select("submission_id", "category", F.col("block_producer").alias("asked"))
+    blocks = _blocks(catalog).withColumn("name", normalize(F.col("block_producer")))
+    asked = rows.select("category", "asked").distinct().withColumn("asked_name", normalize(F.col("asked")))
+    left = asked.select("*", F.explode(_deletions(F.col("asked_name"), edits)).alias("variant"))
+    right = blocks.select("*", F.explode(_deletions(F.col("name"), edits)).alias("variant"))
+    distance = F.levenshtein("asked_name", "name").alias("distance")
+    near = left.join(right, ["category", "variant"]).select("category", "asked", "block_producer", "block_products", distance)
+    near = near.filter(F.col("distance") <= edits).distinct()
+    return rows.join(reshuffled(near, "asked"), ["category", "asked"]).select(
+        "submission_id", "category", "block_producer", "distance", "block_products"
     )
-    order = Window.partitionBy("category", "words").orderBy(F.desc("shared"), "product_id")
-    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    return asked.join(best, ["category", "words"]).select("submission_id", "product_id", "shared", "rank")
 
 
-def request_table(state: DataFrame, catalog: DataFrame, aliases: DataFrame, top: int = SEARCH_TOP) -> DataFrame:
+def request_table(state: DataFrame, catalog: DataFrame, aliases: DataFrame) -> DataFrame:
     """L1: one request per unmatched row: its user text and the size of its context.
 
     The model context is the row's producer/category block under its alias-aware producer key
     (the whole catalog does not fit a prompt at millions of products), or, without such a block,
-    the products that :func:`request_candidates` finds.  Context lines stay tables, keyed by
-    block (:func:`block_context`) or row; they are never concatenated into one value.
+    the products that :func:`request_candidates` finds and the blocks of :func:`near_blocks`.
+    Context lines stay tables, keyed by block (:func:`block_context`) or row; they are never
+    concatenated into one value.
     """
     req = _unmatched(state, aliases).select(
         "submission_id",
@@ -352,12 +420,13 @@ def request_table(state: DataFrame, catalog: DataFrame, aliases: DataFrame, top:
             F.col("submission_id"), F.col("name"), F.col("producer"), F.col("category"), F.col("vintage"), F.col("size_ml")
         ).alias("user_text"),
     )
-    searched = request_candidates(state, catalog, aliases, top).groupBy("submission_id").agg(F.count(F.lit(1)).alias("found_products"))
+    searched = request_candidates(state, catalog, aliases).groupBy("submission_id").agg(F.count(F.lit(1)).alias("found_products"))
+    near = near_blocks(state, catalog, aliases).groupBy("submission_id").agg(F.count(F.lit(1)).alias("near_blocks"))
+    counted = searched.join(near, "submission_id", "full")
     return (
         req.join(reshuffled(_blocks(catalog), "block_producer"), ["block_producer", "category"], "left")
-        .join(searched, "submission_id", "left")
-        .withColumn("block_products", F.coalesce(F.col("block_products"), F.lit(0)))
-        .withColumn("found_products", F.coalesce(F.col("found_products"), F.lit(0)))
+        .join(counted, "submission_id", "left")
+        .withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("block_products", "found_products", "near_blocks")})
     )
 
 

@@ -1,7 +1,7 @@
 """User-facing composition: one import from records to store, in the fixed stage order.
 
 import -> exact duplicates -> tier 1 -> tier 2 -> propagation -> near-duplicate sweep ->
-report.  The import and tier-1 states are cut into stage tables under the session's
+report.  The import, tier-1 and tier-2 states are cut into stage tables under the session's
 checkpoint folder; the final rows of the import are written to the store's ``import_id``
 partition (dynamic overwrite, so a re-run replaces only this import).
 """
@@ -84,8 +84,9 @@ def run_import(
         work = resolve.resolve_unmatched(
             work, resolver, history=None, cache=cache, catalog_ids=catalog_ids, model_id=model_id, run_ts=run_ts,
         )
-    work = dedup.mark_near_duplicates(dedup.propagate_to_duplicates(work))
-    final = ST.stage_table(work, f"{import_id}-final")
+        work = ST.stage_table(work, f"{import_id}-resolved")
+    work = ST.stage_table(dedup.propagate_to_duplicates(work), f"{import_id}-tier2")
+    final = ST.stage_table(dedup.mark_near_duplicates(work), f"{import_id}-final")
     if store_path:
         ST.write_import(final.drop("position"), store_path)
         ST.write_ids(final, ST.ids_path(store_path))

@@ -1,9 +1,8 @@
 """One import run over the driver tables, stage by stage.
 
-The import, tier-1 and final states (and the small catalog-side tables) are written once as
+The import, tier-1, tier-2 and final states (and the small catalog-side tables) are written once as
 stage tables (``sources.store.stage_table``) in this process's own folder and read back, so
-later stages start from a file scan; exact dedup and tier 2 stay lazy views over the stage
-before them.  A scenario is memoised per (session, input folder): the registered queries of
+later stages start from a file scan; exact dedup stays a lazy view over the stage before it.  A scenario is memoised per (session, input folder): the registered queries of
 one process share its stage tables, and no other process reads them.
 """
 
@@ -154,7 +153,7 @@ class Scenario:
 
     @cached_property
     def tier2(self) -> DataFrame:
-        return self._resolved(True)  # lazy; the sweep below writes the result
+        return self._mat(self._resolved(True), "tier2")  # the sweep and the summaries read it several times
 
     @cached_property
     def tier2_unchecked(self) -> DataFrame:
