@@ -16,10 +16,12 @@ def brute_force(rows: list[tuple]) -> list[tuple]:
     for r, c in zip(rows, content):
         rank = (-len(r[1] or ""), r[0] is None, r[0] or 0)
         best[c] = min(best.get(c, rank), rank)
-    out = []
+    out, done = [], set()
     for r, c in zip(rows, content):
         keep = None if best[c][1] else best[c][2]
-        out.append((r[0], keep, content.count(c), r[0] == keep and len(r[1] or "") == -best[c][0], hashlib.sha256(c.encode()).hexdigest()))
+        kept = r[0] == keep and len(r[1] or "") == -best[c][0] and c not in done
+        done |= {c} if kept else set()
+        out.append((r[0], keep, content.count(c), kept, hashlib.sha256(c.encode()).hexdigest()))
     return sorted(out, key=str)
 
 
@@ -63,3 +65,13 @@ def test_main_path_is_native(spark, capsys):
     exact_dedup.members(documents(spark, [(1, "a")])).explain()
     plan = capsys.readouterr().out
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_one_row_of_a_repeated_id_is_kept(spark):
+    rows = [(1, "a b"), (1, "a\tb"), (1, "a b"), (2, "ab"), (None, "c"), (None, "c"), (3, "d"), (3, "e")]
+    docs = documents(spark, rows).repartition(3)
+    got = sorted((r["doc_id"] or 0, r["group_size"], r["kept"]) for r in exact_dedup.members(docs).collect())
+    assert got == [(0, 2, False), (0, 2, True), (1, 4, False), (1, 4, False), (1, 4, True), (2, 4, False), (3, 1, True), (3, 1, True)]
+    texts = [r["text"] for r in exact_dedup.deduplicate(docs).collect()]
+    stays = max(("a b", "a\tb"), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted(texts) == sorted([stays, "c", "d", "e"])

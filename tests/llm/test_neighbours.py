@@ -22,7 +22,7 @@ def exact(rows, k, every):
         best: dict[int, float] = {}
         for i, y in ok:
             if i != q and len(y) == len(x):
-                best[i] = max(best.get(i, -2.0), float(neighbours.cosines(y[None], x)[0]))
+                best[i] = max(best.get(i, -2.0), float(neighbours.cosines(neighbours.scaled(y[None]), neighbours.scaled(x))[0]))
         for i, s in best.items():
             out.setdefault(q, {})[i] = max(out.get(q, {}).get(i, -2.0), s)
     return {q: sorted(((-s, i) for i, s in v.items()))[:k] for q, v in out.items()}
@@ -108,3 +108,16 @@ def test_rotation_keeps_length_and_angles():
     x = np.random.default_rng(1).normal(size=(5, 64))
     y = neighbours.rotated(x, 3, Params())
     assert np.allclose(y @ y.T, (x @ x.T) * 64**3)
+
+
+def test_doubles_of_any_size(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in rng.normal(size=4) * size]) for i, size in zip(range(50, 110), [1e200, 1e-200, 1e-320, 1e306, 1.0] * 12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 50 == 0, Params(probes=99, tables=1)).collect()
+    vectors = {i: np.array(v) / np.abs(v).max() for i, v in rows}
+    for q in (50, 100):
+        score = {i: float(v @ vectors[q] / np.linalg.norm(v) / np.linalg.norm(vectors[q])) for i, v in vectors.items() if i != q}
+        found = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        assert [i for _, i, _ in found] == sorted(score, key=lambda i: -score[i])[:5]
+        assert all(abs(s - score[i]) < 1e-9 for _, i, s in found)

@@ -14,9 +14,11 @@ The content itself is a grouping key at each of these stages, so a digest collis
 merges different texts.  Members then find their group by digest; digests that stand for
 several contents (checked on the group table) are joined on the content as well.
 
-Defined results: an empty table gives an empty result; rows that repeat both doc_id and
-original text share one decision (`kept` on each; `deduplicate` leaves one of them); extra
-columns pass through `deduplicate` untouched.
+Defined results: an empty table gives an empty result; where the id that stays is repeated by
+rows of the same length, `kept` is true for one of them only, and `deduplicate` leaves the one
+whose original has the greatest SHA-256 (wholly equal rows are interchangeable); texts without
+a character besides white space are one group with the empty ones; very long texts are
+compared whole; extra columns pass through `deduplicate` untouched.
 """
 
 from __future__ import annotations
@@ -62,9 +64,15 @@ def members(docs: DataFrame, salts: int = SALTS, digest: Callable[[Column], Colu
         plain = slim.join(winners.join(shared, "digest", "left_anti"), "digest")
         again = rows.join(shared, "digest", "left_semi")
         full = stage(groups(again, salts), "exact-shared-contents")
-        found = plain.unionByName(again.join(full, ["digest", "content"]).drop("content"))
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
-    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "digest")
+        found = plain.withColumn("content", F.lit("")).unionByName(again.join(full, ["digest", "content"]))
+    # Rows of the id that stays: one is kept, however often the id is repeated.
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_chars"))
+    columns = ["doc_id", "keep_id", "group_size", "digest", *(["content"] if "content" in found.columns else [])]
+    found = stage(found.withColumn("kept", stays).select(*columns, "kept"), "exact-members")
+    several = found.filter("kept").groupBy(columns).agg(F.count("*").alias("n"))
+    kept = several.withColumn("kept", F.explode(F.concat(F.array(F.lit(True)), F.array_repeat(F.lit(False), (F.col("n") - 1).cast("int")))))
+    rows = found.filter("not kept").unionByName(kept.select(found.columns))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", "digest")
 
 
 def deduplicate(docs: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -77,5 +85,5 @@ def deduplicate(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     # Rows that repeat the id of the one that stays: the longest original, one of equals.  The
     # join has already brought them together, so this needs no further shuffle.
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = rows.join(keepers, [id_, digest]).groupBy(id_, digest).agg(F.max_by(whole, chars).alias(row))
+    best = rows.join(keepers, [id_, digest]).groupBy(id_, digest).agg(F.max_by(whole, F.struct(F.col(chars), sha256(F.coalesce(text, F.lit(""))))).alias(row))
     return best.select(*[F.col(row)[c].alias(c) for c in docs.columns])

@@ -269,13 +269,19 @@ def document_rows(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of `docs` in one of the languages, with their columns; `und` rows go.
 
-    Verdicts are looked up by doc_id and a hash of text, lang and source, so rows that repeat
-    a doc_id with another text keep verdicts of their own.
+    Verdicts are looked up by doc_id and the SHA-256 of text, lang and source, so rows that
+    repeat a doc_id with another text keep verdicts of their own.
     """
-    name = fresh(docs, "_key")
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"), F.col("source").cast("string"))
+    id_, name = fresh(docs, "_language_id"), fresh(docs, "_language_key")
+
+    def key(*values: Column) -> Column:  # sizes first: no two lists of values run together
+        texts = [F.coalesce(F.concat(F.octet_length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+        return F.sha2(F.concat(*texts), 256)
+
+    whole = key(*[F.col(c).cast("string") for c in ("text", "lang", "source")])
+    doc_id = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
     p = with_labelled(docs, p)
     model = learn(docs, p)
-    rows = document_rows(docs.select("doc_id", "text", "lang", "source")).withColumn(name, F.xxhash64("doc_id", "text", "declared", "host"))
-    gone = stage(identify(rows, model, p).filter("lang = 'und'").select(name).distinct(), "language-gone")
-    return docs.withColumn(name, key).join(gone, name, "left_anti").drop(name)
+    rows = document_rows(docs.select("doc_id", "text", "lang", "source")).withColumns({id_: doc_id, name: key(F.col("text"), F.col("declared"), F.col("host"))})
+    gone = stage(identify(rows, model, p).filter("lang = 'und'").select(id_, name).distinct(), "language-gone")
+    return docs.withColumns({id_: doc_id, name: whole}).join(gone, [id_, name], "left_anti").drop(id_, name)

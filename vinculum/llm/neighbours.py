@@ -22,7 +22,8 @@ and rows without vec_id, take no part; only vectors of equal length are compared
 share a vec_id are one candidate (its best row) and one query (best over its rows), and never
 neighbours of themselves; ties of score go to the smaller vec_id; a query gets fewer
 than k only where fewer rows can be compared with it; extra columns are not read; an empty table
-gives an empty result.
+gives an empty result.  Vectors of any finite size are compared: each is scaled by a power of
+two first.
 """
 
 from __future__ import annotations
@@ -111,8 +112,16 @@ def _hashed(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.RecordB
             )
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector (last axis) times a power of two that brings its largest component near 1.
+
+    This is exact and changes no cosine but for squares that would overflow or vanish.
+    """
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=-1, keepdims=True, initial=0.0))[1])
+
+
 def cosines(block: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine of each row with the query; equal rows get equal values, wherever they stand."""
+    """Cosine of each row with the query (both `scaled`); equal rows get equal values."""
     return (block * query).sum(axis=1) / (np.sqrt((block * block).sum(axis=1)) * np.sqrt((query * query).sum()))
 
 
@@ -122,7 +131,7 @@ def _by_id(ids: list[int], rows: list[np.ndarray], width: int) -> tuple[np.ndarr
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, width))
     order = np.argsort(np.array(ids, np.int64), kind="stable")
     different, starts = np.unique(np.array(ids, np.int64)[order], return_index=True)
-    return different, starts, np.vstack(rows)[order]
+    return different, starts, scaled(np.vstack(rows)[order])
 
 
 def best_of_block(block: tuple[np.ndarray, np.ndarray, np.ndarray], vec_id: int, vector: np.ndarray, k: int) -> list[tuple[int, float]]:
@@ -130,7 +139,7 @@ def best_of_block(block: tuple[np.ndarray, np.ndarray, np.ndarray], vec_id: int,
     ids, starts, rows = block
     if not len(ids):
         return []
-    score = cosines(rows, vector)
+    score = cosines(rows, scaled(vector))
     score[~np.isfinite(score)] = -np.inf
     score = np.maximum.reduceat(score, starts)  # one score per id, so the cut below counts ids
     score[ids == vec_id] = -np.inf

@@ -10,9 +10,12 @@ is measured with dictionaries built from the others; the final dictionaries use
 
 Only labels of rows whose crc32(doc_id as text) mod 5 is not 0 are learned from.  The fit uses
 bounded samples (`dictionary_rows` per class, `calibration_rows` in all, the rows with the
-smallest hash of their id, each with the smallest text of its doc_id); sizes and scores are computed over every row and whole text.
+smallest hash of their id, each with the smallest text of its doc_id, whole); sizes and scores
+are computed over every row and whole text.
 
-Defined results: null and empty texts are scored like any other text (no pieces but an empty
+Defined results: an empty table gives an empty result; very long texts are measured whole, piece
+by piece; repeated rows are scored each for itself; extra columns, whatever their names, pass
+through and are no input; null and empty texts are scored like any other text (no pieces but an empty
 one); rows without a label are scored all the same; a null doc_id counts as held out; if the
 learnable labels lack a class, every score is the smoothed share of label 1.
 """
@@ -38,8 +41,6 @@ class Params:
     calibration_rows: int = 6000
     dictionary_bytes: int = 112_640
     piece_bytes: int = 4096
-    #: Pieces (first, middle, last) that one sampled text gives a dictionary.
-    pieces_per_text: int = 3
     level: int = 3
     folds: int = 3
     threshold: float = 0.3
@@ -107,10 +108,9 @@ def _sampled(batches: Iterator[pa.RecordBatch], p: Params) -> Iterator[pa.Record
         labels, folds, texts = [], [], []
         for quality, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
             pieces = _pieces((text.as_py() or "").encode(), p.piece_bytes)
-            at = sorted({i * (len(pieces) - 1) // max(1, p.pieces_per_text - 1) for i in range(p.pieces_per_text)})
-            texts += [pieces[i] for i in at]
-            labels += [quality] * len(at)
-            folds += [fold] * len(at)
+            texts += pieces
+            labels += [quality] * len(pieces)
+            folds += [fold] * len(pieces)
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(folds, pa.int32()), pa.array(texts, pa.binary())], names=["quality", "fold", "piece"])
 
 
