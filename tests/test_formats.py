@@ -3,11 +3,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import RUN_TS
 from vinculum.functions.text import first_or_null, join_errors, percent
 from vinculum.operators import report, resolve
 from vinculum import session
@@ -118,3 +120,107 @@ def test_partition_overwrite_keeps_other_imports(spark, tmp_path):
     assert rows == [("S1", "imp-a"), ("S3", "imp-b")]
     assert ST.read_import(spark, path, "imp-a").count() == 1
     assert ST.revert_import(ST.read_store(spark, path), "imp-a").count() == 1
+
+
+def _answered(spark, import_id, rows):
+    schema = ("submission_id string, import_id string, status string, fingerprint string, llm_model string, "
+              "llm_prompt_version string, llm_output string, updated_at timestamp")
+    return spark.createDataFrame([(sid, import_id, "matched", fp, "m", "v", out, ts) for sid, fp, out, ts in rows], schema)
+
+
+def test_a_crash_between_the_writes_leaves_no_trace(spark, tmp_path, monkeypatch):
+    from tests.test_matching import OTHER_NAMES, catalog
+
+    cat = catalog(spark, ("A1", "Uno"))
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    store = str(tmp_path / "store")
+    records = spark.createDataFrame([(f"S{i}", "Uno", "Casa del Norte", "Tequila", None, 700, i) for i in range(3)],
+                                    "submission_id string, name string, producer string, category string, vintage int, size_ml int, position long")
+
+    def run(import_id):
+        return pipeline.run_import(spark, records, cat, names, import_id=import_id, run_ts=RUN_TS, store_path=store)
+
+    for broken in ("write_ids", "commit_import"):
+        with monkeypatch.context() as m:
+            m.setattr(ST, broken, lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                run("imp-1")
+        assert ST.read_store(spark, store).count() == 0
+    assert run("imp-2").final.count() == 3  # nothing counts as stored already
+    assert {r.import_id for r in ST.read_store(spark, store).select("import_id").collect()} == {"imp-2"}
+    assert run("imp-1").final.count() == 0  # the crashed import, repeated: its ids are another's now
+    assert run("imp-2").final.count() == 3 and ST.read_store(spark, store).count() == 3
+
+
+def test_a_revert_takes_ids_and_answers_along(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = _answered(spark, "a", [("S1", "f1", "old", dt.datetime(2026, 1, 1)), ("S2", "f2", "only here", dt.datetime(2026, 1, 1))])
+    second = _answered(spark, "b", [("S3", "f1", "old", dt.datetime(2026, 1, 2)), ("S4", "f3", "own", dt.datetime(2026, 1, 2))])
+    cache = None
+    for name, rows in (("a", first), ("b", second)):
+        ST.begin_import(spark, store, name)
+        ST.write_import(rows, store)
+        ST.write_ids(rows, ST.ids_path(store))
+        cache = ST.read_answers(spark, store, ST.answers_path(store))
+        ST.write_answers(resolve.new_cache_entries(rows, cache).withColumn("import_id", F.lit(name)), ST.answers_path(store))
+        ST.commit_import(spark, store, name, RUN_TS)
+
+    def left():
+        answers = ST.read_answers(spark, store, ST.answers_path(store))
+        return (sorted((r.import_id, r.fingerprint, r.llm_output) for r in answers.collect()), sorted(r.submission_id for r in ST.read_store(spark, store).collect()))
+
+    assert left() == ([("a", "f1", "old"), ("a", "f2", "only here"), ("b", "f3", "own")], ["S1", "S2", "S3", "S4"])
+    asked = spark.createDataFrame([("S1",), ("S3",)], "submission_id string")
+    for _ in range(2):  # repeating a revert changes nothing
+        ST.drop_import(spark, store, "a")
+        assert left() == ([("b", "f1", "old"), ("b", "f3", "own")], ["S3", "S4"])
+        assert [r.submission_id for r in ST.stored_among(asked, ST.ids_path(store), "c", store).collect()] == ["S3"]
+
+
+def test_a_catalog_append_moves_no_stored_row_and_look_ups_prune(spark, tmp_path, capsys):
+    from vinculum.operators.match import catalog_find
+
+    path = str(tmp_path / "catalog")
+    schema = "product_id string, canonical_name string, producer string, category string, size_ml int, vintage_required boolean"
+    rows = [(f"P{i:04}", f"N{i}", f"House {i % 50:02}", ["Rum", "Wine"][i % 2], 700, False) for i in range(2000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ST.load_catalog(spark.createDataFrame(rows, schema), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = ST.read_catalog(spark, path)
+    batch = spark.createDataFrame([("P0007", "X", "House 01", "Rum", 700, False)], schema)
+    for keys in (["product_id"], ["canonical_name", "producer", "size_ml"]):
+        plan = ST.already_stored(stored, batch, keys, 1)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert "Exchange" not in plan[: plan.index("BroadcastExchange")].replace("BroadcastExchange", "")  # none over the catalog
+    found = catalog_find(stored, producer="HOUSE 07", category="Wine")
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(producer_key,house 07)" in plan and "EqualTo(category,Wine)" in plan
+    assert found.count() == 40 and found.columns[0] == "product_id"
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    here = stored.filter("producer_key = 'house 07'").select(F.input_file_name().alias("f")).distinct().count()
+    assert len(files) > 3 and here <= 2
+
+
+def test_confidence_drift(spark):
+    import random
+
+    rng = random.Random(2)
+    early = [("a", dt.datetime(2026, 1, 1), rng.random()) for _ in range(4000)]
+    same = [("b", dt.datetime(2026, 1, 2), rng.random()) for _ in range(4000)]
+    moved = [("c", dt.datetime(2026, 1, 3), 0.8 + rng.random() / 5) for _ in range(4000)]
+    none = [("d", dt.datetime(2026, 1, 4), None)]
+    store = spark.createDataFrame(early + same + moved + none, "import_id string, created_at timestamp, llm_confidence double").repartition(5)
+    bins = report.confidence_bins(store).groupBy("import_id").agg(F.count("*").alias("bins"), F.sum("n").alias("n")).collect()
+    assert sorted(map(tuple, bins)) == [("a", 20, 4000), ("b", 20, 4000), ("c", 20, 4000)]
+    psi = {r.import_id: r.psi for r in report.confidence_shift(store).collect()}
+    assert psi["a"] is None and psi["b"] < 0.05 and psi["c"] > 1
+    sketches = report.confidence_sketches(store)
+    for ids in (["a"], ["a", "b", "c"]):
+        values = sorted(v for name, _, v in early + same + moved if name in ids)
+        got = report.confidence_quantiles(sketches.filter(F.col("import_id").isin(ids)), [0.05, 0.5, 0.95]).collect()
+        for r in got:
+            exact = sum(v <= r.confidence for v in values) / len(values)
+            assert abs(exact - r["rank"]) < 0.02, (ids, r, exact)

@@ -293,10 +293,15 @@ def match_summary(state: DataFrame) -> DataFrame:
 def catalog_find(
     catalog: DataFrame, producer: str | None = None, category: str | None = None, size_ml: int | None = None
 ) -> DataFrame:
-    """optional-predicate catalog lookup (each predicate applies only when given)."""
+    """optional-predicate catalog lookup (each predicate applies only when given).
+
+    A stored catalog (:func:`vinculum.sources.store.write_catalog`) has the lower-cased producer
+    as a column, so all predicates are pushed down to its row groups.
+    """
     df = catalog
     if producer is not None:
-        df = df.filter(F.lower(F.col("producer")) == F.lower(F.lit(producer)))
+        key = F.col("producer_key") if "producer_key" in catalog.columns else producer_key(F.col("producer"))
+        df = df.filter(key == producer_key(F.lit(producer)))
     if category is not None:
         df = df.filter(F.col("category") == F.lit(category))
     if size_ml is not None:

@@ -7,7 +7,7 @@ the final, small result the caller asks for.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
@@ -176,6 +176,52 @@ def drift_by_import(store: DataFrame) -> DataFrame:
     )
 
 
+#: Bins of a confidence between 0 and 1.
+CONFIDENCE_BINS = 20
+
+
+def confidence_bins(store: DataFrame) -> DataFrame:
+    """(import_id, created_at, bin, n) for every import with confidences and every bin."""
+    conf = F.col("llm_confidence")
+    at = F.least(F.floor(conf * CONFIDENCE_BINS).cast("int"), F.lit(CONFIDENCE_BINS - 1))
+    counts = store.filter(conf.isNotNull()).groupBy("import_id", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min("created_at").alias("created_at"))
+    imports = counts.groupBy("import_id").agg(F.min("created_at").alias("created_at"))
+    grid = imports.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(CONFIDENCE_BINS - 1))))
+    return grid.join(counts.drop("created_at"), ["import_id", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def confidence_shift(store: DataFrame) -> DataFrame:
+    """How far each import's confidences moved from those of the import before it.
+
+    ``(import_id, n, psi)``: the population stability index over CONFIDENCE_BINS equal bins,
+    half a row added to each; null for the first import.  Everything after the bins is twenty
+    rows an import.
+    """
+    total = F.sum("n").over(Window.partitionBy("import_id"))
+    shares = confidence_bins(store).withColumn("p", (F.col("n") + 0.5) / (total + 0.5 * CONFIDENCE_BINS))
+    shares = shares.withColumn("q", F.lag("p").over(Window.partitionBy("bin").orderBy("created_at", "import_id")))
+    term = (F.col("p") - F.col("q")) * F.ln(F.col("p") / F.col("q"))
+    return shares.groupBy("import_id").agg(F.sum("n").alias("n"), F.round(F.sum(term), 6).alias("psi"))
+
+
+def confidence_sketches(state: DataFrame) -> DataFrame:
+    """A mergeable quantile sketch of each import's confidences: (import_id, n, sketch).
+
+    Written per import, sketches answer quantiles over any set of imports
+    (:func:`confidence_quantiles`) without reading their rows again.
+    """
+    rows = state.filter(F.col("llm_confidence").isNotNull())
+    return rows.groupBy("import_id").agg(F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("llm_confidence").alias("sketch"))
+
+
+def confidence_quantiles(sketches: DataFrame, ranks: list[float]) -> DataFrame:
+    """Approximate quantiles of all the given sketches' rows together: (rank, confidence)."""
+    whole = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    at = F.array(*[F.lit(float(r)) for r in ranks])
+    found = F.kll_sketch_get_quantile_double("sketch", at)
+    return whole.select(F.explode(F.arrays_zip(at.alias("rank"), found.alias("confidence"))).alias("q")).select("q.*")
+
+
 def spend_estimate(
     store: DataFrame, tokens_per_call: int = 1500, usd_per_million_tokens: float = 2.50
 ) -> DataFrame:

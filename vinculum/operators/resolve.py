@@ -46,13 +46,14 @@ def decision_cache(history: DataFrame, model_id: str, prompt_version: str = S.PR
 CACHE_KEYS = ["llm_model", "llm_prompt_version", "fingerprint"]
 
 
-def cache_entries(state: DataFrame) -> DataFrame:
+def cache_entries(state: DataFrame, *carried: str) -> DataFrame:
     """Cache rows ``(llm_model, llm_prompt_version, fingerprint, llm_output, updated_at)`` from
-    the answered rows of ``state``: the oldest answer per key (ties: smaller submission_id)."""
+    the answered rows of ``state``: the oldest answer per key (ties: smaller submission_id),
+    with its row's columns ``carried``."""
     h = state.filter(F.col("llm_output").isNotNull() & F.col("fingerprint").isNotNull() & F.col("llm_model").isNotNull())
     return h.groupBy(*CACHE_KEYS).agg(
-        F.min_by(F.struct("llm_output", "updated_at"), F.struct("updated_at", "submission_id")).alias("a")
-    ).select(*CACHE_KEYS, "a.llm_output", "a.updated_at")
+        F.min_by(F.struct("llm_output", "updated_at", *carried), F.struct("updated_at", "submission_id")).alias("a")
+    ).select(*CACHE_KEYS, "a.*")
 
 
 def new_cache_entries(state: DataFrame, cache: DataFrame | None) -> DataFrame:

@@ -507,10 +507,16 @@ def queries() -> dict[str, str]:
             "UNION ALL SELECT 'duplicate_of', f.submission_id, f.duplicate_of FROM unchecked f "
             "WHERE f.duplicate_of IS NOT NULL AND f.duplicate_of NOT IN (SELECT submission_id FROM unchecked)"
         ),
+        "drop_import": q(
+            "SELECT 'rows' AS kind, 'import-0001' AS import_id, count(*) AS n FROM fin "
+            "UNION ALL SELECT 'ids', 'import-0001', count(*) FROM fin "
+            "UNION ALL SELECT 'answers', 'import-0001', count(DISTINCT fingerprint) FROM fin WHERE llm_output IS NOT NULL"
+        ),
         "revert_import": q(
             "SELECT import_id, status, count(*) AS n FROM (" + _store_sql() + ") WHERE import_id <> 'import-0000' GROUP BY ALL"
         ),
         "drift_by_import": q(_drift_sql()),
+        "confidence_shift": q(_shift_sql()),
         "spend_estimate": q(_spend_sql()),
         "cache_table": q(
             f"SELECT '{MODEL}' AS llm_model, '{S.PROMPT_VERSION}' AS llm_prompt_version, fingerprint, cached_output AS llm_output "
@@ -868,8 +874,8 @@ def _spend_sql() -> str:
     )
 
 
-def _drift_sql() -> str:
-    """History import (three answer sets) and this import: decisions and mean confidence."""
+def _drift_rows() -> str:
+    """History import (three answer sets) and this import: decision and confidence of each row."""
     hist_parts = []
     for shift, digits, version in ((1, "02468ace", "new"), (2, "02468ace", "new"), (3, "0", "old")):
         dl = ", ".join(f"'{d}'" for d in digits)
@@ -885,7 +891,24 @@ def _drift_sql() -> str:
     )
     hconf = "CASE WHEN hb = 15 THEN NULL ELSE CAST(CAST((hb + 4) / 20.0 AS DECIMAL(3,2)) AS DOUBLE) END"
     return (
-        f"SELECT import_id, decision, count(*) AS n, round(avg(llm_confidence), 4) AS avg_confidence FROM ("
         f"SELECT 'import-0000' AS import_id, {hdec} AS decision, {hconf} AS llm_confidence FROM ({h}) "
-        f"UNION ALL SELECT 'import-0001', decision, llm_confidence FROM fin) GROUP BY import_id, decision"
+        f"UNION ALL SELECT 'import-0001', decision, llm_confidence FROM fin"
+    )
+
+
+def _drift_sql() -> str:
+    return f"SELECT import_id, decision, count(*) AS n, round(avg(llm_confidence), 4) AS avg_confidence FROM ({_drift_rows()}) GROUP BY import_id, decision"
+
+
+def _shift_sql() -> str:
+    """Population stability index of the confidences, twenty bins, from import to import."""
+    counts = f"SELECT import_id, least(CAST(floor(llm_confidence * 20) AS INTEGER), 19) AS bin, count(*) AS n FROM ({_drift_rows()}) WHERE llm_confidence IS NOT NULL GROUP BY 1, 2"
+    grid = f"SELECT i.import_id, g.bin FROM (SELECT DISTINCT import_id FROM ({counts})) i, (SELECT unnest(range(20)) AS bin) g"
+    shares = (
+        "SELECT g.import_id, g.bin, coalesce(c.n, 0) AS n, (coalesce(c.n, 0) + 0.5) / CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY g.import_id) + 10 AS DOUBLE) AS p "
+        f"FROM ({grid}) g LEFT JOIN ({counts}) c ON c.import_id = g.import_id AND c.bin = g.bin"
+    )
+    return (
+        "SELECT import_id, CAST(sum(n) AS BIGINT) AS n, round(sum((p - q) * ln(p / q)), 6) AS psi "
+        f"FROM (SELECT *, lag(p) OVER (PARTITION BY bin ORDER BY import_id) AS q FROM ({shares})) GROUP BY import_id"
     )

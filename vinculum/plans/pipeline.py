@@ -3,7 +3,8 @@
 import -> exact duplicates -> tier 1 -> tier 2 -> propagation -> near-duplicate sweep ->
 report.  The import, tier-1 and tier-2 states are cut into stage tables under the session's
 checkpoint folder; the final rows of the import are written to the store's ``import_id``
-partition (dynamic overwrite, so a re-run replaces only this import).
+partition (dynamic overwrite, so a re-run replaces only this import), its ids and answers
+beside it, and last its commit marker: until then nothing of the import is seen.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class ImportResult:
 
 def default_cache_path(store_path: str) -> str:
     """Folder of the tier-2 cache table that belongs to a store."""
-    return f"{store_path.rstrip('/')}-answers"
+    return ST.answers_path(store_path)
 
 
 def run_import(
@@ -68,10 +69,12 @@ def run_import(
         catalog = match.build_index(catalog, scratch_path(spark, f"index-{uuid.uuid4().hex}"))
     if store_path and cache_path is None:
         cache_path = default_cache_path(store_path)
-    cache = spark.read.parquet(cache_path) if cache_path and path_exists(spark, cache_path) else None
+    if store_path:
+        ST.begin_import(spark, store_path, import_id, cache_path)
+    cache = ST.read_answers(spark, store_path, cache_path) if cache_path else None
     stored = None
     if store_path and path_exists(spark, ST.ids_path(store_path)):
-        stored = ST.stored_among(records, ST.ids_path(store_path), import_id)
+        stored = ST.stored_among(records, ST.ids_path(store_path), import_id, store_path)
     imp = ingest.import_records(records, import_id, run_ts, variant=variant, stored_ids=stored)
     imp.state = ST.stage_table(imp.state, f"{import_id}-imported")
     imp.records = ST.stage_table(imp.records, f"{import_id}-records")
@@ -91,7 +94,9 @@ def run_import(
         ST.write_import(final.drop("position"), store_path)
         ST.write_ids(final, ST.ids_path(store_path))
     if cache_path and resolver is not None:
-        resolve.new_cache_entries(final, cache).write.mode("append").parquet(cache_path)
+        ST.write_answers(resolve.new_cache_entries(final, cache).withColumn("import_id", F.lit(import_id)), cache_path)
+    if store_path:
+        ST.commit_import(spark, store_path, import_id, run_ts)
     return ImportResult(import_id=import_id, imported=imp, final=final)
 
 

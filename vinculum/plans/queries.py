@@ -5,6 +5,7 @@ Column names and sets equal those of the DuckDB oracle in ``vinculum.plans.oracl
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from pyspark.sql import functions as F
 from vinculum.functions.text import normalize, percent, tokens
 from vinculum.operators import audit, dedup, evaluate as E, match, report, resolve
 from vinculum.operators.match import catalog_find
-from vinculum.plans.scenario import HISTORY_IMPORT_ID, IMPORT_ID, scenario
+from vinculum.plans.scenario import HISTORY_CREATED, HISTORY_IMPORT_ID, IMPORT_ID, RUN_TS, scenario
+from vinculum.session import scratch_path
 from vinculum.sources import jsonsrc
 from vinculum.sources import store as ST
 from vinculum.sources import tables as TB
@@ -26,7 +28,9 @@ def _sc(spark: SparkSession, sf: str):
 
 
 def q_catalog_find(spark, sf):
-    return catalog_find(TB.catalog(spark, sf), producer="brand#13", category="Rum")
+    path = scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
+    ST.write_catalog(TB.catalog(spark, sf), path)
+    return catalog_find(ST.read_catalog(spark, path), producer="brand#13", category="Rum")
 
 
 def q_catalog_uniqueness(spark, sf):
@@ -284,6 +288,28 @@ def q_referential_audit(spark, sf):
     return audit.referential_audit(sc.tier2_unchecked, sc.catalog)
 
 
+def q_confidence_shift(spark, sf):
+    return report.confidence_shift(_sc(spark, sf).store)
+
+
+def q_drop_import(spark, sf):
+    """Both imports written as a store, then the history import dropped: what is left of each kind."""
+    sc = _sc(spark, sf)
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    answers, cache = ST.answers_path(path), None
+    for rows, name, ts in ((sc.history, HISTORY_IMPORT_ID, HISTORY_CREATED), (sc.final, IMPORT_ID, RUN_TS)):
+        ST.begin_import(spark, path, name)
+        ST.write_import(rows, path)
+        ST.write_ids(rows, ST.ids_path(path))
+        cache = ST.read_answers(spark, path, answers)
+        ST.write_answers(resolve.new_cache_entries(rows, cache).withColumn("import_id", F.lit(name)), answers)
+        ST.commit_import(spark, path, name, ts)
+    ST.drop_import(spark, path, HISTORY_IMPORT_ID)
+    kinds = {"rows": ST.read_store(spark, path), "ids": spark.read.parquet(ST.ids_path(path)), "answers": ST.read_answers(spark, path, answers)}
+    parts = [df.groupBy("import_id").agg(F.count(F.lit(1)).alias("n")).select(F.lit(kind).alias("kind"), "import_id", "n") for kind, df in kinds.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def q_revert_import(spark, sf):
     st = ST.revert_import(_sc(spark, sf).store, HISTORY_IMPORT_ID)
     return st.groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
@@ -456,8 +482,10 @@ QUERIES: dict[str, Query] = {
     "eval_misses": q_eval_misses,
     "latest_import": q_latest_import,
     "referential_audit": q_referential_audit,
+    "drop_import": q_drop_import,
     "revert_import": q_revert_import,
     "drift_by_import": q_drift_by_import,
+    "confidence_shift": q_confidence_shift,
     "documents_exact_duplicates": q_documents_exact_duplicates,
     "spend_estimate": q_spend_estimate,
     "near_duplicate_summary": q_near_duplicate_summary,

@@ -4,6 +4,10 @@ The store is a parquet dataset partitioned by ``import_id``.  An import's rows a
 with dynamic partition overwrite, so rewriting one import leaves every other import alone;
 reverting an import drops its partition.  Stage tables (lineage cuts) go under the session's
 shared checkpoint folder.
+
+An import is several writes: rows, ids, stored answers.  Its commit marker, a small table
+beside the store, is written last and taken away first, and every reader goes by it, so what a
+crash leaves behind, or a revert has not deleted yet, is never seen.
 """
 
 from __future__ import annotations
@@ -13,8 +17,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vinculum.operators import audit
-from vinculum.session import delete_path, path_exists, scratch_path
+from vinculum.functions.text import producer_key
+from vinculum.operators import audit, resolve
+from vinculum.session import delete_path, make_folder, path_exists, scratch_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -30,6 +35,30 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Order of the stored catalog: a look-up by these columns reads few row groups.
+CATALOG_ORDER = ["producer_key", "category", "size_ml"]
+#: Keys of a catalog batch that are broadcast to be looked up among the stored ones (about 100
+#: bytes each); a larger batch is joined by a shuffle.
+BROADCAST_KEYS = 200_000
+
+
+def write_catalog(catalog: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Products as stored: with their lookup key ``producer_key``, in ranges of CATALOG_ORDER, so
+    that the files' and row groups' least and greatest values tell most of them apart."""
+    keyed = catalog.withColumn("producer_key", producer_key(F.col("producer")))
+    keyed.repartitionByRange(*CATALOG_ORDER).sortWithinPartitions(*CATALOG_ORDER).write.mode(mode).parquet(path)
+
+
+def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def already_stored(stored: DataFrame, batch: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The stored rows whose ``keys`` are among those of a batch of ``n`` rows."""
+    wanted = batch.select(keys).distinct()
+    return stored.select(keys).join(F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted, keys, "left_semi")
+
+
 class CatalogRejected(ValueError):
     """A catalog batch that would break a rule; `violations` counts the broken rules."""
 
@@ -42,23 +71,26 @@ def load_catalog(catalog: DataFrame, path: str, mode: str = "append") -> None:
     """Append products, or reload the catalog with ``mode="overwrite"``.
 
     Domains, the product id and (canonical_name, producer, size_ml) are audited before anything
-    is written, over the batch and, when appending, the products already there; a batch that
-    breaks a rule is rejected whole.  So loading a file twice is an error, not a second copy.
+    is written; a batch that breaks a rule is rejected whole.  So loading a file twice is an
+    error, not a second copy.  The stored products have passed this audit, so only the batch is
+    grouped; when appending, its keys are looked up among the stored ones, which stay where
+    they are.
     """
     spark = catalog.sparkSession
     batch = stage_table(catalog, "catalog-batch")
-    whole = batch
-    if mode == "append" and path_exists(spark, path):
-        whole = spark.read.parquet(path).select(batch.columns).unionByName(batch)
     counts = {
         "rows outside the domains": audit.catalog_domain_violations(batch).count(),
-        "repeated product_id": audit.catalog_key_violations(whole).count(),
-        "repeated (canonical_name, producer, size_ml)": audit.catalog_uniqueness(whole).count(),
+        "repeated product_id": audit.catalog_key_violations(batch).count(),
+        "repeated (canonical_name, producer, size_ml)": audit.catalog_uniqueness(batch).count(),
     }
+    if mode == "append" and path_exists(spark, path):
+        stored, n = read_catalog(spark, path), batch.count()
+        counts["repeated product_id"] += already_stored(stored, batch, ["product_id"], n).count()
+        counts["repeated (canonical_name, producer, size_ml)"] += already_stored(stored, batch, ["canonical_name", "producer", "size_ml"], n).count()
     broken = {k: n for k, n in counts.items() if n}
     if broken:
         raise CatalogRejected(broken)
-    batch.write.mode(mode).parquet(path)
+    write_catalog(batch, path, mode)
 
 
 def write_import(state: DataFrame, path: str) -> None:
@@ -71,8 +103,59 @@ def write_import(state: DataFrame, path: str) -> None:
     )
 
 
+# --- commit markers -----------------------------------------------------------------------
+
+
+def commits_path(store_path: str) -> str:
+    """Folder of the commit markers that belong to a store."""
+    return f"{store_path.rstrip('/')}-commits"
+
+
+def answers_path(store_path: str) -> str:
+    """Folder of the stored model answers (the tier-2 cache) that belong to a store."""
+    return f"{store_path.rstrip('/')}-answers"
+
+
+def _uncommit(spark: SparkSession, path: str, import_id: str) -> None:
+    """Take the marker of an import away: from now on nothing of it is seen."""
+    make_folder(spark, commits_path(path))
+    delete_path(spark, f"{commits_path(path)}/import_id={import_id}")
+
+
+def _delete_parts(spark: SparkSession, path: str, import_id: str, cache_path: str | None) -> None:
+    for folder in (path.rstrip("/"), ids_path(path), cache_path or answers_path(path)):
+        delete_path(spark, f"{folder}/import_id={import_id}")
+
+
+def begin_import(spark: SparkSession, path: str, import_id: str, cache_path: str | None = None) -> None:
+    """Make way for an import: its marker goes, then what an earlier run of it has written (an
+    import that writes no rows would not overwrite them)."""
+    _uncommit(spark, path, import_id)
+    _delete_parts(spark, path, import_id, cache_path)
+
+
+def commit_import(spark: SparkSession, path: str, import_id: str, run_ts) -> None:
+    """Everything of an import is written: readers see it from now on."""
+    row = spark.range(1).select(F.lit(import_id).alias("import_id"), F.lit(run_ts).cast("timestamp").alias("committed_at"))
+    row.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("import_id").parquet(commits_path(path))
+
+
+def committed(rows: DataFrame, store_path: str) -> DataFrame:
+    """The ``rows`` (partitioned by import_id) of committed imports.
+
+    The markers are one row per import; Spark prunes the partitions by them at run time.  A
+    store without markers was written directly (:func:`write_import`) and is read whole.
+    """
+    spark = rows.sparkSession
+    if not path_exists(spark, commits_path(store_path)):
+        return rows
+    markers = spark.read.schema("committed_at timestamp, import_id string").parquet(commits_path(store_path))
+    return rows.join(markers.select("import_id").distinct(), "import_id", "left_semi").select(rows.columns)
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The rows of all committed imports."""
+    return committed(spark.read.parquet(path), path)
 
 
 def read_import(spark: SparkSession, path: str, import_id: str) -> DataFrame:
@@ -80,15 +163,49 @@ def read_import(spark: SparkSession, path: str, import_id: str) -> DataFrame:
     return read_store(spark, path).filter(F.col("import_id") == import_id)
 
 
+#: Known ahead, since a folder whose only import was reverted has no file to infer it from.
+ANSWERS_SCHEMA = "llm_model string, llm_prompt_version string, fingerprint string, llm_output string, updated_at timestamp, import_id string"
+IDS_SCHEMA = "submission_id string, import_id string, id_bucket int"
+
+
+def write_answers(entries: DataFrame, path: str) -> None:
+    """Write the cache entries of one or more imports, replacing only those imports' partitions."""
+    entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("import_id").parquet(path)
+
+
+def read_answers(spark: SparkSession, store_path: str | None, path: str) -> DataFrame | None:
+    """The stored answers of committed imports; None before the first import."""
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.schema(ANSWERS_SCHEMA).parquet(path)
+    return committed(rows, store_path) if store_path else rows
+
+
 def revert_import(store: DataFrame, import_id: str) -> DataFrame:
     """The store without one import (write it back with :func:`write_import` to drop it)."""
     return store.filter(F.col("import_id") != import_id)
 
 
-def drop_import(spark: SparkSession, path: str, import_id: str) -> None:
-    """Delete one import's partition from a store, and its ids from the store's id index."""
-    for folder in (path.rstrip("/"), ids_path(path)):
-        delete_path(spark, f"{folder}/import_id={import_id}")
+def drop_import(spark: SparkSession, path: str, import_id: str, cache_path: str | None = None) -> None:
+    """Revert one import: its rows, its ids and the answers it stored.
+
+    The marker goes first, so readers lose the import at once.  An answer of it that rows of
+    other imports have used is theirs as well: the oldest of these rows takes its place in the
+    cache (what a look-up over all stored rows would find).  Only then are the folders deleted;
+    after a crash the call can be repeated.  Records that other imports skipped because of
+    this one's ids stay skipped; their next delivery is imported.
+    """
+    cache_path = cache_path or answers_path(path)
+    _uncommit(spark, path, import_id)
+    if path_exists(spark, f"{cache_path}/import_id={import_id}"):
+        keys = resolve.CACHE_KEYS
+        stored = spark.read.schema(ANSWERS_SCHEMA).parquet(cache_path)
+        lost = stored.filter(F.col("import_id") == import_id).select(keys)
+        others = read_store(spark, path).filter(F.col("import_id") != import_id).join(lost, keys, "left_semi")
+        heirs = resolve.cache_entries(others, "import_id")
+        here = committed(stored, path).select(keys)
+        stage_table(heirs.join(here, keys, "left_anti"), "heirs").write.mode("append").partitionBy("import_id").parquet(cache_path)
+    _delete_parts(spark, path, import_id, cache_path)
 
 
 # --- index of stored ids ------------------------------------------------------------------
@@ -118,12 +235,14 @@ def write_ids(state: DataFrame, path: str) -> None:
     )
 
 
-def stored_among(records: DataFrame, path: str, exclude_import: str) -> DataFrame:
-    """The ids of ``records`` that other imports have stored.
+def stored_among(records: DataFrame, path: str, exclude_import: str, store_path: str | None = None) -> DataFrame:
+    """The ids of ``records`` that other (with ``store_path``: committed) imports have stored.
 
     A look-up in the narrow id index, not in the store; a delivery whose ids fall into few
     buckets reads only these folders (dynamic partition pruning on ``id_bucket``).
     """
     asked = _bucketed(records.filter(F.col("submission_id").isNotNull()).select("submission_id").distinct())
-    known = records.sparkSession.read.parquet(path).filter(F.col("import_id") != exclude_import)
+    known = records.sparkSession.read.schema(IDS_SCHEMA).parquet(path).filter(F.col("import_id") != exclude_import)
+    if store_path:
+        known = committed(known, store_path)
     return known.join(asked, ["id_bucket", "submission_id"], "left_semi").select("submission_id")
