@@ -247,3 +247,66 @@ def test_deletion_variants_meet_exactly_within_the_distance(spark):
     pairs = v.join(v.withColumnRenamed("w", "x"), "v").select("w", "x", F.levenshtein("w", "x").alias("d")).filter("d <= 2").distinct()
     every = df.crossJoin(df.withColumnRenamed("w", "x")).select("w", "x", F.levenshtein("w", "x").alias("d")).filter("d <= 2")
     assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, every.collect()))
+
+
+def _shuffled_rows(df) -> int:
+    """Rows that the executed plan of a collected DataFrame wrote to its shuffles."""
+    seen, rows, todo = set(), 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if name == "ShuffleExchangeExec" and node.id() not in seen:
+            seen.add(node.id())
+            rows += node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return rows
+
+
+def test_counts_of_dense_tokens_need_no_pairs(spark):
+    """Every product of the block has the same two tokens; the counts come from bitmaps."""
+
+    def products(n):
+        rows = [(f"P{i:06d}", f"Azul Reposado k{i % 7} s{i}", "Casa del Norte", "Tequila", (500, 700, 1000)[i % 3], i % 2 == 0) for i in range(n)]
+        return [*rows, ("Q1", "Azul Reposado k1", "Otra Casa", "Tequila", 700, False)]
+
+    wanted = [("casa del norte", "Tequila", size, norm) for size in (500, 700, 900) for norm in
+              ("azul", "reposado azul", "k3 azul", "k1 k2", "s5 azul", "s1 s2", "azul zz", "")]
+    wanted += [("otra casa", "Tequila", 700, "azul"), ("nobody", "Tequila", 700, "azul")]
+
+    def by_hand(rows):
+        out = {}
+        for sig in wanted:
+            words = set(sig[3].split())
+            hits = [r for r in rows if r[2].lower() == sig[0] and words <= set(r[1].lower().split())]
+            at = sorted((r[0], r[5]) for r in hits if r[4] == sig[2])
+            if hits:
+                out[sig] = (len(at), len(hits), at[0] if at else None)
+        return out
+
+    for n in (1500, 6000):
+        sigs = spark.createDataFrame(wanted, "producer_key string, category string, size_ml int, norm string")
+        rows = products(n)
+        index = match.build_index(catalog(spark, *rows), dense=100)
+        found = match.candidate_counts(sigs, index)
+        got = {tuple(r[:4]): (r.n_at_size or 0, r.n_any, tuple(r.first_at) if r.first_at else None) for r in found.collect() if r.n_any}
+        assert got == by_hand(rows)
+        tokens_only = match.candidate_counts(sigs.filter("norm in ('azul', 'reposado azul', 'k3 azul')"), index)
+        tokens_only.collect()
+        # the token frequencies of the block (one row a product here) and a few bitmaps are moved,
+        # not the six candidates a product
+        assert _shuffled_rows(tokens_only) < n + 200
+
+
+def test_dense_counts_across_buckets(spark):
+    """Ordinals of one block in several bitmaps of 32,768; the first product lies in a later one."""
+    cat = spark.range(80_000).select(
+        F.format_string("P%06d", "id").alias("product_id"), F.lit("Azul").alias("canonical_name"), F.lit("Casa").alias("producer"),
+        F.lit("Tequila").alias("category"), F.when(F.col("id") == 77_777, 700).otherwise(500).cast("int").alias("size_ml"), F.lit(True).alias("vintage_required"))
+    sigs = spark.createDataFrame([("casa", "Tequila", 700, "azul"), ("casa", "Tequila", 500, "azul")], "producer_key string, category string, size_ml int, norm string")
+    got = {r.size_ml: (r.n_at_size, r.n_any, tuple(r.first_at)) for r in match.candidate_counts(sigs, match.build_index(cat)).collect()}
+    assert got == {700: (1, 80_000, ("P077777", True)), 500: (79_999, 80_000, ("P000000", True))}

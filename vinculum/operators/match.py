@@ -12,15 +12,20 @@ Design (set-based, no per-row lookups):
    an equi-join on ``(producer_key, category, token)`` against the exploded catalog, with the
    subset test as a residual predicate.  No signature is paired with a whole block unless its
    rarest token really is in every product of it.
-4. A signature without tokens (a name with no letters or digits) is a subset of every product
+4. Where even the rarest token is *dense* (in more than ``DENSE`` products of its block) no pair
+   is written: products have ordinals in catalog order, every dense token a bitmap of them per
+   32,768 ordinals, and the counts are those of the bits that the bitmaps of all tokens (and of
+   the size) have in common.
+5. A signature without tokens (a name with no letters or digits) is a subset of every product
    of its block; its counts come from per-block aggregates, without pairs.
-5. Per signature: ``n_at_size`` (same size), ``n_any`` and the same-size product (when unique).
+6. Per signature: ``n_at_size`` (same size), ``n_any`` and the same-size product (when unique).
    The decision table is one CASE over these and the row's vintage.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,8 +34,13 @@ from pyspark.sql import functions as F
 from vinculum import schemas as S
 from vinculum.functions.text import alias_key, normalize, producer_key, tokens
 from vinculum.operators.joins import reshuffled
+from vinculum.session import scratch_path
 
 SIG = ["producer_key", "category", "size_ml", "norm"]
+#: Order of the catalog's ordinals: a block, and in it a size, is a range of them.
+ORDER = ["producer_key", "category", "size_ml", "product_id"]
+#: A token in more products of a block than this has bitmaps there (4 KB for 32,768 ordinals).
+DENSE = 256
 
 
 def prepare_aliases(aliases: DataFrame) -> DataFrame:
@@ -67,48 +77,50 @@ def prepare_catalog(catalog: DataFrame) -> DataFrame:
 class CatalogIndex:
     """Catalog-side inputs of the candidate search, built once per catalog version.
 
-    ``cat``: products with ``producer_key`` and ``p_tokens``; ``ctok``: one row per
-    (product, token); ``freq``: products per (producer_key, category, token);
-    ``at_size`` / ``any_size``: block counts for signatures without tokens.
+    ``cat``: products with ``producer_key``, ``p_tokens`` and their ordinal ``ord`` (from 1) in
+    the order of ``ORDER``; ``ctok``: one row per (product, token); ``freq``: products per
+    (producer_key, category, token) and whether that is ``dense``; ``postings``: bitmaps of the
+    ordinals of each dense token, None where no token is dense; ``at_size`` / ``any_size``: block
+    counts for signatures without tokens.
     """
 
     cat: DataFrame
     ctok: DataFrame
     freq: DataFrame
+    postings: DataFrame | None
     at_size: DataFrame
     any_size: DataFrame
 
 
-def build_index(catalog: DataFrame, path: str | None = None) -> CatalogIndex:
-    """The catalog index.  With ``path`` it is written there and read back: build it once per
-    catalog version and hand :func:`read_index` to every import and stream."""
-    cat = prepare_catalog(catalog)
-    if path:
-        cat.write.mode("errorifexists").parquet(f"{path}/cat")
-        cat = catalog.sparkSession.read.parquet(f"{path}/cat")
-        _catalog_tokens(cat).write.mode("errorifexists").parquet(f"{path}/ctok")
-        ctok = catalog.sparkSession.read.parquet(f"{path}/ctok")
-        _frequencies(ctok).write.mode("errorifexists").parquet(f"{path}/freq")
-        return read_index(catalog.sparkSession, path)
-    ctok = _catalog_tokens(cat)
-    return _with_counts(cat, ctok, _frequencies(ctok))
+def build_index(catalog: DataFrame, path: str | None = None, *, dense: int = DENSE) -> CatalogIndex:
+    """The catalog index, written under ``path`` and read back: build it once per catalog version
+    and hand :func:`read_index` to every import and stream.  Without ``path`` it is a stage table
+    of this process.  ``dense`` changes where bitmaps replace pairs, never a result."""
+    spark = catalog.sparkSession
+    path = path or scratch_path(spark, f"index-{uuid.uuid4().hex}")
 
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("errorifexists").parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}")
 
-def read_index(spark: SparkSession, path: str) -> CatalogIndex:
-    """An index that :func:`build_index` wrote."""
-    return _with_counts(*(spark.read.parquet(f"{path}/{name}") for name in ("cat", "ctok", "freq")))
-
-
-def _frequencies(ctok: DataFrame) -> DataFrame:
-    return ctok.groupBy("producer_key", "category", "token").agg(F.count(F.lit(1)).alias("df"))
+    # ordinals are what the written table says; nothing computes them a second time
+    ordered = prepare_catalog(catalog).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    cat = written(ordered.withColumn("ord", F.monotonically_increasing_id() + 1), "cat")
+    ctok = written(_catalog_tokens(cat), "ctok")
+    freq = written(_frequencies(ctok, dense), "freq")
+    written(_bitmaps(ctok.join(freq.filter("dense"), BLOCK_TOKEN, "left_semi"), BLOCK_TOKEN), "postings")
+    return read_index(spark, path)
 
 
-def _with_counts(cat: DataFrame, ctok: DataFrame, freq: DataFrame) -> CatalogIndex:
+def read_index(spark: SparkSession, path: str) -> CatalogIndex:
+    """An index that :func:`build_index` wrote."""
+    cat, ctok, freq, postings = (spark.read.parquet(f"{path}/{name}") for name in ("cat", "ctok", "freq", "postings"))
     # the two per-block counts are small aggregates of the catalog and stay lazy
     return CatalogIndex(
         cat=cat,
         ctok=ctok,
         freq=freq,
+        postings=None if postings.isEmpty() else postings,  # spares small catalogs the branch
         at_size=cat.groupBy("producer_key", "category", "size_ml").agg(
             F.count(F.lit(1)).alias("n_at_size"),
             F.min(F.struct("product_id", "vintage_required")).alias("first_at"),
@@ -117,6 +129,29 @@ def _with_counts(cat: DataFrame, ctok: DataFrame, freq: DataFrame) -> CatalogInd
     )
 
 
+BLOCK_TOKEN = ["producer_key", "category", "token"]
+
+
+def _frequencies(ctok: DataFrame, dense: int) -> DataFrame:
+    return ctok.groupBy(*BLOCK_TOKEN).agg(F.count(F.lit(1)).alias("df")).withColumn("dense", F.col("df") > dense)
+
+
+def _bitmaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys..., bucket, bits): the ordinals of ``rows`` as bitmaps, built map-side first."""
+    return rows.groupBy(*keys, F.bitmap_bucket_number("ord").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("ord")).alias("bits")
+    )
+
+
+def _first_ordinal(bucket: Column, bits: Column) -> Column:
+    """The least ordinal of a bitmap that has one."""
+    digits = F.hex(bits)
+    byte = F.floor((F.length(digits) - F.length(F.ltrim(digits, F.lit("0")))) / 2)
+    value = F.conv(F.substring(digits, (2 * byte + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+    bit = F.log2(value.bitwiseAND(-value)).cast("int")
+    return (bucket - 1) * 32768 + 8 * byte + bit + 1
+
+
 def _index(catalog: DataFrame | CatalogIndex) -> CatalogIndex:
     return catalog if isinstance(catalog, CatalogIndex) else build_index(catalog)
 
@@ -126,6 +161,7 @@ def _catalog_tokens(cat: DataFrame) -> DataFrame:
         "producer_key",
         "category",
         "product_id",
+        "ord",
         F.col("size_ml").alias("p_size"),
         "vintage_required",
         "p_tokens",
@@ -137,26 +173,65 @@ def _sig_tokens(sigs: DataFrame) -> Column:
     return tokens(F.col("norm"))
 
 
-def candidate_pairs(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
-    """J1+J2 for signatures with tokens: (SIG..., product_id, p_size, vintage_required)."""
-    ctok, freq = idx.ctok, idx.freq
+def _chosen(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
+    """(SIG..., token, dense, s_tokens): the rarest token of the signatures whose tokens are all
+    known in their block, and whether it is dense."""
     withtok = sigs.filter(F.col("norm") != "")
     stok = withtok.select(*SIG, F.explode(_sig_tokens(withtok)).alias("token"))
-    found = stok.join(reshuffled(freq, "token"), ["producer_key", "category", "token"], "inner")
+    found = stok.join(reshuffled(idx.freq, "token"), BLOCK_TOKEN, "inner")
     # one aggregate gives the rarest token and whether the block knows all of them
-    chosen = (
+    return (
         found.groupBy(*SIG)
-        .agg(F.count(F.lit(1)).alias("n_found"), F.min_by("token", F.struct("df", "token")).alias("token"))
+        .agg(F.count(F.lit(1)).alias("n_found"), F.min_by(F.struct("token", "dense"), F.struct("df", "token")).alias("rarest"))
         .withColumn("s_tokens", tokens(F.col("norm")))
         .filter(F.col("n_found") == F.size("s_tokens"))
-        .select(*SIG, "token", "s_tokens")
-    )
-    pairs = chosen.join(ctok, ["producer_key", "category", "token"], "inner").filter(
-        F.size(F.array_except("s_tokens", "p_tokens")) == 0
+        .select(*SIG, "rarest.token", "rarest.dense", "s_tokens")
     )
+
+
+def _pairs(chosen: DataFrame, idx: CatalogIndex) -> DataFrame:
+    pairs = chosen.join(idx.ctok, BLOCK_TOKEN, "inner").filter(F.size(F.array_except("s_tokens", "p_tokens")) == 0)
     return pairs.select(*SIG, "product_id", "p_size", "vintage_required")
 
 
+def candidate_pairs(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
+    """J1+J2 for signatures with tokens: (SIG..., product_id, p_size, vintage_required)."""
+    return _pairs(_chosen(sigs, idx), idx)
+
+
+def _dense_counts(chosen: DataFrame, idx: CatalogIndex) -> DataFrame:
+    """Counts by bitmaps, for signatures whose tokens are all dense.
+
+    A signature brings one row per token and bucket of its block, however many products hold the
+    token.  Ordinals ascend by product id within a size, so the first bit is the first product.
+    """
+    stok = chosen.select(*SIG, F.explode("s_tokens").alias("token"))
+    of_tokens = stok.join(idx.postings, BLOCK_TOKEN).select(*SIG, "bucket", F.lit(False).alias("of_size"), "bits")
+    size = ["producer_key", "category", "size_ml"]
+    asked = reshuffled(chosen.select(*size).distinct(), "producer_key")
+    of_size = chosen.select(*SIG).join(reshuffled(_bitmaps(idx.cat.join(asked, size, "left_semi"), size), "producer_key"), size)
+    both = of_tokens.unionByName(of_size.select(*SIG, "bucket", F.lit(True).alias("of_size"), "bits"))
+    n_tokens = F.size(tokens(F.col("norm")))
+    met = (
+        both.groupBy(*SIG, "bucket")
+        .agg(
+            F.count_if(~F.col("of_size")).alias("n_met"),
+            F.count_if(F.col("of_size")).alias("n_sized"),
+            F.expr("bitmap_and_agg(bits) FILTER (WHERE NOT of_size)").alias("any_bits"),
+            F.bitmap_and_agg("bits").alias("at_bits"),
+        )
+        .filter(F.col("n_met") == n_tokens)
+        .withColumn("n_at", F.when(F.col("n_sized") > 0, F.bitmap_count("at_bits")).otherwise(0))
+    )
+    counts = met.groupBy(*SIG).agg(
+        F.sum("n_at").alias("n_at_size"),
+        F.sum(F.bitmap_count("any_bits")).alias("n_any"),
+        F.min(F.when(F.col("n_at") > 0, _first_ordinal(F.col("bucket"), F.col("at_bits")))).alias("ord"),
+    )
+    products = idx.cat.select("ord", F.struct("product_id", "vintage_required").alias("first_at"))
+    return counts.filter("n_any > 0").join(products, "ord", "left").select(*SIG, "n_at_size", "n_any", "first_at")
+
+
 def _block_counts(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     """Counts for signatures without tokens: every product of the block is a candidate."""
     empty = sigs.filter(F.col("norm") == "")
@@ -169,13 +244,16 @@ def _block_counts(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
 
 def candidate_counts(sigs: DataFrame, idx: CatalogIndex) -> DataFrame:
     """Per signature, candidates at the same size, at any size, and the first same-size one."""
-    pairs = candidate_pairs(sigs, idx)
+    chosen = _chosen(sigs, idx)
+    rare = chosen if idx.postings is None else chosen.filter(~F.col("dense"))
     at = F.col("p_size") == F.col("size_ml")
-    tok = pairs.groupBy(*SIG).agg(
+    tok = _pairs(rare, idx).groupBy(*SIG).agg(
         F.count_if(at).alias("n_at_size"),
         F.count(F.lit(1)).alias("n_any"),
         F.min(F.when(at, F.struct("product_id", "vintage_required"))).alias("first_at"),
     )
+    if idx.postings is not None:
+        tok = tok.unionByName(_dense_counts(chosen.filter("dense"), idx))
     return tok.unionByName(_block_counts(sigs, idx))
 
 
