@@ -76,7 +76,7 @@ def main() -> None:
         timed("tier2_inputs", lambda: (sc.decisions, sc.history))
         timed("tier2_resolve", lambda: sc.tier2)  # written once, so part of the total
         timed("near_duplicates", lambda: sc.final)
-        rep = timed("pipeline_report", lambda: report.pipeline_report(sc.imported.records, sc.final).collect())
+        rep = timed("pipeline_report", lambda: report.pipeline_report(sc.imported, sc.final).collect())
         timed("status_counts", lambda: report.status_counts(sc.final).collect())
         timed("eval_report", lambda: E.overall(E.scored(sc.labels, E.outcomes_of_latest(sc.store))).collect())
         total = sum(v for k, v in times.items() if k != "exact_duplicates")

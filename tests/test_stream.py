@@ -5,8 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from vinculum.operators import resolve
+from vinculum.operators import report, resolve
+from vinculum.plans.pipeline import run_import
+from vinculum.sources import jsonsrc
 from vinculum.sources import store as ST
+from vinculum.streaming.status import start_status_counts
 from vinculum.streaming.stream_import import start_stream_import
 
 
@@ -52,6 +55,35 @@ def test_deliveries_run_every_stage(spark, tmp_path):
         ("stream-000001", "H"): ("near_duplicate", "G", "cache", t2),  # answered by the first delivery
     }
     assert asked.value == 1
+
+    def kept_counts():
+        start_status_counts(spark, store, str(tmp_path / "status")).awaitTermination()
+        return sorted(map(tuple, ST.read_status_counts(spark, store).collect()))
+
+    def a1():
+        return sorted((i, r.status, r.n) for i in ("stream-000000", "stream-000001")
+                      for r in report.status_counts(ST.read_store(spark, store), i).collect())
+
+    assert kept_counts() == a1() == [
+        ("stream-000000", "exact_duplicate", 1), ("stream-000000", "invalid", 1), ("stream-000000", "matched", 1),
+        ("stream-000000", "near_duplicate", 2), ("stream-000001", "matched", 1), ("stream-000001", "near_duplicate", 1)]
+    # the second import replayed, now with one record of another status: its counts replace the old
+    # ones in the state that the restarted query finds in its checkpoint
+    (tmp_path / "again").mkdir()
+    _deliver(tmp_path / "again", "d2.json", [dict(rec, submission_id="G", size_ml=800)])
+    again = run_import(spark, jsonsrc.read_submissions(spark, str(tmp_path / "again")), cat, al, import_id="stream-000001",
+                       run_ts=dt.datetime(2026, 3, 2), store_path=store, variant=True)
+    assert {r.metric: r.value for r in again.report().filter("section = 'input'").collect()} == {
+        "records read": 1, "without a usable id": 0, "repeated ids": 0, "kept": 1}
+    assert again.imported.counters == {"total": 1, "skipped_invalid_record": 0, "skipped_missing_id": 0, "skipped_invalid_id": 0, "with_id": 1, "inserted": 1}
+    assert kept_counts() == a1() == [
+        ("stream-000000", "exact_duplicate", 1), ("stream-000000", "invalid", 1), ("stream-000000", "matched", 1),
+        ("stream-000000", "near_duplicate", 2), ("stream-000001", "invalid", 1)]
+    assert kept_counts() == a1()  # nothing new
+    ST.drop_import(spark, store, "stream-000001")
+    assert {r.import_id for r in ST.read_status_counts(spark, store).collect()} == {"stream-000000"}
+    run_import(spark, jsonsrc.read_submissions(spark, str(tmp_path / "again")), cat, al, import_id="stream-000001",
+               run_ts=dt.datetime(2026, 3, 2), store_path=store, variant=True)
     # a run with no new files adds no import
     run()
     assert ST.read_store(spark, store).select("import_id").distinct().count() == 2

@@ -9,9 +9,10 @@ a ``left_anti`` join.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
@@ -30,6 +31,35 @@ class Imported:
     state: DataFrame  # inserted rows, STATE_COLUMNS
     records: DataFrame  # every input record: submission_id, skip (null when it has a usable id), raw_json where skip is set
     stored_ids: DataFrame | None  # ids already stored before this import
+    counters: dict[str, int] | None = None  # input counts, known once both tables are written
+
+    def written(self, write: Callable[[DataFrame, str], DataFrame], name: str = "import") -> Imported:
+        """Both tables written by ``write(table, name)`` and read back, their counts observed in
+        the writing pass, so that the summary and the report read neither again.
+
+        The observation stands on top of the plan, in the stage that writes: Spark takes the
+        counts of one successful attempt of each task there.
+        """
+        rows, kept = Observation(), Observation()
+        state = write(self.state.observe(kept, F.count(F.lit(1)).alias("inserted")), f"{name}-imported")
+        records = write(self.records.observe(rows, *self._counted()), f"{name}-records")
+        return Imported(state, records, self.stored_ids, {**rows.get, **kept.get})
+
+    @staticmethod
+    def _counted() -> list[Column]:
+        return [
+            F.count(F.lit(1)).alias("total"),
+            *[F.count_if(F.col("skip") == r).alias(f"skipped_{r}") for r in S.SKIP_REASONS[:-1]],
+            F.count_if(F.col("skip").isNull()).alias("with_id"),
+        ]
+
+    def counts(self) -> DataFrame:
+        """One row: total, skipped_* per reason, with_id and inserted."""
+        spark = self.state.sparkSession
+        if self.counters is not None:
+            return spark.range(1).select(*[F.lit(n).cast("long").alias(k) for k, n in self.counters.items()])
+        both = self.records.agg(*self._counted()).unionByName(self.state.agg(F.count(F.lit(1)).alias("inserted")), allowMissingColumns=True)
+        return both.agg(*[F.sum(c).alias(c) for c in both.columns])
 
     def skipped(self) -> DataFrame:
         """Records that were not inserted: (submission_id, reason, n), n records each.
@@ -51,21 +81,9 @@ class Imported:
 
     def summary(self) -> DataFrame:
         """A6 in long form: metric, value."""
-        rec = self.records.agg(
-            F.count(F.lit(1)).alias("total"),
-            *[F.count_if(F.col("skip") == r).alias(f"skipped_{r}") for r in S.SKIP_REASONS[:-1]],
-            F.count_if(F.col("skip").isNull()).alias("with_id"),
-        )
-        ins = self.state.agg(F.count(F.lit(1)).alias("inserted"))
-
-        def long(df: DataFrame, items: list[tuple[str, Column]]) -> DataFrame:
-            args = [x for name, value in items for x in (F.lit(name), value)]
-            return df.select(F.stack(F.lit(len(items)), *args).alias("metric", "value"))
-
-        # what has an id but was not inserted is a repeated id: one sum over both counts
-        rows = long(rec, [*[(c, F.col(c)) for c in rec.columns], ("skipped_duplicate_id", F.col("with_id"))])
-        rows = rows.unionByName(long(ins, [("inserted", F.col("inserted")), ("skipped_duplicate_id", -F.col("inserted"))]))
-        return rows.groupBy("metric").agg(F.sum("value").alias("value"))
+        counts = self.counts().withColumn("skipped_duplicate_id", F.col("with_id") - F.col("inserted"))
+        args = [x for c in counts.columns for x in (F.lit(c), F.col(c))]
+        return counts.select(F.stack(F.lit(len(counts.columns)), *args).alias("metric", "value"))
 
 
 #: Columns of a raw record that are not part of the record itself.

@@ -7,10 +7,13 @@ the final, small result the caller asks for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vinculum import schemas as S
+from vinculum.operators.ingest import Imported
 
 
 def status_rank(c: Column) -> Column:
@@ -94,28 +97,17 @@ def inspect_submissions(state: DataFrame, import_id: str | None = None) -> DataF
     ).orderBy("status_order", "id")
 
 
-def pipeline_report(records: DataFrame, state: DataFrame) -> DataFrame:
+def pipeline_report(imported: Imported, state: DataFrame) -> DataFrame:
     """R1 in long form ``(section, metric, value)``.
 
-    ``records`` is :attr:`Imported.records` (every input record with its skip reason) and
-    ``state`` the final rows of the import.  Both are unioned and reduced in one aggregation
-    pass (no join between the two).
+    The counts of the input are those of ``imported`` (observed where it was written), one row;
+    ``state``, the final rows of the import, is reduced in one pass.
     """
-    cols = ["skip", "status", "tier1_status", "llm_source", "explanation", "duplicate_of"]
-    null = F.lit(None).cast("string")
-    u = records.select(F.lit("record").alias("kind"), "skip", *[null.alias(c) for c in cols[1:]]).unionByName(
-        state.select(F.lit("state").alias("kind"), null.alias("skip"), *cols[1:])
-    )
-    rec = F.col("kind") == "record"
     t1 = F.col("tier1_status")
     src = F.col("llm_source")
     e = F.col("explanation")
     st = F.col("status")
-    both = u.agg(
-        F.count_if(rec).alias("total"),
-        F.count_if(rec & F.col("skip").isNotNull()).alias("skipped_no_id"),
-        F.count_if(rec & F.col("skip").isNull()).alias("with_id"),
-        F.count_if(~rec).alias("inserted"),
+    both = state.agg(
         F.count_if(st == "invalid").alias("invalid"),
         F.count_if(st == "exact_duplicate").alias("exact_demoted"),
         F.count_distinct(F.when(st == "exact_duplicate", F.col("duplicate_of"))).alias("exact_clusters"),
@@ -133,6 +125,10 @@ def pipeline_report(records: DataFrame, state: DataFrame) -> DataFrame:
         F.count_distinct(F.when(st == "near_duplicate", F.col("duplicate_of"))).alias("near_clusters"),
         *[F.count_if(st == s).alias(f"final_{s}") for s in S.STATUSES],
     )
+    missing = reduce(lambda a, b: a + b, [F.col(f"skipped_{r}") for r in S.SKIP_REASONS[:-1]])
+    of_input = imported.counts().select("total", missing.alias("skipped_no_id"), "with_id", "inserted")
+    rows = both.unionByName(of_input, allowMissingColumns=True)  # two rows, each with its own counts
+    both = rows.agg(*[F.sum(c).alias(c) for c in rows.columns])
     c = F.col
     valid = c("inserted") - c("invalid")
     into = valid - c("exact_demoted")

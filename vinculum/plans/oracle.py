@@ -582,6 +582,7 @@ def queries() -> dict[str, str]:
             "SELECT 'with_id', count(*) FROM raw WHERE submission_id <> '' UNION ALL SELECT 'inserted', count(*) FROM kept"
         ),
         "stream_import": "WITH " + CHAIN.strip() + ",\n" + _stream_ctes() + _STREAM_SELECT,
+        "stream_status_counts": "WITH " + CHAIN.strip() + ",\n" + _stream_ctes() + _STREAM_SELECT,
         "resolver_hook": q(
             "SELECT submission_id, "
             "CASE WHEN vintage IS NOT NULL AND size_ml >= 1000 THEN 'no_match' ELSE 'review' END AS status, "

@@ -10,7 +10,6 @@ beside it, and last its commit marker: until then nothing of the import is seen.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +19,7 @@ from vinculum import schemas as S
 from vinculum.functions.text import percent
 from vinculum.operators import dedup, ingest, match, report, resolve
 from vinculum.operators import evaluate as E
-from vinculum.session import path_exists, scratch_path
+from vinculum.session import path_exists
 from vinculum.sources import store as ST
 
 
@@ -31,7 +30,7 @@ class ImportResult:
     final: DataFrame  # working state of the import after every stage
 
     def report(self) -> DataFrame:
-        return report.pipeline_report(self.imported.records, self.final)
+        return report.pipeline_report(self.imported, self.final)
 
     def outputs(self) -> dict[str, DataFrame]:
         return outputs(self.final, self.imported)
@@ -66,7 +65,7 @@ def run_import(
     store.  Without ``resolver`` the unmatched rows stay ``unmatched`` (tier 1 only).
     """
     if not isinstance(catalog, match.CatalogIndex):
-        catalog = match.build_index(catalog, scratch_path(spark, f"index-{uuid.uuid4().hex}"))
+        catalog = match.build_index(catalog)
     if store_path and cache_path is None:
         cache_path = default_cache_path(store_path)
     if store_path:
@@ -76,8 +75,7 @@ def run_import(
     if store_path and path_exists(spark, ST.ids_path(store_path)):
         stored = ST.stored_among(records, ST.ids_path(store_path), import_id, store_path)
     imp = ingest.import_records(records, import_id, run_ts, variant=variant, stored_ids=stored)
-    imp.state = ST.stage_table(imp.state, f"{import_id}-imported")
-    imp.records = ST.stage_table(imp.records, f"{import_id}-records")
+    imp = imp.written(ST.stage_table, import_id)
     work = dedup.mark_exact_duplicates(imp.state)
     pending = ST.stage_table(match.pending_signatures(work, aliases), f"{import_id}-pending")
     work = ST.stage_table(match.match_tier1(work, catalog, aliases, run_ts, pending=pending), f"{import_id}-tier1")
@@ -93,6 +91,7 @@ def run_import(
     if store_path:
         ST.write_import(final.drop("position"), store_path)
         ST.write_ids(final, ST.ids_path(store_path))
+        ST.write_status_counts(final, store_path, import_id)
     if cache_path and resolver is not None:
         ST.write_answers(resolve.new_cache_entries(final, cache).withColumn("import_id", F.lit(import_id)), cache_path)
     if store_path:
@@ -116,7 +115,7 @@ def outputs(state: DataFrame, imported: ingest.Imported | None = None) -> dict[s
         "unmatched_records": state.filter(st.isin("unmatched", "no_match", "review")),
     }
     if imported is not None:
-        out["summary_report"] = report.pipeline_report(imported.records, state)
+        out["summary_report"] = report.pipeline_report(imported, state)
         out["skipped_records"] = imported.skipped()
         out["rejected_records"] = imported.rejected()
     return out

@@ -246,7 +246,7 @@ def q_final_state(spark, sf):
 
 def q_pipeline_report(spark, sf):
     sc = _sc(spark, sf)
-    return report.pipeline_report(sc.imported.records, sc.final)
+    return report.pipeline_report(sc.imported, sc.final)
 
 
 def _scored(spark, sf):
@@ -428,9 +428,12 @@ def q_json_import_summary(spark, sf):
 
 
 def q_stream_import(spark, sf):
-    from vinculum.streaming import stream_import
+    return ST.read_store(spark, _sc(spark, sf).streamed).groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
 
-    return stream_import.stream_import_from_tables(spark, sf)
+
+def q_stream_status_counts(spark, sf):
+    """A1 per streamed import as the status stream keeps it; no record is read."""
+    return ST.read_status_counts(spark, _sc(spark, sf).streamed)
 
 
 QUERIES: dict[str, Query] = {
@@ -502,4 +505,5 @@ QUERIES: dict[str, Query] = {
     "json_rejected_records": q_json_rejected_records,
     "json_import_summary": q_json_import_summary,
     "stream_import": q_stream_import,
+    "stream_status_counts": q_stream_status_counts,
 }

@@ -9,7 +9,6 @@ one process share its stage tables, and no other process reads them.
 from __future__ import annotations
 
 import datetime as _dt
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 
 from vinculum import schemas as S
 from vinculum.operators import dedup, ingest, match, resolve
-from vinculum.session import scratch_path
 from vinculum.sources import tables as TB
 from vinculum.sources.store import stage_table
 
@@ -59,8 +57,7 @@ class Scenario:
     @cached_property
     def index(self) -> match.CatalogIndex:
         """Tokens, exploded tokens, token frequencies and block counts of the catalog."""
-        path = scratch_path(self.spark, f"index-{uuid.uuid4().hex}") if self.materialize else None
-        return match.build_index(self.catalog, path)
+        return match.build_index(self.catalog)
 
     @cached_property
     def aliases(self) -> DataFrame:
@@ -78,9 +75,7 @@ class Scenario:
     @cached_property
     def imported(self) -> ingest.Imported:
         imp = ingest.import_records(self.raw, IMPORT_ID, RUN_TS)
-        imp.state = self._mat(imp.state, "imported")
-        imp.records = self._mat(imp.records, "records")  # every count of the input reads this
-        return imp
+        return imp.written(stage_table) if self.materialize else imp
 
     @cached_property
     def json_imported(self) -> ingest.Imported:
@@ -88,9 +83,7 @@ class Scenario:
         from vinculum.sources import jsonsrc
 
         imp = jsonsrc.json_import_from_tables(self.spark, self.sf_dir)
-        imp.state = self._mat(imp.state, "json-imported")
-        imp.records = self._mat(imp.records, "json-records")
-        return imp
+        return imp.written(stage_table, "json") if self.materialize else imp
 
     @cached_property
     def work(self) -> DataFrame:
@@ -164,6 +157,13 @@ class Scenario:
     def final(self) -> DataFrame:
         return self._mat(dedup.mark_near_duplicates(self.tier2), "final")
 
+    @cached_property
+    def streamed(self) -> str:
+        """Path of the store that two deliveries of the records were streamed into."""
+        from vinculum.streaming.stream_import import deliver_tables
+
+        return deliver_tables(self)
+
     @cached_property
     def store(self) -> DataFrame:
         """Every stored import: the history import and this one."""

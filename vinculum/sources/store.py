@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vinculum import schemas as S
 from vinculum.functions.text import producer_key
 from vinculum.operators import audit, resolve
 from vinculum.session import delete_path, make_folder, path_exists, scratch_path
@@ -123,7 +124,7 @@ def _uncommit(spark: SparkSession, path: str, import_id: str) -> None:
 
 
 def _delete_parts(spark: SparkSession, path: str, import_id: str, cache_path: str | None) -> None:
-    for folder in (path.rstrip("/"), ids_path(path), cache_path or answers_path(path)):
+    for folder in (path.rstrip("/"), ids_path(path), counts_path(path), cache_path or answers_path(path)):
         delete_path(spark, f"{folder}/import_id={import_id}")
 
 
@@ -208,6 +209,36 @@ def drop_import(spark: SparkSession, path: str, import_id: str, cache_path: str
     _delete_parts(spark, path, import_id, cache_path)
 
 
+# --- status counts ------------------------------------------------------------------------
+
+COUNTS_SCHEMA = "status string, n long, written_at timestamp, import_id string"
+
+
+def counts_path(store_path: str) -> str:
+    """Folder of the status counts that each import of a store writes with its rows."""
+    return f"{store_path.rstrip('/')}-counts"
+
+
+def status_path(store_path: str) -> str:
+    """Folder of the status counts that :mod:`vinculum.streaming.status` keeps."""
+    return f"{store_path.rstrip('/')}-status"
+
+
+def write_status_counts(state: DataFrame, store_path: str, import_id: str) -> None:
+    """One row per status of the domain, zeros too: a rerun of an import replaces every count."""
+    args = [x for s in S.STATUSES for x in (F.lit(s), F.count_if(F.col("status") == s))]
+    rows = state.agg(F.stack(F.lit(len(S.STATUSES)), *args).alias("status", "n")).select(
+        "status", "n", F.current_timestamp().alias("written_at"), F.lit(import_id).alias("import_id")
+    )
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("import_id").parquet(counts_path(store_path))
+
+
+def read_status_counts(spark: SparkSession, store_path: str) -> DataFrame:
+    """A1 per committed import as the status stream's last run left it: (import_id, status, n)."""
+    rows = spark.read.schema("status string, n long, import_id string").parquet(status_path(store_path))
+    return committed(rows, store_path).filter("n > 0").select("import_id", "status", "n")
+
+
 # --- index of stored ids ------------------------------------------------------------------
 
 #: Folders of the id index; an id lies in one by its hash.

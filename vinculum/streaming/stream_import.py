@@ -44,7 +44,7 @@ def start_stream_import(
     indexed once, before the stream starts.
     """
     if not isinstance(catalog, match.CatalogIndex):
-        catalog = match.build_index(catalog, scratch_path(spark, f"index-{uuid.uuid4().hex}"))
+        catalog = match.build_index(catalog)
     reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -72,23 +72,24 @@ def delivery_of(vintage):
     return F.when(F.coalesce(vintage, F.lit(0)) % 2 == 0, F.lit(1)).otherwise(F.lit(2))
 
 
-def stream_import_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Driver records delivered as two NDJSON drops into one folder, each imported by its own
-    ``availableNow`` run of the same streaming query (same checkpoint): delivery = micro-batch =
-    import.  Ids of the second delivery already stored by the first are skipped (J8); answers of
-    the first serve the second from the cache."""
-    from vinculum.plans.scenario import scenario
+def deliver_tables(sc) -> str:
+    """The driver records of a scenario delivered as two NDJSON drops into one folder, each
+    imported by its own ``availableNow`` run of the same streaming query (same checkpoint):
+    delivery = micro-batch = import.  Ids of the second delivery already stored by the first are
+    skipped (J8); answers of the first serve the second from the cache.  The status stream runs
+    after each.  Returns the store's path."""
     from vinculum.sources import tables as TB
+    from vinculum.streaming.status import start_status_counts
 
-    sc = scenario(spark, sf_dir)
-    raw = TB.raw_submissions(spark, sf_dir)
+    spark = sc.spark
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
-    source, store, ckpt = f"{base}/source", f"{base}/store", f"{base}/checkpoint"
+    source, store = f"{base}/source", f"{base}/store"
 
     def answer(rows: DataFrame) -> DataFrame:
         return resolve.table_resolver(TB.decisions_for(rows, sc.catalog))(rows)
 
     for d in (1, 2):
-        jsonsrc.append_json_lines(raw.filter(delivery_of(F.col("vintage")) == d), source)
-        start_stream_import(spark, source, store, ckpt, sc.index, sc.aliases, resolver=answer).awaitTermination()
-    return ST.read_store(spark, store).groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
+        jsonsrc.append_json_lines(TB.raw_submissions(spark, sc.sf_dir).filter(delivery_of(F.col("vintage")) == d), source)
+        start_stream_import(spark, source, store, f"{base}/checkpoint", sc.index, sc.aliases, resolver=answer).awaitTermination()
+        start_status_counts(spark, store, f"{base}/status-checkpoint").awaitTermination()
+    return store
