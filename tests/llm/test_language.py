@@ -153,3 +153,15 @@ def test_keep_identified(spark):
     assert 501 in {i for i, _ in kept}
     assert [t for i, t in kept if i == 500] == [r["text"] for r in odd.filter("doc_id = 500 and lang = 'de'").collect()]
     assert language.keep_identified(docs.limit(0)).count() == 0
+
+
+def test_suffix_of_a_learned_language(spark):
+    pages = spark.createDataFrame([(1, "http://a.it/", "<p>x"), (2, "http://a.ch/de/x", "<p>x"), (3, "http://a.com/", "<p>x")], "page_id long, url string, html string")
+    assert {r["page_id"]: r["address"] or None for r in language.page_rows(pages).collect()} == {1: "it", 2: "de", 3: None}
+    texts = [f"{'il gatto nero dorme' if i % 2 else 'the black cat sleeps'} {i}" for i in range(120)]
+    labelled = spark.createDataFrame([("it" if i % 2 else "en", t) for i, t in enumerate(texts)], "lang string, text string")
+    p = language.with_labelled(labelled)
+    rows = spark.createDataFrame([(i, f"h{i}.x", None, "it" if i % 2 else "en", t) for i, t in enumerate(texts)] + [(1000, "none.it", None, "it", None), (1001, "none.uk", None, "en", None)],
+                                 "id long, host string, declared string, address string, text string")
+    got = {r["id"]: r["lang"] for r in language.identify(rows, language.learn(labelled, p), p).collect()}
+    assert (got[1000], got[1001]) == ("it", "en")  # told by the suffix alone

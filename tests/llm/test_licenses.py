@@ -67,3 +67,24 @@ def test_main_path_is_native(spark, capsys):
     licenses.scan(documents(spark, [(1, "a")]), licenses.registry(spark)).explain()
     plan = capsys.readouterr().out
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_sql_finds_whole_licences_too(spark):
+    """The DuckDB SQL of the query on documents that are, hold and resemble licence texts."""
+    import duckdb
+    import pandas as pd
+
+    from vinculum.llm.queries import ORACLES
+
+    rows = [(i, text) for i, (_, text) in enumerate(licenses.license_texts())]
+    rows += [(1000, MIT), (1001, MIT + "\nAnd more."), (1002, "Intro.\nReleased under the MIT licence\n"), (1003, ""), (1004, None), (1005, MIT.upper().replace(" LICENSE", " LICENCE"))]
+    found = licenses.scan(documents(spark, rows), licenses.registry(spark))
+    names = sorted(found.columns)
+    got = sorted(tuple(r[n] for n in names) for r in found.collect())
+    with duckdb.connect() as con:
+        con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+        cursor = con.execute(ORACLES["op2_license_scan"])
+        columns = [c[0] for c in cursor.description]
+        want = sorted(tuple(r[columns.index(n)] for n in names) for r in cursor.fetchall())
+    assert str(got) == str(want)
+    assert sum(r["license_id"] is not None for r in found.collect()) == len(rows) - 4

@@ -183,3 +183,18 @@ def test_pack_holds_every_token_once(spark):
     tokens_in_all = sum(r["length"] for r in got)
     assert len(by) <= 1.05 * -(-tokens_in_all // p.length) + 2
     assert packing.pack(documents(spark, []).limit(0), WORDS).count() == 0
+
+
+def test_long_words_cost_a_step_a_byte():
+    import time
+
+    rng = random.Random(5)
+    vocabulary = [b" a", b"a", b"ab", b"abab", b"b", b" ba", b"baab", b"abba"]
+    automaton = wordpiece.Automaton(vocabulary)
+    words = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (47, 48, 49, 300, 2000)]
+    words += [words[-1] + b"c", b"c" + words[-1], b"ab" * 400]
+    assert automaton.counts(words).tolist() == [greedy(w, vocabulary) for w in words]
+    whole = wordpiece.Automaton(wordpiece.vocabulary(tokenizer_file("byte_bpe_50k.json")))
+    start = time.monotonic()
+    counts = whole.counts([b"x" * 1_000_000, bytes(rng.choice(b"abcdefgh") for _ in range(1_000_000))])
+    assert counts.min() > 1 and time.monotonic() - start < 4

@@ -21,7 +21,9 @@ language code, are told in a warning with their rows.
 Sizes: the trigram model and the reliability tables have a fixed number of cells and are
 collected; host counts grow with the corpus and stay tables, joined on the host.
 
-Defined results: a null or letterless text gives no text evidence; null declarations,
+Defined results: a null or letterless text gives no text evidence; a very long text counts whole,
+in numpy passes over slices of texts; rows that repeat an id, or are equal, are judged each for
+itself and count each in their host's prior; extra columns are not read; null declarations,
 addresses and hosts count as one value `none`; ties go to the earlier language of the list;
 an empty table gives an empty result.
 """
@@ -48,8 +50,17 @@ BUCKETS = 1 << 13
 LABEL = r"^[a-z]{2,3}([-_][a-z0-9]+)*$"
 NO_LANGUAGE = ("und", "mul", "mis", "zxx")
 
-#: Country suffixes whose main language is one of the four.
-SUFFIXES = {"uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en", "fr": "fr", "de": "de", "at": "de", "es": "es", "mx": "es", "ar": "es", "co": "es", "cl": "es"}
+#: The main language of country suffixes that have one.  A language without a
+#: model counts as "other" evidence.
+SUFFIXES = {
+    "ar": "es", "at": "de", "au": "en", "bg": "bg", "bo": "es", "br": "pt", "by": "ru", "cl": "es", "cn": "zh", "co": "es",
+    "cr": "es", "cu": "es", "cz": "cs", "de": "de", "dk": "da", "do": "es", "ec": "es", "ee": "et", "es": "es", "fi": "fi",
+    "fr": "fr", "gr": "el", "gt": "es", "hk": "zh", "hn": "es", "hr": "hr", "hu": "hu", "id": "id", "ie": "en", "il": "he",
+    "ir": "fa", "is": "is", "it": "it", "jp": "ja", "kr": "ko", "lt": "lt", "lv": "lv", "mx": "es", "ni": "es", "nl": "nl",
+    "no": "no", "nz": "en", "pa": "es", "pe": "es", "pl": "pl", "pt": "pt", "py": "es", "ro": "ro", "rs": "sr", "ru": "ru",
+    "sa": "ar", "se": "sv", "si": "sl", "sk": "sk", "sv": "es", "th": "th", "tr": "tr", "tw": "zh", "ua": "uk", "uk": "en",
+    "us": "en", "uy": "es", "ve": "es", "vn": "vi",
+}
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -144,7 +144,8 @@ def _license_sql() -> str:
         return f"list_filter(list_transform(string_split({out}, chr(10)), lambda l: trim(l)), lambda l: l <> '')"
 
     lines = "string_split(lower(coalesce(text, '')), chr(10))"
-    values = ", ".join(f"('{name}', '{text}')" for name, text in licenses.NOTICES)
+    known = [(name, text.replace("'", "''")) for name, text in (*licenses.license_texts(), *licenses.NOTICES)]
+    values = ", ".join(f"('{name}', '{text}')" for name, text in known)
     return f"""
 WITH known AS (SELECT sha256(c) AS digest, min(license_id) AS license_id
                FROM (SELECT license_id, array_to_string({canonical(lines)}, ' ') AS c FROM (VALUES {values}) v(license_id, text)) WHERE c <> '' GROUP BY 1),

@@ -11,9 +11,11 @@ A word that the vocabulary can't spell counts as one (unknown) piece.
 
 The automaton is built on the driver from the vocabulary alone (a parameter file of fixed
 size) and sent to the tasks; distinct words of a slice run through it together, and a worker
-remembers the counts of a bounded number of words.
+remembers the counts of a bounded number of words.  A word of `LONG_WORD` bytes or more goes
+through the same automaton by itself, a byte a step.
 
-Defined results: null text is empty: no words, no pieces; repeated rows and null doc_ids are
+Defined results: null text is empty: no words, no pieces; very long texts are read whole, in
+parts cut between words, and a very long word costs a step per byte; repeated rows and null doc_ids are
 counted each for itself; extra columns are not read; an empty table gives an empty result.
 """
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -111,15 +113,34 @@ class Automaton:
             return np.ones(len(words), np.int64)
         lens = np.fromiter(map(len, words), np.int64, len(words)) + 1
         out = np.empty(len(words), np.int64)
-        short = np.flatnonzero(lens <= LONG_WORD)
-        for rows in (short, *([r] for r in np.flatnonzero(lens > LONG_WORD))):
-            if not len(rows):
-                continue
+        for r in np.flatnonzero(lens > LONG_WORD):
+            out[r] = self._walk(b" " + words[r])
+        rows = np.flatnonzero(lens <= LONG_WORD)
+        if len(rows):
             width = int(lens[rows].max())
             table = np.frombuffer(b"".join((b" " + words[r]).ljust(width, b"\0") for r in rows), np.uint8).reshape(len(rows), width)
             out[rows] = self._read(table, lens[rows])
         return out
 
+    @cached_property
+    def _lists(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """Edges, links and popped counts for the walk of one word; made where one is met."""
+        return dict(zip(self.keys.tolist(), self.to.tolist())), self.link.tolist(), self.popped.tolist()
+
+    def _walk(self, word: bytes) -> int:
+        """Pieces of one word.  Every failure pops pieces that bytes read before have pushed."""
+        edges, link, popped = self._lists
+        node = count = 0
+        for byte in word:
+            while (to := edges.get(node * 256 + byte)) is None:
+                count += popped[node]
+                node = link[node]
+                if node < 0:
+                    return 1
+            node = to
+        rest = int(self.rest[node])
+        return count + rest if rest >= 0 else 1
+
 
 @worker("wordpiece")
 def _measured(batches: Iterator[pa.RecordBatch], automaton) -> Iterator[pa.RecordBatch]:
