@@ -402,6 +402,7 @@ def queries() -> dict[str, str]:
             "WHERE len(s_tokens) > 0) USING (submission_id)"
         ),
         "candidate_counts": q("SELECT submission_id, n_at_size, n_any FROM t1 WHERE category IN (" + _CATS + ")"),
+        "candidate_counts_dense": q("SELECT submission_id, n_at_size, n_any FROM t1 WHERE category IN (" + _CATS + ")"),
         "match_tier1": q("SELECT submission_id, status, decision, matched_product_id, explanation FROM t1"),
         "match_tier1_counts": q(
             "SELECT status, decision, explanation, count(*) AS n FROM t1 GROUP BY status, decision, explanation"

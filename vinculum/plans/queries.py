@@ -124,6 +124,17 @@ def q_candidate_counts(spark, sf):
     )
 
 
+def q_candidate_counts_dense(spark, sf):
+    """J3 with bitmaps for every token of more than four products of a block: the same counts."""
+    sc = _sc(spark, sf)
+    o = match.tier1_outcomes(sc.deduped, match.build_index(sc.catalog, dense=4), sc.aliases).filter(F.col("in_scope"))
+    return o.select(
+        "submission_id",
+        F.coalesce(F.col("n_at_size"), F.lit(0)).alias("n_at_size"),
+        F.coalesce(F.col("n_any"), F.lit(0)).alias("n_any"),
+    )
+
+
 def _tier1_rows(spark, sf):
     return _sc(spark, sf).tier1.filter(F.col("tier1_status").isNotNull())
 
@@ -455,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "category_reject": q_category_reject,
     "candidate_pairs": q_candidate_pairs,
     "candidate_counts": q_candidate_counts,
+    "candidate_counts_dense": q_candidate_counts_dense,
     "match_tier1": q_match_tier1,
     "match_tier1_counts": q_match_tier1_counts,
     "match_summary": q_match_summary,
