@@ -79,12 +79,56 @@ def test_catalog_load_is_all_or_nothing(spark, tmp_path):
 def test_stored_ids_are_looked_up_in_the_index(spark, tmp_path):
     path = str(tmp_path / "ids")
     for name, ids in (("a", range(0, 50)), ("b", range(50, 60))):
-        ST.write_ids(spark.createDataFrame([(f"S{i}", name) for i in ids], "submission_id string, import_id string"), path)
+        ST.write_ids(spark.createDataFrame([(f"S{i}",) for i in ids], "submission_id string"), path, name)
     asked = spark.createDataFrame([("S1",), ("S1",), ("S55",), ("S99",), (None,)], "submission_id string")
     assert sorted(r.submission_id for r in ST.stored_among(asked, path, "c").collect()) == ["S1", "S55"]
     assert [r.submission_id for r in ST.stored_among(asked, path, "b").collect()] == ["S1"]  # a re-run doesn't see itself
 
 
+def _above(df, words):
+    """The operators of the planned query from the one whose line has ``words`` up to the root."""
+    lines = df.select("*")._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(lines) if words in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    out, inner = [], depth(lines[at])
+    for line in reversed(lines[:at]):
+        if depth(line) < inner:
+            inner = depth(line)
+            out.append(line)
+    return out
+
+
+def test_look_ups_leave_the_stored_side_in_its_buckets(spark, tmp_path, capsys):
+    store = str(tmp_path / "it's a store")
+    for name in ("a", "b", "c"):
+        rows = _answered(spark, name, [(f"{name}{i}", f"f{name}{i}", f"out {name}{i}", RUN_TS) for i in range(300)])
+        cache = ST.read_answers(spark, store, ST.answers_path(store))
+        ST.write_ids(rows, ST.ids_path(store), name)
+        ST.write_answers(resolve.new_cache_entries(rows, cache), ST.answers_path(store), name)
+        if name != "c":  # c is not committed
+            ST.commit_import(spark, store, name, RUN_TS)
+    assert spark.catalog.listTables() == []  # no table outlives its resolution
+    asked = spark.range(400).select(F.explode(F.array(*[F.concat(F.lit(n), F.col("id").cast("string")) for n in "abc"])).alias("submission_id"))
+    answers = ST.read_answers(spark, store, ST.answers_path(store))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = ST.stored_among(asked, ST.ids_path(store), "b", store)
+        assert sorted(r.submission_id for r in known.collect()) == sorted(f"a{i}" for i in range(300))
+        wanted = asked.select(F.concat(F.lit("f"), "submission_id").alias("fingerprint"))
+        hits = wanted.join(resolve.cache_lookup(answers, "m", "v"), "fingerprint", "left")
+        assert hits.filter("cached_output = concat('out ', substr(fingerprint, 2))").count() == 600
+        again = resolve.new_cache_entries(_answered(spark, "d", [("x", "fa1", "later", RUN_TS), ("y", "fd1", "new", RUN_TS)]), answers)
+        assert [r.fingerprint for r in again.collect()] == ["fd1"]
+        other = _answered(spark, "d", [("x", "fa1", "another model's", RUN_TS)]).withColumn("llm_model", F.lit("m2"))
+        assert resolve.new_cache_entries(other, answers).count() == 1
+        for found in (known, hits, again):
+            above = _above(found, "Bucketed: true")
+            assert any("SortMergeJoin" in node for node in above) and not any("Exchange" in node for node in above), above
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_printed_lists_are_complete(spark, tmp_path, capsys):
     rows = spark.createDataFrame([("s", "m", 1234567)], "section string, metric string, value long")
     long = spark.range(3000)
@@ -160,9 +204,9 @@ def test_a_revert_takes_ids_and_answers_along(spark, tmp_path):
     for name, rows in (("a", first), ("b", second)):
         ST.begin_import(spark, store, name)
         ST.write_import(rows, store)
-        ST.write_ids(rows, ST.ids_path(store))
+        ST.write_ids(rows, ST.ids_path(store), name)
         cache = ST.read_answers(spark, store, ST.answers_path(store))
-        ST.write_answers(resolve.new_cache_entries(rows, cache).withColumn("import_id", F.lit(name)), ST.answers_path(store))
+        ST.write_answers(resolve.new_cache_entries(rows, cache), ST.answers_path(store), name)
         ST.commit_import(spark, store, name, RUN_TS)
 
     def left():

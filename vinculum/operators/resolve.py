@@ -63,7 +63,12 @@ def new_cache_entries(state: DataFrame, cache: DataFrame | None) -> DataFrame:
     append-only and a lookup is a plain join on unique keys.
     """
     fresh = cache_entries(state)
-    return fresh if cache is None else fresh.join(cache.select(*CACHE_KEYS), CACHE_KEYS, "left_anti")
+    if cache is None:
+        return fresh
+    known = cache.select(*[F.col(c).alias(f"known_{c}") for c in CACHE_KEYS])
+    # Of the key only the fingerprint is an equality, so that a table in buckets of it stays in them.
+    model, version = (F.col(c).between(F.col(f"known_{c}"), F.col(f"known_{c}")) for c in CACHE_KEYS[:2])
+    return fresh.join(known, (F.col("fingerprint") == F.col("known_fingerprint")) & model & version, "left_anti")
 
 
 def cache_lookup(cache: DataFrame, model_id: str, prompt_version: str = S.PROMPT_VERSION) -> DataFrame:

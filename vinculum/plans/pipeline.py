@@ -90,10 +90,10 @@ def run_import(
     final = ST.stage_table(dedup.mark_near_duplicates(work), f"{import_id}-final")
     if store_path:
         ST.write_import(final.drop("position"), store_path)
-        ST.write_ids(final, ST.ids_path(store_path))
+        ST.write_ids(final, ST.ids_path(store_path), import_id)
         ST.write_status_counts(final, store_path, import_id)
     if cache_path and resolver is not None:
-        ST.write_answers(resolve.new_cache_entries(final, cache).withColumn("import_id", F.lit(import_id)), cache_path)
+        ST.write_answers(resolve.new_cache_entries(final, cache), cache_path, import_id)
     if store_path:
         ST.commit_import(spark, store_path, import_id, run_ts)
     return ImportResult(import_id=import_id, imported=imp, final=final)

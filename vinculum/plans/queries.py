@@ -311,9 +311,9 @@ def q_drop_import(spark, sf):
     for rows, name, ts in ((sc.history, HISTORY_IMPORT_ID, HISTORY_CREATED), (sc.final, IMPORT_ID, RUN_TS)):
         ST.begin_import(spark, path, name)
         ST.write_import(rows, path)
-        ST.write_ids(rows, ST.ids_path(path))
+        ST.write_ids(rows, ST.ids_path(path), name)
         cache = ST.read_answers(spark, path, answers)
-        ST.write_answers(resolve.new_cache_entries(rows, cache).withColumn("import_id", F.lit(name)), answers)
+        ST.write_answers(resolve.new_cache_entries(rows, cache), answers, name)
         ST.commit_import(spark, path, name, ts)
     ST.drop_import(spark, path, HISTORY_IMPORT_ID)
     kinds = {"rows": ST.read_store(spark, path), "ids": spark.read.parquet(ST.ids_path(path)), "answers": ST.read_answers(spark, path, answers)}

@@ -101,6 +101,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as table locations need it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

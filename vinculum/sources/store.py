@@ -13,6 +13,8 @@ crash leaves behind, or a revert has not deleted yet, is never seen.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from vinculum import schemas as S
 from vinculum.functions.text import producer_key
 from vinculum.operators import audit, resolve
-from vinculum.session import delete_path, make_folder, path_exists, scratch_path
+from vinculum.session import delete_path, full_path, make_folder, path_exists, scratch_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -144,14 +146,16 @@ def commit_import(spark: SparkSession, path: str, import_id: str, run_ts) -> Non
 def committed(rows: DataFrame, store_path: str) -> DataFrame:
     """The ``rows`` (partitioned by import_id) of committed imports.
 
-    The markers are one row per import; Spark prunes the partitions by them at run time.  A
-    store without markers was written directly (:func:`write_import`) and is read whole.
+    The markers are one row per import; up to BROADCAST_KEYS of them are broadcast, so that the
+    rows stay where they are and Spark prunes their partitions at run time.  A store without
+    markers was written directly (:func:`write_import`) and is read whole.
     """
     spark = rows.sparkSession
     if not path_exists(spark, commits_path(store_path)):
         return rows
-    markers = spark.read.schema("committed_at timestamp, import_id string").parquet(commits_path(store_path))
-    return rows.join(markers.select("import_id").distinct(), "import_id", "left_semi").select(rows.columns)
+    markers = spark.read.schema("committed_at timestamp, import_id string").parquet(commits_path(store_path)).select("import_id")
+    few = markers.count() <= BROADCAST_KEYS
+    return rows.join(F.broadcast(markers) if few else markers.distinct(), "import_id", "left_semi").select(rows.columns)
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
@@ -164,21 +168,77 @@ def read_import(spark: SparkSession, path: str, import_id: str) -> DataFrame:
     return read_store(spark, path).filter(F.col("import_id") == import_id)
 
 
-#: Known ahead, since a folder whose only import was reverted has no file to infer it from.
-ANSWERS_SCHEMA = "llm_model string, llm_prompt_version string, fingerprint string, llm_output string, updated_at timestamp, import_id string"
-IDS_SCHEMA = "submission_id string, import_id string, id_bucket int"
+# --- look-up tables: stored ids and stored answers ----------------------------------------
 
+#: Buckets of the look-up tables.  It is part of their layout: choose it before a store's first
+#: import, so that one bucket of all stored keys fits a task (it is sorted there, with spill).
+LOOKUP_BUCKETS = 64
 
-def write_answers(entries: DataFrame, path: str) -> None:
-    """Write the cache entries of one or more imports, replacing only those imports' partitions."""
-    entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("import_id").parquet(path)
+
+class Lookup:
+    """A folder of rows in buckets of ``key``, sorted in each, partitioned by import_id.
+
+    A delivery looked up by ``key`` is dealt to the buckets; the stored rows are read bucket by
+    bucket and never shuffled.  Buckets are a property of tables, so the folder is made a table
+    of the session's catalog, under a name of its own, for as long as a plan on it is resolved;
+    dropping it leaves the files.
+    """
+
+    def __init__(self, schema: str, key: str) -> None:
+        self.schema, self.key = schema, key
+        self.columns = [c.split()[0] for c in schema.split(", ")]
+
+    @contextmanager
+    def _table(self, spark: SparkSession, path: str) -> Iterator[str]:
+        make_folder(spark, path)
+        name, at = f"vinculum_{uuid.uuid4().hex}", full_path(spark, path).replace("'", "\\'")
+        tracked = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(tracked)
+        spark.conf.set(tracked, "false")  # the partitions are the folders, whoever wrote or deleted them
+        try:
+            spark.sql(
+                f"CREATE TABLE {name} ({self.schema}) USING parquet PARTITIONED BY (import_id) "
+                f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {LOOKUP_BUCKETS} BUCKETS LOCATION '{at}'"
+            )
+        finally:
+            spark.conf.set(tracked, before)
+        try:
+            yield name
+        finally:
+            spark.sql(f"DROP TABLE {name}")
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        with self._table(spark, path) as name:
+            return spark.table(name)
+
+    def append(self, rows: DataFrame, path: str) -> None:
+        """Add rows (with import_id); one file per bucket and import."""
+        with self._table(rows.sparkSession, path) as name:
+            rows.select(self.columns).repartition(LOOKUP_BUCKETS, self.key).write.mode("append").insertInto(name)
+
+    def replace(self, rows: DataFrame, path: str, import_id: str) -> None:
+        """Write the rows of an import in place of those it wrote before."""
+        delete_path(rows.sparkSession, f"{path.rstrip('/')}/import_id={import_id}")
+        self.append(rows.withColumn("import_id", F.lit(import_id)), path)
+
+
+IDS = Lookup("submission_id string, import_id string", "submission_id")
+ANSWERS = Lookup(
+    "llm_model string, llm_prompt_version string, fingerprint string, llm_output string, updated_at timestamp, import_id string",
+    "fingerprint",
+)
+
+
+def write_answers(entries: DataFrame, path: str, import_id: str) -> None:
+    """Write an import's cache entries, replacing what the same import wrote before."""
+    ANSWERS.replace(entries, path, import_id)
 
 
 def read_answers(spark: SparkSession, store_path: str | None, path: str) -> DataFrame | None:
     """The stored answers of committed imports; None before the first import."""
     if not path_exists(spark, path):
         return None
-    rows = spark.read.schema(ANSWERS_SCHEMA).parquet(path)
+    rows = ANSWERS.read(spark, path)
     return committed(rows, store_path) if store_path else rows
 
 
@@ -200,12 +260,12 @@ def drop_import(spark: SparkSession, path: str, import_id: str, cache_path: str
     _uncommit(spark, path, import_id)
     if path_exists(spark, f"{cache_path}/import_id={import_id}"):
         keys = resolve.CACHE_KEYS
-        stored = spark.read.schema(ANSWERS_SCHEMA).parquet(cache_path)
+        stored = ANSWERS.read(spark, cache_path)
         lost = stored.filter(F.col("import_id") == import_id).select(keys)
         others = read_store(spark, path).filter(F.col("import_id") != import_id).join(lost, keys, "left_semi")
         heirs = resolve.cache_entries(others, "import_id")
         here = committed(stored, path).select(keys)
-        stage_table(heirs.join(here, keys, "left_anti"), "heirs").write.mode("append").partitionBy("import_id").parquet(cache_path)
+        ANSWERS.append(stage_table(heirs.join(here, keys, "left_anti"), "heirs"), cache_path)
     _delete_parts(spark, path, import_id, cache_path)
 
 
@@ -241,39 +301,25 @@ def read_status_counts(spark: SparkSession, store_path: str) -> DataFrame:
 
 # --- index of stored ids ------------------------------------------------------------------
 
-#: Folders of the id index; an id lies in one by its hash.
-ID_BUCKETS = 64
-
 
 def ids_path(store_path: str) -> str:
     """Folder of the id index that belongs to a store."""
     return f"{store_path.rstrip('/')}-ids"
 
 
-def _bucketed(ids: DataFrame) -> DataFrame:
-    return ids.withColumn("id_bucket", F.pmod(F.xxhash64("submission_id"), F.lit(ID_BUCKETS)).cast("int"))
-
-
-def write_ids(state: DataFrame, path: str) -> None:
+def write_ids(state: DataFrame, path: str, import_id: str) -> None:
     """Add an import's ids to the id index, replacing what the same import wrote before."""
-    ids = _bucketed(state.select("submission_id", "import_id"))
-    (
-        ids.repartition("id_bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("import_id", "id_bucket")
-        .parquet(path)
-    )
+    IDS.replace(state.select("submission_id"), path, import_id)
 
 
 def stored_among(records: DataFrame, path: str, exclude_import: str, store_path: str | None = None) -> DataFrame:
     """The ids of ``records`` that other (with ``store_path``: committed) imports have stored.
 
-    A look-up in the narrow id index, not in the store; a delivery whose ids fall into few
-    buckets reads only these folders (dynamic partition pruning on ``id_bucket``).
+    A look-up in the narrow id index, not in the store: the distinct ids asked for are dealt to
+    its buckets (or broadcast, where Spark finds them small); the index stays where it is.
     """
-    asked = _bucketed(records.filter(F.col("submission_id").isNotNull()).select("submission_id").distinct())
-    known = records.sparkSession.read.schema(IDS_SCHEMA).parquet(path).filter(F.col("import_id") != exclude_import)
+    asked = records.filter(F.col("submission_id").isNotNull()).select("submission_id").distinct()
+    known = IDS.read(records.sparkSession, path).filter(F.col("import_id") != exclude_import)
     if store_path:
         known = committed(known, store_path)
-    return known.join(asked, ["id_bucket", "submission_id"], "left_semi").select("submission_id")
+    return known.join(asked, "submission_id", "left_semi").select("submission_id")
