@@ -89,6 +89,15 @@ def test_files_that_are_no_whole_array(spark, tmp_path, text, good, bad):
     assert [r.raw_json for r in rows if r.record_invalid] == bad
 
 
+def test_nothing_may_stand_behind_a_record(spark, tmp_path):
+    one = '{"submission_id":"a","q":[{"r":"}]"}]}'
+    lines = [one, one + " ", one + ",", one + " x", one + "]", one + "],[" + one, one + ',"k":1', one + "}", one + one, one + ",null", "[" + one + "]", "null"]
+    (tmp_path / "in.ndjson").write_text("\n".join(lines))
+    rows = jsonsrc.read_submissions(spark, str(tmp_path / "in.ndjson")).orderBy("position").collect()
+    assert [r.raw_json for r in rows] == lines
+    assert [r.raw_json for r in rows if not r.record_invalid] == lines[:2]
+
+
 def test_a_text_without_end_is_given_in_parts(spark, tmp_path, small_splits, monkeypatch):
     small_splits(400)
     monkeypatch.setattr(jsonarray, "RECORD_BYTES", 1000)
@@ -114,3 +123,25 @@ def test_compressed_files(spark, tmp_path):
     with gzip.open(tmp_path / "in.json.gz", "wt") as f:
         json.dump(items, f, indent=1)
     assert [json.loads(t) for t in _texts(spark, tmp_path / "in.json.gz")] == items
+
+
+def test_a_catalog_array_is_read_in_splits_and_aborts_on_a_broken_product(spark, tmp_path):
+    path = tmp_path / "catalog.json"
+    products = [{"product_id": f"P{i:05}", "canonical_name": f"N {i} }}]", "producer": "House", "category": "Rum", "size_ml": 700} for i in range(5000)]
+    products[7]["vintage_required"] = True
+    path.write_text(json.dumps(products))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 5))
+    try:
+        rows = jsonsrc.read_catalog(spark, str(path)).collect()
+        assert sorted(r.product_id for r in rows) == [p["product_id"] for p in products]
+        assert [r.product_id for r in rows if r.vintage_required] == ["P00007"]
+        assert {r.canonical_name for r in rows} == {p["canonical_name"] for p in products}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    lines = tmp_path / "catalog.ndjson"
+    lines.write_text("\n".join([json.dumps(p) for p in products[:3]] + [""]))
+    assert jsonsrc.read_catalog(spark, str(lines), multiline=False).count() == 3
+    for broken in ('[{"product_id": "P1", "size_ml": "large"}]', json.dumps([{**products[0], "category": "Cider"}]), json.dumps([{"product_id": "P1"}])):
+        path.write_text(broken)
+        with pytest.raises(Exception, match="MALFORMED_RECORD|catalog domains"):
+            jsonsrc.read_catalog(spark, str(path))

@@ -15,16 +15,24 @@ def is_object(record: Column) -> Column:
 def with_id(df: DataFrame, text: str = "raw_json") -> DataFrame:
     """Adds submission_id, id_invalid and record_invalid from the record text of each row.
 
-    A text that is no JSON object is an invalid record; a JSON-string id becomes the id; any
-    other id that is not null is invalid.
+    A text that is no JSON object, or has anything behind the object, is an invalid record; a
+    JSON-string id becomes the id; any other id that is not null is invalid.
+
+    The JSON parser stops behind the first value.  So the text is parsed as the one element of a
+    list: then only a closing bracket can follow the object unseen, and a text that could
+    have one is parsed as a field of an object, too, where a bracket can't follow.
     """
-    df = df.withColumn("_record", F.try_parse_json(F.col(text)))
-    good = is_object(F.col("_record"))
+    df = df.withColumn("_list", F.try_parse_json(F.concat(F.lit("["), F.col(text), F.lit("]"))))
+    df = df.withColumn("_record", F.try_variant_get("_list", "$[0]", "variant"))
+    alone = F.try_variant_get("_list", "$[1]", "variant").isNull()
+    field = F.try_parse_json(F.concat(F.lit('{"r":'), F.col(text), F.lit("}")))
+    closed = F.when(F.col(text).rlike(r"\}\s*\]"), field.isNotNull()).otherwise(F.lit(True))
+    good = is_object(F.col("_record")) & alone & closed
     df = df.withColumn("record_invalid", ~good).withColumn("_id", F.when(good, F.try_variant_get("_record", "$.submission_id", "variant")))
     v = F.col("_id")
     is_string = F.coalesce(F.schema_of_variant(v) == "STRING", F.lit(False))
     missing = v.isNull() | F.coalesce(F.is_variant_null(v), F.lit(True))
-    return df.withColumn("id_invalid", ~missing & ~is_string).withColumn("submission_id", F.when(is_string, F.try_variant_get(v, "$", "string"))).drop("_record", "_id")
+    return df.withColumn("id_invalid", ~missing & ~is_string).withColumn("submission_id", F.when(is_string, F.try_variant_get(v, "$", "string"))).drop("_list", "_record", "_id")
 
 
 def with_fields(df: DataFrame, text: str = "raw_json") -> DataFrame:

@@ -557,6 +557,18 @@ def queries() -> dict[str, str]:
         "|| ' ml' || CASE WHEN vintage_required THEN ', needs vintage' ELSE '' END || ')' AS line FROM cat",
         "catalog_list": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
         "SELECT product_id, canonical_name, producer, category, size_ml, vintage_required FROM cat",
+        "json_catalog": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n"
+        "SELECT product_id, canonical_name, producer, category, size_ml, vintage_required FROM cat",
+        "json_labels": q(
+            "SELECT submission_id, expected_product_id, array_to_string(acceptable_decisions, ', ') AS acceptable, "
+            "'variant ' || CAST(k AS VARCHAR) AS notes FROM lab JOIN kept USING (submission_id)"
+        ),
+        "catalog_append": "WITH " + CHAIN.strip().split("\n),\nli AS")[0] + "\n)\n" + _append_sql(),
+        "stored_import": q(
+            "SELECT 'import-0001' AS import_id, submission_id, status, matched_product_id, duplicate_of FROM fin"
+        ),
+        "stored_ids": q("SELECT submission_id FROM fin WHERE status <> 'invalid'"),
+        "stored_answers": q("SELECT fingerprint, cached_output FROM cache WHERE cached_output IS NOT NULL"),
         "exact_duplicate_summary_rerun": q(
             "SELECT count(*) AS clusters, coalesce(CAST(sum(n) AS BIGINT), 0) - count(*) AS demoted FROM "
             "(SELECT count(*) AS n FROM dd WHERE status = 'pending' GROUP BY fingerprint HAVING count(*) > 1)"
@@ -603,6 +615,22 @@ def queries() -> dict[str, str]:
     }
 
 
+def _append_sql() -> str:
+    """Catalog loads step by step: products with an odd last digit, the others, these again, the odd
+    ones instead of all, and the catalog whole, with the names it repeats."""
+    key = "canonical_name, producer, size_ml"
+    repeated = f"repeated ({key})"
+    return f""", single AS (SELECT CAST(right(min(product_id), 1) AS INT) % 2 = 1 AS odd FROM cat GROUP BY {key}),
+    tally AS (SELECT count(*) FILTER (WHERE odd) AS odd, count(*) FILTER (WHERE NOT odd) AS even FROM single),
+    whole AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT 1 FROM cat GROUP BY {key} HAVING count(*) > 1)) AS bad FROM cat)
+    SELECT 'load' AS step, 'stored' AS what, odd AS n FROM tally
+    UNION ALL SELECT 'append', 'stored', odd + even FROM tally
+    UNION ALL SELECT 'append again', 'repeated product_id', even FROM tally
+    UNION ALL SELECT 'append again', '{repeated}', even FROM tally
+    UNION ALL SELECT 'reload', 'stored', odd FROM tally
+    UNION ALL SELECT 'with repeats', CASE WHEN bad > 0 THEN '{repeated}' ELSE 'stored' END, CASE WHEN bad > 0 THEN bad ELSE n END FROM whole"""
+
+
 def _report_sql() -> str:
     rows = [
         ("input", "records read", "(SELECT count(*) FROM raw)"),

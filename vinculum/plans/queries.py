@@ -321,6 +321,76 @@ def q_drop_import(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_json_catalog(spark, sf):
+    """The catalog from files of one JSON array each."""
+    return jsonsrc.read_catalog(spark, jsonsrc.write_catalog_arrays(_sc(spark, sf).catalog, spark, "json-catalog"))
+
+
+def q_json_labels(spark, sf):
+    """S3: the eval labels from label files."""
+    labels = jsonsrc.read_labels(spark, jsonsrc.write_label_files(_sc(spark, sf).labels, spark, "json-labels"))
+    return labels.select("submission_id", "expected_product_id", F.array_join("acceptable_decisions", ", ").alias("acceptable"), "notes")
+
+
+def q_catalog_append(spark, sf):
+    """Half of the products loaded, the others appended, these rejected when appended again, the
+    first half reloaded, and the whole catalog with its repeated keys: (step, what, n)."""
+    cat, path = _sc(spark, sf).catalog, scratch_path(spark, f"catalog-{uuid.uuid4().hex}")
+    key = ["canonical_name", "producer", "size_ml"]
+    first = cat.groupBy(*key).agg(F.min("product_id").alias("product_id")).select("product_id")
+    single = cat.join(first, "product_id", "left_semi")
+    odd = F.substring("product_id", -1, 1).cast("int") % 2 == 1
+    steps = [
+        ("load", single.filter(odd), path, "append"),
+        ("append", single.filter(~odd), path, "append"),
+        ("append again", single.filter(~odd), path, "append"),
+        ("reload", single.filter(odd), path, "overwrite"),
+        ("with repeats", cat, f"{path}-whole", "append"),
+    ]
+    found = []
+    for step, batch, to, mode in steps:
+        try:
+            ST.load_catalog(batch, to, mode)
+            found.append((step, "stored", ST.read_catalog(spark, to).count()))
+        except ST.CatalogRejected as e:
+            found += [(step, rule, n) for rule, n in e.violations.items()]
+    return spark.createDataFrame(found, "step string, what string, n long")
+
+
+def q_stored_import(spark, sf):
+    """one import of a store that holds two committed ones and one that is not."""
+    sc = _sc(spark, sf)
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    ST.write_import(sc.store, path)
+    ST.write_import(sc.history.withColumn("import_id", F.lit("import-0002")), path)
+    for name, ts in ((HISTORY_IMPORT_ID, HISTORY_CREATED), (IMPORT_ID, RUN_TS)):
+        ST.commit_import(spark, path, name, ts)
+    mine = ST.read_import(spark, path, IMPORT_ID)
+    return mine.unionByName(ST.read_import(spark, path, "import-0002")).select("import_id", "submission_id", "status", "matched_product_id", "duplicate_of")
+
+
+def q_stored_ids(spark, sf):
+    """The ids of a repeated delivery that committed imports have stored.  Ids of invalid rows
+    were written by an import that wasn't committed."""
+    sc = _sc(spark, sf)
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    bad = F.col("status") == "invalid"
+    ST.write_ids(sc.final.filter(~bad), ST.ids_path(path), IMPORT_ID)
+    ST.write_ids(sc.final.filter(bad), ST.ids_path(path), "import-0002")
+    ST.commit_import(spark, path, IMPORT_ID, RUN_TS)
+    return ST.stored_among(sc.raw, ST.ids_path(path), "import-0003", path)
+
+
+def q_stored_answers(spark, sf):
+    """The stored answers that the unmatched rows find."""
+    sc = _sc(spark, sf)
+    path = scratch_path(spark, f"store-{uuid.uuid4().hex}")
+    ST.write_answers(resolve.new_cache_entries(sc.history, None), ST.answers_path(path), HISTORY_IMPORT_ID)
+    ST.commit_import(spark, path, HISTORY_IMPORT_ID, HISTORY_CREATED)
+    hits = resolve.cache_lookup(ST.read_answers(spark, path, ST.answers_path(path)), sc.model_id)
+    return hits.join(sc.tier1.filter(F.col("status") == "unmatched").select("fingerprint").distinct(), "fingerprint", "left_semi")
+
+
 def q_revert_import(spark, sf):
     st = ST.revert_import(_sc(spark, sf).store, HISTORY_IMPORT_ID)
     return st.groupBy("import_id", "status").agg(F.count(F.lit(1)).alias("n"))
@@ -499,6 +569,12 @@ QUERIES: dict[str, Query] = {
     "referential_audit": q_referential_audit,
     "drop_import": q_drop_import,
     "revert_import": q_revert_import,
+    "json_catalog": q_json_catalog,
+    "json_labels": q_json_labels,
+    "catalog_append": q_catalog_append,
+    "stored_import": q_stored_import,
+    "stored_ids": q_stored_ids,
+    "stored_answers": q_stored_answers,
     "drift_by_import": q_drift_by_import,
     "confidence_shift": q_confidence_shift,
     "documents_exact_duplicates": q_documents_exact_duplicates,

@@ -20,6 +20,7 @@ from vinculum.functions import record as R
 from vinculum.operators import audit, ingest
 from vinculum.session import scratch_path
 from vinculum.sources import jsonarray
+from vinculum.sources.store import stage_table
 
 
 def with_record(lines: DataFrame) -> DataFrame:
@@ -48,14 +49,18 @@ def read_submissions(spark: SparkSession, path: str, *, multiline: bool = False)
 
 
 def read_catalog(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
-    """Catalog records; a malformed record or a domain violation aborts the load (V8)."""
-    df = (
-        spark.read.schema(S.CATALOG_SCHEMA)
-        .option("multiLine", multiline)
-        .option("mode", "FAILFAST")
-        .json(path)
-        .withColumn("vintage_required", F.coalesce(F.col("vintage_required"), F.lit(False)))
-    )
+    """Catalog records; a malformed record or a domain violation aborts the load (V8).
+
+    With ``multiline`` each file is one JSON array, read in splits, else JSON lines.  The records
+    are parsed once, into a stage table.
+    """
+    if multiline:
+        texts = jsonarray.read_elements(spark, path).select("text")
+    else:
+        texts = spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("text"))
+    product = F.from_json("text", S.CATALOG_SCHEMA, {"mode": "FAILFAST"}).alias("p")
+    df = texts.select(product).select("p.*").withColumn("vintage_required", F.coalesce(F.col("vintage_required"), F.lit(False)))
+    df = stage_table(df, "catalog-file")
     if audit.catalog_domain_violations(df).limit(1).count() > 0:
         raise ValueError(f"catalog {path}: a record violates the catalog domains")
     return df
@@ -122,17 +127,40 @@ ARRAY_RECORDS = 20_000
 def write_json_arrays(raw: DataFrame, spark: SparkSession, name: str) -> str:
     """Write typed records as files of one JSON array each, in ``position`` order by file name;
     a record cut off in the middle gets its brace back, so that it is one broken element."""
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    files = max(1, -(-raw.count() // ARRAY_RECORDS))
-    ranged = raw.repartitionByRange(files, "position").withColumn("file", F.format_string("%08d", F.spark_partition_id()))
-    texts = records_as_json(ranged, "file", "position")
+    texts = records_as_json(_in_files(raw, "position"), "file", "position")
     closed = F.when(F.col("value").endswith("}"), F.col("value")).otherwise(F.concat("value", F.lit("}")))
-    lists = texts.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("position", closed.alias("value")))).alias("rows"))
-    lists = lists.select("file", F.concat(F.lit("[\n  "), F.array_join(F.col("rows.value"), ",\n  "), F.lit("\n]")).alias("value"))
-    lists.write.partitionBy("file").text(path)
+    return _write_lists(texts.withColumn("value", closed), spark, name, "[\n  ", "\n]")
+
+
+def _in_files(rows: DataFrame, position: str) -> DataFrame:
+    """Rows with the file they go to, about ARRAY_RECORDS in each, in order of ``position``."""
+    files = max(1, -(-rows.count() // ARRAY_RECORDS))
+    return rows.repartitionByRange(files, position).withColumn("file", F.format_string("%08d", F.spark_partition_id()))
+
+
+def _write_lists(texts: DataFrame, spark: SparkSession, name: str, begin: str, end: str) -> str:
+    """One file per ``file``: its values, by position, with commas between."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    lists = texts.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("position", "value"))).alias("rows"))
+    whole = F.concat(F.lit(begin), F.array_join(F.col("rows.value"), ",\n  "), F.lit(end))
+    lists.select("file", whole.alias("value")).write.partitionBy("file").text(path)
     return path
 
 
+def write_catalog_arrays(catalog: DataFrame, spark: SparkSession, name: str) -> str:
+    """Write a catalog as files of one JSON array each; a false ``vintage_required`` is left out."""
+    rows = _in_files(catalog, "product_id").withColumn("vintage_required", F.when(F.col("vintage_required"), F.lit(True)))
+    texts = rows.select("file", F.col("product_id").alias("position"), F.to_json(F.struct(*catalog.columns)).alias("value"))
+    return _write_lists(texts, spark, name, "[\n  ", "\n]")
+
+
+def write_label_files(labels: DataFrame, spark: SparkSession, name: str) -> str:
+    """Write eval labels as files of the form :func:`read_labels` reads."""
+    rows = _in_files(labels, "submission_id")
+    texts = rows.select("file", F.col("submission_id").alias("position"), F.to_json(F.struct(*labels.columns)).alias("value"))
+    return _write_lists(texts, spark, name, '{"labels": [\n  ', "\n]}")
+
+
 def append_json_lines(raw: DataFrame, path: str) -> None:
     """Append typed records as NDJSON files to ``path`` in ``position`` order (one delivery)."""
     records_as_json(raw.orderBy("position")).write.mode("append").text(path)
