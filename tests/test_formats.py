@@ -107,6 +107,9 @@ def test_look_ups_leave_the_stored_side_in_its_buckets(spark, tmp_path, capsys):
         ST.write_answers(resolve.new_cache_entries(rows, cache), ST.answers_path(store), name)
         if name != "c":  # c is not committed
             ST.commit_import(spark, store, name, RUN_TS)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")  # the number of buckets stays that of the first import
+    assert ST.IDS.buckets(spark, ST.ids_path(store)) == int(partitions) != 5
     assert spark.catalog.listTables() == []  # no table outlives its resolution
     asked = spark.range(400).select(F.explode(F.array(*[F.concat(F.lit(n), F.col("id").cast("string")) for n in "abc"])).alias("submission_id"))
     answers = ST.read_answers(spark, store, ST.answers_path(store))
@@ -127,6 +130,7 @@ def test_look_ups_leave_the_stored_side_in_its_buckets(spark, tmp_path, capsys):
             assert any("SortMergeJoin" in node for node in above) and not any("Exchange" in node for node in above), above
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def test_printed_lists_are_complete(spark, tmp_path, capsys):

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from vinculum import schemas as S
 from vinculum.functions.text import producer_key
 from vinculum.operators import audit, resolve
-from vinculum.session import delete_path, full_path, make_folder, path_exists, scratch_path
+from vinculum.session import delete_path, full_path, make_folder, names_in, path_exists, scratch_path
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -170,27 +170,33 @@ def read_import(spark: SparkSession, path: str, import_id: str) -> DataFrame:
 
 # --- look-up tables: stored ids and stored answers ----------------------------------------
 
-#: Buckets of the look-up tables.  It is part of their layout: choose it before a store's first
-#: import, so that one bucket of all stored keys fits a task (it is sorted there, with spill).
-LOOKUP_BUCKETS = 64
-
-
 class Lookup:
     """A folder of rows in buckets of ``key``, sorted in each, partitioned by import_id.
 
     A delivery looked up by ``key`` is dealt to the buckets; the stored rows are read bucket by
-    bucket and never shuffled.  Buckets are a property of tables, so the folder is made a table
-    of the session's catalog, under a name of its own, for as long as a plan on it is resolved;
-    dropping it leaves the files.
+    bucket and never shuffled.  There are as many buckets as the session of the first import had
+    shuffle partitions; the number is kept in the folder.  Buckets are a property of tables, so
+    the folder is made a table of the session's catalog, under a name of its own, for as long as
+    a plan on it is resolved; dropping it leaves the files.
     """
 
+    _NUMBER = "_buckets-"  # Spark passes over names with an underscore
+
     def __init__(self, schema: str, key: str) -> None:
         self.schema, self.key = schema, key
         self.columns = [c.split()[0] for c in schema.split(", ")]
 
+    def buckets(self, spark: SparkSession, path: str) -> int:
+        make_folder(spark, path)
+        kept = [int(n.removeprefix(self._NUMBER)) for n in names_in(spark, path) if n.startswith(self._NUMBER)]
+        if not kept:
+            kept = [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+            make_folder(spark, f"{path.rstrip('/')}/{self._NUMBER}{kept[0]}")
+        return kept[0]
+
     @contextmanager
     def _table(self, spark: SparkSession, path: str) -> Iterator[str]:
-        make_folder(spark, path)
+        buckets = self.buckets(spark, path)
         name, at = f"vinculum_{uuid.uuid4().hex}", full_path(spark, path).replace("'", "\\'")
         tracked = "spark.sql.hive.manageFilesourcePartitions"
         before = spark.conf.get(tracked)
@@ -198,7 +204,7 @@ class Lookup:
         try:
             spark.sql(
                 f"CREATE TABLE {name} ({self.schema}) USING parquet PARTITIONED BY (import_id) "
-                f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {LOOKUP_BUCKETS} BUCKETS LOCATION '{at}'"
+                f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {buckets} BUCKETS LOCATION '{at}'"
             )
         finally:
             spark.conf.set(tracked, before)
@@ -214,7 +220,7 @@ class Lookup:
     def append(self, rows: DataFrame, path: str) -> None:
         """Add rows (with import_id); one file per bucket and import."""
         with self._table(rows.sparkSession, path) as name:
-            rows.select(self.columns).repartition(LOOKUP_BUCKETS, self.key).write.mode("append").insertInto(name)
+            rows.select(self.columns).repartition(self.buckets(rows.sparkSession, path), self.key).write.mode("append").insertInto(name)
 
     def replace(self, rows: DataFrame, path: str, import_id: str) -> None:
         """Write the rows of an import in place of those it wrote before."""
