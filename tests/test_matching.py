@@ -228,6 +228,42 @@ def test_the_search_lists_every_product_with_a_rare_token(spark):
     assert len(by_row["r3"]) == 1031  # no rare token: the rarest known ones
 
 
+def _broadcasts_of_exploded_rows(df) -> int:
+    """Broadcasts in the executed plan of a collected DataFrame that hold exploded rows."""
+    found, todo = 0, [(df._jdf.queryExecution().executedPlan(), False)]
+    while todo:
+        node, sent = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append((node.executedPlan(), sent))
+        elif name.endswith("QueryStageExec"):
+            todo.append((node.plan(), sent))
+        found += sent and name == "GenerateExec"
+        # an aggregate's or a shuffle's rows are measured, those of an explode are not
+        sent = name == "BroadcastExchangeExec" or (sent and name not in ("ShuffleExchangeExec", "BroadcastExchangeExec"))
+        children = node.children()
+        todo += [(children.apply(i), sent) for i in range(children.size())]
+    return found
+
+
+def test_requests_broadcast_no_exploded_sets_and_count_without_pairs(spark):
+    """Products of equal tokens are searched as one set; no exploded side goes through the driver."""
+    cat = catalog(spark, *[(f"P{i:04}", f"Cedro Rojo {i % 3}") for i in range(600)], ("Z1", "Zafiro Uno"), ("Z2", "Zafiro Uno"))
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    asked = [(f"r{i}", f"Cedro {i % 3} x{i}", "Nobody") for i in range(30)] + [("z", "Zafiro Dos 2", "Nobody")]
+    state = tier1(spark, cat, records(spark, *asked))
+    table, pairs = resolve.request_table(state, cat, names), resolve.request_candidates(state, cat, names)
+    counted = {r.submission_id: r.found_products for r in table.collect()}
+    listed: dict[str, list] = {}
+    for r in pairs.collect():
+        listed.setdefault(r.submission_id, []).append((r["rank"], r.product_id))
+    assert counted == {k: len(v) for k, v in listed.items()} == {**{f"r{i}": 200 for i in range(30)}, "z": 2}
+    assert {rank for v in listed.values() for rank, _ in v} == {1}
+    assert _broadcasts_of_exploded_rows(table) == _broadcasts_of_exploded_rows(pairs) == 0
+    found = resolve._found_sets(resolve._asked(state, cat, names), cat)
+    assert found.count() == 31  # a row per pair of sets, not per product
+
+
 def test_misspelt_producers_find_their_blocks(spark):
     cat = catalog(spark, ("A1", "Uno", "Brand#12"), ("A2", "Dos", "Brand#12"), ("B1", "Tres", "Brand#13"), ("C1", "Uno", "Other House"), ("W1", "Uno", "Brand#12", "Wine"))
     names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
