@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from tests.conftest import RUN_TS
 from vinculum.functions.text import first_or_null, join_errors, percent
-from vinculum.operators import report, resolve
+from vinculum.operators import ingest, report, resolve
 from vinculum import session
 from vinculum.plans import pipeline
+from vinculum.sources import jsonsrc
 from vinculum.sources import store as ST
 from vinculum.sources.store import stage_table
 
@@ -272,3 +273,15 @@ def test_confidence_drift(spark):
         for r in got:
             exact = sum(v <= r.confidence for v in values) / len(values)
             assert abs(exact - r["rank"]) < 0.02, (ids, r, exact)
+
+
+def test_a_filter_on_a_record_parses_it_no_oftener(spark, tmp_path):
+    """The import keeps records with an id: the filter must not move below the parse with copies of it."""
+    (tmp_path / "in.json").write_text('{"submission_id":"a","name":"Uno"}\n{"submission_id":7}\nnothing\n')
+    raw = jsonsrc.read_submissions(spark, str(tmp_path / "in.json"))
+    imported = ingest.import_records(raw, "i", RUN_TS, variant=True)
+    for df, parses in ((imported.state, 4), (imported.records, 3)):  # 34 where the filter moves
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.lower().replace("_", "").count("parsejson(") <= parses, plan
+    assert [r.submission_id for r in imported.state.collect()] == ["a"]
+    assert sorted(r.skip or "" for r in imported.records.collect()) == ["", "invalid_id", "invalid_record"]
