@@ -145,3 +145,19 @@ def test_a_catalog_array_is_read_in_splits_and_aborts_on_a_broken_product(spark,
         path.write_text(broken)
         with pytest.raises(Exception, match="MALFORMED_RECORD|catalog domains"):
             jsonsrc.read_catalog(spark, str(path))
+
+
+def test_the_array_import_query_reads_its_files_once_written(spark, tmp_path):
+    """The two lists of the query come from written tables; neither parses the records again."""
+    from vinculum.plans.queries import QUERIES
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate string"
+    spark.createDataFrame([(1, "red ring", "Brand#1", "SMALL", 3)], part).write.parquet(f"{tmp_path}/part.parquet")
+    rows = [(1, 1, 1, 1, 1.0, 2.0, "2001-01-01"), (1, 1, 2, 1, 1.0, 2.0, "2001-01-01"), (20, 1, 1, 2, 1.0, 2.0, "2002-01-01")]
+    lines = spark.createDataFrame(rows, line)
+    lines.withColumn("l_shipdate", lines.l_shipdate.cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    df = QUERIES["json_array_import"](spark, str(tmp_path))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "parseJson" not in plan and "MapInArrow" not in plan
+    assert sorted((r.submission_id, r.status, r.n) for r in df.collect()) == [("SUB-1-1", "duplicate_id", 1), ("SUB-1-1", "pending", 1), ("SUB-20-2", "invalid", 1)]
