@@ -285,3 +285,18 @@ def test_a_filter_on_a_record_parses_it_no_oftener(spark, tmp_path):
         assert 0 < plan.lower().replace("_", "").count("parsejson(") <= parses, plan
     assert [r.submission_id for r in imported.state.collect()] == ["a"]
     assert sorted(r.skip or "" for r in imported.records.collect()) == ["", "invalid_id", "invalid_record"]
+
+
+def test_marked_duplicates_are_a_stage_table(spark, tmp_path):
+    """Tier 1's two jobs start from the marked rows instead of joining all rows to their groups again."""
+    from vinculum.plans.scenario import Scenario
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate string"
+    spark.createDataFrame([(1, "red ring", "Brand#1", "SMALL", 3)], part).write.parquet(f"{tmp_path}/part.parquet")
+    lines = spark.createDataFrame([(20, 1, 1, 1, 1.0, 2.0, "2001-01-01"), (40, 1, 1, 1, 1.0, 2.0, "2001-01-01")], line)
+    lines.withColumn("l_shipdate", lines.l_shipdate.cast("timestamp")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    deduped = Scenario(spark, str(tmp_path)).deduped
+    assert "Join" not in deduped._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f.endswith(".zstd.parquet") for f in deduped.inputFiles())
+    assert sorted((r.submission_id, r.status, r.duplicate_of) for r in deduped.collect()) == [("SUB-20-1", "pending", None), ("SUB-40-1", "exact_duplicate", "SUB-20-1")]
