@@ -346,3 +346,36 @@ def test_dense_counts_across_buckets(spark):
     sigs = spark.createDataFrame([("casa", "Tequila", 700, "azul"), ("casa", "Tequila", 500, "azul")], "producer_key string, category string, size_ml int, norm string")
     got = {r.size_ml: (r.n_at_size, r.n_any, tuple(r.first_at)) for r in match.candidate_counts(sigs, match.build_index(cat)).collect()}
     assert got == {700: (1, 80_000, ("P077777", True)), 500: (79_999, 80_000, ("P000000", True))}
+
+
+def test_search_runs_among_token_sets(spark):
+    """Products of the same words, and names of the same words, add nothing to the search."""
+    three = [("Roble", 500), ("Roble Viejo", 700), ("Viejo Roble", 700)]
+    cat = catalog(spark, *[(f"P{i:04}", three[i % 3][0], "Casa", "Rum", three[i % 3][1], i == 1) for i in range(900)])
+    index = match.build_index(cat)
+    assert index.postings is None  # two token sets, though each token is in 600 products or more
+    assert {(r.token, r.df) for r in index.freq.collect()} == {("roble", 2), ("viejo", 1)}
+    assert index.ctok.count() == 3  # not 1,500, a row per product and token
+    norms = ["roble", "roble viejo", "viejo roble", "roble nuevo", ""]
+    sigs = spark.createDataFrame([("casa", "Rum", size, n) for size in (500, 700, 900) for n in norms], "producer_key string, category string, size_ml int, norm string")
+    got = {(r.size_ml, r.norm): (r.n_at_size or 0, r.n_any, r.first_at and tuple(r.first_at)) for r in match.candidate_counts(sigs, index).collect()}
+    whole, viejo = {500: (300, 900, ("P0000", False)), 700: (600, 900, ("P0001", True)), 900: (0, 900, None)}, {500: (0, 600, None), 700: (600, 600, ("P0001", True)), 900: (0, 600, None)}
+    assert got == {(size, n): found[size] for size in (500, 700, 900) for n, found in (("roble", whole), ("", whole), ("roble viejo", viejo), ("viejo roble", viejo))}
+    names = spark.createDataFrame(OTHER_NAMES, "alias string, canonical string")
+    asked = [("a", "Roble", 500), ("b", "viejo, roble", 700), ("c", "Roble Viejo", 1000), ("d", "Roble Nuevo", 700)]
+    state = ingest.import_records(records(spark, *[(i, n, "Casa", "Rum", 2000, size) for i, n, size in asked]), "imp", RUN_TS).state
+    pairs = match.row_candidate_pairs(state, index, names).groupBy("submission_id", "at_size").agg(F.countDistinct("product_id").alias("n"), F.count("*").alias("rows"))
+    assert {tuple(r) for r in pairs.collect()} == {("a", True, 300, 300), ("a", False, 600, 600), ("b", True, 600, 600), ("c", False, 600, 600)}
+
+
+def test_dense_counts_of_different_sets_across_buckets(spark):
+    """40,000 token sets of one block: counts and first product where the bits lie in two bitmaps."""
+    cat = spark.range(40_000).select(
+        F.format_string("P%06d", "id").alias("product_id"), F.concat(F.lit("Azul s"), F.col("id").cast("string")).alias("canonical_name"), F.lit("Casa").alias("producer"),
+        F.lit("Tequila").alias("category"), F.when(F.col("id") == 39_999, 700).otherwise(500).cast("int").alias("size_ml"), F.lit(True).alias("vintage_required"))
+    index = match.build_index(cat)
+    assert index.postings is not None
+    sigs = spark.createDataFrame([("casa", "Tequila", size, norm) for size in (500, 700, 900) for norm in ("azul", "s7 azul")], "producer_key string, category string, size_ml int, norm string")
+    got = {(r.size_ml, r.norm): (r.n_at_size, r.n_any, r.first_at and r.first_at.product_id) for r in match.candidate_counts(sigs, index).collect()}
+    assert got == {(500, "azul"): (39_999, 40_000, "P000000"), (700, "azul"): (1, 40_000, "P039999"), (900, "azul"): (0, 40_000, None),
+                   (500, "s7 azul"): (1, 1, "P000007"), (700, "s7 azul"): (0, 1, None), (900, "s7 azul"): (0, 1, None)}
