@@ -133,3 +133,29 @@ def test_hot_and_missing_candidates(spark, small_thresholds):
     assert "skew=true" in plan
     assert out.filter("matched_product_id = 'P-hot'").count() == ROWS // 3
     assert out.filter("status = 'review' and matched_product_id is null").count() >= ROWS // 3
+
+
+def test_stages_write_only_rows_they_can_change(spark):
+    """A third of the rows can change; the others, a null status included, are not given to the step."""
+    from vinculum.sources.store import stage_changed
+
+    state = _state(spark, "x", status=lambda key, ids: F.when(ids % 3 == 0, F.lit("pending")).when(ids % 3 == 1, F.lit(None).cast("string")).otherwise(F.lit("invalid")))
+    seen = []
+
+    def step(rows):
+        seen.append(rows.count())
+        return rows.withColumn("status", F.lit("matched"))
+
+    out = stage_changed(state, F.col("status") == "pending", step, "part")
+    assert seen == [ROWS // 3] and out.columns == state.columns
+    assert {r.status: r["count"] for r in out.groupBy("status").count().collect()} == {"matched": ROWS // 3, None: ROWS // 3, "invalid": ROWS // 3}
+
+
+def test_first_record_by_position_even_where_a_column_has_no_order(spark):
+    rows = [("a", 2, "Second"), ("a", 1, "First"), ("a", None, "Nowhere"), ("b", 5, "Only")]
+    raw = spark.createDataFrame(rows, "submission_id string, position long, name string").select(
+        "*", F.lit("Prod").alias("producer"), F.lit("Rum").alias("category"), F.lit(2000).alias("vintage"), F.lit(700).alias("size_ml"))
+    wanted = {("a", 1, "First"), ("b", 5, "Only")}
+    for records in (raw, raw.withColumn("extra", F.create_map(F.lit("k"), F.lit(1)))):
+        state = ingest.import_records(records, "imp", RUN_TS).state
+        assert {(r.submission_id, r.position, r.name) for r in state.collect()} == wanted
