@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 
 import pytest
@@ -300,3 +301,27 @@ def test_marked_duplicates_are_a_stage_table(spark, tmp_path):
     assert "Join" not in deduped._jdf.queryExecution().optimizedPlan().toString()
     assert all(f.endswith(".zstd.parquet") for f in deduped.inputFiles())
     assert sorted((r.submission_id, r.status, r.duplicate_of) for r in deduped.collect()) == [("SUB-20-1", "pending", None), ("SUB-40-1", "exact_duplicate", "SUB-20-1")]
+
+
+def test_stage_tables_of_an_import_hold_no_fingerprints(spark, tmp_path):
+    """They follow from the fields, and every state has them: null for an invalid row, else the fields' digest."""
+    from vinculum.plans.scenario import Scenario
+
+    part = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    line = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_shipdate timestamp"
+    parts = [(1, "red ring", "Brand#1", "SMALL", 3), (2, "blue bolt", "Brand#2", "LARGE", 5)]
+    spark.createDataFrame(parts, part).write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(order, 1 + order % 2, 1, line_no, 1.0, 2.0, dt.datetime(2001, 1, 1)) for order in range(1, 21) for line_no in (1, 2)]
+    spark.createDataFrame(lines, line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    sc = Scenario(spark, str(tmp_path))
+    states = {name: getattr(sc, name) for name in ("deduped", "pending", "tier1", "tier2", "final", "history")}
+    for name, state in {"imported": sc.imported.state, **states}.items():
+        assert "fingerprint" in state.columns, name
+        for path in state.inputFiles():
+            assert "fingerprint" not in spark.read.parquet(path).columns, name
+    rows = {r.submission_id: r for r in sc.final.collect()}
+    assert {r.status for r in rows.values()} >= {"invalid", "matched", "exact_duplicate"}
+    for r in rows.values():
+        fields = "|".join(["" if x is None else str(x) for x in (r.name, r.producer, r.category, r.vintage, r.size_ml)])
+        assert r.fingerprint == (None if r.status == "invalid" else hashlib.sha256(fields.encode()).hexdigest())
+    assert sc.final.columns == sc.work.columns
