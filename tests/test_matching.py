@@ -379,3 +379,25 @@ def test_dense_counts_of_different_sets_across_buckets(spark):
     got = {(r.size_ml, r.norm): (r.n_at_size, r.n_any, r.first_at and r.first_at.product_id) for r in match.candidate_counts(sigs, index).collect()}
     assert got == {(500, "azul"): (39_999, 40_000, "P000000"), (700, "azul"): (1, 40_000, "P039999"), (900, "azul"): (0, 40_000, None),
                    (500, "s7 azul"): (1, 1, "P000007"), (700, "s7 azul"): (0, 1, None), (900, "s7 azul"): (0, 1, None)}
+
+
+def test_two_dense_tokens_are_looked_up_together(spark):
+    """Each token asked for is in 300 of 900 sets or more, two of them together in few: no bitmap is moved."""
+    rows = [(f"P{i:04}", f"a{i % 3} b{i // 3 % 3} c{i % 300} s{i}", "Casa", "Rum", (500, 700)[i % 2], False) for i in range(900)]
+    rows += [(f"Q{i:04}", f"a{i % 3} z{i % 2} y{i}", "Casa", "Rum", 500, False) for i in range(900)]
+    index = match.build_index(catalog(spark, *rows), dense=200)
+    norms = ["a0 b0", "b1 a2", "a1 b2 c7", "a1 b2 c8", "a0 b1 z1", "z0 a0", "z1 z0", "a0", "b0 b1"]
+    sigs = spark.createDataFrame([("casa", "Rum", size, norm) for size in (500, 700, 900) for norm in norms], "producer_key string, category string, size_ml int, norm string")
+    found = match.candidate_counts(sigs, index)
+    got = {(r.size_ml, r.norm): (r.n_at_size or 0, r.n_any, r.first_at and tuple(r.first_at)) for r in found.collect() if r.n_any}
+    expected = {}
+    for r in sigs.collect():
+        hits = [p for p in rows if set(r.norm.split()) <= set(p[1].split())]
+        at = sorted((p[0], p[5]) for p in hits if p[4] == r.size_ml)
+        if hits:
+            expected[r.size_ml, r.norm] = (len(at), len(hits), at[0] if at else None)
+    assert got == expected and {n for _, n in got} == {"a0 b0", "b1 a2", "a1 b2 c7", "z0 a0", "a0"}
+    # of tokens that meet in few sets none is left to the bitmaps
+    few = match.candidate_counts(sigs.filter("norm in ('a0 b0', 'b1 a2', 'z0 a0', 'b0 b1')"), index)
+    assert "bitmap_and_agg" not in few._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_and_agg" in found._jdf.queryExecution().optimizedPlan().toString()  # the token alone
